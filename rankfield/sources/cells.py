@@ -35,10 +35,10 @@ def _fit(vectors: DataFrame, vector: str, cells: int, metric: str, seed: int, ro
     wanted = cells * TRAIN_ROWS_PER_CELL
     if rows > 2 * wanted:
         vectors = vectors.sample(fraction=wanted / rows, seed=seed)
-    points = vectors.select(array_to_vector(vector).alias("features"))
     if metric == "cosine":
         # A vector without a direction cannot be clustered by angle.
-        points = points.filter(F.expr("exists(vector_to_array(features), x -> x != 0)"))
+        vectors = vectors.filter(F.exists(vector, lambda x: x != 0))
+    points = vectors.select(array_to_vector(vector).alias("features"))
     measure = "cosine" if metric == "cosine" else "euclidean"
     model = KMeans(k=cells, seed=seed, distanceMeasure=measure, maxIter=10).fit(points)
     return np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
