@@ -81,16 +81,14 @@ def spark_pattern(pattern: str) -> str:
     """Translate a strftime pattern to Spark's datetime pattern letters."""
 
     def piece(match: re.Match) -> str:
-        directive, text = match.groups()
+        text, directive = match.groups()
         if text is not None:
-            return "'" + text.replace("'", "''") + "'"
-        if directive == "%":
-            return "'%'"
+            return "'" + text.replace("%%", "%").replace("'", "''") + "'"
         if directive not in DIRECTIVES:
             raise ValueError(f"directive %{directive} in {pattern!r} has no Spark equivalent")
         return DIRECTIVES[directive]
 
-    return re.sub(r"%(.?)|([^%]+)", piece, pattern, flags=re.DOTALL)
+    return re.sub(r"((?:%%|[^%])+)|%(.?)", piece, pattern, flags=re.DOTALL)
 
 
 def _col(value: str | Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankfield.functions.tokens import tokens
+from rankfield.session import spread
 
 
 class Embedder(Protocol):
@@ -23,16 +25,28 @@ class Embedder(Protocol):
     def column(self, text: str | Column) -> Column: ...
 
 
+def once(function):
+    """Keep the optimizer from copying a costly function into a filter as well.
+
+    A filter on a deterministic column is pushed below it together with a copy of the
+    whole expression, and the vectors would be computed twice.
+    """
+    return function.asNondeterministic()
+
+
 def embed(df: DataFrame, embedder: Embedder, text: str, out: str | None = None) -> DataFrame:
-    """Add ``<text>_embedding`` (or ``out``), computed row by row without a shuffle."""
-    return df.withColumn(out or f"{text}_embedding", embedder.column(text))
+    """Add ``<text>_embedding`` (or ``out``), computed row by row.
+
+    Only an input small enough to sit in a few tasks is shuffled first.
+    """
+    return spread(df).withColumn(out or f"{text}_embedding", embedder.column(text))
 
 
 class HashingEmbedder:
     """Unit vectors of word counts, each word counted in the bucket its MD5 names.
 
-    Needs no model. Splitting and hashing stay in the JVM; only small bucket numbers
-    reach Python, where a batch is counted at once.
+    Needs no model. The JVM splits the text; a batch's distinct words are hashed once
+    each, however often they occur, and all its rows are counted together.
     """
 
     def __init__(self, dim: int = 64) -> None:
@@ -40,21 +54,20 @@ class HashingEmbedder:
             raise ValueError(f"dim must be >= 1, got {dim}")
         self.dim = dim
 
-    def buckets(self, text: str | Column) -> Column:
-        def bucket(word: Column) -> Column:
-            number = F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint")
-            return (number % F.lit(self.dim)).cast("int")
-
-        return F.transform(tokens(text), bucket)
+    def bucket(self, word: str) -> int:
+        return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
 
     def column(self, text: str | Column) -> Column:
-        dim = self.dim
+        dim, bucket = self.dim, self.bucket
 
         @F.arrow_udf("array<float>")
-        def count(buckets: pa.Array) -> pa.Array:
-            rows = len(buckets)
-            length = pc.list_value_length(buckets).to_numpy(zero_copy_only=False)
-            cell = np.repeat(np.arange(rows) * dim, length) + buckets.flatten().to_numpy()
+        def count(words: pa.Array) -> pa.Array:
+            rows = len(words)
+            length = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+            coded = words.flatten().dictionary_encode()
+            buckets = np.array([bucket(w) for w in coded.dictionary.to_pylist()], dtype=np.int64)
+            cell = np.repeat(np.arange(rows) * dim, length)
+            cell += buckets[coded.indices.to_numpy()] if len(coded) else 0
             counts = np.bincount(cell, minlength=rows * dim).astype(np.float64)
             counts = counts.reshape(rows, dim)
             norm = np.sqrt((counts**2).sum(1, keepdims=True))
@@ -63,7 +76,7 @@ class HashingEmbedder:
             flat = pa.array(unit.astype(np.float32).ravel(), pa.float32())
             return pa.ListArray.from_arrays(offsets, flat)
 
-        return count(self.buckets(text))
+        return once(count)(tokens(text))
 
 
 class ModelEmbedder:
@@ -93,4 +106,4 @@ class ModelEmbedder:
                     )
                 yield pd.Series(list(vectors))
 
-        return run(F.col(text) if isinstance(text, str) else text)
+        return once(run)(F.col(text) if isinstance(text, str) else text)
