@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -98,8 +98,7 @@ def query_terms(queries: DataFrame, query_key: str, query_text: str) -> DataFram
     return queries.select(query_key, F.array_distinct(tokens(query_text)).alias("terms"))
 
 
-@dataclass(frozen=True)
-class _Asked:
+class _Asked(NamedTuple):
     """The queries of one search, held by every executor.
 
     ``starts``/``members`` list, for each term number, the queries that contain it.
@@ -153,11 +152,12 @@ def _scores(asked: _Asked, hits: pa.ListArray, length: np.ndarray):
 
 
 def _score_rows(matched: DataFrame, asked: _Asked, schema, k: int | None) -> DataFrame:
-    shared = matched.sparkSession.sparkContext.broadcast(asked)
+    # Sent as a plain tuple, so that executors need nothing but the arrays to read it.
+    shared = matched.sparkSession.sparkContext.broadcast(tuple(asked))
     names = schema.fieldNames()
 
     def search(batches):
-        asked = shared.value
+        asked = _Asked(*shared.value)
         best = None if k is None else RunningTopK(len(asked.ids), k, SCORE_DECIMALS)
         numbers = np.arange(len(asked.ids))
         for batch in batches:
