@@ -16,7 +16,7 @@ from rankfield.functions.distances import (  # noqa: E402
     relevance_score,
 )
 from rankfield.operators.bm25 import bm25_scan  # noqa: E402
-from rankfield.operators.embed import HashingEmbedder, ModelEmbedder, embed  # noqa: E402
+from rankfield.operators.embed import HashingEmbedder, ModelEmbedder, embed, vector_distance  # noqa: E402
 from rankfield.operators.envelope import CappedResult, capped_result  # noqa: E402
 from rankfield.operators.fusion import RRF_K, fuse, hybrid  # noqa: E402
 from rankfield.operators.knn import knn  # noqa: E402
@@ -28,6 +28,7 @@ from rankfield.plans.search import (  # noqa: E402
     resolve_search_route,
     search,
     search_capped,
+    search_table,
     semantic_search,
 )
 from rankfield.plans.store import DocumentStore, promote_metadata  # noqa: E402
@@ -84,8 +85,10 @@ __all__ = [
     "scan_parquet",
     "search",
     "search_capped",
+    "search_table",
     "semantic_search",
     "table_indexes",
     "table_overview",
     "table_profile",
+    "vector_distance",
 ]

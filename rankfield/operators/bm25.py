@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankfield.functions.tokens import check_text, tokens
-from rankfield.operators.knn import attach_columns, single_query
+from rankfield.operators.knn import attach_columns, query_block, single_query
 from rankfield.operators.topk import (
     SCORE_DECIMALS,
     RunningTopK,
@@ -136,19 +136,25 @@ def _scores(asked: _Asked, hits: pa.ListArray, length: np.ndarray):
     norm = K1 * (1.0 - B + B * length[row] / asked.average)
     weight = asked.weight[word] * tf * (K1 + 1.0) / (tf + norm)
     fan = np.diff(asked.starts)[word]
+    grown = np.concatenate([[0], np.cumsum(fan)])
     step = max(1, SCORE_CELLS // n_queries)
-    for first in range(0, len(hits), step):
-        lo, hi = np.searchsorted(row, [first, first + step])
-        if lo == hi:
-            continue
-        repeat = fan[lo:hi]
-        source = np.repeat(np.arange(lo, hi), repeat)
-        offset = np.arange(len(source)) - np.repeat(np.cumsum(repeat) - repeat, repeat)
-        query = asked.members[asked.starts[word[source]] + offset]
-        width = min(step, len(hits) - first)
-        cell = query * width + (row[source] - first)
-        total = np.bincount(cell, weights=weight[source], minlength=n_queries * width)
-        yield first, total.reshape(n_queries, width)
+    first = 0
+    while first < len(hits):
+        # A piece is bounded in rows and in term-query pairs, but is at least one row.
+        lo = np.searchsorted(row, first)
+        full = np.searchsorted(grown, grown[lo] + SCORE_CELLS, side="right") - 1
+        last = row[full] if full < len(row) else len(hits)
+        width = int(min(max(last - first, 1), step, len(hits) - first))
+        hi = np.searchsorted(row, first + width)
+        if lo < hi:
+            repeat = fan[lo:hi]
+            source = np.repeat(np.arange(lo, hi), repeat)
+            offset = np.arange(len(source)) - np.repeat(grown[lo:hi] - grown[lo], repeat)
+            query = asked.members[asked.starts[word[source]] + offset]
+            cell = query * width + (row[source] - first)
+            total = np.bincount(cell, weights=weight[source], minlength=n_queries * width)
+            yield first, total.reshape(n_queries, width)
+        first += width
 
 
 def _score_rows(matched: DataFrame, asked: _Asked, schema, k: int | None) -> DataFrame:
@@ -332,7 +338,8 @@ def bm25_scan(
         raise ValueError(f"query_key and key are both named {key!r}; rename one")
     carried = hit_columns(corpus, columns, key=key, searched=None, ranking=SCORE)
     slim = corpus.select(key, text)
-    table = bounded(query_terms(asked, query_key, query_text), rows=broadcast_rows)
+    block = query_block(k or 1, broadcast_rows)
+    table = bounded(query_terms(asked, query_key, query_text), rows=block)
     scored = None
     if table is not None:
         scored = _scan_bounded(slim, asked, table, key, text, query_key, k)

@@ -10,10 +10,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfield.functions.tokens import tokens
+from rankfield.functions.distances import distance
+from rankfield.functions.tokens import check_text, tokens
 from rankfield.session import spread
 
 
@@ -107,3 +108,20 @@ class ModelEmbedder:
                 yield pd.Series(list(vectors))
 
         return once(run)(F.col(text) if isinstance(text, str) else text)
+
+
+def embed_text(spark: SparkSession, embedder: Embedder, text: str) -> list[float]:
+    """Return the vector of one query text, made the way the column's vectors are."""
+    row = spark.createDataFrame([(check_text(text),)], "text string")
+    return list(row.select(embedder.column("text").alias("v")).first()["v"])
+
+
+def vector_distance(
+    spark: SparkSession,
+    vector: str | Column,
+    text: str,
+    embedder: Embedder,
+    metric: str = "cosine",
+) -> Column:
+    """Return the distance of a vector column from a text, as an ordinary column."""
+    return distance(vector, embed_text(spark, embedder, text), metric)

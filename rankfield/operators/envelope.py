@@ -84,5 +84,5 @@ def capped_result(
 def with_total(df: DataFrame, *, max_rows: int, order: Sequence[Column]) -> DataFrame:
     """Return the first ``max_rows`` rows with ``row_count`` beside each, lazily."""
     check_k(max_rows, "max_rows")
-    total = df.agg(F.count(F.lit(1)).alias("row_count"))
-    return df.orderBy(*order).limit(max_rows).join(F.broadcast(total))
+    total = df.agg(F.count(F.lit(1)))
+    return df.orderBy(*order).limit(max_rows).withColumn("row_count", total.scalar())

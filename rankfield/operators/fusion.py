@@ -12,6 +12,7 @@ from rankfield.functions.tokens import check_text
 from rankfield.operators.bm25 import SCORE, bm25_scan
 from rankfield.operators.knn import DEFAULT_K, apply_where, attach_columns, knn, single_query
 from rankfield.operators.topk import TIE_DECIMALS, check_k, hit_columns, ranked
+from rankfield.session import row_bound
 
 #: Fixed value: damping constant of the fusion formula.
 RRF_K = 60
@@ -122,5 +123,7 @@ def hybrid(
             k=depth,
         )
     hits = fuse(by_text, by_vector, key=key, query_key=query_key, k=k, rrf_k=rrf_k)
-    hits = attach_columns(hits, corpus, key, carried, None)
+    asked = row_bound(queries)
+    bound = None if asked is None else asked * k
+    hits = attach_columns(hits, corpus, key, carried, bound)
     return hits.select(query_key, "rank", key, *carried, SCORE)

@@ -20,7 +20,13 @@ from rankfield.functions.distances import (
     query_vector,
 )
 from rankfield.operators.topk import RunningTopK, check_k, hit_columns, ranked
-from rankfield.session import BROADCAST_ROWS, bounded, broadcast_if, spread
+from rankfield.session import (
+    BROADCAST_ROWS,
+    TASK_CANDIDATES,
+    bounded,
+    broadcast_if,
+    spread,
+)
 
 DISTANCE = "_distance"
 DEFAULT_K = 5
@@ -85,6 +91,11 @@ def offer_block(
         best.offer(block, keys, numbers[start : start + step], exact, slack)
 
 
+def query_block(k: int, rows: int = BROADCAST_ROWS) -> int:
+    """Return how many queries a task may answer at once, given that it keeps ``k`` each."""
+    return max(1, min(rows, TASK_CANDIDATES // k))
+
+
 def candidate_schema(
     corpus: DataFrame, queries: DataFrame, key: str, query_key: str
 ) -> T.StructType:
@@ -180,8 +191,9 @@ def attach_columns(
 ) -> DataFrame:
     """Join ranked hits back to the table for its ordinary columns.
 
-    The hits are few (queries times k), so they are the side that travels; the corpus is
-    streamed past them, with only ``columns`` read.
+    ``bound`` is the most rows ``hits`` can have, queries times k, when that is known.
+    While it is small the hits are the side that travels and the corpus is streamed past
+    them, with only ``columns`` read; otherwise both sides are shuffled on the key.
     """
     if not columns:
         return hits
@@ -229,11 +241,12 @@ def knn(
         F.col(query_vector_column).isNotNull()
     )
     schema = candidate_schema(corpus, queries, key, query_key)
-    table = bounded(asked, rows=broadcast_rows)
+    block = query_block(k, broadcast_rows)
+    table = bounded(asked, rows=block)
     if table is not None:
         near = _near_broadcast(spread(slim, key), table, schema, metric, k)
     else:
-        near = near_grid(slim, asked, schema, metric, k, broadcast_rows)
+        near = near_grid(slim, asked, schema, metric, k, block)
     order = [F.col(DISTANCE).asc_nulls_last(), F.col(key).asc()]
     hits = ranked(near, query_key, order, k)
     bound = None if table is None else table.num_rows * k

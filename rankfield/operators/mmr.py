@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from rankfield.functions.distances import as_matrix, distance_block
 from rankfield.operators.knn import attach_columns, knn, single_query
 from rankfield.operators.topk import TIE_DECIMALS, check_k, hit_columns
+from rankfield.session import row_bound
 
 #: Defaults of a diversified search.
 MMR_K = 4
@@ -126,7 +127,9 @@ def mmr(
         k=max(fetch_k, k),
         where=where,
     )
-    pool = attach_columns(near, corpus, key, [vector], None)
+    rows = row_bound(queries)
+    depth = None if rows is None else rows * max(fetch_k, k)
+    pool = attach_columns(near, corpus, key, [vector], depth)
     asked = queries.select(query_key, F.col(query_vector_column).alias("_query_vector"))
     picked = mmr_select(
         pool.join(asked, query_key),
@@ -137,5 +140,5 @@ def mmr(
         k=k,
         lambda_mult=lambda_mult,
     )
-    picked = attach_columns(picked, corpus, key, carried, None)
+    picked = attach_columns(picked, corpus, key, carried, depth)
     return picked.select(query_key, "rank", key, *carried)

@@ -164,8 +164,8 @@ def _distances(metric: str) -> str:
 def _to_seven(spark, sf_dir, function):
     """Every vector's distance from vector 7, the two side by side in one row."""
     embeddings = read(spark, sf_dir, "embeddings")
-    seven = embeddings.filter("vec_id = 7").select(F.col("embedding").alias("other"))
-    both = embeddings.join(F.broadcast(seven))
+    seven = embeddings.filter("vec_id = 7").select("embedding").scalar()
+    both = embeddings.withColumn("other", seven)
     return both.select(
         "vec_id", F.round(function("embedding", F.col("other")), 6).alias("distance")
     )
@@ -199,8 +199,8 @@ def dist_dot(spark, sf_dir):
 )
 def relevance_scores(spark, sf_dir):
     embeddings = read(spark, sf_dir, "embeddings")
-    seven = embeddings.filter("vec_id = 7").select(F.col("embedding").alias("other"))
-    both = embeddings.join(F.broadcast(seven))
+    seven = embeddings.filter("vec_id = 7").select("embedding").scalar()
+    both = embeddings.withColumn("other", seven)
     functions = {"cosine": cosine_distance, "l2": l2_distance, "dot": negative_dot_product}
     distances = both.select(
         "vec_id", *[f("embedding", F.col("other")).alias(m) for m, f in functions.items()]

@@ -15,6 +15,9 @@ BROADCAST_ROWS = 8192
 #: Bytes of query data (vectors or text) that may travel to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+#: Candidates (queries times k) that one task may keep while it reads its rows.
+TASK_CANDIDATES = 2_000_000
+
 #: Inputs estimated below this are spread over all cores before CPU-heavy work.
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
@@ -84,6 +87,12 @@ def bounded(
     return table
 
 
+def row_bound(df: DataFrame, *, rows: int = BROADCAST_ROWS) -> int | None:
+    """Return the number of rows if it is at most ``rows``, else ``None``."""
+    found = df.select(F.lit(1)).limit(rows + 1).count()
+    return found if found <= rows else None
+
+
 def broadcast_if(df: DataFrame, rows: int, limit: int = 200_000) -> DataFrame:
     """Hint a broadcast when the known row bound allows it, else leave the join to AQE."""
     return F.broadcast(df) if rows <= limit else df

@@ -21,6 +21,7 @@ from rankfield.operators.knn import (
     candidate_schema,
     near_grid,
     offer_block,
+    query_block,
     single_query,
 )
 from rankfield.operators.topk import RunningTopK, check_k, ranked
@@ -162,7 +163,8 @@ class CellIndex:
         )
         schema = candidate_schema(stored, queries, self.key, query_key)
         stored = stored.select(self.key, self.vector, "cell")
-        table = bounded(asked, rows=broadcast_rows)
+        block = query_block(k, broadcast_rows)
+        table = bounded(asked, rows=block)
         if table is not None:
             near = self._search_broadcast(stored, table, schema, k, nprobe)
         else:
@@ -175,7 +177,7 @@ class CellIndex:
 
             per_cell = asked.withColumn("cell", F.explode(cells(F.col(query_vector_column))))
             near = near_grid(
-                stored, per_cell, schema, self.metric, k, broadcast_rows, within=["cell"]
+                stored, per_cell, schema, self.metric, k, block, within=["cell"]
             )
         order = [F.col(DISTANCE).asc_nulls_last(), F.col(self.key).asc()]
         return ranked(near, query_key, order, k).select(query_key, "rank", self.key, DISTANCE)

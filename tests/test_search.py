@@ -3,12 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rankfield.operators.embed import HashingEmbedder, ModelEmbedder
+from rankfield.operators.embed import HashingEmbedder, ModelEmbedder, vector_distance
 from rankfield.plans.search import (
     default_columns,
     resolve_search_route,
     search,
     search_capped,
+    search_table,
     semantic_search,
 )
 from rankfield.plans.store import DocumentStore, promote_metadata
@@ -185,11 +186,22 @@ def test_semantic_search_takes_one_form_of_query(spark):
         semantic_search(table, query="x", **ask)
 
 
+def test_distance_from_a_text(spark):
+    model = HashingEmbedder(16)
+    table = listings(spark).withColumn("v", model.column("text"))
+    near = table.select("id", vector_distance(spark, "v", "loud bar", model).alias("d"))
+    assert near.orderBy("d").first()["id"] == "c"
+    with pytest.raises(ValueError, match="null bytes"):
+        vector_distance(spark, "v", "a\x00b", model)
+
+
 def test_table_indexes(spark, folder):
     model = HashingEmbedder(16)
     database = Database.create(spark, folder, database_id="d", tables=["t", "u"], keys={"t": ["id"], "u": ["id"]})
     table = database.table("t")
     database.load("t", listings(spark).withColumn("embedding", model.column("text")))
+    with pytest.raises(LookupError, match="No BM25"):
+        search_table(table, "garden", column="text")
     with pytest.raises(LookupError, match="No BM25 index found on column 'text'"):
         open_index(table, "text")
     create_text_index(table, "text", buckets=2)
@@ -203,6 +215,18 @@ def test_table_indexes(spark, folder):
     assert {c["name"]: c.get("searchable_by") for c in described["columns"]} == {
         "id": None, "text": ["text relevance"], "embedding": ["meaning"],
     }
+    for ask in ({}, {"embedder": model}, {"embedder": model, "nprobe": 2}):
+        hits = search_table(table, "quiet garden", column="text", k=2, **ask)
+        assert hits.columns == ["query_id", "rank", "id", "text", "score"]
+        assert hits.orderBy("rank").first()["id"] == "a"
+    scanned = search(
+        table.read(), "quiet garden", column="text", indexes=table_indexes(table), embedder=model
+    )
+    stored = search_table(table, "quiet garden", column="text", embedder=model)
+    assert sorted(scanned.collect()) == sorted(stored.collect())
+    by_vector = search_table(table, "garden shed", column="embedding", embedder=model, k=1)
+    assert by_vector.columns == ["query_id", "rank", "id", "_distance"]
+    assert by_vector.first()["id"] == "b"
     # A load makes both indexes out of date.
     database.load("t", listings(spark).withColumn("embedding", model.column("text")))
     assert table_indexes(table) == []
@@ -210,6 +234,9 @@ def test_table_indexes(spark, folder):
     other = database.table("u")
     database.load("u", listings(spark))
     create_vector_index(other, "text", embedder=model, cells=2)
+    found = search_table(other, "loud bar", column="text", embedder=model, k=1, columns=["id", "text"])
+    assert found.columns == ["query_id", "rank", "id", "text", "_distance"]
+    assert found.first()["id"] == "c"
     with pytest.raises(ValueError, match="stands alone"):
         create_text_index(other, "text")
     assert list(generated_vector_columns(table_indexes(other))) == ["text_embedding"]

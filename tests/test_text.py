@@ -83,6 +83,15 @@ def test_many_terms_take_the_joined_form(spark, monkeypatch):
     assert sorted(one.collect()) == sorted(other.collect())
 
 
+@pytest.mark.parametrize("cells", [1, 3, 7, 20])
+def test_small_pieces_give_the_same_scores(spark, monkeypatch, cells):
+    whole = bm25_scan(corpus(spark), queries(spark, ASKED), key="id", text="text")
+    want = sorted(whole.collect())
+    monkeypatch.setattr(bm25_module, "SCORE_CELLS", cells)
+    pieces = bm25_scan(corpus(spark), queries(spark, ASKED), key="id", text="text")
+    assert sorted(pieces.collect()) == want
+
+
 def test_query_text_is_data(spark):
     hits = bm25_scan(corpus(spark), query="'); DROP TABLE x; -- sea", key="id", text="text", k=3)
     assert [r["id"] for r in hits.collect()] == [0]
