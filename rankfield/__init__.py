@@ -32,6 +32,7 @@ from rankfield.plans.search import (  # noqa: E402
     semantic_search,
 )
 from rankfield.plans.store import DocumentStore, promote_metadata  # noqa: E402
+from rankfield.session import clear_scratch  # noqa: E402
 from rankfield.sources.attach import attach, catalogs_in_scope, detach  # noqa: E402
 from rankfield.sources.cells import CellIndex  # noqa: E402
 from rankfield.sources.database import Database, ManagedTable  # noqa: E402
@@ -63,6 +64,7 @@ __all__ = [
     "bm25_scan",
     "capped_result",
     "catalogs_in_scope",
+    "clear_scratch",
     "column_stats",
     "cosine_distance",
     "create_text_index",

@@ -35,9 +35,23 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _session_folder(spark: SparkSession) -> str:
+    name = spark.conf.get("spark.rankfield.session", None)
+    if not name:
+        name = uuid.uuid4().hex
+        spark.conf.set("spark.rankfield.session", name)
+    return f"{scratch_root(spark)}/rankfield/{name}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """Return a path in the shared folder that nothing else uses."""
-    return f"{scratch_root(spark)}/rankfield/{label}-{uuid.uuid4().hex}"
+    return f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this session's intermediate tables. Frames that read them cannot run again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

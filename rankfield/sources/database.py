@@ -7,7 +7,6 @@ import re
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +28,9 @@ from rankfield.sources.parquet import lowered, scan_parquet
 OWN_CATALOG = "default"
 DEFAULT_SCHEMA = "public"
 
+#: Partition column that keeps one load's files apart from another's.
+LOAD = "rankfield_load"
+
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
@@ -138,11 +140,11 @@ class ManagedTable:
             raise EmptyTable(
                 f"{record.schema}.{record.table} is declared but has no data; load it first"
             )
-        # Each load's folder is its own base path, so that partition columns are found.
+        # The load's number is the outermost partition of its folder, so any number of
+        # appends is still one scan. The declared schema does not have it.
         schema = StructType.fromJson(json.loads(record.columns))
-        reader = self._spark.read.schema(schema)
-        frames = [reader.parquet(path).select(*schema.names) for path in record.paths]
-        return reduce(DataFrame.unionByName, frames)
+        reader = self._spark.read.schema(schema).option("basePath", f"{self.folder}/data")
+        return reader.parquet(*record.paths).select(*[f"`{name}`" for name in schema.names])
 
     def load(
         self,
@@ -184,7 +186,7 @@ class ManagedTable:
         else:
             rows = apply_load(target, rows, mode, key, checked=True)
         version = record.version + 1
-        path = f"{self.folder}/data/{version:08d}-{uuid.uuid4().hex}"
+        path = f"{self.folder}/data/{LOAD}={version:08d}-{uuid.uuid4().hex}"
         written = self._write(rows, record, path)
         if mode == "append" and target is not None:
             paths, total = (*record.paths, path), record.row_count + written
@@ -303,7 +305,7 @@ class Database:
     def publish(self, schema: str = DEFAULT_SCHEMA) -> list[str]:
         """Make the loaded tables queryable as ``<database id>.<table>`` in Spark SQL.
 
-        Each is a view over the folders of its current version; call again after loads.
+        Each is a view of its current version; call again after loads.
         """
         space = self.namespace(schema)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {space} LOCATION '{self.folder}/_sql'")
@@ -311,11 +313,33 @@ class Database:
         for name in self.tables(schema):
             record = self.table(f"{schema}.{name}").record
             if record.version:
-                parts = " UNION ALL ".join(f"SELECT * FROM parquet.`{p}`" for p in record.paths)
-                self.spark.sql(f"CREATE OR REPLACE VIEW {space}.{name} AS {parts}")
+                self._publish_view(f"{space}.{name}", record)
                 published.append(f"{space}.{name}")
         return published
 
+    def _publish_view(self, view: str, record: TableRecord) -> None:
+        """Register all loads as one external table and the current ones as a view of it.
+
+        The table is declared with the stored types, so partition values keep theirs.
+        """
+        columns = StructType.fromJson(json.loads(record.columns)).fields
+        declared = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in columns)
+        partitions = ", ".join(f"`{c}`" for c in (LOAD, *record.partition_by))
+        loads = f"{view}__loads"
+        data = record.paths[0].rsplit("/", 1)[0]
+        self.spark.sql(f"DROP TABLE IF EXISTS {loads}")
+        self.spark.sql(
+            f"CREATE TABLE {loads} ({declared}, {LOAD} string) USING parquet "
+            f"PARTITIONED BY ({partitions}) LOCATION '{data}'"
+        )
+        self.spark.sql(f"ALTER TABLE {loads} RECOVER PARTITIONS")
+        current = ", ".join(f"'{p.rsplit('=', 1)[1]}'" for p in record.paths)
+        listed = ", ".join(f"`{c.name}`" for c in columns)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {view} AS "
+            f"SELECT {listed} FROM {loads} WHERE {LOAD} IN ({current})"
+        )
+
     def describe(
         self,
         reference: str,

@@ -103,6 +103,7 @@ class PostingsIndex:
             if len(words) <= LISTED_TERMS:
                 wanted = wanted & F.col("term").isin(words)
             postings, terms = postings.filter(wanted), terms.filter(wanted)
+            asked = spark.createDataFrame(pairs)
         weights = asked.join(terms.drop("bucket"), "term").select(
             query_key, "term", idf(F.col("df"), F.lit(float(self.rows))).alias("idf")
         )

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankfield.operators.merge import apply_load, get_by_ids
+from rankfield.session import clear_scratch, written
 from rankfield.sources import records
 from rankfield.sources.attach import attach, attachment, catalogs_in_scope, detach
 from rankfield.sources.database import Database, EmptyTable, split_table
@@ -112,6 +113,23 @@ def test_readers_keep_their_version(spark, folder):
     assert held(database.table("t").read()) == [(2, "b")]
 
 
+def test_many_appends_are_one_scan(spark, folder):
+    database = Database.create(spark, folder, database_id="d", tables=["t"])
+    for i in range(4):
+        database.load("t", rows(spark, (i, "x")), "append")
+    read = database.table("t").read()
+    assert held(read) == [(i, "x") for i in range(4)]
+    assert read._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    kept = written(rows(spark, (1, "a")), "test")
+    assert held(kept) == [(1, "a")]
+    clear_scratch(spark)
+    with pytest.raises(Exception):
+        kept.collect()
+
+
 def test_one_of_two_racing_loads_fails(spark, folder):
     database = Database.create(spark, folder, database_id="d", tables=["t"])
     table = database.table("t")
@@ -136,6 +154,9 @@ def test_layout_keeps_values_types_and_order(spark, folder):
     assert read.columns == ["id", "code", "v"]
     assert sorted((r["id"], r["code"]) for r in read.collect())[:2] == [(1, "7"), (2, "007")]
     assert read.schema["id"].dataType.simpleString() == "bigint"
+    database.publish()
+    view = spark.table("d.t")
+    assert view.columns == read.columns and sorted(view.collect()) == sorted(read.collect())
     plan = read.filter("code = '007' AND id > 1")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(code" in plan and "GreaterThan(id,1)" in plan
 
