@@ -65,9 +65,43 @@ def column_profile(
 
 
 def table_profile(tables: Mapping[str, DataFrame], *, stats: bool = True) -> DataFrame:
-    """Profile several tables: one aggregation per table, one row per column."""
-    parts = [column_profile(df, name, stats=stats) for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """Profile several tables: one row per column, with counts from one pass over each.
+
+    All tables are counted in one aggregation: each gives its name and, by position,
+    whether its columns hold a value, so one row per table and task is shuffled.
+    Without ``stats`` nothing is read.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    listed = [
+        (name, position, field.name, field.dataType.simpleString())
+        for name, df in tables.items()
+        for position, field in enumerate(df.schema.fields, start=1)
+    ]
+    schema = "table_name string, position bigint, column_name string, data_type string"
+    columns = spark.createDataFrame(listed, schema)
+    if not stats:
+        none = F.lit(None).cast("bigint")
+        return columns.withColumns({"row_count": none, "non_null": none})
+    width = max(len(df.columns) for df in tables.values())
+
+    def marked(name: str, df: DataFrame) -> DataFrame:
+        held = [f"CASE WHEN `{c}` IS NOT NULL THEN true END AS c{i}" for i, c in enumerate(df.columns)]
+        held += [f"CAST(NULL AS boolean) AS c{i}" for i in range(len(held), width)]
+        return df.selectExpr(*held).withColumn("table_name", F.lit(name))
+
+    rows = reduce(DataFrame.union, [marked(name, df) for name, df in tables.items()])
+    counts = [F.count(f"c{i}") for i in range(width)]
+    totals = rows.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("row_count"), F.array(*counts).alias("counts")
+    )
+    # A table without rows has no group, and counts of zero.
+    return columns.join(totals, "table_name", "left").select(
+        *columns.columns,
+        F.coalesce("row_count", F.lit(0)).alias("row_count"),
+        F.coalesce(F.element_at("counts", F.col("position").cast("int")), F.lit(0))
+        .cast("bigint")
+        .alias("non_null"),
+    )
 
 
 def table_overview(profile: DataFrame) -> DataFrame:

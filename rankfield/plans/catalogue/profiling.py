@@ -3,32 +3,7 @@
 from __future__ import annotations
 
 from rankfield.operators.profile import column_stats, table_overview, table_profile
-from rankfield.plans.catalogue.registry import query, read
-
-#: The given tables, with their columns and types in order.
-TABLES = {
-    "benchmark": "item_id bigint, text string",
-    "conversations": "conv_id bigint, turn bigint, role string, text string",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
-    "c_mktsegment string",
-    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
-    "embeddings": "vec_id bigint, embedding array<float>, label int",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
-    "value double, props string",
-    "labels": "doc_id bigint, quality int, toxic int",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
-    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
-    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
-    "pages": "page_id bigint, url string, html string",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
-    "p_retailprice double",
-    "region": "r_regionkey int, r_name string",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-}
-
+from rankfield.plans.catalogue.registry import TABLES, query, read
 
 def _profile_sql() -> str:
     parts = []
@@ -43,13 +18,9 @@ def _profile_sql() -> str:
     return "\nUNION ALL ".join(parts)
 
 
-def _profile(spark, sf_dir):
-    return table_profile({name: read(spark, sf_dir, name) for name in TABLES})
-
-
 @query("table_profile", _profile_sql())
 def profile(spark, sf_dir):
-    return _profile(spark, sf_dir).drop("searchable_by")
+    return table_profile({name: read(spark, sf_dir, name) for name in TABLES})
 
 
 @query(

@@ -74,7 +74,7 @@ def by_ids(spark, sf_dir):
     "join_inner",
     """
     SELECT n_name, o_orderpriority, count(*) AS orders,
-           round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+           round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue
     FROM lineitem
     JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey
@@ -94,7 +94,7 @@ def join_inner(spark, sf_dir):
         .groupBy("n_name", "o_orderpriority")
         .agg(
             F.count(F.lit(1)).alias("orders"),
-            F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias(
+            F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias(
                 "revenue"
             ),
         )

@@ -520,7 +520,7 @@ def bm25_index_batch(spark, sf_dir):
     WITH {_sql_bm25("SELECT 0 AS query_id, text FROM documents WHERE doc_id = 7")},
     {_SQL_SEVEN},
     near AS (SELECT 0 AS query_id, e.vec_id AS doc_id, round({_sql_distance("cosine")}, 12) AS dist
-             FROM embeddings e, q),
+             FROM embeddings e, q WHERE e.vec_id IN (SELECT doc_id FROM documents)),
     {_sql_fused(40, 10)}
     SELECT rank, doc_id, lang, round(score, 9) AS score FROM fused JOIN documents USING (doc_id)
     """,
@@ -528,11 +528,13 @@ def bm25_index_batch(spark, sf_dir):
 def hybrid_rrf(spark, sf_dir):
     """The documents most like document 7, by its words and by its vector."""
     documents = read(spark, sf_dir, "documents")
-    embeddings = read(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id")
+    vectors = read(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id")
+    # Only vectors of documents are ranked; one without a document could not be a hit.
+    embeddings = vectors.join(documents.select("doc_id"), "doc_id", "left_semi")
     text = documents.filter("doc_id = 7").select(
         F.lit(0).alias("query_id"), F.col("text").alias("query_text")
     )
-    vector = embeddings.filter("doc_id = 7").select(
+    vector = vectors.filter("doc_id = 7").select(
         F.lit(0).alias("query_id"), F.col("embedding").alias("query_vector")
     )
     hits = hybrid(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 from typing import Any
@@ -12,6 +13,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankfield.functions.distances import as_matrix, check_metric, distance_block
 from rankfield.operators.knn import (
@@ -69,6 +71,7 @@ class CellIndex:
     vector: str
     metric: str
     centres: tuple[tuple[float, ...], ...]
+    columns: str
 
     @classmethod
     def build(
@@ -106,7 +109,9 @@ class CellIndex:
             .write.partitionBy("cell")
             .parquet(f"{path}/vectors")
         )
-        index = cls(path, key, vector, metric, tuple(map(tuple, centres.tolist())))
+        cell = T.StructField("cell", T.IntegerType())
+        columns = T.StructType([*stored.schema.fields, cell]).json()
+        index = cls(path, key, vector, metric, tuple(map(tuple, centres.tolist())), columns)
         records.create(spark, f"{path}/centres.json", asdict(index))
         return index
 
@@ -116,7 +121,8 @@ class CellIndex:
         return cls(**{**found, "centres": tuple(map(tuple, found["centres"]))})
 
     def vectors(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/vectors")
+        schema = T.StructType.fromJson(json.loads(self.columns))
+        return spark.read.schema(schema).parquet(f"{self.path}/vectors")
 
     def _probe(self, queries: np.ndarray, nprobe: int) -> np.ndarray:
         """Return which cells each query looks in: its ``nprobe`` nearest centres."""

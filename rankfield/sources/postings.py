@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +44,7 @@ class PostingsIndex:
     buckets: int
     rows: int
     words: int
+    key_type: str
 
     @classmethod
     def build(
@@ -62,7 +63,9 @@ class PostingsIndex:
             .write.partitionBy("bucket")
             .parquet(f"{path}/postings")
         )
-        postings = spark.read.parquet(f"{path}/postings")
+        key_type = corpus.schema[key].dataType.simpleString()
+        index = cls(path, key, text, buckets, corpus.count(), 0, key_type)
+        postings = index.postings(spark)
         (
             postings.groupBy("bucket", "term")
             .agg(F.count(F.lit(1)).alias("df"))
@@ -71,8 +74,7 @@ class PostingsIndex:
             .write.partitionBy("bucket")
             .parquet(f"{path}/terms")
         )
-        words = postings.agg(F.sum("tf")).first()[0] or 0
-        index = cls(path, key, text, buckets, corpus.count(), words)
+        index = replace(index, words=postings.agg(F.sum("tf")).first()[0] or 0)
         records.create(spark, f"{path}/totals.json", asdict(index))
         return index
 
@@ -81,10 +83,12 @@ class PostingsIndex:
         return cls(**records.read(spark, f"{path}/totals.json"))
 
     def postings(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/postings")
+        columns = f"`{self.key}` {self.key_type}, term string, tf int, doc_len int, bucket int"
+        return spark.read.schema(columns).parquet(f"{self.path}/postings")
 
     def terms(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/terms")
+        columns = "term string, df bigint, bucket int"
+        return spark.read.schema(columns).parquet(f"{self.path}/terms")
 
     def scores(self, queries: DataFrame, *, query_key: str, query_text: str) -> DataFrame:
         """Return ``(query_key, key, score)`` of every match."""

@@ -8,7 +8,7 @@ from rankfield.operators.embed import HashingEmbedder, ModelEmbedder, embed
 from rankfield.operators.envelope import capped_result, clamp_k, truncation_warning
 from rankfield.operators.knn import knn
 from rankfield.operators.mmr import mmr, select_diverse
-from rankfield.operators.profile import column_profile, column_stats
+from rankfield.operators.profile import column_profile, column_stats, table_overview, table_profile
 from rankfield.sources.cells import CellIndex
 
 #: Two near copies and one that is unlike them.
@@ -177,3 +177,18 @@ def test_profile(spark):
     assert column_stats(df).first().asDict() == {"row_count": 2, "a_non_null": 2, "b_non_null": 0}
     rows = column_profile(df, "t", searchable={"b": ["meaning"]}, hidden=["a"]).collect()
     assert [(r["column_name"], r["non_null"], r["searchable_by"]) for r in rows] == [("b", 0, ["meaning"])]
+
+
+def test_profile_of_several_tables(spark):
+    tables = {
+        "t": spark.createDataFrame([(1, None), (2, "x")], "a int, b string"),
+        "none": spark.createDataFrame([], "z double"),
+    }
+    rows = table_profile(tables).collect()
+    assert sorted((r[0], r[1], r[2], r[3], r[4], r[5]) for r in rows) == [
+        ("none", 1, "z", "double", 0, 0),
+        ("t", 1, "a", "int", 2, 2),
+        ("t", 2, "b", "string", 2, 1),
+    ]
+    overview = table_overview(table_profile(tables, stats=False)).collect()
+    assert [tuple(r) for r in overview] == [("none", 1), ("t", 2)]
