@@ -22,7 +22,7 @@ from rankfield.operators.topk import (
     hit_columns,
     ranked,
 )
-from rankfield.session import BROADCAST_ROWS, bounded, broadcast_if, spread, written
+from rankfield.session import BROADCAST_ROWS, bounded, spread, written
 
 #: Fixed values of the ranking formula.
 K1 = 1.2
@@ -36,6 +36,9 @@ BROADCAST_TERMS = 20_000
 #: Scores one task holds at a time.
 SCORE_CELLS = 4_000_000
 
+#: Postings of one group when the query table is too large to broadcast.
+SLICE_POSTINGS = 2_000_000
+
 #: Ways the rows of one term are split, so that a word found everywhere is many tasks.
 TERM_SALTS = 16
 
@@ -98,7 +101,7 @@ def query_terms(queries: DataFrame, query_key: str, query_text: str) -> DataFram
     return queries.select(query_key, F.array_distinct(tokens(query_text)).alias("terms"))
 
 
-class _Asked(NamedTuple):
+class Asked(NamedTuple):
     """The queries of one search, held by every executor.
 
     ``starts``/``members`` list, for each term number, the queries that contain it.
@@ -112,39 +115,47 @@ class _Asked(NamedTuple):
     average: float
 
 
-def _asked(table: pa.Table) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray] | None:
+def _by_term(query: np.ndarray, term: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """Return ``starts`` and ``members`` of pairs of query number and term number."""
+    order = np.argsort(term, kind="stable")
+    return np.searchsorted(term[order], np.arange(terms + 1)), query[order]
+
+
+def asked_terms(table: pa.Table) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray] | None:
+    """Return ``ids, terms, starts, members`` of a table of term lists, if they are few."""
     lists = table.column(1).combine_chunks()
     words = lists.flatten().dictionary_encode()
     if len(words.dictionary) > BROADCAST_TERMS:
         return None
     length = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
     query = np.repeat(np.arange(len(lists)), length)
-    number = words.indices.to_numpy()
-    order = np.argsort(number, kind="stable")
-    starts = np.searchsorted(number[order], np.arange(len(words.dictionary) + 1))
-    return table.column(0).combine_chunks(), words.dictionary, starts, query[order]
-
-
-def _scores(asked: _Asked, hits: pa.ListArray, length: np.ndarray):
-    """Yield ``(first row, queries x rows scores)`` for the rows of one batch."""
-    n_queries = len(asked.ids)
-    words = pc.index_in(hits.flatten(), value_set=asked.terms).to_numpy(zero_copy_only=False)
-    count = pc.list_value_length(hits).to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(hits)), count)
-    pair, tf = np.unique(row * len(asked.terms) + words, return_counts=True)
-    row, word = pair // len(asked.terms), pair % len(asked.terms)
+    starts, members = _by_term(query, words.indices.to_numpy(), len(words.dictionary))
+    return table.column(0).combine_chunks(), words.dictionary, starts, members
+
+
+def idf_values(rows: int, df: np.ndarray) -> np.ndarray:
+    return np.log(1.0 + (rows - df + 0.5) / (df + 0.5))
+
+
+def _pieces(asked: Asked, row: np.ndarray, word: np.ndarray, tf: np.ndarray, length: np.ndarray):
+    """Yield ``(first row, queries x rows scores)`` for rows whose terms are all here.
+
+    ``row``, ``word`` and ``tf`` are the occurrences, ordered by row; ``length`` has one
+    entry per row. A piece is bounded in rows and in term-query pairs, but is at least
+    one row.
+    """
+    n_queries, n_rows = len(asked.ids), len(length)
     norm = K1 * (1.0 - B + B * length[row] / asked.average)
     weight = asked.weight[word] * tf * (K1 + 1.0) / (tf + norm)
     fan = np.diff(asked.starts)[word]
     grown = np.concatenate([[0], np.cumsum(fan)])
     step = max(1, SCORE_CELLS // n_queries)
     first = 0
-    while first < len(hits):
-        # A piece is bounded in rows and in term-query pairs, but is at least one row.
+    while first < n_rows:
         lo = np.searchsorted(row, first)
         full = np.searchsorted(grown, grown[lo] + SCORE_CELLS, side="right") - 1
-        last = row[full] if full < len(row) else len(hits)
-        width = int(min(max(last - first, 1), step, len(hits) - first))
+        last = row[full] if full < len(row) else n_rows
+        width = int(min(max(last - first, 1), step, n_rows - first))
         hi = np.searchsorted(row, first + width)
         if lo < hi:
             repeat = fan[lo:hi]
@@ -157,50 +168,206 @@ def _scores(asked: _Asked, hits: pa.ListArray, length: np.ndarray):
         first += width
 
 
-def _score_rows(matched: DataFrame, asked: _Asked, schema, k: int | None) -> DataFrame:
+def _score(asked: Asked, best: RunningTopK | None, names, keys, row, word, tf, length):
+    """Offer the scores of some rows to ``best``, or yield every match if there is none."""
+    numbers = np.arange(len(asked.ids))
+    for first, total in _pieces(asked, row, word, tf, length):
+        part = keys.slice(first, total.shape[1])
+        if best is not None:
+            best.offer(np.where(total > 0, -total, np.inf), part, numbers)
+            continue
+        query, col = np.nonzero(total)
+        value = -np.round(total[query, col], SCORE_DECIMALS)
+        table = pa.table(
+            [asked.ids.take(pa.array(query)), part.take(pa.array(col)), pa.array(value)],
+            names=names,
+        )
+        yield from table.to_batches(max_chunksize=50_000)
+
+
+def score_schema(query_key: str, query_type: T.DataType, key: str, key_type: T.DataType):
+    return T.StructType(
+        [
+            T.StructField(query_key, query_type),
+            T.StructField(key, key_type),
+            T.StructField(SCORE, T.DoubleType()),
+        ]
+    )
+
+
+def _score_rows(matched: DataFrame, asked: Asked, schema, k: int | None) -> DataFrame:
+    """Score rows that carry the words they have in common with the queries."""
     # Sent as a plain tuple, so that executors need nothing but the arrays to read it.
     shared = matched.sparkSession.sparkContext.broadcast(tuple(asked))
     names = schema.fieldNames()
 
     def search(batches):
-        asked = _Asked(*shared.value)
+        asked = Asked(*shared.value)
         best = None if k is None else RunningTopK(len(asked.ids), k, SCORE_DECIMALS)
-        numbers = np.arange(len(asked.ids))
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = batch.column(0)
+            hits = batch.column(2)
+            words = pc.index_in(hits.flatten(), value_set=asked.terms)
+            count = pc.list_value_length(hits).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(hits)), count)
+            pair = row * len(asked.terms) + words.to_numpy(zero_copy_only=False)
+            pair, tf = np.unique(pair, return_counts=True)
+            row, word = pair // len(asked.terms), pair % len(asked.terms)
             length = batch.column(1).to_numpy(zero_copy_only=False)
-            for first, total in _scores(asked, batch.column(2), length):
-                part = keys.slice(first, total.shape[1])
-                if best is not None:
-                    best.offer(np.where(total > 0, -total, np.inf), part, numbers)
-                    continue
-                query, row = np.nonzero(total)
-                value = -np.round(total[query, row], SCORE_DECIMALS)
-                table = pa.table(
-                    [asked.ids.take(pa.array(query)), part.take(pa.array(row)), pa.array(value)],
-                    names=names,
-                )
-                yield from table.to_batches(max_chunksize=50_000)
+            yield from _score(asked, best, names, batch.column(0), row, word, tf, length)
         if best is not None:
             yield from best.batches(asked.ids, names)
 
     return matched.mapInArrow(search, schema).withColumn(SCORE, -F.col(SCORE))
 
 
-def _scan_bounded(slim, queries, table, key, text, query_key, k) -> DataFrame | None:
-    asked = _asked(table)
+def _runs(postings: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Return the row number of each posting and where each row starts, in key order."""
+    keys = postings.column(0).combine_chunks()
+    changed = pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1))
+    starts = np.concatenate([[True], changed.to_numpy(zero_copy_only=False)])
+    return np.cumsum(starts) - 1, np.flatnonzero(starts)
+
+
+def _score_sorted(asked: Asked, best: RunningTopK | None, names, postings: pa.Table):
+    """Score postings ``(key, term, tf, doc_len)`` that are ordered by key."""
+    words = pc.index_in(postings.column(1), value_set=asked.terms)
+    postings = postings.filter(pc.is_valid(words))
+    if not postings.num_rows:
+        return
+    word = words.drop_null().to_numpy()
+    row, starts = _runs(postings)
+    keys = postings.column(0).combine_chunks().take(pa.array(starts))
+    tf = postings.column(2).to_numpy()
+    length = postings.column(3).to_numpy()[starts]
+    yield from _score(asked, best, names, keys, row, word, tf, length)
+
+
+def score_postings(
+    postings: DataFrame, asked: Asked, schema: T.StructType, k: int | None
+) -> DataFrame:
+    """Score postings against queries that every executor holds.
+
+    The postings of a row are brought together by its key. What is shuffled is the
+    postings themselves, whatever the number of queries; pairs of query and row exist
+    only inside a task, which passes on ``k`` rows per query.
+    """
+    query_key, key, _ = names = schema.fieldNames()
+    shared = postings.sparkSession.sparkContext.broadcast(tuple(asked))
+
+    def search(batches):
+        asked = Asked(*shared.value)
+        best = None if k is None else RunningTopK(len(asked.ids), k, SCORE_DECIMALS)
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            # The last row's postings may go on in the next batch.
+            cut = pc.index(table.column(0), table.column(0)[-1]).as_py()
+            held = table.slice(cut)
+            yield from _score_sorted(asked, best, names, table.slice(0, cut))
+        if held is not None:
+            yield from _score_sorted(asked, best, names, held)
+        if best is not None:
+            yield from best.batches(asked.ids, names)
+
+    return (
+        postings.select(key, "term", "tf", "doc_len")
+        .repartition(key)
+        .sortWithinPartitions(key)
+        .mapInArrow(search, schema)
+        .withColumn(SCORE, -F.col(SCORE))
+    )
+
+
+def score_grid(
+    postings: DataFrame,
+    weights: DataFrame,
+    schema: T.StructType,
+    *,
+    average: float,
+    k: int,
+    block_rows: int,
+) -> DataFrame:
+    """Score a query table of any size, ``weights`` being ``(query_key, term, idf)``.
+
+    Blocks of queries meet slices of the rows. Each group holds one bounded block and one
+    bounded slice and passes on ``k`` rows per query; no pair of query and row leaves it.
+    """
+    query_key, key, _ = names = schema.fieldNames()
+    blocks = max(1, math.ceil(weights.select(query_key).distinct().count() / block_rows))
+    slices = max(1, math.ceil(postings.count() / SLICE_POSTINGS))
+
+    def numbered(column: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    wanted = postings.join(weights.select("term").distinct(), "term", "left_semi")
+    left = (
+        wanted.select(key, "term", "tf", "doc_len")
+        .withColumn("_slice", numbered(key, slices))
+        .withColumn("_block", every(blocks))
+    )
+    right = weights.withColumn("_block", numbered(query_key, blocks)).withColumn(
+        "_slice", every(slices)
+    )
+
+    def search(rows: pa.Table, block: pa.Table) -> pa.Table:
+        found = []
+        if rows.num_rows and block.num_rows:
+            ids = block.column(query_key).combine_chunks().dictionary_encode()
+            words = block.column("term").combine_chunks().dictionary_encode()
+            term = words.indices.to_numpy()
+            starts, members = _by_term(ids.indices.to_numpy(), term, len(words.dictionary))
+            weight = np.zeros(len(words.dictionary))
+            weight[term] = block.column("idf").to_numpy()
+            asked = Asked(ids.dictionary, words.dictionary, starts, members, weight, average)
+            best = RunningTopK(len(asked.ids), k, SCORE_DECIMALS)
+            rows = rows.select([key, "term", "tf", "doc_len"]).sort_by(key)
+            list(_score_sorted(asked, best, names, rows))
+            found = list(best.batches(asked.ids, names))
+        if found:
+            return pa.Table.from_batches(found)
+        empty = [block.column(query_key).type, rows.column(key).type, pa.float64()]
+        return pa.table([pa.array([], kind) for kind in empty], names=names)
+
+    groups = ["_slice", "_block"]
+    return (
+        left.groupBy(*groups)
+        .cogroup(right.groupBy(*groups))
+        .applyInArrow(search, schema)
+        .withColumn(SCORE, -F.col(SCORE))
+    )
+
+
+def score_pool(
+    postings: DataFrame, weights: DataFrame, *, key: str, query_key: str, average: float
+) -> DataFrame:
+    """Return every match of a query table of any size: ``(query_key, key, score)``.
+
+    The answer is as large as the matches are many. Both sides are split by a salt
+    besides the term, so that a word found everywhere is not one task.
+    """
+    salt = F.pmod(F.xxhash64(key), F.lit(TERM_SALTS)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1)))
+    joined = postings.withColumn("_salt", salt).join(
+        weights.withColumn("_salt", salts), ["term", "_salt"]
+    )
+    part = F.col("idf") * term_weight(F.col("tf"), F.col("doc_len"), F.lit(average))
+    return joined.groupBy(query_key, key).agg(F.round(F.sum(part), SCORE_DECIMALS).alias(SCORE))
+
+
+def _scan_bounded(slim, table, schema, key, text, k) -> DataFrame | None:
+    asked = asked_terms(table)
     if asked is None:
         return None
     ids, terms, starts, members = asked
-    schema = T.StructType(
-        [
-            T.StructField(query_key, queries.schema[query_key].dataType),
-            T.StructField(key, slim.schema[key].dataType),
-            T.StructField(SCORE, T.DoubleType()),
-        ]
-    )
     wanted = terms.to_pylist()
     if not wanted:
         return slim.sparkSession.createDataFrame([], schema)
@@ -231,54 +398,29 @@ def _scan_bounded(slim, queries, table, key, text, query_key, k) -> DataFrame |
     n = rows.get(None, 0)
     words = next((r["words"] for r in totals if r["term"] is None), 0)
     df = np.array([rows.get(term, 0) for term in wanted], dtype=np.float64)
-    weight = np.log(1.0 + (n - df + 0.5) / (df + 0.5))
+    weight = idf_values(n, df)
     average = words / n if n and words else 1.0
     matched = kept.filter(F.size("hits") > 0)
-    return _score_rows(matched, _Asked(ids, terms, starts, members, weight, average), schema, k)
-
-
-def score_postings(
-    postings: DataFrame,
-    weights: DataFrame,
-    *,
-    key: str,
-    query_key: str,
-    average: Column,
-    weight_rows: int | None,
-) -> DataFrame:
-    """Sum each row's term scores per query: ``(query_key, key, score)``.
-
-    ``weights`` is ``(query_key, term, idf)``. While it is small it is broadcast; otherwise
-    both sides are shuffled on the term, split by a salt so that no word is one task.
-    """
-    part = F.col("idf") * term_weight(F.col("tf"), F.col("doc_len"), average)
-    if weight_rows is not None:
-        joined = postings.join(broadcast_if(weights, weight_rows), "term")
-    else:
-        salt = F.pmod(F.xxhash64(key), F.lit(TERM_SALTS)).cast("int")
-        salts = F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1)))
-        joined = postings.withColumn("_salt", salt).join(
-            weights.withColumn("_salt", salts), ["term", "_salt"]
-        )
-    return joined.groupBy(query_key, key).agg(F.round(F.sum(part), SCORE_DECIMALS).alias(SCORE))
+    return _score_rows(matched, Asked(ids, terms, starts, members, weight, average), schema, k)
 
 
-def _scan_joined(slim, queries, key, text, query_key, query_text) -> DataFrame:
-    """Score a query table of any size by joining terms."""
+def _scan_any(slim, queries, schema, key, text, query_key, query_text, k, block_rows) -> DataFrame:
+    """Score a query table of any size."""
     postings = written(term_counts(slim, key, text), "bm25-postings")
     asked = query_terms(queries, query_key, query_text).select(
         query_key, F.explode("terms").alias("term")
     )
     n = slim.count()
     words = postings.agg(F.sum("tf")).first()[0]
+    average = words / n if n and words else 1.0
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weights = asked.join(df, "term").select(
         query_key, "term", idf(F.col("df"), F.lit(float(n))).alias("idf")
     )
-    average = F.lit(words / n if n and words else 1.0)
-    return score_postings(
-        postings, weights, key=key, query_key=query_key, average=average, weight_rows=None
-    )
+    weights = written(weights, "bm25-weights")
+    if k is None:
+        return score_pool(postings, weights, key=key, query_key=query_key, average=average)
+    return score_grid(postings, weights, schema, average=average, k=k, block_rows=block_rows)
 
 
 def text_queries(
@@ -340,11 +482,14 @@ def bm25_scan(
     slim = corpus.select(key, text)
     block = query_block(k or 1, broadcast_rows)
     table = bounded(query_terms(asked, query_key, query_text), rows=block)
+    schema = score_schema(
+        query_key, asked.schema[query_key].dataType, key, corpus.schema[key].dataType
+    )
     scored = None
     if table is not None:
-        scored = _scan_bounded(slim, asked, table, key, text, query_key, k)
+        scored = _scan_bounded(slim, table, schema, key, text, k)
     if scored is None:
-        scored = _scan_joined(slim, asked, key, text, query_key, query_text)
+        scored = _scan_any(slim, asked, schema, key, text, query_key, query_text, k, block)
     bound = None if table is None or k is None else table.num_rows * k
     return finish_text(
         scored, corpus, key=key, query_key=query_key, k=k, columns=carried, bound=bound

@@ -75,12 +75,12 @@ def spread(df: DataFrame, *by: str | Column) -> DataFrame:
     """Spread a small input over all cores; leave a large one as its scan split it.
 
     A small parquet file is often one row group, which is one task however many cores
-    are free. Shuffling it is cheap because it is small. A large input already has far
-    more splits than cores, and is never shuffled here.
+    are free. Shuffling it is cheap because it is small. A large input, or one of as many
+    files as there are cores, has enough splits already and is never shuffled here.
     """
-    if estimated_bytes(df) > SMALL_INPUT_BYTES:
-        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(df) > SMALL_INPUT_BYTES or len(df.inputFiles()) >= cores:
+        return df
     return df.repartition(cores, *by)
 
 

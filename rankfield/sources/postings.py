@@ -5,26 +5,32 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfield.operators.bm25 import (
     SCORE,
+    Asked,
+    asked_terms,
     finish_text,
     idf,
+    idf_values,
     query_terms,
+    score_grid,
+    score_pool,
     score_postings,
+    score_schema,
     term_counts,
     text_queries,
 )
+from rankfield.operators.knn import query_block
 from rankfield.operators.merge import check_keys
 from rankfield.operators.topk import check_k, hit_columns
-from rankfield.session import bounded, spread
+from rankfield.session import BROADCAST_ROWS, bounded, row_bound, spread, written
 from rankfield.sources import records
 
-#: (query, term) pairs that may be sent to every executor.
-BROADCAST_PAIRS = 200_000
-
 #: Terms listed in the scan filter; beyond it the buckets and the join do the pruning.
 LISTED_TERMS = 1_000
 
@@ -90,36 +96,59 @@ class PostingsIndex:
         columns = "term string, df bigint, bucket int"
         return spark.read.schema(columns).parquet(f"{self.path}/terms")
 
-    def scores(self, queries: DataFrame, *, query_key: str, query_text: str) -> DataFrame:
-        """Return ``(query_key, key, score)`` of every match."""
+    def scores(
+        self,
+        queries: DataFrame,
+        *,
+        query_key: str,
+        query_text: str,
+        k: int | None = None,
+        broadcast_rows: int = BROADCAST_ROWS,
+    ) -> DataFrame:
+        """Return ``(query_key, key, score)``: every match, or with ``k`` a superset of the best."""
         spark = queries.sparkSession
-        asked = (
-            query_terms(queries, query_key, query_text)
-            .select(query_key, F.explode("terms").alias("term"))
-            .withColumn("bucket", bucket_of("term", self.buckets))
-        )
         postings, terms = self.postings(spark), self.terms(spark)
-        pairs = bounded(asked, rows=BROADCAST_PAIRS)
-        if pairs is not None:
-            chosen = sorted(set(pairs.column("bucket").to_pylist()))
-            words = sorted(set(pairs.column("term").to_pylist()))
-            wanted = F.col("bucket").isin(chosen)
-            if len(words) <= LISTED_TERMS:
-                wanted = wanted & F.col("term").isin(words)
-            postings, terms = postings.filter(wanted), terms.filter(wanted)
-            asked = spark.createDataFrame(pairs)
-        weights = asked.join(terms.drop("bucket"), "term").select(
-            query_key, "term", idf(F.col("df"), F.lit(float(self.rows))).alias("idf")
-        )
         average = self.words / self.rows if self.words else 1.0
-        return score_postings(
-            postings.drop("bucket"),
-            weights,
-            key=self.key,
-            query_key=query_key,
-            average=F.lit(average),
-            weight_rows=None if pairs is None else pairs.num_rows,
+        schema = score_schema(
+            query_key, queries.schema[query_key].dataType, self.key, postings.schema[self.key].dataType
         )
+        asked = query_terms(queries, query_key, query_text)
+        block = query_block(k or 1, broadcast_rows)
+        table = bounded(asked, rows=block)
+        few = None if table is None else asked_terms(table)
+        if few is None:
+            pairs = asked.select(query_key, F.explode("terms").alias("term"))
+            weights = pairs.join(terms, "term").select(
+                query_key, "term", idf(F.col("df"), F.lit(float(self.rows))).alias("idf")
+            )
+            weights = written(weights, "bm25-weights")
+            if k is None:
+                return score_pool(
+                    postings, weights, key=self.key, query_key=query_key, average=average
+                )
+            return score_grid(
+                postings, weights, schema, average=average, k=k, block_rows=block
+            )
+        ids, words, starts, members = few
+        if not len(words):
+            return spark.createDataFrame([], schema)
+        listed = spark.createDataFrame(pa.table({"term": words}))
+        listed = listed.withColumn("bucket", bucket_of("term", self.buckets))
+        chosen = sorted({r["bucket"] for r in listed.select("bucket").distinct().collect()})
+        postings = postings.filter(F.col("bucket").isin(chosen))
+        terms = terms.filter(F.col("bucket").isin(chosen))
+        if len(words) <= LISTED_TERMS:
+            wanted = F.col("term").isin(words.to_pylist())
+            postings, terms = postings.filter(wanted), terms.filter(wanted)
+        else:
+            wanted = F.broadcast(listed.select("term"))
+            postings = postings.join(wanted, "term", "left_semi")
+            terms = terms.join(wanted, "term", "left_semi")
+        rows = {r["term"]: r["df"] for r in terms.select("term", "df").collect()}
+        df = np.array([rows.get(word, 0) for word in words.to_pylist()], dtype=np.float64)
+        weight = idf_values(self.rows, df)
+        known = Asked(ids, words, starts, members, weight, average)
+        return score_postings(postings, known, schema, k)
 
     def search(
         self,
@@ -131,6 +160,7 @@ class PostingsIndex:
         query_text: str = "query_text",
         k: int | None = None,
         columns: Sequence[str] | None = None,
+        broadcast_rows: int = BROADCAST_ROWS,
     ) -> DataFrame:
         """Same answer as a scan of the column, read from the index."""
         if k is not None:
@@ -139,7 +169,14 @@ class PostingsIndex:
         if queries is None:
             query_key, query_text = "query_id", "query_text"
         carried = hit_columns(corpus, columns, key=self.key, searched=None, ranking=SCORE)
-        scored = self.scores(asked, query_key=query_key, query_text=query_text)
+        scored = self.scores(
+            asked,
+            query_key=query_key,
+            query_text=query_text,
+            k=k,
+            broadcast_rows=broadcast_rows,
+        )
+        rows = None if k is None else row_bound(asked)
         return finish_text(
             scored,
             corpus,
@@ -147,7 +184,7 @@ class PostingsIndex:
             query_key=query_key,
             k=k,
             columns=carried,
-            bound=None if queries is not None or k is None else k,
+            bound=None if rows is None else rows * k,
         )
 
 

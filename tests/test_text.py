@@ -92,6 +92,15 @@ def test_small_pieces_give_the_same_scores(spark, monkeypatch, cells):
     assert sorted(pieces.collect()) == want
 
 
+def test_many_queries_in_small_groups(spark, monkeypatch):
+    monkeypatch.setattr(bm25_module, "SLICE_POSTINGS", 7)
+    asked = queries(spark, [f"{a} {b}" for a in ("quiet", "the", "sea", "no") for b in ("garden", "street")])
+    got = bm25_scan(corpus(spark), asked, key="id", text="text", k=4, broadcast_rows=2)
+    monkeypatch.undo()
+    want = bm25_scan(corpus(spark), asked, key="id", text="text", k=4)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 def test_query_text_is_data(spark):
     hits = bm25_scan(corpus(spark), query="'); DROP TABLE x; -- sea", key="id", text="text", k=3)
     assert [r["id"] for r in hits.collect()] == [0]
@@ -111,13 +120,27 @@ def test_own_score_column_is_dropped(spark):
         bm25_scan(table, query="sea", key="id", text="text", k=0)
 
 
-def test_index_gives_the_scan_answer(spark, folder):
+@pytest.mark.parametrize("broadcast_rows, batch", [(8192, 10_000), (8192, 2), (1, 10_000)])
+def test_index_gives_the_scan_answer(spark, folder, broadcast_rows, batch):
+    """Also when a row's postings are spread over batches, and for many queries."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, batch)
+    try:
+        _index_gives_the_scan_answer(spark, folder, broadcast_rows)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _index_gives_the_scan_answer(spark, folder, broadcast_rows):
     docs = corpus(spark)
     index = PostingsIndex.build(docs, key="id", text="text", path=f"{folder}/ix", buckets=4)
     index = PostingsIndex.open(spark, index.path)
     assert (index.rows, index.words) == (len(TEXTS), sum(len((t or "").split()) for t in TEXTS))
     for k in (4, None):
-        got = index.search(docs, queries(spark, ASKED), k=k, columns=["text"])
+        got = index.search(
+            docs, queries(spark, ASKED), k=k, columns=["text"], broadcast_rows=broadcast_rows
+        )
         want = bm25_scan(docs, queries(spark, ASKED), key="id", text="text", k=k, columns=["text"])
         assert got.columns == want.columns
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
