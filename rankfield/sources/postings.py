@@ -134,7 +134,7 @@ class PostingsIndex:
             return spark.createDataFrame([], schema)
         listed = spark.createDataFrame(pa.table({"term": words}))
         listed = listed.withColumn("bucket", bucket_of("term", self.buckets))
-        chosen = sorted({r["bucket"] for r in listed.select("bucket").distinct().collect()})
+        chosen = sorted({r["bucket"] for r in listed.select("bucket").collect()})
         postings = postings.filter(F.col("bucket").isin(chosen))
         terms = terms.filter(F.col("bucket").isin(chosen))
         if len(words) <= LISTED_TERMS:
