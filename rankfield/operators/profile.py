@@ -85,7 +85,9 @@ def table_profile(tables: Mapping[str, DataFrame], *, stats: bool = True) -> Dat
     width = max(len(df.columns) for df in tables.values())
 
     def marked(name: str, df: DataFrame) -> DataFrame:
-        held = [f"CASE WHEN `{c}` IS NOT NULL THEN true END AS c{i}" for i, c in enumerate(df.columns)]
+        held = [
+            f"CASE WHEN `{c}` IS NOT NULL THEN true END AS c{i}" for i, c in enumerate(df.columns)
+        ]
         held += [f"CAST(NULL AS boolean) AS c{i}" for i in range(len(held), width)]
         return df.selectExpr(*held).withColumn("table_name", F.lit(name))
 

@@ -36,7 +36,7 @@ def scan(spark, sf_dir):
 def project_filter(spark, sf_dir):
     orders = read(spark, sf_dir, "orders")
     return orders.filter(
-        (F.col("o_totalprice") > 100000) & (F.col("o_orderdate") >= F.expr("TIMESTAMP_NTZ '1995-01-01'"))
+        "o_totalprice > 100000 AND o_orderdate >= TIMESTAMP_NTZ '1995-01-01'"
     ).select(
         "o_orderkey",
         F.floor("o_totalprice").alias("price"),
@@ -167,7 +167,8 @@ def page_offset(spark, sf_dir):
 @query(
     "capped_result",
     """
-    SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS row_count
+    SELECT o_orderkey, o_totalprice,
+           (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS row_count
     FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 100
     """,
 )

@@ -129,7 +129,9 @@ def create_vector_index(
 def _refuse_beside_generated(table: ManagedTable) -> None:
     for found in index_records(table):
         if found["status"] == "ready" and found["source_column"]:
-            raise ValueError("the table has an index that makes its own vectors, which stands alone")
+            raise ValueError(
+                "the table has an index that makes its own vectors, which stands alone"
+            )
 
 
 def open_index(table: ManagedTable, column: str) -> PostingsIndex | CellIndex:

@@ -109,9 +109,9 @@ class PostingsIndex:
         spark = queries.sparkSession
         postings, terms = self.postings(spark), self.terms(spark)
         average = self.words / self.rows if self.words else 1.0
-        schema = score_schema(
-            query_key, queries.schema[query_key].dataType, self.key, postings.schema[self.key].dataType
-        )
+        key_type = postings.schema[self.key].dataType
+        query_type = queries.schema[query_key].dataType
+        schema = score_schema(query_key, query_type, self.key, key_type)
         asked = query_terms(queries, query_key, query_text)
         block = query_block(k or 1, broadcast_rows)
         table = bounded(asked, rows=block)
