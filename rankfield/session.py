@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,13 +25,19 @@ SMALL_INPUT_BYTES = 256 * 1024 * 1024
 def scratch_root(spark: SparkSession) -> str:
     """Return the shared folder for intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Where that is unset (tests on one
-    machine) a fresh temporary folder is chosen once and stored in the session.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a folder below the
+    session's warehouse is used; executors of a cluster could not see one on the driver's
+    disk, so there a local warehouse is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="rankfield-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_rankfield_scratch"
+        local = urlparse(root).scheme in ("", "file")
+        if local and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors "
+                f"share; the warehouse {root!r} is on one machine"
+            )
     return root.rstrip("/")
 
 
