@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankfield.session import written
+
 #: Rows of an output batch that one task holds before it hands them on.
 BATCH_ROWS = 4096
 
@@ -59,3 +61,28 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Return starts and ends (exclusive) of the maximal runs of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.view(np.int8), [0]))))
     return edges[0::2], edges[1::2]
+
+
+def with_row_id(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
+    """Return ``df`` with a column of unique ids that sort as the key does, and its name.
+
+    That is the key itself where keys are whole numbers, present and unique. Otherwise rows are
+    numbered in the order of key (null last) and text; rows equal in both share a number, so
+    they are one document and get the same result.
+    """
+    name = free_name(df, "_row_id")
+    keyed = F.col(quoted(key)).cast("bigint")
+    odd = (
+        df.select(keyed.alias("k"))
+        .groupBy("k")
+        .agg(F.count("*").alias("n"))
+        .filter((F.col("n") > 1) | F.col("k").isNull())
+    )
+    if odd.isEmpty():
+        return df.withColumn(name, keyed), name
+    held = df.select(keyed.alias("k"), F.xxhash64(text_or_empty(quoted(text))).alias("h"))
+    ranked = held.distinct().orderBy(F.col("k").asc_nulls_last(), "h")
+    ids = written(ranked.withColumn(name, F.monotonically_increasing_id()), "row-ids")
+    marked = df.withColumn("_k", keyed).withColumn("_h", F.xxhash64(text_or_empty(quoted(text))))
+    match = F.col("_k").eqNullSafe(F.col("k")) & (F.col("_h") == F.col("h"))
+    return marked.join(ids, match).drop("_k", "_h", "k", "h"), name

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfield.llm import packing, urls, warc
+from rankfield.llm import packing, suffixes, urls, warc
 from rankfield.llm.common import table
 from rankfield.session import scratch_path
 
@@ -71,6 +71,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_suffix_array_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove_repeats(documents, keep_bytes=False).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256"
+    )
+
+
 #: Host, path and action of each rule.
 URL_RULES = [
     ("com", "/", "allow"),
