@@ -63,8 +63,9 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2]
 
 
-def with_row_id(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
-    """Return ``df`` with a column of unique ids that sort as the key does, and its name.
+def with_row_id(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str, bool]:
+    """Return ``df`` with a column of unique ids that sort as the key does, the column's name,
+    and whether the ids are the keys.
 
     That is the key itself where keys are whole numbers, present and unique. Otherwise rows are
     numbered in the order of key (null last) and text; rows equal in both share a number, so
@@ -79,10 +80,10 @@ def with_row_id(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
         .filter((F.col("n") > 1) | F.col("k").isNull())
     )
     if odd.isEmpty():
-        return df.withColumn(name, keyed), name
+        return df.withColumn(name, keyed), name, True
     held = df.select(keyed.alias("k"), F.xxhash64(text_or_empty(quoted(text))).alias("h"))
     ranked = held.distinct().orderBy(F.col("k").asc_nulls_last(), "h")
     ids = written(ranked.withColumn(name, F.monotonically_increasing_id()), "row-ids")
     marked = df.withColumn("_k", keyed).withColumn("_h", F.xxhash64(text_or_empty(quoted(text))))
     match = F.col("_k").eqNullSafe(F.col("k")) & (F.col("_h") == F.col("h"))
-    return marked.join(ids, match).drop("_k", "_h", "k", "h"), name
+    return marked.join(ids, match).drop("_k", "_h", "k", "h"), name, False

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfield.llm import packing, suffixes, urls, warc
+from rankfield.llm import minhash, packing, suffixes, urls, warc
 from rankfield.llm.common import table
 from rankfield.session import scratch_path
 
@@ -36,6 +36,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_minhash_near_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(documents, size=3, percent=85).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 @query(
     "op4_warc",
     """
