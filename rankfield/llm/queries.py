@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfield.llm import minhash, packing, suffixes, urls, warc
+from rankfield.llm import decontaminate, minhash, packing, quality, suffixes, urls, warc
 from rankfield.llm.common import table
 from rankfield.session import scratch_path
 
@@ -87,6 +87,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~quality.held_out("doc_id"))
+    return quality.score_quality(documents, labels).select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted"
+    )
+
+
+@query("op9_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_contamination(documents, table(spark, sf_dir, "benchmark")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        "items_sha256",
+        "contaminated",
+    )
+
+
 #: Host, path and action of each rule.
 URL_RULES = [
     ("com", "/", "allow"),
