@@ -10,8 +10,8 @@ thirty has to be looked at instead of all. An anchor stands for a run of windows
    range-partitioned by their leading bytes with sampled splitters; each bucket sorts them by
    multikey quicksort, to the right of the anchor and to the left of it. Windows are equal
    exactly where no neighbour in between shares too few bytes, on both sides.
-3. The first and last seed of a bucket may go on in the next one; their windows are compared
-   across buckets by their bytes.
+3. The first and last seed of a bucket may go on in the next one; their windows, one of each
+   kind and bucket, are compared across buckets by 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rankfield.llm import hashing
-from rankfield.llm.common import batches, quoted, runs, text_or_empty, with_row_id
+from rankfield.llm.common import BATCH_ROWS, batches, quoted, runs, text_or_empty, with_row_id
 from rankfield.session import written
 
 LENGTH = 100
@@ -251,12 +251,56 @@ def _classes(order: np.ndarray, shared: np.ndarray, least: int) -> np.ndarray:
     return out
 
 
-_FOUND = pa.schema([("id", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("window", pa.binary())])
-_FOUND_DDL = "id bigint, first int, last int, window binary"
+_FOUND = pa.schema(
+    [
+        ("id", pa.int64()),
+        ("first", pa.int32()),
+        ("last", pa.int32()),
+        ("target", pa.int32()),
+        ("h1", pa.list_(pa.int64())),
+        ("h2", pa.list_(pa.int64())),
+        ("ids", pa.list_(pa.int64())),
+        ("places", pa.list_(pa.int32())),
+    ]
+)
+_FOUND_DDL = (
+    "id bigint, first int, last int, target int, h1 array<bigint>, h2 array<bigint>, "
+    "ids array<bigint>, places array<int>"
+)
 
 
-def _bucket(length: int, seed: int):
+def _packed(edges: list[tuple[np.ndarray, ...]], targets: int) -> Iterator[pa.RecordBatch]:
+    """Send windows to their targets, those of one bucket and target as one row of lists."""
+    h1, h2, ids, places = (np.concatenate(c) for c in zip(*edges))
+    target = (h1.view(np.uint64) % np.uint64(targets)).astype(np.int32)
+    order = np.argsort(target, kind="stable")
+    target = target[order]
+    starts = np.flatnonzero(np.concatenate(([True], target[1:] != target[:-1])))
+    offsets = pa.array(np.append(starts, len(target)).astype(np.int32))
+    lists = [
+        pa.ListArray.from_arrays(offsets, pa.array(c[order].astype(t)))
+        for c, t in ((h1, np.int64), (h2, np.int64), (ids, np.int64), (places, np.int32))
+    ]
+    none = [pa.nulls(len(starts), _FOUND.field(c).type) for c in ("id", "first", "last")]
+    yield pa.RecordBatch.from_arrays([*none, pa.array(target[starts]), *lists], schema=_FOUND)
+
+
+def _across(table: pa.Table) -> pa.Table:
+    """Compare the windows of one target; return those that an earlier place has too."""
+    h1, h2, ids, places = (
+        table[c].combine_chunks().flatten().to_numpy() for c in ("h1", "h2", "ids", "places")
+    )
+    order = np.lexsort((places, ids, h2, h1))
+    h1, h2, ids, places = (c[order] for c in (h1, h2, ids, places))
+    again = np.zeros(len(ids), bool)
+    again[1:] = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
+    ids, first, last = _joined(ids[again], places[again], places[again])
+    return pa.table({"id": ids, "first": first.astype(np.int32), "last": last.astype(np.int32)})
+
+
+def _bucket(length: int, seed: int, targets: int):
     span = length - seed
+    steps = [hashing.powers(base, length) for base in hashing.BASES]
 
     def windows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in source if b.num_rows]
@@ -284,6 +328,7 @@ def _bucket(length: int, seed: int):
         left_order, left_shared = multikey_quicksort(left)
 
         marked: list[tuple[np.ndarray, np.ndarray]] = []
+        edges: list[tuple[np.ndarray, ...]] = []
         for offset in range(span + 1):
             has = np.flatnonzero((back >= offset) & (ahead >= length - offset))
             if not len(has):
@@ -297,18 +342,14 @@ def _bucket(length: int, seed: int):
             marked.append((ids[again], place[again] - offset))
             shown = has[by[opens]]
             shown = shown[edged[shown]]
-            for at in range(0, len(shown), 4096):
-                part = shown[at : at + 4096]
-                begin = back[part] - offset
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[part], pa.int64()),
-                        pa.array((place[part] - offset).astype(np.int32)),
-                        pa.array((place[part] - offset).astype(np.int32)),
-                        pa.array([texts[i][b : b + length] for i, b in zip(part, begin)], pa.binary()),
-                    ],
-                    schema=_FOUND,
-                )
+            for at in range(0, len(shown), BATCH_ROWS):
+                part = shown[at : at + BATCH_ROWS]
+                string = np.hstack([left[part, :offset][:, ::-1], right[part, : length - offset]])
+                values = hashing.byte_table()[string]
+                h1, h2 = (hashing.mixed((values * s).sum(axis=1, dtype=np.uint64)).view(np.int64) for s in steps)
+                edges.append((h1, h2, ids[part], place[part] - offset))
+        if edges:
+            yield from _packed(edges, targets)
         at_ids = np.concatenate([m[0] for m in marked]) if marked else np.zeros(0, np.int64)
         if len(at_ids):
             starts = np.concatenate([m[1] for m in marked])
@@ -318,7 +359,7 @@ def _bucket(length: int, seed: int):
                     pa.array(out_ids, pa.int64()),
                     pa.array(begin.astype(np.int32)),
                     pa.array(end.astype(np.int32)),
-                    pa.nulls(len(out_ids), pa.binary()),
+                    *[pa.nulls(len(out_ids), f.type) for f in list(_FOUND)[3:]],
                 ],
                 schema=_FOUND,
             )
@@ -361,23 +402,16 @@ def repeated_windows(
     buckets = max(int(size // BUCKET_BYTES) + 1, 1)
     found = written(
         placed.repartitionByRange(buckets, "lead", F.xxhash64("id", "anchor")).mapInArrow(
-            _bucket(length, seed), _FOUND_DDL
+            _bucket(length, seed, buckets), _FOUND_DDL
         ),
         "windows",
     )
     marks = settled.filter(F.col("tag") == MARK).select("id", "first", "last")
-    inner = found.filter(F.col("window").isNull()).select("id", "first", "last")
-    edges = found.filter(F.col("window").isNotNull())
-    origin = (
-        edges.groupBy("window")
-        .agg(F.min(F.struct("id", "first")).alias("origin"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .select(F.col("window").alias("again"), "origin")
-    )
+    inner = found.filter(F.col("target").isNull()).select("id", "first", "last")
     across = (
-        edges.join(origin, F.col("window") == F.col("again"))
-        .filter(F.struct("id", "first") != F.col("origin"))
-        .select("id", "first", "last")
+        found.filter(F.col("target").isNotNull())
+        .groupBy("target")
+        .applyInArrow(_across, "id bigint, first int, last int")
     )
     return marks.unionByName(inner).unionByName(across)
 
