@@ -3,20 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rankfield.llm import packing
+from rankfield.llm import decontaminate, lines, minhash, packing, quality
 from rankfield.llm.common import table
 from rankfield.session import written
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that the classifier predicts to be of class 1."""
+    labels = table(spark, sf_dir, "labels").filter(~quality.held_out("doc_id"))
+    return quality.score_quality(docs, labels).filter("predicted = 1").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove repeated chunks of lines; a document of which nothing is left goes.
+
+    Documents that were empty before stay. ``n_chars`` is that of the text left.
+    """
+    cleaned = lines.remove_repeated_chunks(docs)
+    emptied = (F.length("text") == 0) & (F.col("n_removed_lines") > 0)
+    left = cleaned.filter(~F.coalesce(emptied, F.lit(False)))
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        left = left.withColumn("n_chars", F.when(F.col("n_removed_lines") > 0, size).otherwise(F.col("n_chars")))
+    return left.select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the least id of each group of near duplicates."""
+    return minhash.near_duplicates(docs).filter("kept").select(*docs.columns)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents of which a twentieth or more of the words is benchmark text."""
+    report = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return report.filter(~F.col("contaminated")).select(*docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place what is left into training sequences."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("line dedup", drop_repeated_lines),
+    ("MinHash near-dedup", keep_one_of_each),
+    ("benchmark decontamination", drop_benchmark),
+    ("best-fit packing", pack),
+]
 
-#: Tokenizing and packing are not SQL; the stages are tested against brute force.
+#: Fitted weights, hashes and tokenizing are not SQL; the stages are tested by brute force.
 ORACLE_SQL = None
 
 

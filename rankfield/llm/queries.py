@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfield.llm import decontaminate, minhash, packing, quality, suffixes, urls, warc
+from rankfield.llm import (
+    decontaminate,
+    lines,
+    minhash,
+    packing,
+    quality,
+    suffixes,
+    tokens,
+    urls,
+    vectors,
+    warc,
+)
 from rankfield.llm.common import table
 from rankfield.session import scratch_path
 
@@ -44,6 +55,20 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of a document, its newline included."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokens.count_section_tokens(documents, F.split("text", r"(?<=\n)")).drop("text")
+    return counted.select(
+        "doc_id",
+        F.aggregate("section_tokens", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_tokens"),
+        F.size("section_tokens").cast("bigint").alias("n_sections"),
+        "section_tokens",
+        "crossing",
+    )
+
+
 @query(
     "op4_warc",
     """
@@ -79,6 +104,17 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.remove_repeated_chunks(documents).select(
+        "doc_id",
+        "n_lines",
+        "n_removed_lines",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 @query("op6_suffix_array_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,6 +132,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_nearest_neighbours")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.search_neighbours(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20
+    )
+
+
 @query("op9_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
