@@ -480,8 +480,9 @@ def remove_repeats(
     A null text is an empty one. Keys that are null sort last; rows equal in key and text are
     one document and get one result each.
     """
-    marked, row_id, _ = with_row_id(documents, key, text)
-    found = repeated_windows(marked, row_id, text, length=length, seed=seed)
+    marked, row_id, plain = with_row_id(documents, key, text)
+    once = marked if plain else marked.dropDuplicates([row_id])
+    found = repeated_windows(once, row_id, text, length=length, seed=seed)
     per_row = found.groupBy(F.col("id").alias("_found_id")).agg(
         F.collect_list(F.struct("first", "last")).alias("_found")
     )
