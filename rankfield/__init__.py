@@ -24,8 +24,8 @@ from rankfield.operators.merge import apply_load, get_by_ids  # noqa: E402
 from rankfield.operators.mmr import mmr, mmr_select  # noqa: E402
 from rankfield.operators.profile import column_stats, table_overview, table_profile  # noqa: E402
 from rankfield.plans.search import (  # noqa: E402
-    SearchRoute,
-    resolve_search_route,
+    SearchPlan,
+    plan_search,
     search,
     search_capped,
     search_table,
@@ -39,12 +39,14 @@ from rankfield.sources.database import Database, ManagedTable  # noqa: E402
 from rankfield.sources.indexes import (  # noqa: E402
     create_text_index,
     create_vector_index,
-    open_index,
-    table_indexes,
+    open_text_index,
+    open_vector_index,
+    refresh_indexes,
+    table_rankings,
 )
 from rankfield.sources.parquet import scan_parquet  # noqa: E402
 from rankfield.sources.postings import PostingsIndex  # noqa: E402
-from rankfield.sources.registry import SearchIndex, list_indexes  # noqa: E402
+from rankfield.sources.rankings import Rankings, TextIndex, VectorIndex  # noqa: E402
 
 __all__ = [
     "DISTANCE_FUNCTIONS",
@@ -57,8 +59,10 @@ __all__ = [
     "ManagedTable",
     "ModelEmbedder",
     "PostingsIndex",
-    "SearchIndex",
-    "SearchRoute",
+    "Rankings",
+    "SearchPlan",
+    "TextIndex",
+    "VectorIndex",
     "apply_load",
     "attach",
     "bm25_scan",
@@ -76,21 +80,22 @@ __all__ = [
     "hybrid",
     "knn",
     "l2_distance",
-    "list_indexes",
     "mmr",
     "mmr_select",
     "negative_dot_product",
-    "open_index",
+    "open_text_index",
+    "open_vector_index",
+    "plan_search",
     "promote_metadata",
+    "refresh_indexes",
     "relevance_score",
-    "resolve_search_route",
     "scan_parquet",
     "search",
     "search_capped",
     "search_table",
     "semantic_search",
-    "table_indexes",
     "table_overview",
     "table_profile",
+    "table_rankings",
     "vector_distance",
 ]

@@ -123,5 +123,10 @@ def date_trunc(unit: str, value: str | Column) -> Column:
 
 
 def date_bin(width: str, value: str | Column) -> Column:
-    """Return the start of the fixed-width bin a timestamp falls in, counted from 1970."""
-    return F.window(_col(value), width).getField("start")
+    """Return the start of the fixed-width bin a timestamp falls in, counted from 1970.
+
+    NULL stays NULL: ``window`` would drop its row, so it is asked about a stand-in.
+    """
+    value = _col(value)
+    known = F.coalesce(value, F.lit("1970-01-01").cast("timestamp_ntz"))
+    return F.when(value.isNotNull(), F.window(known, width).getField("start"))

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from typing import NamedTuple
+from collections.abc import Mapping, Sequence
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankfield.functions.tokens import check_text, tokens
-from rankfield.operators.knn import attach_columns, query_block, single_query
+from rankfield.operators.knn import attach_columns, query_block, single_query, where_condition
+from rankfield.operators.merge import check_keys
 from rankfield.operators.topk import (
     SCORE_DECIMALS,
     RunningTopK,
@@ -30,6 +31,9 @@ B = 0.75
 
 SCORE = "score"
 
+#: Whether a row may be ranked; all rows count for how rare a word is.
+RANKED = "_ranked"
+
 #: Distinct query terms that may be written into a filter and sent to every executor.
 BROADCAST_TERMS = 20_000
 
@@ -377,11 +381,12 @@ def _scan_bounded(slim, table, schema, key, text, k) -> DataFrame | None:
     # its words that some query asks for. Totals and scores are both read from that.
     kept = written(
         spread(slim, key)
-        .select(key, tokens(text).alias("_tokens"))
+        .select(key, tokens(text).alias("_tokens"), RANKED)
         .select(
             key,
             F.size("_tokens").alias("doc_len"),
             F.expr(f"filter(_tokens, word -> word IN ({listed}))").alias("hits"),
+            RANKED,
         ),
         "bm25-scan",
     )
@@ -400,11 +405,13 @@ def _scan_bounded(slim, table, schema, key, text, k) -> DataFrame | None:
     df = np.array([rows.get(term, 0) for term in wanted], dtype=np.float64)
     weight = idf_values(n, df)
     average = words / n if n and words else 1.0
-    matched = kept.filter(F.size("hits") > 0)
+    matched = kept.filter((F.size("hits") > 0) & F.col(RANKED)).drop(RANKED)
     return _score_rows(matched, Asked(ids, terms, starts, members, weight, average), schema, k)
 
 
-def _scan_any(slim, queries, schema, key, text, query_key, query_text, k, block_rows) -> DataFrame:
+def _scan_any(
+    slim, queries, schema, key, text, query_key, query_text, k, block_rows, filtered
+) -> DataFrame:
     """Score a query table of any size."""
     postings = written(term_counts(slim, key, text), "bm25-postings")
     asked = query_terms(queries, query_key, query_text).select(
@@ -418,11 +425,21 @@ def _scan_any(slim, queries, schema, key, text, query_key, query_text, k, block_
         query_key, "term", idf(F.col("df"), F.lit(float(n))).alias("idf")
     )
     weights = written(weights, "bm25-weights")
+    if filtered:
+        postings = postings.join(slim.filter(RANKED).select(key), key, "left_semi")
     if k is None:
         return score_pool(postings, weights, key=key, query_key=query_key, average=average)
     return score_grid(postings, weights, schema, average=average, k=k, block_rows=block_rows)
 
 
+def unique_queries(queries: DataFrame, query_key: str) -> DataFrame:
+    """Return the queries, written once, if no two share an id; those would be one answer."""
+    queries = written(queries, "queries")
+    if not queries.groupBy(query_key).count().filter("count > 1").isEmpty():
+        raise ValueError(f"two queries have the same {query_key!r}")
+    return queries
+
+
 def text_queries(
     corpus: DataFrame, queries: DataFrame | None, query: str | None
 ) -> DataFrame:
@@ -463,13 +480,17 @@ def bm25_scan(
     query_text: str = "query_text",
     k: int | None = None,
     columns: Sequence[str] | None = None,
+    where: Column | Mapping[str, Any] | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rank rows by BM25 relevance of ``text`` to each query, without an index.
 
     A row matches when it has any of a query's words. With ``k`` the result is
     ``query_key, rank, key, columns..., score``; without it every match is returned,
-    unranked and uncapped. ``key`` has to be unique.
+    unranked and uncapped. ``key`` has to be unique, and so have the queries' ids.
+
+    ``where`` says which rows are ranked. How rare a word is stays a matter of all rows, as
+    it does in a stored index.
     """
     if k is not None:
         check_k(k)
@@ -479,7 +500,10 @@ def bm25_scan(
     if query_key == key:
         raise ValueError(f"query_key and key are both named {key!r}; rename one")
     carried = hit_columns(corpus, columns, key=key, searched=None, ranking=SCORE)
-    slim = corpus.select(key, text)
+    chosen = where_condition(corpus, where)
+    slim = corpus.select(key, text, chosen.alias(RANKED))
+    check_keys(corpus.select(key), [key])
+    asked = unique_queries(asked, query_key)
     block = query_block(k or 1, broadcast_rows)
     table = bounded(query_terms(asked, query_key, query_text), rows=block)
     schema = score_schema(
@@ -489,7 +513,9 @@ def bm25_scan(
     if table is not None:
         scored = _scan_bounded(slim, table, schema, key, text, k)
     if scored is None:
-        scored = _scan_any(slim, asked, schema, key, text, query_key, query_text, k, block)
+        scored = _scan_any(
+            slim, asked, schema, key, text, query_key, query_text, k, block, where is not None
+        )
     bound = None if table is None or k is None else table.num_rows * k
     return finish_text(
         scored, corpus, key=key, query_key=query_key, k=k, columns=carried, bound=bound

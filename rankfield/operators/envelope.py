@@ -7,12 +7,9 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from rankfield.operators.topk import check_k
-
-#: Fixed value: rows handed back when the caller does not say.
-MAX_ROWS = 100
+from rankfield.session import written
 
 CLIENT_WARNING = "client_warning"
 
@@ -39,9 +36,11 @@ def truncation_warning(returned: int, matched: int) -> str | None:
     )
 
 
-def clamp_k(k: int | None, default: int, max_rows: int = MAX_ROWS) -> tuple[int, str | None]:
+def clamp_k(k: int | None, default: int, max_rows: int) -> tuple[int, str | None]:
     """Return the ``k`` to rank with and a note if a larger one was asked for.
 
+    For a ``k`` that a program was given by a model or a form; a caller's own is ranked as is.
+
     The cut comes before ranking. A ``k`` below one counts as one; the default is used
     as it is.
     """
@@ -58,18 +57,21 @@ def clamp_k(k: int | None, default: int, max_rows: int = MAX_ROWS) -> tuple[int,
 def capped_result(
     df: DataFrame,
     *,
-    max_rows: int = MAX_ROWS,
+    max_rows: int,
     order: Sequence[Column] = (),
     warnings: Sequence[str | None] = (),
     warning: str | None = None,
 ) -> CappedResult:
     """Cut ``df`` to ``max_rows`` rows and report the total.
 
+    The rows are written once and then counted and cut, so a search runs once.
+
     The caller's ``warnings`` come first in ``client_warning``, the note about the cut
     last; the key is absent when there is nothing to say. ``warning`` is passed through
     under its own name.
     """
     check_k(max_rows, "max_rows")
+    df = written(df, "result")
     total = df.count()
     ordered = df.orderBy(*order) if order else df
     metadata: dict[str, Any] = {"row_count": total}
@@ -80,9 +82,3 @@ def capped_result(
         metadata[CLIENT_WARNING] = " ".join(notes)
     return CappedResult(ordered.limit(max_rows), metadata)
 
-
-def with_total(df: DataFrame, *, max_rows: int, order: Sequence[Column]) -> DataFrame:
-    """Return the first ``max_rows`` rows with ``row_count`` beside each, lazily."""
-    check_k(max_rows, "max_rows")
-    total = df.agg(F.count(F.lit(1)))
-    return df.orderBy(*order).limit(max_rows).withColumn("row_count", total.scalar())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rankfield.functions.tokens import check_text
 from rankfield.operators.bm25 import SCORE, bm25_scan
-from rankfield.operators.knn import DEFAULT_K, apply_where, attach_columns, knn, single_query
+from rankfield.operators.knn import DEFAULT_K, attach_columns, knn, single_query
 from rankfield.operators.topk import TIE_DECIMALS, check_k, hit_columns, ranked
 from rankfield.session import row_bound
 
@@ -81,7 +81,8 @@ def hybrid(
     """Rank ``corpus`` by words and by vectors for every query and fuse the two rankings.
 
     ``text_search`` and ``vector_search`` replace the scans by searches of stored
-    indexes; each takes the query table and a depth. Result: ``query_key, rank, key,
+    indexes; each takes the query table and a depth. ``where`` filters what either scan ranks;
+    a search that is passed in has to filter by itself, so the two cannot be combined. Result: ``query_key, rank, key,
     columns..., score``; the default column is the searched text.
     """
     depth = fetch_depth(k, fetch_k)
@@ -96,7 +97,8 @@ def hybrid(
             corpus, query_text=check_text(query), query_vector=query_vector
         )
         query_key, query_text, query_vector_column = "query_id", "query_text", "query_vector"
-    corpus = apply_where(corpus, where)
+    if where is not None and (text_search is not None or vector_search is not None):
+        raise ValueError("where filters the scans; a search that is passed in filters by itself")
     if text_search is not None:
         by_text = text_search(queries, depth)
     else:
@@ -108,6 +110,7 @@ def hybrid(
             query_key=query_key,
             query_text=query_text,
             k=depth,
+            where=where,
         )
     if vector_search is not None:
         by_vector = vector_search(queries, depth)
@@ -121,6 +124,7 @@ def hybrid(
             vector=vector,
             metric=metric,
             k=depth,
+            where=where,
         )
     hits = fuse(by_text, by_vector, key=key, query_key=query_key, k=k, rrf_k=rrf_k)
     asked = row_bound(queries)

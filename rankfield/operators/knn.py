@@ -26,6 +26,7 @@ from rankfield.session import (
     bounded,
     broadcast_if,
     spread,
+    written,
 )
 
 DISTANCE = "_distance"
@@ -51,19 +52,25 @@ def single_query(corpus: DataFrame, **values: Any) -> DataFrame:
     return corpus.sparkSession.createDataFrame([tuple(row)], T.StructType(fields))
 
 
-def apply_where(df: DataFrame, where: Column | Mapping[str, Any] | None) -> DataFrame:
-    """Filter before ranking: filtering a finished top-k could only shrink it."""
+def where_condition(df: DataFrame, where: Column | Mapping[str, Any] | None) -> Column:
+    """Return which rows of ``df`` a filter keeps: a condition, or equalities by column."""
     if where is None:
-        return df
+        return F.lit(True)
     if isinstance(where, Column):
-        return df.filter(where)
+        return F.coalesce(where, F.lit(False))
+    kept = F.lit(True)
     for name, value in where.items():
         if name.startswith("$") or isinstance(value, Mapping):
             raise ValueError(f"filter {name!r} must be a plain equality, operators are refused")
         if name not in df.columns:
             raise ValueError(f"cannot filter on {name!r}: not a column of this table")
-        df = df.filter(F.col(name) == F.lit(value))
-    return df
+        kept = kept & F.coalesce(F.col(f"`{name}`") == F.lit(value), F.lit(False))
+    return kept
+
+
+def apply_where(df: DataFrame, where: Column | Mapping[str, Any] | None) -> DataFrame:
+    """Filter before ranking: filtering a finished top-k could only shrink it."""
+    return df if where is None else df.filter(where_condition(df, where))
 
 
 def offer_block(
@@ -74,7 +81,13 @@ def offer_block(
     keys: pa.Array,
     metric: str,
 ) -> None:
-    """Score ``rows`` against ``queries`` piece by piece and offer them to ``best``."""
+    """Score ``rows`` against ``queries`` piece by piece and offer them to ``best``.
+
+    A component that is missing or not finite is an error: such a row has no place in any
+    order, and leaving it out would shorten the answer without a word.
+    """
+    if not np.isfinite(rows).all():
+        raise ValueError("a stored vector has a component that is missing or not finite")
     step = max(1, BLOCK_CELLS // max(1, len(rows)))
     for start in range(0, len(queries), step):
         part = queries[start : start + step]
@@ -130,39 +143,68 @@ def _near_broadcast(
     return slim.mapInArrow(search, schema)
 
 
-def near_grid(
+def near_blocks(
     slim: DataFrame,
     queries: DataFrame,
     schema: T.StructType,
     metric: str,
     k: int,
     block_rows: int = BROADCAST_ROWS,
-    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Score a query table of any size: blocks of queries against slices of the corpus.
+    """Score a query table of any size, a bounded block of it at a time.
 
-    Each group holds one bounded block and one bounded slice and keeps ``k`` rows per
-    query. The corpus is shuffled once per block, which is small beside matching each of
-    its rows with every query of the block. ``within`` names columns both sides share;
-    only rows and queries that agree on them are matched.
+    Each block is held by every executor while the corpus is read past it, so the corpus is
+    scanned once per block and never shuffled or copied.
+    """
+    query_key = queries.columns[0]
+    queries = written(queries, "queries")
+    blocks = max(1, math.ceil(queries.count() / max(1, block_rows // 2)))
+    numbered = queries.withColumn("_block", F.pmod(F.xxhash64(query_key), F.lit(blocks)))
+    found = None
+    for number in range(blocks):
+        table = numbered.filter(F.col("_block") == number).drop("_block").toArrow()
+        near = _near_broadcast(slim, table, schema, metric, k)
+        found = near if found is None else found.unionByName(near)
+    return found
+
+
+def near_grid(
+    slim: DataFrame,
+    queries: DataFrame,
+    schema: T.StructType,
+    metric: str,
+    k: int,
+    block_rows: int,
+    within: str,
+) -> DataFrame:
+    """Score queries against the rows that share their value of ``within``.
+
+    The queries of a value are dealt in bounded blocks and its rows in bounded slices, each
+    by the value's own counts; a group holds one of either and keeps ``k`` rows per query.
     """
     key, vector = slim.columns[:2]
     query_key, q_vector = queries.columns[:2]
     names = schema.fieldNames()
-    groups = [*within, "_block", "_slice"]
-    blocks = max(1, math.ceil(queries.count() / block_rows))
-    slices = max(1, math.ceil(slim.count() / SLICE_ROWS))
+    groups = [within, "_block", "_slice"]
 
-    def numbered(column: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+    def counted(df: DataFrame, most: int, name: str) -> DataFrame:
+        parts = F.ceil(F.count(F.lit(1)) / F.lit(most)).cast("int")
+        return df.groupBy(within).agg(parts.alias(name))
 
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    parts = counted(slim, SLICE_ROWS, "_slices").join(counted(queries, block_rows, "_blocks"), within)
+    parts = written(parts, "parts")
 
-    left = slim.withColumn("_slice", numbered(key, slices)).withColumn("_block", every(blocks))
-    right = queries.withColumn("_block", numbered(query_key, blocks)).withColumn(
-        "_slice", every(slices)
-    )
+    def numbered(column: str, n: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.col(n)).cast("int")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    # One row for each value of ``within``.
+    left = slim.join(parts, within).withColumn("_slice", numbered(key, "_slices"))
+    left = left.withColumn("_block", every("_blocks")).select(key, vector, *groups)
+    right = queries.join(parts, within).withColumn("_block", numbered(query_key, "_blocks"))
+    right = right.withColumn("_slice", every("_slices")).select(query_key, q_vector, *groups)
 
     def search(corpus: pa.Table, asked: pa.Table) -> pa.Table:
         ids = asked.column(query_key).combine_chunks()
@@ -246,7 +288,7 @@ def knn(
     if table is not None:
         near = _near_broadcast(spread(slim, key), table, schema, metric, k)
     else:
-        near = near_grid(slim, asked, schema, metric, k, block)
+        near = near_blocks(slim, asked, schema, metric, k, block)
     order = [F.col(DISTANCE).asc_nulls_last(), F.col(key).asc()]
     hits = ranked(near, query_key, order, k)
     bound = None if table is None else table.num_rows * k

@@ -51,6 +51,21 @@ def check_keys(source: DataFrame, key: Sequence[str]) -> None:
         raise ValueError(f"upload has a missing or repeated key: {values}")
 
 
+def key_report(source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Return one row: ``rows``, ``missing`` (a key column is NULL) and ``repeated`` (keys that
+    several rows have). A keyed load takes a source with none of either."""
+    present = F.lit(True)
+    for name in key:
+        present = present & F.col(name).isNotNull()
+    counted = source.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).withColumn("_ok", present)
+    zero = F.lit(0).cast("bigint")
+    return counted.agg(
+        F.coalesce(F.sum("_n"), zero).alias("rows"),
+        F.coalesce(F.sum(F.when(~F.col("_ok"), F.col("_n"))), zero).alias("missing"),
+        F.count(F.when(F.col("_ok") & (F.col("_n") > 1), True)).alias("repeated"),
+    )
+
+
 def conform(source: DataFrame, target: DataFrame) -> DataFrame:
     """Return the source with the target's columns, in its order and types."""
     types = {f.name: f.dataType for f in target.schema.fields}

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from rankfield.operators.topk import check_k
 
-#: Fixed value: columns listed for one table.
-MAX_COLUMNS = 200
-
 
 def column_stats(df: DataFrame) -> DataFrame:
     """Return one row: ``row_count`` and ``<column>_non_null`` per column, in one pass."""
@@ -25,15 +22,17 @@ def column_profile(
     table: str,
     *,
     stats: bool = True,
-    max_columns: int = MAX_COLUMNS,
+    max_columns: int | None = None,
     hidden: Iterable[str] = (),
     searchable: Mapping[str, list[str]] | None = None,
 ) -> DataFrame:
     """Return one row per column: name, type, position, counts and what it is searched by.
 
-    The counts of all columns come from one aggregation, turned on its side afterwards.
+    All columns are listed unless ``max_columns`` asks for fewer. The counts come from one
+    aggregation, turned on its side afterwards.
     """
-    check_k(max_columns, "max_columns")
+    if max_columns is not None:
+        check_k(max_columns, "max_columns")
     hidden = set(hidden)
     fields = [f for f in df.schema.fields[:max_columns] if f.name not in hidden]
     searchable = searchable or {}

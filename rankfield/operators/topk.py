@@ -18,6 +18,10 @@ TIE_DECIMALS = 12
 SCORE_DECIMALS = 9
 
 
+#: Parts into which the candidates of one group are dealt before they are merged.
+MERGE_WAYS = 32
+
+
 def check_k(k: int, label: str = "k") -> int:
     if k < 1:
         raise ValueError(f"{label} must be >= 1, got {k}")
@@ -100,13 +104,19 @@ def ranked(
 ) -> DataFrame:
     """Number the rows of each group in ``order`` as ``rank`` and keep the first ``k``.
 
-    Spark cuts each input partition to ``k`` rows per group before the shuffle.
+    With ``k`` a group is cut in two steps, so that what all tasks found for one group does
+    not meet in one: first among ``MERGE_WAYS`` parts of the tasks, then among their results.
     """
     group = [group] if isinstance(group, str) else list(group)
-    number = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    numbered = df.withColumn("rank", number)
     if k is not None:
-        numbered = numbered.filter(F.col("rank") <= check_k(k))
+        check_k(k)
+        ways = F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS))
+        part = Window.partitionBy(*group, "_part").orderBy(*order)
+        df = df.withColumn("_part", ways).withColumn("rank", F.row_number().over(part))
+        df = df.filter(F.col("rank") <= k).drop("_part")
+    numbered = df.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    if k is not None:
+        numbered = numbered.filter(F.col("rank") <= k)
     return numbered.withColumn("rank", F.col("rank").cast("bigint"))
 
 

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from rankfield.operators.embed import HashingEmbedder
+from rankfield.operators.merge import key_report
 from rankfield.plans.catalogue.registry import new_database, query, read
 from rankfield.plans.store import DocumentStore, promote_metadata
 from rankfield.sources.attach import attach
@@ -85,6 +86,26 @@ def load_delete(spark, sf_dir):
     return _loaded(spark, sf_dir, "delete", _batch(spark, sf_dir).select("doc_id"))
 
 
+@query(
+    "load_checks",
+    """
+    WITH keys AS (SELECT CASE WHEN quality IS NOT NULL AND doc_id % 10 <> 0 THEN doc_id // 3 END AS k
+                  FROM labels),
+         n AS (SELECT k, count(*) AS c FROM keys GROUP BY k)
+    SELECT CAST(sum(c) AS BIGINT) AS rows,
+           CAST(coalesce(sum(c) FILTER (k IS NULL), 0) AS BIGINT) AS missing,
+           count(*) FILTER (k IS NOT NULL AND c > 1) AS repeated
+    FROM n
+    """,
+)
+def load_checks(spark, sf_dir):
+    """What a keyed load would refuse in labels keyed by a coarser, partly missing key."""
+    labels = read(spark, sf_dir, "labels")
+    known = F.col("quality").isNotNull() & (F.col("doc_id") % 10 != 0)
+    key = F.when(known, F.floor(F.col("doc_id") / 3))
+    return key_report(labels.select(key.alias("k"), "quality"), ["k"])
+
+
 @query(
     "sorted_layout_filter",
     """

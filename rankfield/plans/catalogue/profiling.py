@@ -2,46 +2,72 @@
 
 from __future__ import annotations
 
-from rankfield.operators.profile import column_stats, table_overview, table_profile
-from rankfield.plans.catalogue.registry import TABLES, query, read
+from rankfield.operators.profile import column_stats, table_profile
+from rankfield.plans.catalogue.registry import TABLES, new_database, query, read
+from rankfield.sources import records
+
+
+def _found(spark, sf_dir) -> dict:
+    """Every table in the folder, with the schema its files have."""
+    folder = sf_dir.rstrip("/")
+    names = [n.removesuffix(".parquet") for n in records.names(spark, folder) if n.endswith(".parquet")]
+    return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names}
+
+
+#: What the two engines call the same type.
+_SQL_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+    WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT[]' THEN 'array<float>'
+    WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' ELSE data_type END"""
+
 
 def _profile_sql() -> str:
-    parts = []
-    for table, columns in TABLES.items():
-        for position, column in enumerate(columns.split(", "), start=1):
-            name, kind = column.split(" ")
-            parts.append(
-                f"SELECT '{table}' AS table_name, CAST({position} AS BIGINT) AS position, "
-                f"'{name}' AS column_name, '{kind}' AS data_type, count(*) AS row_count, "
-                f"count({name}) AS non_null FROM {table}"
-            )
-    return "\nUNION ALL ".join(parts)
+    """Columns and types as DuckDB finds them in the files; counts over all of them."""
+    counts = " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, column_name, non_null,
+                   (SELECT count(*) FROM {t}) AS row_count
+            FROM (UNPIVOT (SELECT count(COLUMNS('(.*)')) AS '\\1' FROM {t})
+                  ON COLUMNS(*) INTO NAME column_name VALUE non_null)"""
+        for t in TABLES
+    )
+    return f"""
+    WITH counts AS ({counts})
+    SELECT table_name, CAST(ordinal_position AS BIGINT) AS position, column_name,
+           {_SQL_TYPE} AS data_type, row_count, non_null
+    FROM information_schema.columns JOIN counts USING (table_name, column_name)
+    """
 
 
 @query("table_profile", _profile_sql())
 def profile(spark, sf_dir):
-    return table_profile({name: read(spark, sf_dir, name) for name in TABLES})
+    return table_profile(_found(spark, sf_dir))
 
 
 @query(
     "table_overview",
-    f"""
-    SELECT table_name, count(*) AS column_count FROM ({_profile_sql()}) GROUP BY table_name
+    """
+    SELECT table_name, count(*) AS column_count FROM information_schema.columns
+    GROUP BY table_name
     """,
 )
 def overview(spark, sf_dir):
-    profile = table_profile({n: read(spark, sf_dir, n) for n in TABLES}, stats=False)
-    return table_overview(profile)
+    """All tables loaded into a database, described from what it stored about them."""
+    tables = _found(spark, sf_dir)
+    database = new_database(spark, tables=sorted(tables))
+    for name, rows in tables.items():
+        database.load(name, rows)
+    return database.overview()
 
 
 @query(
     "column_stats",
     """
-    SELECT count(*) AS row_count, count(doc_id) AS doc_id_non_null, count(lang) AS lang_non_null,
-           count(quality) AS quality_non_null, count(toxic) AS toxic_non_null
+    SELECT count(*) AS row_count, count(doc_id) AS doc_id_non_null, count(text) AS text_non_null,
+           count(lang) AS lang_non_null, count(source) AS source_non_null,
+           count(n_chars) AS n_chars_non_null, count(quality) AS quality_non_null,
+           count(toxic) AS toxic_non_null
     FROM documents LEFT JOIN labels USING (doc_id)
     """,
 )
 def null_profile(spark, sf_dir):
-    documents = read(spark, sf_dir, "documents").select("doc_id", "lang")
+    documents = read(spark, sf_dir, "documents")
     return column_stats(documents.join(read(spark, sf_dir, "labels"), "doc_id", "left"))

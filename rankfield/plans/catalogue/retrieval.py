@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rankfield.functions.distances import (
@@ -16,12 +18,13 @@ from rankfield.operators.fusion import hybrid
 from rankfield.operators.knn import knn
 from rankfield.operators.mmr import mmr_select
 from rankfield.operators.topk import ranked
-from rankfield.plans.catalogue.registry import query, read
-from rankfield.plans.search import search, semantic_search
+from rankfield.plans.catalogue.registry import new_database, query, read
+from rankfield.plans.search import search, search_table, semantic_search
 from rankfield.session import scratch_path
 from rankfield.sources.cells import CellIndex
+from rankfield.sources.indexes import create_text_index, create_vector_index, refresh_indexes
 from rankfield.sources.postings import PostingsIndex
-from rankfield.sources.registry import SEMANTIC, TEXT, SearchIndex
+from rankfield.sources.rankings import Rankings, TextIndex, VectorIndex
 
 #: The text asked for by the single-query searches below.
 ASKED = "thtion eringed the blees"
@@ -322,13 +325,28 @@ def hash_embed(spark, sf_dir):
     )
 
 
-@query("ivf_assign")
+@query("ivf_assign", "SELECT vec_id, true AS nearest FROM embeddings")
 def ivf_assign(spark, sf_dir):
-    """Every vector with the cell it is stored in."""
-    embeddings = read(spark, sf_dir, "embeddings")
+    """Every stored vector, and whether no centre is nearer to it than that of its cell.
+
+    The angles are computed anew from the stored centres, of which there is a bounded number.
+    """
     path = scratch_path(spark, "cells")
-    index = CellIndex.build(embeddings, key="vec_id", path=path, cells=8)
-    return index.vectors(spark).select("vec_id", "cell")
+    CellIndex.build(read(spark, sf_dir, "embeddings"), key="vec_id", path=path)
+    index = CellIndex.open(spark, path)
+    shared = spark.sparkContext.broadcast(np.array(index.centres))
+
+    def compare(batches):
+        centres = shared.value / np.linalg.norm(shared.value, axis=1, keepdims=True)
+        for batch in batches:
+            vectors = np.array(batch.column(1).to_pylist(), float).reshape(-1, centres.shape[1])
+            cosine = vectors @ centres.T / np.linalg.norm(vectors, axis=1, keepdims=True)
+            own = cosine[np.arange(len(cosine)), batch.column(2).to_numpy()]
+            nearest = own >= cosine.max(axis=1, initial=-1.0) - 1e-9
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nearest)], names=["vec_id", "nearest"])
+
+    stored = index.vectors(spark).select("vec_id", "embedding", "cell")
+    return stored.mapInArrow(compare, "vec_id bigint, nearest boolean")
 
 
 @query("ivf_full_probe", _SQL_KNN_JOIN)
@@ -336,8 +354,8 @@ def ivf_full_probe(spark, sf_dir):
     """A search of all cells, which has to give the exact answer."""
     embeddings = read(spark, sf_dir, "embeddings")
     path = scratch_path(spark, "cells")
-    index = CellIndex.build(embeddings, key="vec_id", path=path, cells=8)
-    hits = index.search(_all_vectors(embeddings), k=5, nprobe=8)
+    index = CellIndex.build(embeddings, key="vec_id", path=path)
+    hits = index.search(_all_vectors(embeddings), k=5, nprobe=len(index.centres))
     return hits.withColumn("_distance", F.round("_distance", 6))
 
 
@@ -590,24 +608,130 @@ def hybrid_batch(spark, sf_dir):
 def search_auto(spark, sf_dir):
     """A search that finds for itself that words and vectors can be fused."""
     documents = embed(read(spark, sf_dir, "documents"), EMBEDDER, "text")
-    indexes = [
-        SearchIndex(column="text", kind=TEXT, index_type="bm25"),
-        SearchIndex(
-            column="text_embedding",
-            kind=SEMANTIC,
-            index_type="vector",
-            metric="cosine",
-            vector_column="text_embedding",
-        ),
-    ]
+    rankings = Rankings((TextIndex("text"),), (VectorIndex("text_embedding"),))
     hits = search(
         documents,
         ASKED,
         column="text",
-        indexes=indexes,
+        rankings=rankings,
         key="doc_id",
         k=10,
         embedder=EMBEDDER,
         columns=["lang"],
     )
     return hits.select("rank", "doc_id", "lang", F.round("score", 9).alias("score"))
+
+
+@query(
+    "search_wide",
+    f"""
+    WITH {_sql_bm25(_SQL_ASKED)},
+    r AS (SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, * FROM scored)
+    SELECT rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 250
+    """,
+)
+def search_wide(spark, sf_dir):
+    """More hits than a page holds: all that were asked for are ranked."""
+    documents = read(spark, sf_dir, "documents")
+    hits = search(documents, ASKED, column="text", key="doc_id", k=250)
+    return hits.select("rank", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query(
+    "bm25_filtered",
+    f"""
+    WITH {_sql_bm25(_SQL_ASKED)},
+    r AS (SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, lang, score
+          FROM scored JOIN documents USING (doc_id) WHERE lang = 'en')
+    SELECT rank, doc_id, lang, round(score, 6) AS score FROM r WHERE rank <= 10
+    """,
+)
+def bm25_filtered(spark, sf_dir):
+    """The best of one language; how rare a word is stays a matter of all documents."""
+    hits = bm25_scan(
+        read(spark, sf_dir, "documents"),
+        query=ASKED,
+        key="doc_id",
+        text="text",
+        k=10,
+        columns=["lang"],
+        where={"lang": "en"},
+    )
+    return hits.select("rank", "doc_id", "lang", F.round("score", 6).alias("score"))
+
+
+_SQL_HYBRID_EN = f"""
+    WITH {_sql_bm25(_SQL_ASKED).replace("scored AS (", "ranked_all AS (")},
+    scored AS (SELECT * FROM ranked_all WHERE doc_id IN (SELECT doc_id FROM documents
+               WHERE lang = 'en')),
+    {_sql_hashed("dv", "SELECT doc_id, text FROM documents", "doc_id")},
+    {_sql_hashed("qv", _SQL_ASKED, "query_id")},
+    {_SQL_HASHED_NEAR.replace("near AS (", "near_all AS (")},
+    near AS (SELECT * FROM near_all WHERE doc_id IN (SELECT doc_id FROM documents
+             WHERE lang = 'en')),
+    {_sql_fused(40, 10)}
+    SELECT rank, doc_id, lang, round(score, 9) AS score FROM fused JOIN documents USING (doc_id)
+"""
+
+
+@query("hybrid_filtered", _SQL_HYBRID_EN)
+def hybrid_filtered(spark, sf_dir):
+    """Words and vectors fused over the documents of one language."""
+    documents = embed(read(spark, sf_dir, "documents"), EMBEDDER, "text")
+    hits = search(
+        documents,
+        ASKED,
+        column="text",
+        rankings=Rankings((TextIndex("text"),), (VectorIndex("text_embedding"),)),
+        key="doc_id",
+        k=10,
+        embedder=EMBEDDER,
+        columns=["lang"],
+        where={"lang": "en"},
+    )
+    return hits.select("rank", "doc_id", "lang", F.round("score", 9).alias("score"))
+
+
+def _served(spark, sf_dir):
+    """A managed table of documents whose indexes were built and then kept current.
+
+    A part of the rows comes by an append after the indexes were built.
+    """
+    database = new_database(spark, tables=["docs"], keys={"docs": ["doc_id"]})
+    documents = embed(read(spark, sf_dir, "documents"), EMBEDDER, "text")
+    late = F.col("doc_id") % 8 == 0
+    database.load("docs", documents.filter(~late))
+    table = database.table("docs")
+    create_text_index(table, "text", buckets=16)
+    create_vector_index(table, "text_embedding", carry=["lang"])
+    database.load("docs", documents.filter(late), "append")
+    refresh_indexes(table)
+    return table
+
+
+@query(
+    "search_stored_text",
+    f"""
+    WITH {_sql_bm25(_SQL_ASKED)},
+    r AS (SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, lang, score
+          FROM scored JOIN documents USING (doc_id) WHERE lang = 'en')
+    SELECT rank, doc_id, lang, round(score, 6) AS score FROM r WHERE rank <= 10
+    """,
+)
+def search_stored_text(spark, sf_dir):
+    """The filtered search by words, served from the stored index."""
+    hits = search_table(
+        _served(spark, sf_dir), ASKED, column="text", strategy="text", k=10, columns=["lang"],
+        where={"lang": "en"},
+    )
+    return hits.select("rank", "doc_id", "lang", F.round("score", 6).alias("score"))
+
+
+@query("search_stored_hybrid", _SQL_HYBRID_EN)
+def search_stored_hybrid(spark, sf_dir):
+    """The filtered, fused search, served from both stored indexes."""
+    hits = search_table(
+        _served(spark, sf_dir), ASKED, column="text", k=10, embedder=EMBEDDER, columns=["lang"],
+        where={"lang": "en"},
+    )
+    return hits.select("rank", "doc_id", "lang", F.round("score", 9).alias("score"))

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import json
+import math
+import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
+from functools import reduce
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,21 +31,27 @@ from rankfield.operators.knn import (
     single_query,
 )
 from rankfield.operators.topk import RunningTopK, check_k, ranked
-from rankfield.session import BROADCAST_ROWS, bounded, spread
+from rankfield.session import BROADCAST_ROWS, bounded, spread, written
 from rankfield.sources import records
 
-#: Vectors per cell that the centres are learned from; all vectors are assigned.
-TRAIN_ROWS_PER_CELL = 256
+#: Most cells that are chosen without being asked for; centres are held by the driver.
+MOST_CELLS = 4096
 
 
-def _fit(vectors: DataFrame, vector: str, cells: int, metric: str, seed: int, rows: int):
-    wanted = cells * TRAIN_ROWS_PER_CELL
-    if rows > 2 * wanted:
-        vectors = vectors.sample(fraction=wanted / rows, seed=seed)
+def default_cells(rows: int) -> int:
+    """About as many cells as rows in one, so that either side of a search stays small."""
+    return max(1, min(MOST_CELLS, math.isqrt(rows)))
+
+
+def _fit(vectors: DataFrame, vector: str, cells: int, metric: str, seed: int):
+    """Learn the centres from all vectors."""
     if metric == "cosine":
         # A vector without a direction cannot be clustered by angle.
         vectors = vectors.filter(F.exists(vector, lambda x: x != 0))
     points = vectors.select(array_to_vector(vector).alias("features"))
+    if cells == 1:
+        mean = points.select(Summarizer.mean(F.col("features")).alias("mean")).first()["mean"]
+        return np.asarray(mean, dtype=np.float64)[None, :]
     measure = "cosine" if metric == "cosine" else "euclidean"
     model = KMeans(k=cells, seed=seed, distanceMeasure=measure, maxIter=10).fit(points)
     return np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
@@ -72,6 +82,8 @@ class CellIndex:
     metric: str
     centres: tuple[tuple[float, ...], ...]
     columns: str
+    #: Folders of vectors: that of the build, then one for each extension.
+    parts: tuple[str, ...]
 
     @classmethod
     def build(
@@ -82,53 +94,75 @@ class CellIndex:
         vector: str = "embedding",
         path: str,
         metric: str = "cosine",
-        cells: int = 16,
+        cells: int | None = None,
         carry: Sequence[str] = (),
         seed: int = 42,
     ) -> CellIndex:
         """Learn the centres, assign every vector to its nearest and write the cells.
 
         ``carry`` names columns to store beside the vectors so that searches can filter
-        on them. The centres are learned from a sample; that affects which cell a row is
-        in, never whether it is stored.
+        on them. The rows are written once before anything reads them, so a model that makes
+        the vectors sees each row once.
         """
         check_metric(metric)
-        check_k(cells, "cells")
         spark = corpus.sparkSession
         stored = corpus.select(key, vector, *carry).filter(F.col(vector).isNotNull())
+        stored = written(spread(stored, key), "vectors")
         rows = stored.count()
         if not rows:
             raise ValueError("a vector index needs stored rows: its width is read from them")
-        centres = _fit(stored, vector, min(cells, rows), metric, seed, rows)
+        cells = default_cells(rows) if cells is None else check_k(cells, "cells")
+        centres = _fit(stored, vector, min(cells, rows), metric, seed)
+        cell = T.StructField("cell", T.IntegerType())
+        columns = T.StructType([*stored.schema.fields, cell]).json()
+        part = f"{path}/vectors"
+        index = cls(path, key, vector, metric, tuple(map(tuple, centres.tolist())), columns, (part,))
+        index._write(stored, part)
+        records.create(spark, f"{path}/centres.json", asdict(index))
+        return index
+
+    def _write(self, rows: DataFrame, part: str) -> None:
         # A rebalance splits a cell that holds too many rows over several files.
         (
-            spread(stored, key)
-            .withColumn("cell", nearest_cell(vector, centres, metric))
+            rows.withColumn("cell", nearest_cell(self.vector, np.array(self.centres), self.metric))
             .hint("rebalance", "cell")
-            .sortWithinPartitions("cell", key)
+            .sortWithinPartitions("cell", self.key)
             .write.partitionBy("cell")
-            .parquet(f"{path}/vectors")
+            .parquet(part)
         )
-        cell = T.StructField("cell", T.IntegerType())
-        columns = T.StructType([*stored.schema.fields, cell]).json()
-        index = cls(path, key, vector, metric, tuple(map(tuple, centres.tolist())), columns)
-        records.create(spark, f"{path}/centres.json", asdict(index))
-        return index
+
+    def extend(self, rows: DataFrame) -> str:
+        """Add new rows to their cells; return the path of the longer index.
+
+        The centres stay. The index it grew from stays as it is for those who have it open.
+        """
+        fields = T.StructType.fromJson(json.loads(self.columns)).names[:-1]
+        new = rows.select(*fields).filter(F.col(self.vector).isNotNull())
+        path = f"{self.path.rsplit('/', 1)[0]}/vectors-{uuid.uuid4().hex}"
+        part = f"{path}/vectors"
+        self._write(new, part)
+        records.create(rows.sparkSession, f"{path}/centres.json", asdict(replace(self, path=path, parts=(*self.parts, part))))
+        return path
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> CellIndex:
         found = records.read(spark, f"{path}/centres.json")
-        return cls(**{**found, "centres": tuple(map(tuple, found["centres"]))})
+        centres = tuple(map(tuple, found["centres"]))
+        return cls(**{**found, "centres": centres, "parts": tuple(found["parts"])})
 
     def vectors(self, spark: SparkSession) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(self.columns))
-        return spark.read.schema(schema).parquet(f"{self.path}/vectors")
+        frames = [spark.read.schema(schema).parquet(part) for part in self.parts]
+        return reduce(DataFrame.unionByName, frames)
 
     def _probe(self, queries: np.ndarray, nprobe: int) -> np.ndarray:
-        """Return which cells each query looks in: its ``nprobe`` nearest centres."""
-        measure = "cosine" if self.metric == "cosine" else "l2"
+        """Return which cells each query looks in: its ``nprobe`` nearest centres.
+
+        Nearest in the index's own measure: large inner products are in cells whose centres
+        have large ones, not in those around the query.
+        """
         centres = np.array(self.centres)
-        order = np.argsort(distance_block(queries, centres, measure), axis=1, kind="stable")
+        order = np.argsort(distance_block(queries, centres, self.metric), axis=1, kind="stable")
         chosen = np.zeros((len(queries), len(centres)), dtype=bool)
         np.put_along_axis(chosen, order[:, :nprobe], True, axis=1)
         return chosen
@@ -182,9 +216,7 @@ class CellIndex:
                 return pa.array(found, pa.list_(pa.int32()))
 
             per_cell = asked.withColumn("cell", F.explode(cells(F.col(query_vector_column))))
-            near = near_grid(
-                stored, per_cell, schema, self.metric, k, block, within=["cell"]
-            )
+            near = near_grid(stored, per_cell, schema, self.metric, k, block, within="cell")
         order = [F.col(DISTANCE).asc_nulls_last(), F.col(self.key).asc()]
         return ranked(near, query_key, order, k).select(query_key, "rank", self.key, DISTANCE)
 

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,7 +20,8 @@ from rankfield.operators.merge import (
     check_mode,
     conform,
 )
-from rankfield.operators.profile import MAX_COLUMNS, column_profile
+from rankfield.operators.profile import column_stats, table_overview
+from rankfield.session import written
 from rankfield.sources import records
 from rankfield.sources.parquet import lowered, scan_parquet
 
@@ -28,8 +29,14 @@ from rankfield.sources.parquet import lowered, scan_parquet
 OWN_CATALOG = "default"
 DEFAULT_SCHEMA = "public"
 
-#: Partition column that keeps one load's files apart from another's.
+#: Partition columns that keep one load's files apart from another's, and within a load of a
+#: keyed table the rows of one hash bucket of the key.
 LOAD = "rankfield_load"
+BUCKET = "rankfield_bucket"
+
+#: Hash buckets of a keyed table when its declaration does not say. A keyed load rewrites only
+#: those its keys fall in, so a large table is declared with more.
+KEY_BUCKETS = 16
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
@@ -71,6 +78,16 @@ class TableRecord:
     paths: tuple[str, ...] = ()
     row_count: int = 0
     columns: str = ""
+    buckets: int = KEY_BUCKETS
+
+    @property
+    def folders(self) -> tuple[str, ...]:
+        """The partition columns of the stored files, below the load's."""
+        return (BUCKET, *self.partition_by) if self.key else self.partition_by
+
+
+def bucket_of_path(path: str) -> int:
+    return int(path.rsplit("=", 1)[1])
 
 
 @dataclass(frozen=True)
@@ -99,10 +116,11 @@ def laid_out(
     """
     if not partition_by and not sorted_by:
         return df
-    if partition_by:
+    if not sorted_by or set(partition_by) - {BUCKET}:
         return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sorted_by)
     spreader = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return df.repartitionByRange(*sorted_by, spreader).sortWithinPartitions(*sorted_by)
+    ordered = [*partition_by, *sorted_by]
+    return df.repartitionByRange(*ordered, spreader).sortWithinPartitions(*ordered)
 
 
 class ManagedTable:
@@ -117,7 +135,10 @@ class ManagedTable:
         versions = records.names(self._spark, f"{self.folder}/versions")
         if not versions:
             raise LookupError(f"no table is declared at {self.folder}")
-        found = records.read(self._spark, f"{self.folder}/versions/{versions[-1]}")
+        return self._version(versions[-1])
+
+    def _version(self, name: str) -> TableRecord:
+        found = records.read(self._spark, f"{self.folder}/versions/{name}")
         return TableRecord(
             **{k: tuple(v) if isinstance(v, list) else v for k, v in found.items()}
         )
@@ -142,9 +163,25 @@ class ManagedTable:
             )
         # The load's number is the outermost partition of its folder, so any number of
         # appends is still one scan. The declared schema does not have it.
+        return self._rows(record, record.paths)
+
+    def _rows(self, record: TableRecord, paths: Sequence[str]) -> DataFrame:
         schema = StructType.fromJson(json.loads(record.columns))
+        if not paths:
+            return self._spark.createDataFrame([], schema)
         reader = self._spark.read.schema(schema).option("basePath", f"{self.folder}/data")
-        return reader.parquet(*record.paths).select(*[f"`{name}`" for name in schema.names])
+        return reader.parquet(*paths).select(*[f"`{name}`" for name in schema.names])
+
+    def appended_since(self, version: int) -> DataFrame | None:
+        """Return the rows added since a version, or ``None`` if others were changed as well."""
+        record = self.record
+        name = f"{version:08d}.json"
+        if name not in records.names(self._spark, f"{self.folder}/versions"):
+            return None
+        old = self._version(name)
+        if not old.version or not set(old.paths) <= set(record.paths):
+            return None
+        return self._rows(record, [p for p in record.paths if p not in set(old.paths)])
 
     def load(
         self,
@@ -156,7 +193,8 @@ class ManagedTable:
 
         The new version is written beside the old one and then recorded in one step. A
         load that loses the race to record its version fails and changes nothing. An
-        append writes only its own rows; the other modes write the table's next contents.
+        append writes only its own rows. Upsert, update and delete write the next contents of
+        the key's hash buckets that their keys fall in; all other files stay as they are.
         """
         check_mode(mode, key)
         record = self.record
@@ -170,44 +208,66 @@ class ManagedTable:
                 raise ValueError(f"{record.table} has key {list(record.key)}, got {key}")
         rows = lowered(scan_parquet(self._spark, source) if isinstance(source, str) else source)
         target = self._open(record) if record.version else None
+        missing = [k for k in record.key if k not in rows.columns]
         if mode in KEYED_LOAD_MODES:
             if target is not None:
                 check_columns(target, rows, mode, key)
-            else:
-                missing = [k for k in key if k not in rows.columns]
-                if missing:
-                    raise ValueError(f"upload is missing column {missing[0]!r}")
+            # The keys that are checked have to be those that are stored.
+            rows = rows if missing else written(rows, "load")
+        if missing and (target is None or mode in ("replace", "delete")):
+            raise ValueError(f"upload is missing column {missing[0]!r}")
+        if mode in KEYED_LOAD_MODES:
             check_keys(rows, key)
             if target is None and mode != "upsert":
                 return LoadResult(record.schema, record.table, 0, 0)
+        kept: tuple[str, ...] = ()
+        before = 0
         if mode == "append" and target is not None:
             check_columns(target, rows, mode, key)
-            rows = conform(rows, target)
-        else:
+            rows, kept, before = conform(rows, target), record.paths, record.row_count
+        elif mode in KEYED_LOAD_MODES and target is not None:
+            stored = conform(rows.select(*key), target.select(*key))
+            hit = {r[0] for r in stored.select(_bucket(record)).distinct().collect()}
+            touched = [p for p in record.paths if bucket_of_path(p) in hit]
+            kept = tuple(p for p in record.paths if bucket_of_path(p) not in hit)
+            target = self._rows(record, touched)
+            before = record.row_count - target.count()
             rows = apply_load(target, rows, mode, key, checked=True)
+        else:
+            rows = apply_load(None, rows, mode, key, checked=True)
         version = record.version + 1
         path = f"{self.folder}/data/{LOAD}={version:08d}-{uuid.uuid4().hex}"
-        written = self._write(rows, record, path)
-        if mode == "append" and target is not None:
-            paths, total = (*record.paths, path), record.row_count + written
-        else:
-            paths, total = (path,), written
-        columns = (target if mode == "append" and target is not None else rows).schema.json()
+        total = before + self._write(rows, record, path)
+        columns = record.columns if target is not None and mode != "replace" else rows.schema.json()
+        paths = (*kept, *self._written(record, path))
         changes = {"version": version, "paths": paths, "row_count": total, "columns": columns}
         self._commit(replace(record, **changes))
         return LoadResult(record.schema, record.table, total, version)
 
     def _write(self, rows: DataFrame, record: TableRecord, path: str) -> int:
+        if record.key:
+            rows = rows.withColumn(BUCKET, _bucket(record))
         # Counted in the writing tasks, after any shuffle, where each row passes once.
         counted = Observation()
-        rows = laid_out(rows, record.partition_by, record.sorted_by)
+        rows = laid_out(rows, record.folders, record.sorted_by)
         rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
         writer = rows.write
-        if record.partition_by:
-            writer = writer.partitionBy(*record.partition_by)
+        if record.folders:
+            writer = writer.partitionBy(*record.folders)
         writer.parquet(path)
         return int(counted.get["rows"])
 
+    def _written(self, record: TableRecord, path: str) -> list[str]:
+        """Return what a load wrote: its folder, or for a keyed table those of its buckets."""
+        if not record.key:
+            return [path]
+        return [f"{path}/{name}" for name in records.names(self._spark, path) if "=" in name]
+
+
+def _bucket(record: TableRecord) -> Column:
+    keys = [F.col(f"`{k}`") for k in record.key]
+    return F.pmod(F.xxhash64(*keys), F.lit(record.buckets)).cast("int").alias(BUCKET)
+
 
 class Database:
     """A folder of tables, addressed by its id. Ids are the only address; names are labels."""
@@ -229,6 +289,7 @@ class Database:
         keys: Mapping[str, Sequence[str]] | None = None,
         partition_by: Mapping[str, Sequence[str]] | None = None,
         sorted_by: Mapping[str, Sequence[str]] | None = None,
+        buckets: int = KEY_BUCKETS,
     ) -> Database:
         """Create a database and declare its tables with their keys and layouts.
 
@@ -247,6 +308,7 @@ class Database:
                 key=(keys or {}).get(table, ()),
                 partition_by=(partition_by or {}).get(table, ()),
                 sorted_by=(sorted_by or {}).get(table, ()),
+                buckets=buckets,
             )
         return database
 
@@ -258,8 +320,12 @@ class Database:
         key: Sequence[str] = (),
         partition_by: Sequence[str] = (),
         sorted_by: Sequence[str] = (),
+        buckets: int = KEY_BUCKETS,
     ) -> ManagedTable:
+        if buckets < 1:
+            raise ValueError(f"buckets must be >= 1, got {buckets}")
         record = TableRecord(
+            buckets=buckets,
             schema=check_name(schema, "schema"),
             table=check_name(table, "table"),
             key=tuple(k.lower() for k in key),
@@ -324,79 +390,73 @@ class Database:
         """
         columns = StructType.fromJson(json.loads(record.columns)).fields
         declared = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in columns)
-        partitions = ", ".join(f"`{c}`" for c in (LOAD, *record.partition_by))
+        declared += f", {LOAD} string" + (f", {BUCKET} int" if record.key else "")
+        partitions = ", ".join(f"`{c}`" for c in (LOAD, *record.folders))
         loads = f"{view}__loads"
-        data = record.paths[0].rsplit("/", 1)[0]
+        data = f"{self.folder}/{record.schema}/{record.table}/data"
         self.spark.sql(f"DROP TABLE IF EXISTS {loads}")
         self.spark.sql(
-            f"CREATE TABLE {loads} ({declared}, {LOAD} string) USING parquet "
+            f"CREATE TABLE {loads} ({declared}) USING parquet "
             f"PARTITIONED BY ({partitions}) LOCATION '{data}'"
         )
         self.spark.sql(f"ALTER TABLE {loads} RECOVER PARTITIONS")
-        current = ", ".join(f"'{p.rsplit('=', 1)[1]}'" for p in record.paths)
+        current: dict[str, list[int]] = {}
+        for path in record.paths:
+            load = re.search(f"{LOAD}=([^/]*)", path)[1]
+            current.setdefault(load, []).extend([bucket_of_path(path)] if record.key else [])
+        parts = [
+            f"{LOAD} = '{load}'" + (f" AND {BUCKET} IN ({', '.join(map(str, of))})" if of else "")
+            for load, of in current.items()
+        ]
+        where = " OR ".join(f"({p})" for p in parts) or "false"
         listed = ", ".join(f"`{c.name}`" for c in columns)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {view} AS "
-            f"SELECT {listed} FROM {loads} WHERE {LOAD} IN ({current})"
+            f"SELECT {listed} FROM {loads} WHERE {where}"
         )
 
-    def describe(
-        self,
-        reference: str,
-        *,
-        stats: bool = True,
-        max_columns: int = MAX_COLUMNS,
-        indexes: Sequence = (),
-    ) -> dict:
-        """Return a table's columns with types, counts and what they are searched by.
-
-        Tells a missing table from one that is declared and still empty. If counting
-        fails, the columns are returned without counts.
+    def describe(self, schema: str = DEFAULT_SCHEMA, *, stats: bool = True) -> DataFrame:
+        """Return one row for each column of each declared table of a schema.
+
+        ``table_name, state, position, column_name, data_type, row_count, non_null,
+        searchable_by``. The columns come from the stored schemas, so they are known whatever
+        happens to the files. ``state`` is ``empty`` for a table without a load, which has one
+        row without a column, ``unreadable`` for one whose rows can't be counted, else
+        ``loaded``. Vector columns that an index made are left out.
         """
-        from rankfield.sources.registry import generated_vector_columns, search_nouns_by_column
+        from rankfield.sources.indexes import table_rankings
 
-        if max_columns < 1:
-            raise ValueError(f"max_columns must be >= 1, got {max_columns}")
-        if not self.has(reference):
-            return {"table": reference, "columns": [], "error": f"no table named {reference!r}"}
-        table = self.table(reference)
-        record = table.record
-        name = f"{record.schema}.{record.table}"
-        if not record.version:
-            note = f"{name} is declared but has no data yet; load it before querying"
-            return {"table": name, "columns": [], "row_count": 0, "note": note}
-        df = table.read()
-        hidden = set(generated_vector_columns(indexes))
-        searchable = search_nouns_by_column([i for i in indexes if i.ready])
-        shown = {"max_columns": max_columns, "hidden": hidden, "searchable": searchable}
-        try:
-            rows = column_profile(df, name, stats=stats, **shown).collect()
-        except Exception:
-            if not stats:
-                raise
-            rows = column_profile(df, name, stats=False, **shown).collect()
-        columns = []
-        for row in rows:
-            entry = {"name": row["column_name"], "type": row["data_type"]}
-            if row["non_null"] is not None:
-                entry["non_null"] = row["non_null"]
-            if row["searchable_by"]:
-                entry["searchable_by"] = list(row["searchable_by"])
-            columns.append(entry)
-        payload: dict = {"table": name, "columns": columns}
-        if rows and rows[0]["row_count"] is not None:
-            payload["row_count"] = rows[0]["row_count"]
-        if len(df.columns) > max_columns:
-            payload["truncated_at"] = max_columns
-        return payload
-
-    def overview(self, schema: str = DEFAULT_SCHEMA) -> list[dict]:
-        """Return every loaded table with its column count, ordered by name."""
-        found = []
+        found: list[tuple] = []
         for name in self.tables(schema):
             table = self.table(f"{schema}.{name}")
-            if table.record.version:
-                found.append(
-                    {"table": f"{schema}.{name}", "column_count": len(table.read().columns)}
-                )
-        return found
+            record = table.record
+            if not record.version:
+                found.append((name, "empty", None, None, None, 0, None, []))
+                continue
+            rankings = table_rankings(table)
+            counts, state = {}, "loaded"
+            if stats:
+                try:
+                    counts = column_stats(table.read()).first().asDict()
+                except Exception:  # one table that can't be read leaves the others described
+                    state = "unreadable"
+            fields = StructType.fromJson(json.loads(record.columns)).fields
+            for position, field in enumerate(fields, start=1):
+                if field.name not in rankings.made_columns:
+                    found.append(
+                        (
+                            name, state, position, field.name, field.dataType.simpleString(),
+                            counts.get("row_count"), counts.get(f"{field.name}_non_null"),
+                            rankings.uses(field.name),
+                        )
+                    )
+        columns = (
+            "table_name string, state string, position bigint, column_name string, data_type string, "
+            "row_count bigint, non_null bigint, searchable_by array<string>"
+        )
+        return self.spark.createDataFrame(found, columns)
+
+    def overview(self, schema: str = DEFAULT_SCHEMA) -> DataFrame:
+        """Return every loaded table with its number of columns, by name."""
+        columns = self.describe(schema, stats=False).filter("state != 'empty'")
+        return table_overview(columns)

@@ -1,69 +1,85 @@
-"""Search indexes of managed tables: building them and keeping their records."""
+"""Search indexes of managed tables: building, refreshing and opening them.
+
+Each index is a folder and a record that names the version of the table it was built on. Only
+indexes of the current version are used.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from typing import Any
+from dataclasses import asdict, dataclass
 
-from rankfield.functions.distances import check_metric
-from rankfield.operators.embed import Embedder, embed
+from rankfield.operators.embed import Embedder
 from rankfield.sources import records
 from rankfield.sources.cells import CellIndex
 from rankfield.sources.database import ManagedTable
 from rankfield.sources.postings import PostingsIndex
-from rankfield.sources.registry import SearchIndex, list_indexes
+from rankfield.sources.rankings import Rankings, TextIndex, VectorIndex
 
 
-def index_records(table: ManagedTable) -> list[dict[str, Any]]:
-    """Return the table's index records. One built on an older version is not ready."""
-    folder = f"{table.folder}/indexes"
-    spark = table._spark
-    version = table.record.version
-    found = [records.read(spark, f"{folder}/{name}") for name in records.names(spark, folder)]
-    return [
-        {**record, "status": "ready" if record["version"] == version else "pending"}
-        for record in found
-    ]
+@dataclass(frozen=True)
+class StoredIndex:
+    """An index of one version of a table, with what is needed to build it again."""
 
+    version: int
+    what: TextIndex | VectorIndex
+    buckets: int = 64
+    cells: int | None = None
+    carry: tuple[str, ...] = ()
 
-def table_indexes(table: ManagedTable, *, ready_only: bool = True) -> list[SearchIndex]:
-    return list_indexes(index_records(table), ready_only=ready_only)
 
+def stored_indexes(table: ManagedTable) -> list[StoredIndex]:
+    """Return the newest record of each index, whatever version of the table it is of."""
+    folder = f"{table.folder}/indexes"
+    newest: dict[tuple, StoredIndex] = {}
+    for name in records.names(table._spark, folder):
+        found = records.read(table._spark, f"{folder}/{name}")
+        kind = VectorIndex if "metric" in found["what"] else TextIndex
+        found |= {"what": kind(**found["what"]), "carry": tuple(found["carry"])}
+        index = StoredIndex(**found)
+        key = (kind, index.what.column)
+        if key not in newest or newest[key].version < index.version:
+            newest[key] = index
+    return list(newest.values())
+
+
+def table_rankings(table: ManagedTable) -> Rankings:
+    """Return the rankings of the table's current version."""
+    version = table.record.version
+    current = [i.what for i in stored_indexes(table) if i.version == version]
+    return Rankings(
+        tuple(i for i in current if isinstance(i, TextIndex)),
+        tuple(i for i in current if isinstance(i, VectorIndex)),
+    )
 
-def _single_key(table: ManagedTable) -> str:
+
+def single_key(table: ManagedTable) -> str:
     key = table.record.key
     if len(key) != 1:
         raise ValueError(f"an index needs a table with one key column, this one has {list(key)}")
     return key[0]
 
 
-def _store(table: ManagedTable, record: dict[str, Any]) -> dict[str, Any]:
-    name = f"{table.folder}/indexes/{record['index_name']}-{uuid.uuid4().hex}.json"
-    records.create(table._spark, name, record)
-    return record
+def _store(table: ManagedTable, index: StoredIndex) -> None:
+    name = f"{table.folder}/indexes/{index.what.column}-{uuid.uuid4().hex}.json"
+    records.create(table._spark, name, asdict(index))
+
+
+def _refuse_beside_made(table: ManagedTable) -> None:
+    if table_rankings(table).made_columns:
+        raise ValueError("the table has an index that makes its own vectors, which stands alone")
 
 
-def create_text_index(table: ManagedTable, column: str, *, buckets: int = 64) -> dict[str, Any]:
+def create_text_index(table: ManagedTable, column: str, *, buckets: int = 64) -> TextIndex:
     """Build a BM25 index on one text column of the table's current version."""
-    _refuse_beside_generated(table)
-    path = f"{table.folder}/index-data/bm25-{uuid.uuid4().hex}"
-    record = table.record
-    PostingsIndex.build(
-        table.read(), key=_single_key(table), text=column, path=path, buckets=buckets
-    )
-    return _store(
-        table,
-        {
-            "index_name": f"{record.table}_{column}_bm25",
-            "index_type": "bm25",
-            "columns": [column],
-            "metric": None,
-            "source_column": None,
-            "version": record.version,
-            "path": path,
-        },
-    )
+    _refuse_beside_made(table)
+    path = f"{table.folder}/index-data/words-{uuid.uuid4().hex}"
+    version = table.record.version
+    PostingsIndex.build(table.read(), key=single_key(table), text=column, path=path, buckets=buckets)
+    index = TextIndex(column, path)
+    _store(table, StoredIndex(version, index, buckets=buckets))
+    return index
 
 
 def create_vector_index(
@@ -71,73 +87,86 @@ def create_vector_index(
     column: str,
     *,
     metric: str = "cosine",
-    cells: int = 16,
+    cells: int | None = None,
     embedder: Embedder | None = None,
     carry: Sequence[str] = (),
-) -> dict[str, Any] | None:
+) -> VectorIndex | None:
     """Build a vector index, or return ``None`` when a matching one is there.
 
     With ``embedder`` the column is text and the index makes its vectors itself; such an
-    index has to be the table's only one. An index on this column with another metric,
-    or with none recorded, is an error.
+    index has to be the table's only one. An index on this column with another metric is an
+    error. Without ``cells`` their number follows the number of rows.
     """
-    check_metric(metric)
-    record = table.record
-    current = [r for r in index_records(table) if r["status"] == "ready"]
-    for found in current:
-        if found["index_type"] != "vector" or column not in (
-            found["source_column"],
-            *found["columns"],
-        ):
-            continue
-        known = str(found["metric"]).lower() if found["metric"] else None
-        if known != metric:
-            raise ValueError(f"{column!r} already has a vector index with metric {known!r}")
-        return None
-    if embedder is not None and current:
+    wanted = VectorIndex(column, metric)
+    rankings = table_rankings(table)
+    for found in rankings.vectors:
+        if column in (found.column, found.text):
+            if found.metric != wanted.metric:
+                raise ValueError(f"{column!r} already has a vector index with metric {found.metric!r}")
+            return None
+    if embedder is not None and (rankings.texts or rankings.vectors):
         raise ValueError("an index that makes its own vectors has to be the table's only one")
-    _refuse_beside_generated(table)
-    rows = table.read()
-    vector = column
+    _refuse_beside_made(table)
+    version = table.record.version
+    path = f"{table.folder}/index-data/vectors-{uuid.uuid4().hex}"
+    rows, vector = table.read(), column
     if embedder is not None:
         vector = f"{column}_embedding"
-        rows = embed(rows, embedder, column, vector)
-    path = f"{table.folder}/index-data/vector-{uuid.uuid4().hex}"
-    CellIndex.build(
-        rows,
-        key=_single_key(table),
-        vector=vector,
-        path=path,
-        metric=metric,
-        cells=cells,
-        carry=carry,
-    )
-    return _store(
-        table,
-        {
-            "index_name": f"{record.table}_{column}_vector",
-            "index_type": "vector",
-            "columns": [vector],
-            "metric": metric,
-            "source_column": column if embedder is not None else None,
-            "version": record.version,
-            "path": path,
-        },
-    )
-
+        rows = rows.withColumn(vector, embedder.column(column))
+    options = {"metric": wanted.metric, "cells": cells, "carry": carry}
+    CellIndex.build(rows, key=single_key(table), vector=vector, path=path, **options)
+    index = VectorIndex(vector, wanted.metric, None if embedder is None else column, path)
+    _store(table, StoredIndex(version, index, cells=cells, carry=tuple(carry)))
+    return index
 
-def _refuse_beside_generated(table: ManagedTable) -> None:
-    for found in index_records(table):
-        if found["status"] == "ready" and found["source_column"]:
-            raise ValueError(
-                "the table has an index that makes its own vectors, which stands alone"
-            )
 
+def refresh_indexes(table: ManagedTable, embedder: Embedder | None = None) -> None:
+    """Bring the indexes of an older version up to the table's current one.
 
-def open_index(table: ManagedTable, column: str) -> PostingsIndex | CellIndex:
-    """Open the ready index on a column."""
-    for found in index_records(table):
-        if found["status"] == "ready" and column in (found["source_column"], *found["columns"]):
-            kind = PostingsIndex if found["index_type"] == "bm25" else CellIndex
-            return kind.open(table._spark, found["path"])
-    raise LookupError(f"No BM25 index found on column {column!r} for {table.full_name}")
+    After appends only the new rows are indexed: their postings and vectors are added to the
+    folders of the index. Any other load changes rows that are indexed, and the index is built
+    again.
+    """
+    record = table.record
+    for index in stored_indexes(table):
+        if index.version == record.version:
+            continue
+        what = index.what
+        new_rows = table.appended_since(index.version)
+        made = isinstance(what, VectorIndex) and what.text is not None
+        if made and embedder is None:
+            raise ValueError(f"the vectors of {what.text!r} were made by an embedder, which is needed again")
+        rows = table.read() if new_rows is None else new_rows
+        if made:
+            rows = rows.withColumn(what.column, embedder.column(what.text))
+        path = f"{table.folder}/index-data/{'words' if isinstance(what, TextIndex) else 'vectors'}-{uuid.uuid4().hex}"
+        if isinstance(what, TextIndex):
+            if new_rows is not None:
+                path = PostingsIndex.open(table._spark, what.path).extend(rows)
+            else:
+                PostingsIndex.build(rows, key=single_key(table), text=what.column, path=path, buckets=index.buckets)
+            fresh = TextIndex(what.column, path)
+        else:
+            if new_rows is not None:
+                path = CellIndex.open(table._spark, what.path).extend(rows)
+            else:
+                options = {"metric": what.metric, "cells": index.cells, "carry": index.carry}
+                CellIndex.build(rows, key=single_key(table), vector=what.column, path=path, **options)
+            fresh = VectorIndex(what.column, what.metric, what.text, path)
+        _store(table, StoredIndex(record.version, fresh, index.buckets, index.cells, index.carry))
+
+
+def open_text_index(table: ManagedTable, column: str) -> PostingsIndex:
+    """Open the current text index on a column."""
+    found = table_rankings(table).words_of(column)
+    if found is None:
+        raise LookupError(f"No BM25 index found on column {column!r} for {table.full_name}")
+    return PostingsIndex.open(table._spark, found.path)
+
+
+def open_vector_index(table: ManagedTable, column: str) -> CellIndex:
+    """Open the current index on the vectors of a column, or made from it."""
+    for found in table_rankings(table).vectors:
+        if column in (found.column, found.text):
+            return CellIndex.open(table._spark, found.path)
+    raise LookupError(f"No vector index found on column {column!r} for {table.full_name}")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
+from functools import reduce
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +27,9 @@ from rankfield.operators.bm25 import (
     score_schema,
     term_counts,
     text_queries,
+    unique_queries,
 )
-from rankfield.operators.knn import query_block
+from rankfield.operators.knn import apply_where, query_block
 from rankfield.operators.merge import check_keys
 from rankfield.operators.topk import check_k, hit_columns
 from rankfield.session import BROADCAST_ROWS, bounded, row_bound, spread, written
@@ -51,6 +55,8 @@ class PostingsIndex:
     rows: int
     words: int
     key_type: str
+    #: Folders that hold ``postings`` and ``terms``: that of the build, then the extensions'.
+    parts: tuple[str, ...] = ()
 
     @classmethod
     def build(
@@ -58,20 +64,26 @@ class PostingsIndex:
     ) -> PostingsIndex:
         """Write the index of ``corpus[text]``. Keys have to be present and unique."""
         check_k(buckets, "buckets")
-        spark = corpus.sparkSession
         check_keys(corpus.select(key), [key])
-        counts = term_counts(spread(corpus.select(key, text), key), key, text)
-        # A rebalance splits a bucket that one common word makes too big.
+        key_type = corpus.schema[key].dataType.simpleString()
+        empty = cls(path, key, text, buckets, 0, 0, key_type)
+        return empty._with(corpus, path)
+
+    def _with(self, rows: DataFrame, path: str) -> PostingsIndex:
+        """Write the postings of ``rows`` to ``path`` with a record of all parts up to it."""
+        spark = rows.sparkSession
+        counts = term_counts(spread(rows.select(self.key, self.text), self.key), self.key, self.text)
+        # A range over the terms within a bucket: a file holds few terms, so a search skips
+        # the others, and a hash of the key splits a word that is in most rows.
         (
-            counts.withColumn("bucket", bucket_of("term", buckets))
-            .hint("rebalance", "bucket")
+            counts.withColumn("bucket", bucket_of("term", self.buckets))
+            .repartitionByRange("bucket", "term", F.xxhash64(self.key))
             .sortWithinPartitions("bucket", "term")
             .write.partitionBy("bucket")
             .parquet(f"{path}/postings")
         )
-        key_type = corpus.schema[key].dataType.simpleString()
-        index = cls(path, key, text, buckets, corpus.count(), 0, key_type)
-        postings = index.postings(spark)
+        new = replace(self, path=path, parts=(path,))
+        postings = new.postings(spark)
         (
             postings.groupBy("bucket", "term")
             .agg(F.count(F.lit(1)).alias("df"))
@@ -80,21 +92,43 @@ class PostingsIndex:
             .write.partitionBy("bucket")
             .parquet(f"{path}/terms")
         )
-        index = replace(index, words=postings.agg(F.sum("tf")).first()[0] or 0)
+        index = replace(
+            new,
+            rows=self.rows + rows.count(),
+            words=self.words + (postings.agg(F.sum("tf")).first()[0] or 0),
+            parts=(*self.parts, path),
+        )
         records.create(spark, f"{path}/totals.json", asdict(index))
         return index
 
+    def extend(self, rows: DataFrame) -> str:
+        """Add the postings of new rows; return the path of the longer index.
+
+        Keys of new rows must not be in the index. The index it grew from stays as it is.
+        """
+        check_keys(rows.select(self.key), [self.key])
+        path = f"{self.path.rsplit('/', 1)[0]}/words-{uuid.uuid4().hex}"
+        return self._with(rows, path).path
+
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> PostingsIndex:
-        return cls(**records.read(spark, f"{path}/totals.json"))
+        found = records.read(spark, f"{path}/totals.json")
+        return cls(**{**found, "parts": tuple(found["parts"])})
 
     def postings(self, spark: SparkSession) -> DataFrame:
         columns = f"`{self.key}` {self.key_type}, term string, tf int, doc_len int, bucket int"
-        return spark.read.schema(columns).parquet(f"{self.path}/postings")
+        return self._all(spark, columns, "postings")
 
     def terms(self, spark: SparkSession) -> DataFrame:
-        columns = "term string, df bigint, bucket int"
-        return spark.read.schema(columns).parquet(f"{self.path}/terms")
+        """How many rows have each term."""
+        parts = self._all(spark, "term string, df bigint, bucket int", "terms")
+        if len(self.parts) == 1:
+            return parts
+        return parts.groupBy("bucket", "term").agg(F.sum("df").alias("df"))
+
+    def _all(self, spark: SparkSession, columns: str, what: str) -> DataFrame:
+        frames = [spark.read.schema(columns).parquet(f"{part}/{what}") for part in self.parts]
+        return reduce(DataFrame.unionByName, frames)
 
     def scores(
         self,
@@ -103,9 +137,13 @@ class PostingsIndex:
         query_key: str,
         query_text: str,
         k: int | None = None,
+        only: DataFrame | None = None,
         broadcast_rows: int = BROADCAST_ROWS,
     ) -> DataFrame:
-        """Return ``(query_key, key, score)``: every match, or with ``k`` a superset of the best."""
+        """Return ``(query_key, key, score)``: every match, or with ``k`` a superset of the best.
+
+        ``only`` has the keys that may be scored.
+        """
         spark = queries.sparkSession
         postings, terms = self.postings(spark), self.terms(spark)
         average = self.words / self.rows if self.words else 1.0
@@ -122,6 +160,8 @@ class PostingsIndex:
                 query_key, "term", idf(F.col("df"), F.lit(float(self.rows))).alias("idf")
             )
             weights = written(weights, "bm25-weights")
+            if only is not None:
+                postings = postings.join(only, self.key, "left_semi")
             if k is None:
                 return score_pool(
                     postings, weights, key=self.key, query_key=query_key, average=average
@@ -147,6 +187,8 @@ class PostingsIndex:
         rows = {r["term"]: r["df"] for r in terms.select("term", "df").collect()}
         df = np.array([rows.get(word, 0) for word in words.to_pylist()], dtype=np.float64)
         weight = idf_values(self.rows, df)
+        if only is not None:
+            postings = postings.join(only, self.key, "left_semi")
         known = Asked(ids, words, starts, members, weight, average)
         return score_postings(postings, known, schema, k)
 
@@ -160,6 +202,7 @@ class PostingsIndex:
         query_text: str = "query_text",
         k: int | None = None,
         columns: Sequence[str] | None = None,
+        where: Column | Mapping[str, Any] | None = None,
         broadcast_rows: int = BROADCAST_ROWS,
     ) -> DataFrame:
         """Same answer as a scan of the column, read from the index."""
@@ -169,11 +212,14 @@ class PostingsIndex:
         if queries is None:
             query_key, query_text = "query_id", "query_text"
         carried = hit_columns(corpus, columns, key=self.key, searched=None, ranking=SCORE)
+        asked = unique_queries(asked, query_key)
+        only = None if where is None else apply_where(corpus, where).select(self.key)
         scored = self.scores(
             asked,
             query_key=query_key,
             query_text=query_text,
             k=k,
+            only=only,
             broadcast_rows=broadcast_rows,
         )
         rows = None if k is None else row_bound(asked)

@@ -1,8 +1,10 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from rankfield.operators.merge import apply_load, get_by_ids
-from rankfield.session import clear_scratch, written
+from rankfield.operators.merge import apply_load, get_by_ids, key_report
+from rankfield.session import clear_scratch, scratch_root, written
 from rankfield.sources import records
 from rankfield.sources.attach import attach, attachment, catalogs_in_scope, detach
 from rankfield.sources.database import Database, EmptyTable, split_table
@@ -212,26 +214,63 @@ def test_bad_table_references():
 
 
 def test_describe(spark, folder):
-    database = Database.create(spark, folder, database_id="d", tables=["t", "later"])
+    database = Database.create(spark, folder, database_id="d", tables=["broken", "later", "t"])
     database.load("t", rows(spark, (1, "a"), (2, None)))
-    found = database.describe("PUBLIC.t")
-    assert found == {
-        "table": "public.t",
-        "columns": [
-            {"name": "id", "type": "bigint", "non_null": 2},
-            {"name": "label", "type": "string", "non_null": 1},
-        ],
-        "row_count": 2,
-    }
-    assert database.describe("t", max_columns=2).get("truncated_at") is None
-    cut = database.describe("t", max_columns=1, stats=False)
-    assert (cut["truncated_at"], cut["columns"]) == (1, [{"name": "id", "type": "bigint"}])
-    assert "no data" in database.describe("later")["note"]
-    assert "no table" in database.describe("nope")["error"]
-    assert "no table" in database.describe("other.public.t")["error"]
-    with pytest.raises(ValueError, match="max_columns"):
-        database.describe("t", max_columns=0)
-    assert database.overview() == [{"table": "public.t", "column_count": 2}]
+    database.load("broken", rows(spark, (1, "a")))
+    for part in database.table("broken").record.paths:
+        for file in os.listdir(part):
+            if file.startswith("part-"):
+                with open(f"{part}/{file}", "wb") as out:
+                    out.write(b"no parquet")
+    found = [tuple(r)[:7] for r in database.describe().orderBy("table_name", "position").collect()]
+    assert found == [
+        ("broken", "unreadable", 1, "id", "bigint", None, None),
+        ("broken", "unreadable", 2, "label", "string", None, None),
+        ("later", "empty", None, None, None, 0, None),
+        ("t", "loaded", 1, "id", "bigint", 2, 2),
+        ("t", "loaded", 2, "label", "string", 2, 1),
+    ]
+    quick = database.describe(stats=False).filter("table_name = 't'").collect()
+    assert [(r["row_count"], r["non_null"]) for r in quick] == [(None, None)] * 2
+    assert [tuple(r) for r in database.overview().collect()] == [("broken", 2), ("t", 2)]
+
+
+def test_keyed_loads_write_only_their_buckets(spark, folder):
+    database = Database.create(spark, folder, database_id="d", tables=["t"], keys={"t": ["id"]}, buckets=8)
+    database.load("t", rows(spark, *[(i, "old") for i in range(200)]))
+    table = database.table("t")
+    before = set(table.record.paths)
+    assert len(before) == 8
+    for mode, source in (("upsert", rows(spark, (7, "new"))), ("delete", rows(spark, (8, "")).select("id"))):
+        database.load("t", source, mode, ["id"])
+        after = set(table.record.paths)
+        assert len(before - after) == 1 and len(after - before) <= 1
+        before = after
+    found = {r["id"]: r["label"] for r in table.read().collect()}
+    assert found == {**{i: "old" for i in range(200) if i != 8}, 7: "new"}
+    assert table.record.row_count == 199
+
+
+def test_key_report(spark):
+    df = rows(spark, (1, "a"), (1, "b"), (2, "c"), (None, "d"))
+    assert tuple(key_report(df, ["id"]).first()) == (4, 1, 1)
+    assert tuple(key_report(df.limit(0), ["id"]).first()) == (0, 0, 0)
+
+
+def test_scratch_is_never_on_one_machine_of_a_cluster(spark, monkeypatch):
+    class Conf(dict):
+        pass
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077", "spark.sql.warehouse.dir": "file:/tmp/w"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session)
+    Session.conf["spark.checkpoint.dir"] = "file:/shared/"
+    assert scratch_root(Session) == "file:/shared"
+    del Session.conf["spark.checkpoint.dir"]
+    Session.conf["spark.sql.warehouse.dir"] = "hdfs://store/w"
+    assert scratch_root(Session).startswith("hdfs://store/w/")
 
 
 def test_publish_and_attach(spark, folder):

@@ -1,12 +1,13 @@
-"""Index records, search routes and the document store."""
+"""Rankings, search plans and the document store."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from rankfield.operators.embed import HashingEmbedder, ModelEmbedder, vector_distance
+from rankfield.operators.fusion import hybrid
 from rankfield.plans.search import (
     default_columns,
-    resolve_search_route,
+    plan_search,
     search,
     search_capped,
     search_table,
@@ -17,112 +18,87 @@ from rankfield.sources.database import Database
 from rankfield.sources.indexes import (
     create_text_index,
     create_vector_index,
-    index_records,
-    open_index,
-    table_indexes,
+    open_text_index,
+    open_vector_index,
+    refresh_indexes,
+    stored_indexes,
+    table_rankings,
 )
-from rankfield.sources.registry import (
-    capabilities_by_column,
-    fusable_vector_indexes,
-    generated_vector_columns,
-    list_indexes,
-    search_nouns_by_column,
-    verify_searchable_columns,
-)
-
-
-def bm25(column="text", status="ready"):
-    return {"index_type": "bm25", "columns": [column], "status": status}
-
-
-def vector(column="embedding", metric="cosine", source=None, status="ready"):
-    return {
-        "index_type": "vector", "columns": [column], "metric": metric,
-        "source_column": source, "status": status,
-    }
-
+from rankfield.sources.rankings import Rankings, TextIndex, VectorIndex
 
-def route(*records, column="text", columns=("id", "text", "embedding"), **options):
-    return resolve_search_route(list_indexes(list(records)), column=column, table_columns=columns, **options)
+WORDS = TextIndex("text")
+VECTORS = VectorIndex("embedding")
+MADE = VectorIndex("text_embedding", text="text")
+WITH = {"has_embedding": True}
 
 
-def kind(found):
-    return "hybrid" if found.hybrid else found.kind
+def rankings(*indexes):
+    return Rankings(
+        tuple(i for i in indexes if isinstance(i, TextIndex)),
+        tuple(i for i in indexes if isinstance(i, VectorIndex)),
+    )
 
 
-WITH = {"has_embedding": True}
+def plan(*indexes, column="text", columns=("id", "text", "embedding"), **options):
+    return plan_search(rankings(*indexes), column=column, table_columns=columns, **options)
 
 
+# Which ranking each table gives a search.
 @pytest.mark.parametrize(
-    "records, options, expected",
+    "indexes, options, expected",
     [
         ([], {}, "text"),
-        ([bm25()], {}, "text"),
-        ([vector(source="text")], {}, "semantic"),
-        ([vector(source="text", metric=None)], {}, "semantic"),
-        ([vector()], {"column": "embedding", **WITH}, "semantic"),
-        ([vector(source="text", status="building")], {}, "text"),
-        ([vector(source="text")], {"strategy": "text"}, "text"),
+        ([WORDS], {}, "text"),
+        ([MADE], {}, "semantic"),
+        ([VECTORS], {"column": "embedding", **WITH}, "semantic"),
+        ([MADE], {"strategy": "text"}, "text"),
         ([], {"strategy": "text"}, "text"),
-        ([bm25(), vector()], WITH, "hybrid"),
-        ([bm25(), vector()], {}, "text"),
-        ([bm25(), vector()], {"strategy": "text", **WITH}, "text"),
-        ([bm25(), vector(source="title")], WITH, "text"),
-        ([bm25(), vector("a"), vector("b")], WITH, "text"),
-        ([bm25(), vector("a"), vector("b")], {"semantic_column": "b", **WITH}, "hybrid"),
-        ([bm25(), vector(metric="hamming")], WITH, "text"),
-        ([bm25(), vector(metric=None)], WITH, "text"),
-        ([bm25(), vector()], {"key": None, **WITH}, "text"),
-        ([bm25(), vector()], {"key": "nope", **WITH}, "text"),
-        ([vector()], WITH, "text"),
-        ([bm25(status="building"), vector()], WITH, "text"),
-        ([bm25(), vector()], {"semantic_column": "embedding"}, "text"),
+        ([WORDS, VECTORS], WITH, "hybrid"),
+        ([WORDS, VECTORS], {}, "text"),
+        ([WORDS, VECTORS], {"strategy": "text", **WITH}, "text"),
+        ([WORDS, VectorIndex("t", text="title")], WITH, "text"),
+        ([WORDS, VectorIndex("a"), VectorIndex("b")], WITH, "text"),
+        ([WORDS, VectorIndex("a"), VectorIndex("b")], {"semantic_column": "b", **WITH}, "hybrid"),
+        ([WORDS, VECTORS], {"key": None, **WITH}, "text"),
+        ([WORDS, VECTORS], {"key": "nope", **WITH}, "text"),
+        ([VECTORS], WITH, "text"),
+        ([WORDS, VECTORS], {"semantic_column": "embedding"}, "text"),
     ],
 )
-def test_routes(records, options, expected):
-    assert kind(route(*records, **options)) == expected
+def test_plans(indexes, options, expected):
+    assert plan(*indexes, **options).form == expected
 
 
 @pytest.mark.parametrize(
-    "records, options, message",
+    "indexes, options, message",
     [
-        ([vector()], {"column": "embedding"}, "embedder"),
-        ([vector(metric=None)], {"column": "embedding", **WITH}, "metric None"),
-        ([vector(metric="hamming")], {"column": "embedding", **WITH}, "hamming"),
-        ([bm25()], {"strategy": "semantic"}, "no vector index covers"),
-        ([bm25(), vector("a"), vector("b")], {"strategy": "hybrid", **WITH}, "a, b"),
-        ([bm25(), vector()], {"strategy": "hybrid"}, "embedder"),
-        ([bm25(), vector()], {"strategy": "hybrid", "key": None, **WITH}, "key"),
-        ([vector()], {"strategy": "hybrid", **WITH}, "no ready text index"),
-        ([bm25()], {"strategy": "hybrid", **WITH}, "exactly one"),
-        ([bm25(), vector(metric="x")], {"strategy": "hybrid", **WITH}, "metric 'x'"),
-        ([bm25(), vector()], {"semantic_column": "nope", **WITH}, "nope"),
-        ([bm25()], {"strategy": "fuzzy"}, "strategy"),
+        ([VECTORS], {"column": "embedding"}, "embedder"),
+        ([WORDS], {"strategy": "semantic"}, "no vector index covers"),
+        ([WORDS, VectorIndex("a"), VectorIndex("b")], {"strategy": "hybrid", **WITH}, "a, b"),
+        ([WORDS, VECTORS], {"strategy": "hybrid"}, "embedder"),
+        ([WORDS, VECTORS], {"strategy": "hybrid", "key": None, **WITH}, "key"),
+        ([VECTORS], {"strategy": "hybrid", **WITH}, "no ready text index"),
+        ([WORDS], {"strategy": "hybrid", **WITH}, "exactly one"),
+        ([WORDS, VECTORS], {"semantic_column": "nope", **WITH}, "nope"),
+        ([WORDS], {"strategy": "fuzzy"}, "strategy"),
     ],
 )
-def test_routes_that_cannot_be_had(records, options, message):
+def test_plans_that_cannot_be_had(indexes, options, message):
     with pytest.raises(ValueError, match=message):
-        route(*records, **options)
+        plan(*indexes, **options)
 
 
 def test_metric_names_are_read_without_case():
-    assert route(bm25(), vector(metric="COSINE"), **WITH).fused.metric == "cosine"
+    assert VectorIndex("v", "COSINE").metric == "cosine"
+    with pytest.raises(ValueError, match="metric"):
+        VectorIndex("v", "hamming")
 
 
-def test_index_listing():
-    records = [bm25(), vector(source="title"), vector("late", status="pending"), {"index_type": "sorted", "columns": ["ts"], "status": "ready"}]
-    ready = list_indexes(records)
-    assert [(i.column, i.kind) for i in ready] == [("text", "text"), ("title", "semantic")]
-    every = list_indexes(records, ready_only=False)
-    assert [i.column for i in fusable_vector_indexes(every)] == ["late"]
-    assert list(generated_vector_columns(every)) == ["embedding"]
-    assert search_nouns_by_column(ready) == {"text": ["text relevance"], "title": ["meaning"]}
-    assert capabilities_by_column(ready)["title"] == ["searchable by meaning"]
-    known = {"default.public.t": ready}
-    declared = [("default.public.t", "title"), ("default.public.t", "nope"), ("default.public.t", "text"), ("default.public.t", "title")]
-    assert [c.column for _, c in verify_searchable_columns(declared, known)] == ["title", "text"]
-    with pytest.raises(ValueError, match="catalog.schema.table"):
-        verify_searchable_columns([("public.t", "text")], known)
+def test_what_rankings_say():
+    found = rankings(WORDS, VectorIndex("late"), VectorIndex("t_vec", text="title"))
+    assert [i.column for i in found.partners] == ["late"]
+    assert found.made_columns == {"t_vec"}
+    assert [found.uses(c) for c in ("text", "title", "late", "id")] == [["text relevance"], ["meaning"], ["meaning"], []]
 
 
 def test_default_columns(spark):
@@ -146,30 +122,58 @@ def listings(spark):
     return spark.createDataFrame(LISTINGS, "id string, text string")
 
 
-def test_search_by_each_route(spark):
+def test_search_by_each_form(spark):
     model = HashingEmbedder(64)
     table = listings(spark).withColumn("embedding", model.column("text"))
-    both = list_indexes([bm25(), vector()])
+    both = rankings(WORDS, VECTORS)
     plain = search(table, "quiet garden", column="text", k=3)
     assert plain.columns[-1] == "score"
     assert plain.orderBy("rank").first()["id"] == "a"
-    fused = search(table, "quiet garden", column="text", indexes=both, embedder=model, k=3)
+    fused = search(table, "quiet garden", column="text", rankings=both, embedder=model, k=3)
     assert fused.columns == ["query_id", "rank", "id", "text", "score"]
     assert fused.count() == 3
-    by_vector = search(table, "garden shed", column="embedding", indexes=list_indexes([vector()]), embedder=model, k=2)
+    by_vector = search(table, "garden shed", column="embedding", rankings=rankings(VECTORS), embedder=model, k=2)
     assert by_vector.columns == ["query_id", "rank", "id", "_distance"]
     assert by_vector.orderBy("rank").first()["id"] == "b"
-    by_meaning = search(table, "garden shed", column="text", indexes=list_indexes([vector(source="text")]), embedder=model, k=2)
+    made = rankings(VectorIndex("embedding", text="text"))
+    by_meaning = search(table, "garden shed", column="text", rankings=made, embedder=model, k=2)
     assert by_meaning.columns == ["query_id", "rank", "id", "text", "_distance"]
     with pytest.raises(ValueError, match="embedder"):
-        search(table, "x", column="text", indexes=list_indexes([vector(source="text")]))
+        search(table, "x", column="text", rankings=made)
 
 
-def test_search_cuts_k_and_says_so(spark):
-    result = search_capped(listings(spark), "quiet garden", column="text", k=7, max_rows=2)
+def test_all_that_is_asked_for_is_ranked(spark):
+    rows = [(i, f"word {i}") for i in range(300)]
+    table = spark.createDataFrame(rows, "id int, text string")
+    assert search(table, "word", column="text", k=250).count() == 250
+    for k in (0, -3):
+        with pytest.raises(ValueError, match="k must be"):
+            search(table, "word", column="text", k=k)
+    result = search_capped(table, "word", column="text", k=7, max_rows=2)
     assert [r["rank"] for r in result.rows.collect()] == [1, 2]
-    assert "k=7" in result.metadata["client_warning"]
-    assert "client_warning" not in search_capped(listings(spark), "bar", column="text").metadata
+    assert "2 of 7" in result.metadata["client_warning"]
+    assert "client_warning" not in search_capped(table, "word 3", column="text", k=5, max_rows=9).metadata
+
+
+def test_a_filter_reaches_every_ranking(spark, folder):
+    model = HashingEmbedder(16)
+    rows = [(i, f"quiet garden number {i}", i % 2) for i in range(40)]
+    table = spark.createDataFrame(rows, "id int, text string, odd int")
+    table = table.withColumn("embedding", model.column("text"))
+    database = Database.create(spark, folder, database_id="d", tables=["t"], keys={"t": ["id"]})
+    database.load("t", table)
+    stored = database.table("t")
+    create_text_index(stored, "text", buckets=2)
+    create_vector_index(stored, "embedding", cells=3, carry=["odd"])
+    for where in ({"odd": 1}, F.col("odd") == 1):
+        for options in ({"strategy": "text"}, {"strategy": "hybrid"}, {"column": "embedding"}):
+            ask = {"column": "text", "k": 10, "columns": ["odd"], "where": where, "embedder": model} | options
+            scanned = search(table, "quiet number 5", rankings=table_rankings(stored), **ask)
+            found = sorted(scanned.collect())
+            assert len(found) == 10 and {r["odd"] for r in found} == {1}
+            assert found == sorted(search_table(stored, "quiet number 5", **ask).collect())
+    with pytest.raises(ValueError, match="filters the scans"):
+        hybrid(table, query="a", query_vector=[1.0] * 16, key="id", text="text", k=1, where={"odd": 1}, vector_search=print)
 
 
 def test_semantic_search_takes_one_form_of_query(spark):
@@ -203,43 +207,83 @@ def test_table_indexes(spark, folder):
     with pytest.raises(LookupError, match="No BM25"):
         search_table(table, "garden", column="text")
     with pytest.raises(LookupError, match="No BM25 index found on column 'text'"):
-        open_index(table, "text")
+        open_text_index(table, "text")
     create_text_index(table, "text", buckets=2)
-    assert create_vector_index(table, "embedding", cells=2)["index_type"] == "vector"
+    assert create_vector_index(table, "embedding", cells=2).metric == "cosine"
     assert create_vector_index(table, "embedding", cells=2) is None
     with pytest.raises(ValueError, match="metric 'cosine'"):
         create_vector_index(table, "embedding", metric="l2", cells=2)
-    hits = open_index(table, "text").search(table.read(), query="quiet garden", k=1)
+    with pytest.raises(LookupError, match="No vector index"):
+        open_vector_index(table, "text")
+    hits = open_text_index(table, "text").search(table.read(), query="quiet garden", k=1)
     assert hits.first()["id"] == "a"
-    described = database.describe("t", indexes=table_indexes(table))
-    assert {c["name"]: c.get("searchable_by") for c in described["columns"]} == {
-        "id": None, "text": ["text relevance"], "embedding": ["meaning"],
+    described = database.describe().filter("table_name = 't'").collect()
+    assert {r["column_name"]: r["searchable_by"] for r in described} == {
+        "id": [], "text": ["text relevance"], "embedding": ["meaning"],
     }
     for ask in ({}, {"embedder": model}, {"embedder": model, "nprobe": 2}):
         hits = search_table(table, "quiet garden", column="text", k=2, **ask)
         assert hits.columns == ["query_id", "rank", "id", "text", "score"]
         assert hits.orderBy("rank").first()["id"] == "a"
     scanned = search(
-        table.read(), "quiet garden", column="text", indexes=table_indexes(table), embedder=model
+        table.read(), "quiet garden", column="text", rankings=table_rankings(table), embedder=model
     )
     stored = search_table(table, "quiet garden", column="text", embedder=model)
     assert sorted(scanned.collect()) == sorted(stored.collect())
     by_vector = search_table(table, "garden shed", column="embedding", embedder=model, k=1)
     assert by_vector.columns == ["query_id", "rank", "id", "_distance"]
     assert by_vector.first()["id"] == "b"
-    # A load makes both indexes out of date.
-    database.load("t", listings(spark).withColumn("embedding", model.column("text")))
-    assert table_indexes(table) == []
-    assert {r["status"] for r in index_records(table)} == {"pending"}
+
+
+def test_indexes_are_kept_current(spark, folder):
+    model = HashingEmbedder(16)
+    database = Database.create(spark, folder, database_id="d", tables=["t"], keys={"t": ["id"]})
+    table = database.table("t")
+    rows = listings(spark).withColumn("embedding", model.column("text"))
+    database.load("t", rows.filter("id < 'c'"))
+    create_text_index(table, "text", buckets=2)
+    create_vector_index(table, "embedding", cells=2)
+    database.load("t", rows.filter("id >= 'c'"), "append")
+    assert table_rankings(table) == Rankings()
+    assert {i.version for i in stored_indexes(table)} == {1}
+    refresh_indexes(table)
+    # An append adds a part to each index; any other load builds it anew.
+    assert len(open_text_index(table, "text").parts) == len(open_vector_index(table, "embedding").parts) == 2
+    for ask in ({}, {"embedder": model}):
+        stored = search_table(table, "quiet garden", column="text", **ask)
+        scanned = search(table.read(), "quiet garden", column="text", rankings=table_rankings(table), **ask)
+        assert sorted(stored.collect()) == sorted(scanned.collect())
+    database.load("t", rows.filter("id = 'a'"), "delete", ["id"])
+    refresh_indexes(table)
+    assert len(open_text_index(table, "text").parts) == 1
+    assert [r["id"] for r in search_table(table, "quiet", column="text").collect()] == ["d"]
+
+
+def test_an_index_that_makes_its_vectors(spark, folder):
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(texts):
+            calls.add(len(texts))
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return model
+
+    model = ModelEmbedder(load, 2)
+    database = Database.create(spark, folder, database_id="d", tables=["u"], keys={"u": ["id"]})
     other = database.table("u")
     database.load("u", listings(spark))
     create_vector_index(other, "text", embedder=model, cells=2)
+    assert calls.value == len(LISTINGS)
     found = search_table(other, "loud bar", column="text", embedder=model, k=1, columns=["id", "text"])
     assert found.columns == ["query_id", "rank", "id", "text", "_distance"]
-    assert found.first()["id"] == "c"
     with pytest.raises(ValueError, match="stands alone"):
         create_text_index(other, "text")
-    assert list(generated_vector_columns(table_indexes(other))) == ["text_embedding"]
+    assert table_rankings(other).made_columns == {"text_embedding"}
+    keyless = Database.create(spark, folder, database_id="e", tables=["k"])
+    keyless.load("k", listings(spark))
+    with pytest.raises(ValueError, match="one key column"):
+        search_table(keyless.table("k"), "x", column="text")
 
 
 # --------------------------------------------------------------------------- store
@@ -328,10 +372,10 @@ def test_store_refuses(spark, folder):
         with pytest.raises(ValueError, match="for 2 texts"):
             docs.add_texts(["a", "b"], **bad)
     for bad in ("", "a\x00b"):
-        with pytest.raises(ValueError):
+        with pytest.raises(Exception, match="non-empty text"):
             docs.add_texts(["a"], ids=[bad])
     for wrong in ({"beds": True}, {"rating": True}, {"live": 1}, {"beds": 1.5}, {"city": 3}):
-        with pytest.raises(ValueError, match="declared"):
+        with pytest.raises(Exception, match="declared"):
             docs.add_texts(["a"], [wrong])
     frame = spark.createDataFrame([("a", "t", '{"beds": true}')], "id string, content string, metadata_json string")
     with pytest.raises(Exception, match="declared int but holds BOOLEAN"):
@@ -359,10 +403,19 @@ def test_store_index(spark, folder):
     with pytest.raises(ValueError, match="metric 'cosine'"):
         store(spark, folder, distance="l2").create_index()
     docs.add_texts(["far"], ids=["new"])
-    with pytest.raises(LookupError, match="no ready"):
+    with pytest.raises(LookupError, match="No vector index"):
         docs.similarity_search("quiet", nprobe=1)
 
 
+def test_metadata_keys_keep_their_case(spark, folder):
+    docs = store(spark, folder, metadata_columns={"City": "string"})
+    docs.add_texts(["near one", "far"], [{"City": "sf"}, {"city": "nyc"}], ids=["a", "b"])
+    assert {r["id"]: r["city"] for r in docs.documents().collect()} == {"a": "sf", "b": None}
+    assert hit_ids(docs.similarity_search("quiet", filter={"City": "sf"})) == ["a"]
+    with pytest.raises(ValueError, match="repeated"):
+        store(spark, folder, metadata_columns={"a": "int", "A": "int"})
+
+
 def test_from_texts_indexes_after_writing(spark, folder):
     docs = DocumentStore.from_texts(
         Database(spark, folder, "d"), ModelEmbedder(places(), 3), ["near one", "far"], ids=["a", "b"],

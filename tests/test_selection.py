@@ -166,9 +166,9 @@ def test_capped_result(spark):
 
 def test_k_is_cut_before_ranking():
     assert clamp_k(None, 5, 3) == (5, None)
-    assert clamp_k(0, 5) == (1, None)
-    assert clamp_k(100, 5) == (100, None)
-    k, note = clamp_k(200, 5)
+    assert clamp_k(0, 5, 100) == (1, None)
+    assert clamp_k(100, 5, 100) == (100, None)
+    k, note = clamp_k(200, 5, 100)
     assert k == 100 and "200" in note and "100" in note
 
 
