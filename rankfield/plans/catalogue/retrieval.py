@@ -692,7 +692,7 @@ def hybrid_filtered(spark, sf_dir):
     return hits.select("rank", "doc_id", "lang", F.round("score", 9).alias("score"))
 
 
-def _served(spark, sf_dir):
+def served_table(spark, sf_dir):
     """A managed table of documents whose indexes were built and then kept current.
 
     A part of the rows comes by an append after the indexes were built.
@@ -721,7 +721,7 @@ def _served(spark, sf_dir):
 def search_stored_text(spark, sf_dir):
     """The filtered search by words, served from the stored index."""
     hits = search_table(
-        _served(spark, sf_dir), ASKED, column="text", strategy="text", k=10, columns=["lang"],
+        served_table(spark, sf_dir), ASKED, column="text", strategy="text", k=10, columns=["lang"],
         where={"lang": "en"},
     )
     return hits.select("rank", "doc_id", "lang", F.round("score", 6).alias("score"))
@@ -731,7 +731,7 @@ def search_stored_text(spark, sf_dir):
 def search_stored_hybrid(spark, sf_dir):
     """The filtered, fused search, served from both stored indexes."""
     hits = search_table(
-        _served(spark, sf_dir), ASKED, column="text", k=10, embedder=EMBEDDER, columns=["lang"],
+        served_table(spark, sf_dir), ASKED, column="text", k=10, embedder=EMBEDDER, columns=["lang"],
         where={"lang": "en"},
     )
     return hits.select("rank", "doc_id", "lang", F.round("score", 9).alias("score"))
