@@ -4,10 +4,11 @@ Two small collections of ``bands`` hashes each, of ``rows`` minima, make bands²
 key combines one hash of either collection. That takes 2 · bands · rows minima where separate
 tables would take bands² · rows.
 
-Documents with equal shingle sets are one class from the start. Within a table, classes are
-compared with the least class of their bucket, and links are confirmed on the full sets. What
-a bucket holds beyond one component is compared further, one member after another, so no link
-between classes that share a bucket is left out, and no bucket is expanded into its pairs.
+Documents with equal shingle sets are one class from the start. Each class is compared with
+the most central one that it shares a bucket with, and links are confirmed on the full sets.
+Where buckets hold more than one component after that, all members outside the main one are
+compared with the others in bounded blocks. So no link between classes that share a bucket is
+left out, and no bucket is expanded into its pairs.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ PERCENT = 80
 BANDS = 12
 ROWS = 3
 
-#: Members of a bucket that are compared with all others of it in one round.
-HUBS = 8
+#: Classes that one task compares: so many that wait, with so many others.
+WAITING = 256
+CHUNK = 1024
 
 #: Shingles that are hashed at a time.
 BLOCK = 1 << 15
@@ -132,7 +134,11 @@ def _confirm(size: int, percent: int):
 
 
 def _buckets(classes: DataFrame, bands: int) -> DataFrame:
-    """Return (bucket, rep, n) for every different group of classes that shares a table key."""
+    """Return (bucket, rep, n, met) for every different group that shares a table key.
+
+    ``met`` counts the members of all buckets of ``rep``. A text that others were copied from
+    meets the most, so it is the one to compare them with first.
+    """
     halves = classes.select("rep", F.posexplode("a"))
     shared = halves.groupBy("pos", "col").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
     some = halves.join(shared, ["pos", "col"], "left_semi").select("rep").distinct()
@@ -152,30 +158,121 @@ def _buckets(classes: DataFrame, bands: int) -> DataFrame:
         )
         .filter("c > 1")
     )
-    different = groups.groupBy("c", "f1", "f2").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return written(rows.join(different, "bucket").select("bucket", "rep", "n"), "buckets")
+    different = groups.groupBy("c", "f1", "f2").agg(F.min("bucket").alias("bucket"))
+    kept = written(rows.join(different, "bucket").select("bucket", "rep", "n", "c"), "buckets")
+    met = kept.groupBy("rep").agg(F.sum("c").alias("met"))
+    return written(kept.drop("c").join(met, "rep"), "buckets")
 
 
 def _first_pairs(buckets: DataFrame) -> DataFrame:
-    """Pair every class with the least class that it shares any bucket with."""
-    least = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"))
-    met = buckets.join(least, "bucket").groupBy("rep").agg(F.min("hub").alias("hub"))
-    return met.filter("hub < rep").select(F.col("hub").alias("u"), F.col("rep").alias("v"))
+    """Pair every class with the one that meets the most of those it shares a bucket with."""
+    hub = buckets.groupBy("bucket").agg(F.max(F.struct("met", (-F.col("rep")).alias("least"))).alias("hub"))
+    best = buckets.join(hub, "bucket").groupBy("rep").agg(F.max("hub").alias("hub"))
+    hub_rep = -F.col("hub.least")
+    pair = best.select(F.least("rep", hub_rep).alias("u"), F.greatest("rep", hub_rep).alias("v"))
+    return pair.filter("u < v").distinct()
 
 
-def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Return the buckets' rows with their component, where a bucket has more than one."""
+def _open_clusters(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Return (cluster, rep, comp, waiting) of the classes in buckets of several components.
+
+    A cluster is what such buckets connect. All but the members of its largest component are
+    ``waiting`` to be compared with the cluster's other members.
+    """
     named = buckets.join(labels, buckets["rep"] == labels["node"], "left").select(
-        "bucket", "rep", "n", F.coalesce("component", "rep").alias("comp")
+        "bucket", "rep", F.coalesce("component", "rep").alias("comp")
     )
-    parts = named.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
     mixed = (
-        parts.groupBy("bucket")
-        .agg(F.count("*").alias("parts"), F.max(F.struct("size", "comp")).alias("most"))
-        .filter("parts > 1")
-        .select("bucket", F.col("most.comp").alias("main"))
+        named.groupBy("bucket")
+        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("rep").alias("u"))
+        .filter("low < high")
+        .select("bucket", "u")
+    )
+    rows = written(named.join(mixed, "bucket").select("u", "rep", "comp"), "open")
+    clusters = components(rows.select("u", F.col("rep").alias("v")))
+    members = rows.select("rep", "comp").distinct()
+    placed = written(
+        members.join(clusters, members["rep"] == clusters["node"]).select(
+            F.col("component").alias("cluster"), "rep", "comp"
+        ),
+        "clusters",
+    )
+    main = (
+        placed.groupBy("cluster", "comp")
+        .agg(F.count("*").alias("size"))
+        .groupBy("cluster")
+        .agg(F.max(F.struct("size", "comp")).alias("most"))
+        .select("cluster", F.col("most.comp").alias("main"))
+    )
+    return placed.join(main, "cluster").withColumn("waiting", F.col("comp") != F.col("main")).drop("main")
+
+
+def _sets(size: int):
+    def shingles(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            found = [shingle_set((t.as_py() or "").encode(), size).view(np.int64) for t in batch.column(1)]
+            if found:
+                lists = pa.array(found, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["rep", "set"])
+
+    return shingles
+
+
+def _compare(percent: int):
+    def compare(asked: pa.Table, members: pa.Table) -> pa.Table:
+        """Link each waiting class to one similar member of each other component."""
+        u, v = [], []
+        if asked.num_rows and members.num_rows:
+            lists = members["set"].combine_chunks()
+            sizes = np.diff(lists.offsets.to_numpy())
+            values = lists.flatten().to_numpy()
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+            reps, comps = members["rep"].to_numpy(), members["comp"].to_numpy()
+            for rep, comp, held in zip(asked["rep"].to_pylist(), asked["comp"].to_pylist(), asked["set"]):
+                own = held.values.to_numpy()
+                low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+                hits = high - low
+                at = np.repeat(low - (np.cumsum(hits) - hits), hits) + np.arange(hits.sum())
+                both = np.bincount(owner[at], minlength=len(sizes))
+                alike = (100 * both >= percent * (len(own) + sizes - both)) & (comps != comp)
+                _, first = np.unique(comps[alike], return_index=True)
+                v += reps[alike][first].tolist()
+                u += [rep] * len(first)
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return compare
+
+
+def _link_within(clusters: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Compare the waiting classes of each cluster with all its members.
+
+    A task holds a block of the one and a chunk of the other, both bounded, and counts shared
+    shingles over an inverted index of the chunk; pairs are never made.
+    """
+    sets = texts.mapInArrow(_sets(size), "rep bigint, set array<bigint>")
+    placed = written(clusters.join(sets, "rep"), "sets")
+    parts = placed.groupBy("cluster").agg(
+        F.ceil(F.count("*") / F.lit(CHUNK)).cast("int").alias("chunks"),
+        F.ceil(F.sum(F.col("waiting").cast("int")) / F.lit(WAITING)).cast("int").alias("blocks"),
+    )
+    dealt = placed.join(written(parts, "parts"), "cluster")
+
+    def one_of(count: str):
+        return F.pmod(F.xxhash64("rep"), F.col(count)).cast("int")
+
+    def each_of(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    left = dealt.filter("waiting").withColumn("block", one_of("blocks")).withColumn("chunk", each_of("chunks"))
+    right = dealt.withColumn("chunk", one_of("chunks")).withColumn("block", each_of("blocks"))
+    keys, columns = ["cluster", "block", "chunk"], ["cluster", "block", "chunk", "rep", "comp", "set"]
+    return (
+        left.select(*[F.col(c).alias(c) for c in columns])
+        .groupBy(*keys)
+        .cogroup(right.select(*columns).groupBy(*keys))
+        .applyInArrow(_compare(percent), "u bigint, v bigint")
     )
-    return written(named.join(mixed, "bucket"), "open")
 
 
 def link_classes(
@@ -183,47 +280,24 @@ def link_classes(
 ) -> DataFrame:
     """Return (node, component) of the classes that some confirmed link joins to another.
 
-    ``classes`` has ``rep``, ``n``, ``a`` and ``b``; ``texts`` has ``rep`` and ``text``. In
-    each round, and in each bucket that still has several components, up to ``HUBS`` members
-    outside its main component that have not had their turn are compared with all members of
-    other components. A bucket is done when all of them had their turn.
+    ``classes`` has ``rep``, ``n``, ``a`` and ``b``; ``texts`` has ``rep`` and ``text``. Each
+    class is compared with the central one among those it shares a bucket with. That joins
+    nearly all that belongs together; where buckets still hold several components, all members
+    outside the main one are compared with all others.
     """
-    spark = classes.sparkSession
     buckets = _buckets(classes, bands)
     needed = buckets.select("rep").distinct()
     texts = written(texts.join(needed, "rep", "left_semi"), "texts")
-    empty = spark.createDataFrame([], "u bigint, v bigint")
-    pairs = written(_first_pairs(buckets), "pairs")
-    tested, links, turns = pairs, empty, None
-    while True:
-        left = texts.select(F.col("rep").alias("v"), F.col("text").alias("other"))
-        right = texts.select(F.col("rep").alias("u"), F.col("text").alias("hub"))
-        met = pairs.join(left, "v").join(right, "u").select("u", "v", "hub", "other")
-        found = written(met.mapInArrow(_confirm(size, percent), "u bigint, v bigint"), "confirmed")
-        links = links.unionByName(found)
-        labels = components(links)
-        open_rows = _open(buckets, labels)
-        waiting = open_rows.filter(F.col("comp") != F.col("main"))
-        if turns is not None:
-            waiting = waiting.join(turns, ["bucket", "rep"], "left_anti")
-        hubs = written(
-            waiting.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(HUBS)).alias("slot"))
-            .agg(F.min("rep").alias("rep"))
-            .select("bucket", "rep"),
-            "turns",
-        )
-        if hubs.isEmpty():
-            return labels
-        turns = hubs if turns is None else turns.unionByName(hubs)
-        hub_rows = open_rows.join(hubs, ["bucket", "rep"], "left_semi").select(
-            "bucket", F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp")
-        )
-        # Sets whose sizes differ too much can't be similar enough.
-        near = (100 * F.least("n", "hub_n")) >= (percent * F.greatest("n", "hub_n"))
-        crossed = open_rows.join(hub_rows, "bucket").filter((F.col("comp") != F.col("hub_comp")) & near)
-        fresh = crossed.select(F.least("hub", "rep").alias("u"), F.greatest("hub", "rep").alias("v")).distinct()
-        pairs = written(fresh.join(tested, ["u", "v"], "left_anti"), "pairs")
-        tested = tested.unionByName(pairs)
+    left = texts.select(F.col("rep").alias("v"), F.col("text").alias("other"))
+    right = texts.select(F.col("rep").alias("u"), F.col("text").alias("hub"))
+    met = _first_pairs(buckets).join(left, "v").join(right, "u").select("u", "v", "hub", "other")
+    labels = components(met.mapInArrow(_confirm(size, percent), "u bigint, v bigint"))
+    clusters = written(_open_clusters(buckets, labels), "clusters")
+    if clusters.isEmpty():
+        return labels
+    known = labels.select(F.col("component").alias("u"), F.col("node").alias("v"))
+    inside = texts.join(clusters.select("rep"), "rep", "left_semi")
+    return components(known.unionByName(_link_within(clusters, inside, size, percent)))
 
 
 def near_duplicates(

@@ -183,8 +183,9 @@ def test_near_duplicates(spark, size, percent):
     assert got == brute.near_duplicates(docs, size, percent)
 
 
-def test_few_hubs_find_the_same(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "HUBS", 1)
+def test_small_blocks_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "WAITING", 3)
+    monkeypatch.setattr(minhash, "CHUNK", 4)
     docs = families(9)[:40]
     rows = minhash.near_duplicates(spark.createDataFrame(docs, DOCS), size=3, percent=85).collect()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in rows}
