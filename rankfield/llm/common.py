@@ -81,9 +81,12 @@ def with_row_id(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str, boo
     )
     if odd.isEmpty():
         return df.withColumn(name, keyed), name, True
-    held = df.select(keyed.alias("k"), F.xxhash64(text_or_empty(quoted(text))).alias("h"))
-    ranked = held.distinct().orderBy(F.col("k").asc_nulls_last(), "h")
-    ids = written(ranked.withColumn(name, F.monotonically_increasing_id()), "row-ids")
-    marked = df.withColumn("_k", keyed).withColumn("_h", F.xxhash64(text_or_empty(quoted(text))))
-    match = F.col("_k").eqNullSafe(F.col("k")) & (F.col("_h") == F.col("h"))
-    return marked.join(ids, match).drop("_k", "_h", "k", "h"), name, False
+    hashed = F.xxhash64(text_or_empty(quoted(text)))
+    ranked = df.select(keyed.alias("k"), hashed.alias("h")).distinct()
+    ranked = ranked.orderBy(F.col("k").asc_nulls_last(), "h")
+    numbered = written(ranked.withColumn("n", F.monotonically_increasing_id()), "row-ids")
+    names = [free_name(df, f"_row_{c}") for c in ("k", "h", "key", "hash")]
+    ids = numbered.toDF(names[0], names[1], name)
+    marked = df.withColumns({names[2]: keyed, names[3]: hashed})
+    match = F.col(names[2]).eqNullSafe(F.col(names[0])) & (F.col(names[3]) == F.col(names[1]))
+    return marked.join(ids, match).drop(*names), name, False

@@ -188,7 +188,15 @@ def _settle(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting = [c[-1:] for c in columns]
 
 
-_PLACED = pa.schema([("lead", pa.binary()), ("id", pa.int64()), ("first", pa.int32()), ("anchor", pa.int32()), ("bytes", pa.binary())])
+_PLACED = pa.schema(
+    [
+        ("lead", pa.binary()),
+        ("id", pa.int64()),
+        ("first", pa.int32()),
+        ("anchor", pa.int32()),
+        ("bytes", pa.binary()),
+    ]
+)
 _PLACED_DDL = "lead binary, id bigint, first int, anchor int, bytes binary"
 
 

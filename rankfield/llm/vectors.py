@@ -110,7 +110,15 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-_PAIR = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("c1", pa.int32()), ("c2", pa.int32())])
+_PAIR = pa.schema(
+    [
+        ("query_id", pa.int64()),
+        ("vec_id", pa.int64()),
+        ("score", pa.float64()),
+        ("c1", pa.int32()),
+        ("c2", pa.int32()),
+    ]
+)
 _PAIR_DDL = "query_id bigint, vec_id bigint, score double, c1 int, c2 int"
 
 
@@ -214,7 +222,8 @@ class InvertedMultiIndex:
         for q, query in zip(ids.tolist(), asked):
             open_cells = list(wanted.get(q, ()))
             met = 0
-            for a, b, size in traverse(query[: self.half] @ self.books[0].T, query[self.half :] @ self.books[1].T, self.different):
+            near = (query[: self.half] @ self.books[0].T, query[self.half :] @ self.books[1].T)
+            for a, b, size in traverse(*near, self.different):
                 if not open_cells:
                     break
                 met += size
@@ -240,7 +249,14 @@ class InvertedMultiIndex:
         width, half = self.width, self.half
 
         def probes(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            schema = pa.schema([("query_id", pa.int64()), ("query", pa.list_(pa.float64())), ("c1", pa.int32()), ("codes", pa.list_(pa.int32()))])
+            schema = pa.schema(
+                [
+                    ("query_id", pa.int64()),
+                    ("query", pa.list_(pa.float64())),
+                    ("c1", pa.int32()),
+                    ("codes", pa.list_(pa.int32())),
+                ]
+            )
 
             def rows() -> Iterator[tuple]:
                 (one, two), different, total = shared.value
@@ -263,7 +279,9 @@ class InvertedMultiIndex:
             yield from batches(rows(), schema, 1024)
 
         asked = written(
-            queries.select("vec_id", "vector").mapInArrow(probes, "query_id bigint, query array<double>, c1 int, codes array<int>"),
+            queries.select("vec_id", "vector").mapInArrow(
+                probes, "query_id bigint, query array<double>, c1 int, codes array<int>"
+            ),
             "probes",
         )
         # A first code with many vectors is split in chunks, one with many queries in blocks;
@@ -282,8 +300,10 @@ class InvertedMultiIndex:
         if not blocks:
             return self.cells.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
         some = F.col("c1").isin(list(blocks))
-        left = asked.withColumn("block", part(blocks, F.xxhash64("query_id"))).withColumn("chunk", all_parts(chunks))
-        right = self.cells.filter(some).withColumn("chunk", part(chunks, F.xxhash64("vec_id"))).withColumn("block", all_parts(blocks))
+        left = asked.withColumn("block", part(blocks, F.xxhash64("query_id")))
+        left = left.withColumn("chunk", all_parts(chunks))
+        right = self.cells.filter(some).withColumn("chunk", part(chunks, F.xxhash64("vec_id")))
+        right = right.withColumn("block", all_parts(blocks))
 
         def rerank(left_: pa.Table, right_: pa.Table) -> pa.Table:
             found: list[tuple] = []
@@ -300,11 +320,16 @@ class InvertedMultiIndex:
                     scores = exact_scores(x[at], query)
                     top = best(ids[at], scores, k)
                     found.append((np.full(len(top), q), ids[at][top], scores[top]))
-            columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
+            empty = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+            columns = [np.concatenate(c) for c in zip(*found)] if found else empty
             return pa.table({"query_id": columns[0], "vec_id": columns[1], "score": columns[2]})
 
         keys = ["c1", "chunk", "block"]
-        met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(rerank, "query_id bigint, vec_id bigint, score double")
+        met = (
+            left.groupBy(*keys)
+            .cogroup(right.groupBy(*keys))
+            .applyInArrow(rerank, "query_id bigint, vec_id bigint, score double")
+        )
         return ranked(met, k).select("query_id", "rank", "vec_id", "score")
 
 

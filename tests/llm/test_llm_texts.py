@@ -30,6 +30,18 @@ def odd(spark):
     return spark.createDataFrame(ODD_ROWS, ODD)
 
 
+def test_row_ids_keep_all_columns(spark):
+    from rankfield.llm.common import with_row_id
+
+    df = spark.createDataFrame([(1, "a", "k", "h"), (1, "b", "k", "h"), (None, "c", "k", "h")], "n int, text string, k string, h string")
+    marked, name, plain = with_row_id(df, "n", "text")
+    assert marked.columns == [*df.columns, name] and not plain
+    order = [r["n"] for r in marked.orderBy(name).collect()]
+    assert order == [1, 1, None] and marked.select(name).distinct().count() == 3
+    _, _, plain = with_row_id(df.filter("text = 'a'"), "n", "text")
+    assert plain
+
+
 @pytest.fixture(scope="module")
 def nothing(spark):
     return spark.createDataFrame([], ODD)
