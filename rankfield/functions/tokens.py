@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,3 +26,20 @@ def check_text(value: str) -> str:
     if "\x00" in value:
         raise ValueError("search text may not contain null bytes")
     return value
+
+
+#: Words that a task flattens at a time, whatever a batch's rows hold.
+FLAT_WORDS = 500_000
+
+
+def word_slices(lists: pa.Array, most: int = FLAT_WORDS) -> Iterator[tuple[int, int]]:
+    """Cut lists of words into runs of rows (start, length) with at most ``most`` words each.
+
+    A row with more is a run by itself.
+    """
+    ends = np.cumsum(np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+    start, before = 0, 0
+    while start < len(lists):
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield start, stop - start
+        start, before = stop, ends[stop - 1]

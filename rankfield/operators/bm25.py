@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankfield.functions.tokens import check_text, tokens
+from rankfield.functions.tokens import check_text, tokens, word_slices
 from rankfield.operators.knn import attach_columns, query_block, single_query, where_condition
 from rankfield.operators.merge import check_keys
 from rankfield.operators.topk import (
@@ -43,8 +43,8 @@ SCORE_CELLS = 4_000_000
 #: Postings of one group when the query table is too large to broadcast.
 SLICE_POSTINGS = 2_000_000
 
-#: Ways the rows of one term are split, so that a word found everywhere is many tasks.
-TERM_SALTS = 16
+#: Rows with one term that a task joins; a word in more rows is split into so many parts.
+TERM_ROWS = 1_000_000
 
 
 def idf(df: Column, n: Column) -> Column:
@@ -74,7 +74,7 @@ def term_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
     names = schema.fieldNames()
 
     def count(batches):
-        for batch in batches:
+        for batch in (b.slice(*run) for b in batches for run in word_slices(b.column(1))):
             lists = batch.column(1)
             words = lists.flatten().dictionary_encode()
             if not len(words):
@@ -356,10 +356,12 @@ def score_pool(
     """Return every match of a query table of any size: ``(query_key, key, score)``.
 
     The answer is as large as the matches are many. Both sides are split by a salt
-    besides the term, so that a word found everywhere is not one task.
+    besides the term, as finely as the commonest word asks for.
     """
-    salt = F.pmod(F.xxhash64(key), F.lit(TERM_SALTS)).cast("int")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1)))
+    commonest = postings.groupBy("term").count().agg(F.max("count")).first()[0] or 0
+    parts = max(1, math.ceil(commonest / TERM_ROWS))
+    salt = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     joined = postings.withColumn("_salt", salt).join(
         weights.withColumn("_salt", salts), ["term", "_salt"]
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfield.functions.distances import distance
-from rankfield.functions.tokens import check_text, tokens
+from rankfield.functions.tokens import check_text, tokens, word_slices
 from rankfield.session import spread
 
 
@@ -61,8 +61,7 @@ class HashingEmbedder:
     def column(self, text: str | Column) -> Column:
         dim, bucket = self.dim, self.bucket
 
-        @F.arrow_udf("array<float>")
-        def count(words: pa.Array) -> pa.Array:
+        def part(words: pa.Array) -> pa.Array:
             rows = len(words)
             length = pc.list_value_length(words).to_numpy(zero_copy_only=False)
             coded = words.flatten().dictionary_encode()
@@ -77,6 +76,11 @@ class HashingEmbedder:
             flat = pa.array(unit.astype(np.float32).ravel(), pa.float32())
             return pa.ListArray.from_arrays(offsets, flat)
 
+        @F.arrow_udf("array<float>")
+        def count(words: pa.Array) -> pa.Array:
+            parts = [part(words.slice(*run)) for run in word_slices(words)]
+            return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
+
         return once(count)(tokens(text))
 
 

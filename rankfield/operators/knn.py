@@ -35,8 +35,8 @@ DEFAULT_K = 5
 #: Distances one task holds at a time: bounds its memory whatever the batch sizes are.
 BLOCK_CELLS = 4_000_000
 
-#: Corpus rows of one group when the query table is too large to broadcast.
-SLICE_ROWS = 100_000
+#: Vector components of one group's rows, whatever the vectors' width.
+SLICE_VALUES = 8_000_000
 
 
 def single_query(corpus: DataFrame, **values: Any) -> DataFrame:
@@ -187,11 +187,12 @@ def near_grid(
     names = schema.fieldNames()
     groups = [within, "_block", "_slice"]
 
-    def counted(df: DataFrame, most: int, name: str) -> DataFrame:
-        parts = F.ceil(F.count(F.lit(1)) / F.lit(most)).cast("int")
+    def counted(df: DataFrame, size: Column, most: int, name: str) -> DataFrame:
+        parts = F.greatest(F.ceil(F.sum(size) / F.lit(most)), F.lit(1)).cast("int")
         return df.groupBy(within).agg(parts.alias(name))
 
-    parts = counted(slim, SLICE_ROWS, "_slices").join(counted(queries, block_rows, "_blocks"), within)
+    slices = counted(slim, F.size(vector), SLICE_VALUES, "_slices")
+    parts = slices.join(counted(queries, F.lit(1), block_rows, "_blocks"), within)
     parts = written(parts, "parts")
 
     def numbered(column: str, n: str) -> Column:

@@ -98,10 +98,21 @@ def bounded(
 ) -> pa.Table | None:
     """Bring ``df`` to the driver if it holds at most ``rows`` rows, else return ``None``.
 
-    The row limit is part of the job, so at most ``rows + 1`` rows ever leave the
-    executors; a table over the byte limit is refused as well.
+    Both limits are part of the job: at most ``rows + 1`` rows and, but for the last few of
+    them, ``size`` bytes ever leave the executors.
     """
-    table = df.limit(rows + 1).toArrow()
+
+    def cut(batches):
+        sent = 0
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                yield part
+                sent += part.nbytes
+                if sent > size:
+                    return
+
+    table = df.limit(rows + 1).mapInArrow(cut, df.schema).toArrow()
     if table.num_rows > rows or table.nbytes > size:
         return None
     return table

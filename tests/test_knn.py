@@ -55,7 +55,7 @@ def test_matches_brute_force(spark, metric, broadcast_rows):
 @pytest.mark.parametrize("broadcast_rows", [8192, 2])
 def test_a_third_of_the_rows_are_copies(spark, broadcast_rows, monkeypatch):
     """Equal distances are settled by key however the rows are spread over tasks."""
-    monkeypatch.setattr(knn_module, "SLICE_ROWS", 100)
+    monkeypatch.setattr(knn_module, "SLICE_VALUES", 800)
     rng = np.random.default_rng(2)
     corpus = rng.normal(size=(600, 4))
     corpus[::3] = corpus[0]
