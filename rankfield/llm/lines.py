@@ -3,6 +3,9 @@
 A rolling hash over the hashes of the last lines decides where a chunk ends, so an inserted
 line moves no boundary but those near it. Chunks of several lines that occur again anywhere are
 removed, after their bytes have been compared with those of the first occurrence.
+
+Joins are sort-merge joins at every size: a plan that broadcasts small tables and shuffles
+large ones would say nothing, on small tables, about the disk that large ones need.
 """
 
 from __future__ import annotations
@@ -146,7 +149,7 @@ def remove_repeated_chunks(documents: DataFrame, *, key: str = "doc_id", text: s
         .drop("c")
     )
     again = (
-        chunks.join(origin, ["h1", "h2", "n"])
+        chunks.join(origin.hint("merge"), ["h1", "h2", "n"])
         .filter(F.struct("id", "no") != F.col("origin"))
         .select("h1", "h2", "n", "id", "no", "origin")
     )
@@ -154,7 +157,7 @@ def remove_repeated_chunks(documents: DataFrame, *, key: str = "doc_id", text: s
     sources = again.select("origin.id", "origin.no", "h1", "h2", "n").distinct()
     wanted = sources.groupBy(F.col("id").alias("wanted_id")).agg(F.collect_list("no").alias("numbers"))
     bodies = (
-        texts.join(wanted, F.col("id") == F.col("wanted_id"))
+        texts.join(wanted.hint("merge"), F.col("id") == F.col("wanted_id"))
         .select("id", "text", "numbers")
         .mapInArrow(_bytes_of, "id bigint, no int, bytes binary")
     )
@@ -172,7 +175,7 @@ def remove_repeated_chunks(documents: DataFrame, *, key: str = "doc_id", text: s
         F.col(quoted(text)).alias("text"),
         F.col(quoted(row_id)).alias("id"),
     )
-    joined = rows.join(per_row, F.col("id") == F.col("found_id"), "left").select("row", "text", "found")
+    joined = rows.join(per_row.hint("merge"), F.col("id") == F.col("found_id"), "left").select("row", "text", "found")
     schema = StructType(
         [*joined.select("row").schema, *StructType.fromDDL("cleaned string, n_lines bigint, n_removed_lines bigint")]
     )
