@@ -9,6 +9,9 @@ the most central one that it shares a bucket with, and links are confirmed on th
 Where buckets hold more than one component after that, all members outside the main one are
 compared with the others in bounded blocks. So no link between classes that share a bucket is
 left out, and no bucket is expanded into its pairs.
+
+Joins of texts and buckets are sort-merge joins at every size, so that small tables show what
+large ones will shuffle.
 """
 
 from __future__ import annotations
@@ -141,13 +144,13 @@ def _buckets(classes: DataFrame, bands: int) -> DataFrame:
     """
     halves = classes.select("rep", F.posexplode("a"))
     shared = halves.groupBy("pos", "col").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
-    some = halves.join(shared, ["pos", "col"], "left_semi").select("rep").distinct()
+    some = halves.join(shared.hint("merge"), ["pos", "col"], "left_semi").select("rep").distinct()
     keys = F.expr(
         f"""flatten(transform(sequence(0, {bands - 1}), i -> transform(sequence(0, {bands - 1}),
         j -> xxhash64(i, j, a[i], b[j]))))"""
     )
     rows = written(
-        classes.join(some, "rep", "left_semi").select("rep", "n", F.explode(keys).alias("bucket")), "tables"
+        classes.join(some.hint("merge"), "rep", "left_semi").select("rep", "n", F.explode(keys).alias("bucket")), "tables"
     )
     groups = (
         rows.groupBy("bucket")
@@ -159,7 +162,7 @@ def _buckets(classes: DataFrame, bands: int) -> DataFrame:
         .filter("c > 1")
     )
     different = groups.groupBy("c", "f1", "f2").agg(F.min("bucket").alias("bucket"))
-    kept = written(rows.join(different, "bucket").select("bucket", "rep", "n", "c"), "buckets")
+    kept = written(rows.join(different.hint("merge"), "bucket").select("bucket", "rep", "n", "c"), "buckets")
     met = kept.groupBy("rep").agg(F.sum("c").alias("met"))
     return written(kept.drop("c").join(met, "rep"), "buckets")
 
@@ -251,7 +254,7 @@ def _link_within(clusters: DataFrame, texts: DataFrame, size: int, percent: int)
     shingles over an inverted index of the chunk; pairs are never made.
     """
     sets = texts.mapInArrow(_sets(size), "rep bigint, set array<bigint>")
-    placed = written(clusters.join(sets, "rep"), "sets")
+    placed = written(clusters.join(sets.hint("merge"), "rep"), "sets")
     parts = placed.groupBy("cluster").agg(
         F.ceil(F.count("*") / F.lit(CHUNK)).cast("int").alias("chunks"),
         F.ceil(F.sum(F.col("waiting").cast("int")) / F.lit(WAITING)).cast("int").alias("blocks"),
@@ -287,16 +290,17 @@ def link_classes(
     """
     buckets = _buckets(classes, bands)
     needed = buckets.select("rep").distinct()
-    texts = written(texts.join(needed, "rep", "left_semi"), "texts")
+    texts = written(texts.join(needed.hint("merge"), "rep", "left_semi"), "texts")
     left = texts.select(F.col("rep").alias("v"), F.col("text").alias("other"))
     right = texts.select(F.col("rep").alias("u"), F.col("text").alias("hub"))
-    met = _first_pairs(buckets).join(left, "v").join(right, "u").select("u", "v", "hub", "other")
+    pairs = _first_pairs(buckets)
+    met = pairs.join(left.hint("merge"), "v").join(right.hint("merge"), "u").select("u", "v", "hub", "other")
     labels = components(met.mapInArrow(_confirm(size, percent), "u bigint, v bigint"))
     clusters = written(_open_clusters(buckets, labels), "clusters")
     if clusters.isEmpty():
         return labels
     known = labels.select(F.col("component").alias("u"), F.col("node").alias("v"))
-    inside = texts.join(clusters.select("rep"), "rep", "left_semi")
+    inside = texts.join(clusters.select("rep").hint("merge"), "rep", "left_semi")
     return components(known.unionByName(_link_within(clusters, inside, size, percent)))
 
 
@@ -340,7 +344,7 @@ def near_duplicates(
     named = classes.join(labels, classes["rep"] == labels["node"], "left").select(
         "n", "d1", "d2", F.coalesce("component", "rep").alias("comp")
     )
-    members = signed.join(named, ["n", "d1", "d2"]).select(F.col("id").alias("member"), "n", "comp")
+    members = signed.join(named.hint("merge"), ["n", "d1", "d2"]).select(F.col("id").alias("member"), "n", "comp")
     if not plain:
         keys = marked.select(F.col(quoted(row_id)).alias("r"), F.col(quoted(key)).alias("least_key")).distinct()
         members = members.distinct().join(keys, F.col("comp") == F.col("r"))
@@ -348,7 +352,7 @@ def near_duplicates(
     kept = [F.col(quoted(c)) for c in documents.columns if c.lower() not in dropped]
     held = marked.select(F.struct(*kept).alias("row"), F.col(quoted(row_id)).alias("id"), F.col(quoted(key)).alias("key"))
     least = F.coalesce("comp", "id") if plain else F.when(F.col("comp").isNull(), F.col("key")).otherwise(F.col("least_key"))
-    return held.join(members, F.col("id") == F.col("member"), "left").select(
+    return held.join(members.hint("merge"), F.col("id") == F.col("member"), "left").select(
         "row.*",
         F.coalesce("n", F.lit(0).cast("bigint")).alias("n_shingles"),
         least.alias("component_id"),
