@@ -253,20 +253,25 @@ def _packed(file, at: int, head: bytes, keep):
     total = struct.unpack("<I", head[16:20])[0] if head[3] & 4 and head[12:14] == b"sl" else None
     file.seek(at)
     inflate = zlib.decompressobj(31)
-    raw, text, read = b"", b"", 0
-    while b"\r\n\r\n" not in text and not inflate.eof:
-        raw = file.read(4096 if total is None else min(4096, total - read))
+    text, read, seen = bytearray(), 0, 0
+    while text.find(b"\r\n\r\n", max(0, seen - 3)) < 0 and not inflate.eof:
+        seen, raw = len(text), inflate.unconsumed_tail
         if not raw:
+            raw = file.read(4096 if total is None else min(4096, total - read))
+            read += len(raw)
+        # Without new bytes there can still be output that the last call had no room for.
+        text += inflate.decompress(raw, 8192)
+        if not raw and len(text) == seen and not inflate.eof:
             raise ValueError(f"the archive ends within the record at byte {at}")
-        read += len(raw)
-        text += inflate.decompress(inflate.unconsumed_tail + raw, 8192)
-    head_end = text.index(b"\r\n\r\n") + 4
-    headers = parse_headers(text[: head_end - 4])
+    head_end = text.index(b"\r\n\r\n", max(0, seen - 3)) + 4
+    headers = parse_headers(bytes(text[: head_end - 4]))
     length = int(headers.get("content-length", 0))
 
     def rest() -> bytes:
         nonlocal read
-        parts = [text[head_end:], inflate.decompress(inflate.unconsumed_tail)]
+        parts = [text[head_end:]]
+        if not inflate.eof:  # after the end the tail is what follows the member
+            parts.append(inflate.decompress(inflate.unconsumed_tail))
         while not inflate.eof:
             more = file.read(1 << 16 if total is None else min(1 << 16, total - read))
             if not more:

@@ -92,6 +92,29 @@ def test_foreign_archives_are_read(tmp_path, spark):
     assert [bytes(r["payload"]) for r in some] == [b"xxxxx"] * 2
 
 
+@pytest.mark.parametrize("length", [10_000, 20_000, 1 << 20])
+def test_long_urls(spark, folder, length):
+    url = "http://a/" + "x" * length
+    pages = [(1, url, None), (2, url, "short"), (3, url, "é" * 60), (4, url, "é" * 60), (5, "http://b/", "other")]
+    warc.write_warc(warc.page_records(spark.createDataFrame(pages, "page_id bigint, url string, html string")), folder)
+    rows = {r["record_id"][10:-1]: r for r in warc.read_warc(spark, folder).collect()}
+    assert [rows[str(i)]["target_uri"] for i in range(1, 6)] == [url] * 4 + ["http://b/"]
+    assert [bytes(rows[str(i)]["payload"]).decode() for i in range(1, 6)] == ["", "short", "é" * 60, "", "other"]
+    assert rows["4"]["refers_to"] == "<urn:page:3>"
+
+
+@pytest.mark.parametrize("length", [*range(7_900, 8_300, 7), *range(16_200, 16_500, 7), 1 << 20])
+def test_headers_of_any_length_are_inflated_whole(length):
+    row = {"record_type": "response", "record_id": "1", "refers_to": None, "payload_digest": None}
+    row |= {"target_uri": "x" * length, "payload": b"", "payload_bytes": 0}
+    record = warc.record_bytes(row, "d")
+    for packed in (warc.member(record), gzip.compress(record)):
+        found = list(warc.records(io.BytesIO(packed * 2), lambda headers: True))
+        assert [len(h["warc-target-uri"]) for h, _ in found] == [length] * 2
+        with pytest.raises(ValueError, match="ends within"):
+            list(warc.records(io.BytesIO(packed[: len(packed) // 2]), lambda headers: True))
+
+
 def test_uncommitted_files_are_not_read(spark, folder):
     warc.write_warc(warc.page_records(spark.createDataFrame(PAGE_ROWS, PAGES)), folder)
     with open(f"{folder}/part-lost.warc.gz", "wb") as out:
