@@ -37,6 +37,7 @@ def chunk_bounds(data: bytes) -> list[tuple[int, int, int]]:
 
     A line ends with its newline. A chunk ends after a line if the rolling hash of that line
     and the one before it says so and it has ``LEAST_LINES`` lines, or if it has ``MOST_LINES``.
+    A tail of fewer than ``LEAST_LINES`` filled lines joins the chunk before it.
     """
     raw = np.frombuffer(data, np.uint8)
     end = np.flatnonzero(raw == 10) + 1
@@ -56,6 +57,9 @@ def chunk_bounds(data: bytes) -> list[tuple[int, int, int]]:
         if (ends and lines >= LEAST_LINES) or lines >= MOST_LINES or i == len(cut) - 1:
             bounds.append((int(begin[start]), int(end[i]), count))
             start, lines, count = i + 1, 0, 0
+    if len(bounds) > 1 and bounds[-1][2] < LEAST_LINES:
+        (first, _, before), (_, last, count) = bounds[-2:]
+        bounds[-2:] = [(first, last, before + count)]
     return bounds
 
 

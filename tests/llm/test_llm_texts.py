@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from rankfield.llm import bpe, decontaminate, lines, minhash, packing, quality, suffixes, tokens
 
 DOCS = "doc_id bigint, text string"
@@ -306,6 +307,22 @@ def test_repeated_chunks_of_odd_tables(odd, nothing):
     assert lines.remove_repeated_chunks(nothing).count() == 0
 
 
+def sentences(seed, sizes, blank=False):
+    draw = random.Random(seed)
+    return [" ".join(f"w{draw.randrange(5000)}" for _ in range(n)) + "\n" * (1 + blank) for n in sizes]
+
+
+@pytest.mark.parametrize("blank, end", [(False, ""), (False, "\n")])
+def test_exact_copies_of_any_length_go_whole(spark, sf_dir, blank, end):
+    rows = []
+    for n in range(2, 41):
+        text = "".join(sentences(n, [3 + n * i % 70 for i in range(n)], blank)).rstrip("\n") + end
+        rows += [(n, text), (100 + n, text), (200 + n, text)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    left = corpus_pipeline.drop_repeated_lines(spark, docs, sf_dir)
+    assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == sorted(rows[::3])
+
+
 # Benchmark
 
 
