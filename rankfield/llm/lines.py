@@ -32,34 +32,53 @@ LEAST_LINES = 2
 MOST_LINES = 32
 
 
+class _Lines:
+    """Begin, end and end without the newline of every line, whether it is filled, and the words
+    before each line and in all. Lines of white space alone are blank."""
+
+    def __init__(self, raw: np.ndarray):
+        end = np.flatnonzero(raw == 10) + 1
+        if not len(end) or end[-1] < len(raw):
+            end = np.append(end, len(raw))
+        self.end, self.begin = end, np.concatenate(([0], end[:-1]))
+        self.stop = end - (raw[end - 1] == 10)
+        solid = (raw != 32) & ((raw < 9) | (raw > 13))
+        starts = solid & ~np.concatenate(([False], solid[:-1]))
+        self.words = np.concatenate(([0], np.cumsum(starts)))[np.append(self.begin, len(raw))]
+        self.filled = np.diff(self.words) > 0
+
+
 def chunk_bounds(data: bytes) -> list[tuple[int, int, int]]:
-    """Return start, end (exclusive) and number of filled lines of every chunk.
+    """Return start, end (exclusive) and weight of every chunk.
 
-    A line ends with its newline. A chunk ends after a line if the rolling hash of that line
-    and the one before it says so and it has ``LEAST_LINES`` lines, or if it has ``MOST_LINES``.
-    A tail of fewer than ``LEAST_LINES`` filled lines joins the chunk before it.
+    A line ends with its newline, and a filled line weighs one. A chunk ends if it weighs
+    ``LEAST_LINES`` and the rolling hash of its last two filled lines says so, or if it weighs
+    ``MOST_LINES``. Blank lines go with the filled line before them and do not count. What is left
+    at the end and weighs less than ``LEAST_LINES`` joins the chunk before.
     """
     raw = np.frombuffer(data, np.uint8)
-    end = np.flatnonzero(raw == 10) + 1
-    if not len(end) or end[-1] < len(raw):
-        end = np.append(end, len(raw))
-    begin = np.concatenate(([0], end[:-1]))
-    filled = raw[begin] != 10
-    hashes = hashing.range_hashes(hashing.prefix_sums(raw, hashing.BASES[0]), begin, end, hashing.BASES[0])
+    lines = _Lines(raw)
+    filled = np.flatnonzero(lines.filled)
+    if not len(filled):
+        return [(0, len(raw), 0)]
+    sums = hashing.prefix_sums(raw, hashing.BASES[0])
+    hashes = hashing.range_hashes(sums, lines.begin[filled], lines.end[filled], hashing.BASES[0])
     rolling = hashes.copy()
     for back, step in zip(range(1, WINDOW), hashing.powers(hashing.BASES[1], WINDOW)[1:]):
         rolling[back:] += hashes[:-back] * step
-    cut = (hashing.mixed(rolling) % np.uint64(MODULUS) == 0).tolist()
-    bounds, start, lines, count = [], 0, 0, 0
-    for i, ends in enumerate(cut):
-        lines += 1
-        count += bool(filled[i])
-        if (ends and lines >= LEAST_LINES) or lines >= MOST_LINES or i == len(cut) - 1:
-            bounds.append((int(begin[start]), int(end[i]), count))
-            start, lines, count = i + 1, 0, 0
-    if len(bounds) > 1 and bounds[-1][2] < LEAST_LINES:
-        (first, _, before), (_, last, count) = bounds[-2:]
-        bounds[-2:] = [(first, last, before + count)]
+    cut = hashing.mixed(rolling) % np.uint64(MODULUS) == 0
+    ends = [*lines.begin[filled[1:]].tolist(), len(raw)]
+    bounds, start, weight = [], 0, 0
+    for end, stops in zip(ends, cut.tolist()):
+        weight += 1
+        if (stops and weight >= LEAST_LINES) or weight >= MOST_LINES:
+            bounds.append((start, end, weight))
+            start, weight = end, 0
+    if weight:
+        if weight < LEAST_LINES and bounds:
+            start, _, before = bounds.pop()
+            weight += before
+        bounds.append((start, len(raw), weight))
     return bounds
 
 

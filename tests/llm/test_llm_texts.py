@@ -312,7 +312,7 @@ def sentences(seed, sizes, blank=False):
     return [" ".join(f"w{draw.randrange(5000)}" for _ in range(n)) + "\n" * (1 + blank) for n in sizes]
 
 
-@pytest.mark.parametrize("blank, end", [(False, ""), (False, "\n")])
+@pytest.mark.parametrize("blank, end", [(False, ""), (False, "\n"), (True, ""), (True, "\n\n")])
 def test_exact_copies_of_any_length_go_whole(spark, sf_dir, blank, end):
     rows = []
     for n in range(2, 41):
@@ -323,6 +323,15 @@ def test_exact_copies_of_any_length_go_whole(spark, sf_dir, blank, end):
     assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == sorted(rows[::3])
 
 
+@pytest.mark.parametrize("space", ["\n", "\r\n", " \t\n"])
+def test_blank_lines_do_not_exempt_chunks(space):
+    parts = [line + space for line in sentences(5, [30] * 40)]
+    bounds = lines.chunk_bounds("".join(parts).encode())
+    assert min(n for _, _, n in bounds) >= lines.LEAST_LINES
+    dense = lines.chunk_bounds("".join(sentences(5, [30] * 40)).encode())
+    assert [n for _, _, n in bounds] == [n for _, _, n in dense]
+
+
 # Benchmark
 
 
