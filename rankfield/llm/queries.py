@@ -107,7 +107,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_line_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.remove_repeated_chunks(documents).select(
+    return lines.remove_repeated_passages(documents).select(
         "doc_id",
         "n_lines",
         "n_removed_lines",

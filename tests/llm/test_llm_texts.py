@@ -332,6 +332,22 @@ def test_blank_lines_do_not_exempt_chunks(space):
     assert [n for _, _, n in bounds] == [n for _, _, n in dense]
 
 
+def test_passages_of_over_50_words_go_to_their_edges(spark):
+    rows = []
+    for n in (1, 2, 3, 4, 6, 20):
+        for blank in (False, True):
+            passage = sentences(5000 + 2 * n + blank, [60] if n == 1 else [30] * n, blank)
+            for copy in (0, 1):
+                at = 1000 * copy + 2 * n + blank
+                around = sentences(100 + at, [7, 20, 9, 11], blank)
+                rows.append((at, "".join([*around[:2], *passage, *around[2:]]), "".join(around), n * (1 + blank)))
+    docs = spark.createDataFrame([r[:2] for r in rows], DOCS).repartition(4)
+    found = {r["doc_id"]: r for r in lines.remove_repeated_passages(docs).collect()}
+    for at, text, around, n in rows:
+        assert found[at]["text"] == (text if at < 1000 else around)
+        assert found[at]["n_removed_lines"] == (0 if at < 1000 else n)
+
+
 # Benchmark
 
 
