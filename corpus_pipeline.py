@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfield.llm import decontaminate, lines, minhash, packing, quality
-from rankfield.llm.common import table
+from rankfield.llm.common import table, text_or_empty
 from rankfield.session import written
 
 
@@ -31,8 +31,16 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of each group of near duplicates."""
-    return minhash.near_duplicates(docs).filter("kept").select(*docs.columns)
+    """Keep the document with the least id of each group of near duplicates, in one row.
+
+    Rows equal in key and text are one document to the operator; the least of them stays.
+    """
+    kept = minhash.near_duplicates(docs).filter("kept").select(*docs.columns)
+    again = docs.groupBy("doc_id").count().filter("count > 1")
+    if again.isEmpty():
+        return kept
+    one = kept.groupBy(F.col("doc_id").alias("k"), F.xxhash64(text_or_empty("text")).alias("h"))
+    return one.agg(F.min(F.struct(*kept.columns)).alias("row")).select("row.*")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -291,3 +291,14 @@ def test_pipeline(spark, sf_dir):
 
     assert {r["doc_id"] for r in tables[5].collect()} == set(rows[4])
     assert corpus_pipeline.run(spark, sf_dir).count() == tables[5].count()
+
+
+def test_pipeline_packs_repeated_rows_once(spark, sf_dir, folder):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    keyless = docs.withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
+    fresh = keyless.withColumn("text", F.concat(F.reverse("text"), F.lit(" alone")))
+    docs.union(docs).union(fresh).union(fresh).write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    rows = corpus_pipeline.run(spark, folder).select("doc_id", "ids_crc32", "piece", "start", "length").collect()
+    assert rows and len(rows) == len(set(rows))
