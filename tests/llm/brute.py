@@ -2,9 +2,13 @@
 
 import hashlib
 import itertools
+import math
 import re
+import zlib
 from collections import Counter
 
+import xxhash
+
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 ITEM_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -113,3 +117,89 @@ def line_counts(text, encoding):
         shares = [min(end, ends[i + 1]) - max(start, ends[i]) for i in range(len(sections))]
         counts[shares.index(max(shares))] += 1
     return [counts[i] for i in range(len(sections))]
+
+
+LETTERS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+
+
+def lowered(text):
+    return (text or "").encode().translate(LETTERS)
+
+
+def resampled(docs, target, percent, least_words, buckets, seed):
+    """{id: (features, weight, score, rank)}; ids are different whole numbers or None."""
+
+    def features(text):
+        words = ITEM_WORD.findall(lowered(text))
+        return words, [b" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)]
+
+    def counted(texts):
+        return Counter(zlib.crc32(f) % buckets for text in texts for f in features(text)[1])
+
+    s, t = counted(text for _, text in docs), counted(target)
+    all_s, all_t = sum(s.values()) + buckets, sum(t.values()) + buckets
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * all_s / ((s[b] + 1) * all_t))) for b in range(buckets)}
+    out, able = {}, []
+    for key, text in docs:
+        words, found = features(text)
+        weight = sum(gain[zlib.crc32(f) % buckets] for f in found)
+        h = int(hashlib.sha256(f"{seed}:{'' if key is None else key}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out[key] = (len(found), weight, score, None)
+        if len(words) >= least_words:
+            able.append((-score, key is None, key or 0, key))
+    for rank, (*_, key) in enumerate(sorted(able, key=lambda a: a[:3])[: percent * len(able) // 100], 1):
+        out[key] = (*out[key][:3], rank)
+    return out
+
+
+def simhash(text, size):
+    words = WORD.findall(lowered(text))
+    n = min(size, len(words))
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + n]), 42) for i in range(len(words) - n + 1) if n]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def hamming_components(prints, bits):
+    """{id: least id reachable} of {id: fingerprint}."""
+    parent = {key: key for key in prints}
+
+    def root(key):
+        while parent[key] != key:
+            key = parent[key]
+        return key
+
+    for a, b in itertools.combinations(sorted(prints), 2):
+        if (prints[a] ^ prints[b]).bit_count() <= bits:
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    return {key: root(key) for key in prints}
+
+
+def collocations(docs, least, most_words, first, cover):
+    """[(lang, rank, phrase, a, l, r, n, score)] of (lang, text)."""
+    f, n = Counter(), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(rb"[.,;:!?\x0A-\x0D]", lowered(text)):
+            words = re.findall(rb"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in range(1, most_words + 1):
+                f.update((lang, tuple(words[i : i + k])) for i in range(len(words) - k + 1))
+    often = {(lang, p): a for (lang, p), a in f.items() if a >= least and len(p) > 1}
+    gone = set()
+    for (lang, p), a in often.items():
+        for i, j in itertools.combinations(range(len(p) + 1), 2):
+            if 1 < j - i < len(p) and 100 * a >= cover * f[lang, p[i:j]]:
+                gone.add((lang, p[i:j]))
+    rows = []
+    for (lang, p), a in often.items():
+        if (lang, p) not in gone:
+            cuts = [(f[lang, p[:k]], f[lang, p[k:]]) for k in range(1, len(p))]
+            score, _, left, right = min((1000 * a * n[lang] // (x * y), k, x, y) for k, (x, y) in enumerate(cuts))
+            rows.append((lang, -score, -a, b" ".join(p), left, right))
+    out = []
+    for lang, of in itertools.groupby(sorted(rows), key=lambda r: r[0]):
+        for rank, (_, score, a, p, left, right) in zip(range(1, first + 1), of):
+            out.append((lang, rank, p.decode(), -a, left, right, n[lang], -score))
+    return out
