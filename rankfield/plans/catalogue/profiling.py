@@ -44,8 +44,9 @@ def profile(spark, sf_dir):
 
 @query(
     "table_overview",
-    """
+    f"""
     SELECT table_name, count(*) AS column_count FROM information_schema.columns
+    WHERE table_name IN ({", ".join(f"'{t}'" for t in TABLES)})
     GROUP BY table_name
     """,
 )
