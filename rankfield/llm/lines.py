@@ -12,6 +12,7 @@ large ones would say nothing, on small tables, about the disk that large ones ne
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rankfield.llm import hashing
-from rankfield.llm.common import batches, quoted, runs, with_row_id
+from rankfield.llm.common import BATCH_ROWS, batches, quoted, runs, with_row_id
 from rankfield.session import written
 
 #: Lines whose hashes decide on a boundary.
@@ -36,11 +37,12 @@ MOST_LINES = 32
 LEAST_WORDS = 51
 
 
-class _Lines:
+class Lines:
     """Begin, end and end without the newline of every line, whether it is filled, and the words
     before each line and in all. Lines of white space alone are blank."""
 
-    def __init__(self, raw: np.ndarray):
+    def __init__(self, data: bytes):
+        self.raw = raw = np.frombuffer(data, np.uint8)
         end = np.flatnonzero(raw == 10) + 1
         if not len(end) or end[-1] < len(raw):
             end = np.append(end, len(raw))
@@ -51,8 +53,15 @@ class _Lines:
         self.words = np.concatenate(([0], np.cumsum(starts)))[np.append(self.begin, len(raw))]
         self.filled = np.diff(self.words) > 0
 
+    @cached_property
+    def sums(self) -> np.ndarray:
+        return hashing.prefix_sums(self.raw, hashing.BASES[0])
 
-def chunk_bounds(data: bytes) -> list[tuple[int, int, int]]:
+    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return hashing.range_hashes(self.sums, begin, end, hashing.BASES[0])
+
+
+def chunk_bounds(data: bytes | Lines) -> list[tuple[int, int, int]]:
     """Return start, end (exclusive) and weight of every chunk.
 
     A line ends with its newline. A filled line weighs one, and one of ``LEAST_WORDS`` or more
@@ -61,20 +70,18 @@ def chunk_bounds(data: bytes) -> list[tuple[int, int, int]]:
     says so, or it weighs ``MOST_LINES``. Blank lines go with the filled line before them and do
     not count. What is left at the end and weighs less than ``LEAST_LINES`` joins the chunk before.
     """
-    raw = np.frombuffer(data, np.uint8)
-    lines = _Lines(raw)
+    lines = data if isinstance(data, Lines) else Lines(data)
     filled = np.flatnonzero(lines.filled)
     if not len(filled):
-        return [(0, len(raw), 0)]
-    sums = hashing.prefix_sums(raw, hashing.BASES[0])
-    hashes = hashing.range_hashes(sums, lines.begin[filled], lines.end[filled], hashing.BASES[0])
+        return [(0, len(lines.raw), 0)]
+    hashes = lines.hashes(lines.begin[filled], lines.end[filled])
     rolling = hashes.copy()
     for back, step in zip(range(1, WINDOW), hashing.powers(hashing.BASES[1], WINDOW)[1:]):
         rolling[back:] += hashes[:-back] * step
     long = np.diff(lines.words)[filled] >= LEAST_WORDS
     cut = (hashing.mixed(rolling) % np.uint64(MODULUS) == 0) | long | np.append(long[1:], False)
     weights = np.where(long, LEAST_LINES, 1).tolist()
-    ends = [*lines.begin[filled[1:]].tolist(), len(raw)]
+    ends = [*lines.begin[filled[1:]].tolist(), len(lines.raw)]
     bounds, start, weight = [], 0, 0
     for end, stops, more in zip(ends, cut.tolist(), weights):
         weight += more
@@ -85,61 +92,64 @@ def chunk_bounds(data: bytes) -> list[tuple[int, int, int]]:
         if weight < LEAST_LINES and bounds:
             start, _, before = bounds.pop()
             weight += before
-        bounds.append((start, len(raw), weight))
+        bounds.append((start, len(lines.raw), weight))
     return bounds
 
 
-def chunk_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def chunk_spans(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
     """Return starts and ends of the chunks that can be repeats."""
-    bounds = np.array([b[:2] for b in chunk_bounds(data) if b[2] >= LEAST_LINES], np.int64).reshape(-1, 2)
+    bounds = np.array([b[:2] for b in chunk_bounds(lines) if b[2] >= LEAST_LINES], np.int64).reshape(-1, 2)
     return bounds[:, 0], bounds[:, 1]
 
 
-def passage_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def passage_spans(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
     """Return starts and ends of the shortest runs of lines with ``LEAST_WORDS`` words, from each
     filled line on and back from each, and of the chunks of fewer words.
 
     Every line of a passage of so many words is in a run within the passage, wherever it is.
     """
-    lines = _Lines(np.frombuffer(data, np.uint8))
     filled, words = np.flatnonzero(lines.filled), lines.words
     last = np.searchsorted(words, words[filled] + LEAST_WORDS) - 1
     on = last < len(lines.begin)
     first = np.searchsorted(words, words[filled + 1] - LEAST_WORDS, side="right") - 1
     back = first >= 0
-    pairs = np.unique(
-        np.concatenate(
-            [np.column_stack([filled[on], last[on]]), np.column_stack([first[back], filled[back]])]
-        ),
-        axis=0,
-    )
-    start, end = chunk_spans(data)
+    # First and last line in one number, to have each run once.
+    ahead, behind = filled[on] << 32 | last[on], first[back] << 32 | filled[back]
+    pairs = np.unique(np.concatenate([ahead, behind]))
+    start, end = chunk_spans(lines)
     size = words[np.searchsorted(lines.begin, end)] - words[np.searchsorted(lines.begin, start)]
     few = size < LEAST_WORDS
     return (
-        np.concatenate([lines.begin[pairs[:, 0]], start[few]]),
-        np.concatenate([lines.stop[pairs[:, 1]], end[few]]),
+        np.concatenate([lines.begin[pairs >> 32], start[few]]),
+        np.concatenate([lines.stop[pairs & 0xFFFFFFFF], end[few]]),
     )
 
 
 _SPAN = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("h", pa.int64())])
 
 
+def _span_batch(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], schema=_SPAN)
+
+
 def _spans(spans_of: Callable) -> Callable:
     def spans(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in source:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = (text.as_py() or "").encode()
                 if not data:
                     continue
-                start, end = spans_of(data)
-                base = hashing.BASES[0]
-                sums = hashing.prefix_sums(np.frombuffer(data, np.uint8), base)
-                h = hashing.range_hashes(sums, start, end, base).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(start), key)), pa.array(start), pa.array(end - start), pa.array(h)],
-                    schema=_SPAN,
-                )
+                lines = Lines(data)
+                start, end = spans_of(lines)
+                h = lines.hashes(start, end).view(np.int64)
+                held.append((np.full(len(start), key), start, end - start, h))
+                rows += len(start)
+                if rows >= BATCH_ROWS:
+                    yield _span_batch(held)
+                    held, rows = [], 0
+        if held:
+            yield _span_batch(held)
 
     return spans
 
@@ -183,7 +193,7 @@ _CLEAN = pa.schema([("cleaned", pa.string()), ("n_lines", pa.int64()), ("n_remov
 
 def _without(data: bytes, found: list[dict]) -> tuple[bytes, int]:
     """Return the text without the lines of the spans whose bytes are equal, and their number."""
-    lines = _Lines(np.frombuffer(data, np.uint8))
+    lines = Lines(data)
     count = len(lines.begin)
     steps = np.zeros(count + 1, np.int64)
     for f in found:
@@ -239,8 +249,9 @@ def remove_repeated_passages(documents: DataFrame, *, key: str = "doc_id", text:
     """Remove every run of lines with ``LEAST_WORDS`` words or more that occurs earlier as well,
     to its first and last line, and chunks as ``remove_repeated_chunks`` does.
 
-    An earlier occurrence in the same document must end before the later one begins. Of each
-    line removed an equal one is left earlier.
+    Earlier is a smaller key, or the same document and a place that ends before the later one
+    begins. Of each line removed an equal one is left earlier. Columns, rows, null and empty
+    texts, null and repeated keys are treated as ``remove_repeated_chunks`` does.
     """
     return _remove_repeats(documents, passage_spans, key, text)
 

@@ -107,6 +107,27 @@ def repeated_chunks(docs, bounds_of):
     return out
 
 
+def repeated_passages(docs, spans_of):
+    """{id: (text left, removed lines)} for the spans of lines that ``spans_of`` gives."""
+    first, out = {}, {}
+    for key, text in sorted(docs, key=lambda d: d[0]):
+        data = (text or "").encode()
+        lines = re.findall(rb"[^\n]*\n|[^\n]+", data)
+        begins = [0, *itertools.accumulate(len(line) for line in lines)]
+        gone = set()
+        for start, end in sorted(spans_of(data)) if data else []:
+            at = first.setdefault(data[start:end], (key, start))
+            if at[0] != key or start >= at[1] + end - start:
+                ends = [b - line.endswith(b"\n") for b, line in zip(begins[1:], lines)]
+                gone |= {i for i in range(len(lines)) if begins[i] >= start and ends[i] <= end}
+        # A blank line goes as the filled line before it does, the first ones as the first.
+        filled = [i for i, line in enumerate(lines) if line.split()]
+        owners = [max((f for f in filled if f <= i), default=filled[0] if filled else i) for i in range(len(lines))]
+        left = b"".join(line for line, owner in zip(lines, owners) if owner not in gone)
+        out[key] = (None if text is None else left.decode(), sum(o in gone for o in owners))
+    return out
+
+
 def line_counts(text, encoding):
     """Tokens of each line: a token goes where most of its characters are, the earlier if equal."""
     sections = re.split(r"(?<=\n)", text)

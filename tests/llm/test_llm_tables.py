@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rankfield.llm import urls, vectors, warc
+from rankfield.llm import lines, urls, vectors, warc
 from rankfield.llm.queries import ORACLES, QUERIES
 
 # Archives
@@ -260,11 +260,16 @@ def test_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
+def passages(data):
+    starts, ends = lines.passage_spans(lines.Lines(data))
+    return list(zip(starts.tolist(), ends.tolist()))
+
+
 def test_pipeline(spark, sf_dir):
     """Each stage's decisions, each judged on its own input."""
     import brute
 
-    from rankfield.llm import lines, quality
+    from rankfield.llm import quality
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = docs.columns
@@ -279,7 +284,7 @@ def test_pipeline(spark, sf_dir):
     good = quality.score_quality(docs, labels).filter("predicted = 1").collect()
     assert rows[1] == {r["doc_id"]: r["text"] for r in good}
 
-    cleaned = brute.repeated_chunks(list(rows[1].items()), lines.chunk_bounds)
+    cleaned = brute.repeated_passages(list(rows[1].items()), passages)
     assert rows[2] == {k: t for k, (t, n) in cleaned.items() if t or not n}
 
     near = brute.near_duplicates(list(rows[2].items()), 5, 80)

@@ -423,3 +423,54 @@ def test_quality_of_odd_tables(spark, odd, nothing):
     assert len(rows) == len(ODD_ROWS) and all(0 <= r["score"] <= 1 for r in rows)
     assert len({r["score"] for r in rows if not r["text"]}) == 1
     assert quality.score_quality(nothing, labels).count() == 0
+
+
+def passages(data):
+    starts, ends = lines.passage_spans(lines.Lines(data))
+    return list(zip(starts.tolist(), ends.tolist()))
+
+
+def test_repeated_passages(spark, sample):
+    parts = made_up(6, ["aa ", "b ", "c\n", "dd. "], 25, 60)
+    docs = made_up(7, [f"{p}\n" for _, p in parts] + ["\n", "x\n", " \n", "y"], 120, 14)
+    docs += [(1000, None), (1001, ""), (1002, "one two\n" * 90), (1003, "w " * 60 + "\n" + "w " * 60)]
+    for rows in (docs, sample):
+        found = lines.remove_repeated_passages(spark.createDataFrame(rows, DOCS).repartition(4)).collect()
+        assert {r["doc_id"]: (r["text"], r["n_removed_lines"]) for r in found} == brute.repeated_passages(rows, passages)
+
+
+def test_repeated_passages_of_odd_tables(odd, nothing):
+    found = lines.remove_repeated_passages(odd)
+    assert found.columns == [*odd.columns, "n_lines", "n_removed_lines"]
+    rows = found.collect()
+    assert len(rows) == len(ODD_ROWS)
+    same = [r["text"] for r in rows if r["row"] == "r" and r["id"] == 1]
+    assert len(same) == 2 and len(set(same)) == 1
+    assert lines.remove_repeated_passages(nothing).count() == 0
+
+
+def test_words_with_equal_sums_stay_apart(spark):
+    """Words made to collide under any polynomial modulo 2^64 are different words here."""
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = [(1, word), (2, other), (3, f"x {word} y z"), (4, f"x {other} y z")]
+    rows = minhash.near_duplicates(spark.createDataFrame(docs, DOCS), size=3, percent=85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: i for i, _ in docs}
+
+
+def test_a_large_group_of_near_copies(spark):
+    """One hot group whose copies differ in different words, some too far from its centre."""
+    draw = random.Random(17)
+    base = [f"w{i}" for i in range(150)]
+    docs = []
+    for i in range(400):
+        changed = list(base)
+        for at in draw.sample(range(150), draw.choice([1, 2, 3, 4, 5])):
+            changed[at] = f"v{draw.randrange(40)}"
+        docs.append((i, " ".join(changed)))
+    docs += [(1000 + i, t) for i, (_, t) in enumerate(made_up(4, ["p ", "q ", "r ", "s "], 30, 40))]
+    rows = minhash.near_duplicates(spark.createDataFrame(docs, DOCS).repartition(4), size=3, percent=85).collect()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in rows}
+    assert got == brute.near_duplicates(docs, 3, 85)
