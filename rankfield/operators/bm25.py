@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankfield.functions.tokens import check_text, tokens, word_slices
-from rankfield.operators.knn import attach_columns, query_block, single_query, where_condition
+from rankfield.operators.knn import (
+    attach_columns,
+    query_block,
+    single_query,
+    unique_queries,
+    where_condition,
+)
 from rankfield.operators.merge import check_keys
 from rankfield.operators.topk import (
     SCORE_DECIMALS,
@@ -434,14 +440,6 @@ def _scan_any(
     return score_grid(postings, weights, schema, average=average, k=k, block_rows=block_rows)
 
 
-def unique_queries(queries: DataFrame, query_key: str) -> DataFrame:
-    """Return the queries, written once, if no two share an id; those would be one answer."""
-    queries = written(queries, "queries")
-    if not queries.groupBy(query_key).count().filter("count > 1").isEmpty():
-        raise ValueError(f"two queries have the same {query_key!r}")
-    return queries
-
-
 def text_queries(
     corpus: DataFrame, queries: DataFrame | None, query: str | None
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +53,24 @@ def single_query(corpus: DataFrame, **values: Any) -> DataFrame:
     return corpus.sparkSession.createDataFrame([tuple(row)], T.StructType(fields))
 
 
+def unique_queries(queries: DataFrame, query_key: str) -> DataFrame:
+    """Return the queries, written once, if no two share an id; those would be one answer."""
+    queries = written(queries, "queries")
+    if not queries.groupBy(query_key).count().filter("count > 1").isEmpty():
+        raise ValueError(f"two queries have the same {query_key!r}")
+    return queries
+
+
+def held_queries(asked: DataFrame, query_key: str, rows: int) -> tuple[DataFrame, pa.Table | None]:
+    """Return the queries, and as a table if they are few; repeated ids are refused."""
+    table = bounded(asked, rows=rows)
+    if table is None:
+        return unique_queries(asked, query_key), None
+    if pc.count_distinct(table.column(0), mode="all").as_py() < table.num_rows:
+        raise ValueError(f"two queries have the same {query_key!r}")
+    return asked, table
+
+
 def where_condition(df: DataFrame, where: Column | Mapping[str, Any] | None) -> Column:
     """Return which rows of ``df`` a filter keeps: a condition, or equalities by column."""
     if where is None:
@@ -285,7 +304,7 @@ def knn(
     )
     schema = candidate_schema(corpus, queries, key, query_key)
     block = query_block(k, broadcast_rows)
-    table = bounded(asked, rows=block)
+    asked, table = held_queries(asked, query_key, block)
     if table is not None:
         near = _near_broadcast(spread(slim, key), table, schema, metric, k)
     else:

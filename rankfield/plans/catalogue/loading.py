@@ -159,6 +159,30 @@ def attach_join(spark, sf_dir):
     )
 
 
+@query(
+    "store_lookup",
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS id, text AS content, quality
+    FROM documents JOIN labels USING (doc_id) WHERE toxic = 1
+    """,
+)
+def store_lookup(spark, sf_dir):
+    """Stored documents by their ids; only the hash buckets of the ids are opened."""
+    store = DocumentStore(new_database(spark), HashingEmbedder(), metadata_columns={"quality": "int"})
+    documents = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
+    store.add_documents(
+        documents.select(
+            F.col("doc_id").cast("string").alias("id"),
+            F.col("text").alias("content"),
+            F.to_json(F.struct("quality")).alias("metadata_json"),
+        )
+    )
+    ids = read(spark, sf_dir, "labels").filter("toxic = 1").select(F.col("doc_id").cast("string").alias("id"))
+    found = store.get_by_ids(ids)
+    quality = F.get_json_object("metadata_json", "$.quality").cast("int")
+    return found.select("id", "content", quality.alias("quality"))
+
+
 @query(
     "store_upsert",
     """

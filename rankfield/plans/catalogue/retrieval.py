@@ -88,13 +88,13 @@ _SQL_KNN_JOIN = f"""
 """
 
 
-def _sql_bm25(queries: str) -> str:
+def _sql_bm25(queries: str, documents: str = "documents") -> str:
     """CTEs ending in ``scored (query_id, doc_id, score)`` for ``queries(query_id, text)``."""
     return f"""
-    tok AS (SELECT doc_id, {_SQL_TOKENS} AS t FROM documents),
+    tok AS (SELECT doc_id, {_SQL_TOKENS} AS t FROM {documents}),
     tf AS (SELECT doc_id, t, count(*) AS tf FROM tok GROUP BY ALL),
     len AS (SELECT doc_id, sum(tf) AS len FROM tf GROUP BY doc_id),
-    tot AS (SELECT (SELECT count(*) FROM documents)::DOUBLE AS n,
+    tot AS (SELECT (SELECT count(*) FROM {documents})::DOUBLE AS n,
                    (SELECT sum(len) FROM len)::DOUBLE AS words),
     df AS (SELECT t, count(*)::DOUBLE AS df FROM tf GROUP BY t),
     asked AS (SELECT DISTINCT query_id, {_SQL_TOKENS} AS t FROM ({queries})),
@@ -359,6 +359,15 @@ def ivf_full_probe(spark, sf_dir):
     return hits.withColumn("_distance", F.round("_distance", 6))
 
 
+@query("ivf_exact", _SQL_KNN_JOIN)
+def ivf_exact(spark, sf_dir):
+    """The same answer from the cells alone that can hold one of the nearest."""
+    embeddings = read(spark, sf_dir, "embeddings")
+    index = CellIndex.build(embeddings, key="vec_id", path=scratch_path(spark, "cells"))
+    hits = index.search(_all_vectors(embeddings), k=5, nprobe=None)
+    return hits.withColumn("_distance", F.round("_distance", 6))
+
+
 # ------------------------------------------------------------------- diversified
 
 
@@ -735,3 +744,38 @@ def search_stored_hybrid(spark, sf_dir):
         where={"lang": "en"},
     )
     return hits.select("rank", "doc_id", "lang", F.round("score", 9).alias("score"))
+
+
+_SQL_CHANGED = """
+    changed AS (
+        SELECT doc_id, lang, CASE WHEN doc_id % 10 = 3 THEN concat(text, ' thtion thtion') ELSE text END AS text
+        FROM documents WHERE doc_id % 10 <> 7)
+"""
+
+
+def changed_table(spark, sf_dir):
+    """The served table after an upsert of a tenth of its rows and a delete of another."""
+    table = served_table(spark, sf_dir)
+    documents = read(spark, sf_dir, "documents")
+    longer = documents.filter("doc_id % 10 = 3").withColumn("text", F.concat_ws(" ", "text", F.lit("thtion thtion")))
+    table.load(embed(longer, EMBEDDER, "text"), "upsert", ["doc_id"])
+    table.load(documents.filter("doc_id % 10 = 7"), "delete", ["doc_id"])
+    refresh_indexes(table)
+    return table
+
+
+@query(
+    "search_after_upsert",
+    f"""
+    WITH {_SQL_CHANGED}, {_sql_bm25(_SQL_ASKED, "changed")},
+    r AS (SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, lang, score
+          FROM scored JOIN changed USING (doc_id))
+    SELECT rank, doc_id, lang, round(score, 6) AS score FROM r WHERE rank <= 20
+    """,
+)
+def search_after_upsert(spark, sf_dir):
+    """The search by words, served from an index that an upsert and a delete have changed."""
+    hits = search_table(
+        changed_table(spark, sf_dir), ASKED, column="text", strategy="text", k=20, columns=["lang"]
+    )
+    return hits.select("rank", "doc_id", "lang", F.round("score", 6).alias("score"))

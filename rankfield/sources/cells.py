@@ -25,13 +25,14 @@ from rankfield.operators.knn import (
     DISTANCE,
     apply_where,
     candidate_schema,
+    held_queries,
     near_grid,
     offer_block,
     query_block,
     single_query,
 )
 from rankfield.operators.topk import RunningTopK, check_k, ranked
-from rankfield.session import BROADCAST_ROWS, bounded, spread, written
+from rankfield.session import BROADCAST_ROWS, spread, written
 from rankfield.sources import records
 
 #: Most cells that are chosen without being asked for; centres are held by the driver.
@@ -57,6 +58,34 @@ def _fit(vectors: DataFrame, vector: str, cells: int, metric: str, seed: int):
     return np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
 
 
+def _directed(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Return the vectors at length one, and which of them have a direction."""
+    length = np.linalg.norm(vectors, axis=1)
+    return vectors / np.where(length > 0, length, 1.0)[:, None], length > 0
+
+
+def distance_from(vectors: np.ndarray, centres: np.ndarray, metric: str) -> np.ndarray:
+    """Return the Euclidean distance of each vector (by angle: at length one) from its centre."""
+    if metric != "cosine":
+        return np.linalg.norm(vectors - centres, axis=1)
+    unit, known = _directed(vectors)
+    # A vector without a direction is at distance 1 from all: its cell is never ruled out.
+    return np.where(known, np.linalg.norm(unit - centres, axis=1), np.inf)
+
+
+def least_distance(queries: np.ndarray, centres: np.ndarray, radii: np.ndarray, metric: str) -> np.ndarray:
+    """Return the least distance, in the measure, that a vector of each cell can have."""
+    known = np.ones(len(queries), dtype=bool)
+    if metric == "cosine":
+        queries, known = _directed(queries)
+    with np.errstate(invalid="ignore"):
+        if metric == "dot":
+            return -(queries @ centres.T) - np.linalg.norm(queries, axis=1)[:, None] * radii
+        away = np.sqrt(np.maximum(distance_block(queries, centres, "l2"), 0.0))
+        bound = np.maximum(away - radii, 0.0) ** 2
+    return np.where(known[:, None], bound / 2, -np.inf) if metric == "cosine" else bound
+
+
 def nearest_cell(vector: str | Column, centres: np.ndarray, metric: str) -> Column:
     """Return the number of the centre nearest to each vector."""
     measure = "cosine" if metric == "cosine" else "l2"
@@ -82,8 +111,13 @@ class CellIndex:
     metric: str
     centres: tuple[tuple[float, ...], ...]
     columns: str
-    #: Folders of vectors: that of the build, then one for each extension.
+    #: Folders of vectors: that of the build, then one for each change.
     parts: tuple[str, ...]
+    #: Numbers of the parts that have ``gone``, keys whose vectors in earlier parts are void.
+    voiding: tuple[int, ...] = ()
+    #: For each cell the most that a vector is away from the centre, and how many it holds.
+    radii: tuple[float, ...] = ()
+    sizes: tuple[int, ...] = ()
 
     @classmethod
     def build(
@@ -117,11 +151,12 @@ class CellIndex:
         columns = T.StructType([*stored.schema.fields, cell]).json()
         part = f"{path}/vectors"
         index = cls(path, key, vector, metric, tuple(map(tuple, centres.tolist())), columns, (part,))
-        index._write(stored, part)
+        index = index._write(stored, part)
         records.create(spark, f"{path}/centres.json", asdict(index))
         return index
 
-    def _write(self, rows: DataFrame, part: str) -> None:
+    def _write(self, rows: DataFrame, part: str) -> CellIndex:
+        """Write rows to their cells; return the index with the cells' new radii and sizes."""
         # A rebalance splits a cell that holds too many rows over several files.
         (
             rows.withColumn("cell", nearest_cell(self.vector, np.array(self.centres), self.metric))
@@ -131,29 +166,62 @@ class CellIndex:
             .parquet(part)
         )
 
-    def extend(self, rows: DataFrame) -> str:
-        """Add new rows to their cells; return the path of the longer index.
+        spark, centres, metric = rows.sparkSession, np.array(self.centres), self.metric
+
+        @F.arrow_udf("double")
+        def away(vectors: pa.Array, cells: pa.Array) -> pa.Array:
+            if not len(vectors):
+                return pa.array([], pa.float64())
+            return pa.array(distance_from(as_matrix(vectors), centres[cells.to_numpy()], metric))
+
+        stored = spark.read.schema(T.StructType.fromJson(json.loads(self.columns))).parquet(part)
+        found = stored.select("cell", away(self.vector, "cell").alias("away")).groupBy("cell")
+        radii = np.array(self.radii or [0.0] * len(centres))
+        sizes = np.array(self.sizes or [0] * len(centres))
+        for cell, most, count in found.agg(F.max("away"), F.count("*")).collect():
+            radii[cell] = max(radii[cell], most)
+            sizes[cell] += count
+        return replace(self, radii=tuple(radii.tolist()), sizes=tuple(sizes.tolist()))
+
+    @property
+    def rows(self) -> int:
+        """Vectors stored, void ones included."""
+        return sum(self.sizes)
+
+    def change(self, added: DataFrame, gone: DataFrame | None = None) -> str:
+        """Add rows to their cells and void others by key; return the path of the changed index.
 
         The centres stay. The index it grew from stays as it is for those who have it open.
         """
         fields = T.StructType.fromJson(json.loads(self.columns)).names[:-1]
-        new = rows.select(*fields).filter(F.col(self.vector).isNotNull())
+        new = added.select(*fields).filter(F.col(self.vector).isNotNull())
         path = f"{self.path.rsplit('/', 1)[0]}/vectors-{uuid.uuid4().hex}"
-        part = f"{path}/vectors"
-        self._write(new, part)
-        records.create(rows.sparkSession, f"{path}/centres.json", asdict(replace(self, path=path, parts=(*self.parts, part))))
+        part, voiding = f"{path}/vectors", self.voiding
+        if gone is not None:
+            gone.select(self.key).write.parquet(f"{part}-gone")
+            voiding = (*voiding, len(self.parts))
+        index = replace(self._write(new, part), path=path, parts=(*self.parts, part), voiding=voiding)
+        records.create(added.sparkSession, f"{path}/centres.json", asdict(index))
         return path
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> CellIndex:
         found = records.read(spark, f"{path}/centres.json")
         centres = tuple(map(tuple, found["centres"]))
-        return cls(**{**found, "centres": centres, "parts": tuple(found["parts"])})
+        lists = {name: tuple(found[name]) for name in ("parts", "voiding", "radii", "sizes")}
+        return cls(**{**found, "centres": centres, **lists})
 
     def vectors(self, spark: SparkSession) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(self.columns))
         frames = [spark.read.schema(schema).parquet(part) for part in self.parts]
-        return reduce(DataFrame.unionByName, frames)
+        if not self.voiding:
+            return reduce(DataFrame.unionByName, frames)
+        every = reduce(DataFrame.unionByName, [f.withColumn("_part", F.lit(i)) for i, f in enumerate(frames)])
+        keys = T.StructType([schema[self.key]])
+        gone = [spark.read.schema(keys).parquet(f"{self.parts[i]}-gone").withColumn("_until", F.lit(i)) for i in self.voiding]
+        last = reduce(DataFrame.unionByName, gone).groupBy(self.key).agg(F.max("_until").alias("_until"))
+        void = (every[self.key] == last[self.key]) & (F.col("_part") < F.col("_until"))
+        return every.join(last, void, "left_anti").drop("_part")
 
     def _probe(self, queries: np.ndarray, nprobe: int) -> np.ndarray:
         """Return which cells each query looks in: its ``nprobe`` nearest centres.
@@ -167,6 +235,23 @@ class CellIndex:
         np.put_along_axis(chosen, order[:, :nprobe], True, axis=1)
         return chosen
 
+    def _start(self, queries: np.ndarray, k: int) -> np.ndarray:
+        """Return which cells each query looks in first: its nearest, until they hold ``k`` rows."""
+        centres, sizes = np.array(self.centres), np.array(self.sizes)
+        order = np.argsort(distance_block(queries, centres, self.metric), axis=1, kind="stable")
+        held = sizes[order]
+        chosen = np.zeros(order.shape, dtype=bool)
+        np.put_along_axis(chosen, order, np.cumsum(held, axis=1) - held < k, axis=1)
+        return chosen
+
+    def _can_reach(self, queries: np.ndarray, kth: np.ndarray) -> np.ndarray:
+        """Return which cells may hold a row as near to each query as its ``kth`` distance.
+
+        No vector of a cell is nearer than the centre is, less the cell's radius.
+        """
+        bound = least_distance(queries, np.array(self.centres), np.array(self.radii), self.metric)
+        return ~(bound > (kth + 1e-9 * (1.0 + np.abs(kth)))[:, None])
+
     def search(
         self,
         queries: DataFrame | None = None,
@@ -177,18 +262,20 @@ class CellIndex:
         query_vector_column: str = "query_vector",
         metric: str | None = None,
         k: int = DEFAULT_K,
-        nprobe: int = 4,
+        nprobe: int | None = 4,
         where: Column | Mapping[str, Any] | None = None,
         broadcast_rows: int = BROADCAST_ROWS,
     ) -> DataFrame:
         """Return ``query_key, rank, key, _distance`` from the cells nearest each query.
 
-        Reads only the folders of cells that some query looks in. With ``nprobe`` equal
-        to the number of cells the answer is the exact one. A ``metric`` other than the
-        index's is refused.
+        Reads only the folders of cells that some query looks in. With ``nprobe`` ``None`` the
+        answer is the exact one: after the nearest cells only those are read that can hold a
+        row as near as the k-th found, by the triangle inequality. A ``metric`` other than the
+        index's, and queries that share an id, are refused.
         """
         check_k(k)
-        nprobe = min(check_k(nprobe, "nprobe"), len(self.centres))
+        if nprobe is not None:
+            nprobe = min(check_k(nprobe, "nprobe"), len(self.centres))
         if metric is not None and check_metric(metric.lower()) != self.metric:
             raise ValueError(f"the index was built for {self.metric!r}, not {metric!r}")
         if (queries is None) == (query_vector is None):
@@ -204,26 +291,50 @@ class CellIndex:
         schema = candidate_schema(stored, queries, self.key, query_key)
         stored = stored.select(self.key, self.vector, "cell")
         block = query_block(k, broadcast_rows)
-        table = bounded(asked, rows=block)
-        if table is not None:
-            near = self._search_broadcast(stored, table, schema, k, nprobe)
-        else:
-            probe, width = self._probe, nprobe
+        asked, table = held_queries(asked, query_key, block)
+        order = [F.col(DISTANCE).asc_nulls_last(), F.col(self.key).asc()]
+
+        def best(near: DataFrame) -> DataFrame:
+            return ranked(near, query_key, order, k).select(query_key, "rank", self.key, DISTANCE)
 
+        if table is not None:
+            ids, matrix = table.column(0).combine_chunks(), as_matrix(table.column(1))
+            look = lambda chosen: self._search_broadcast(stored, ids, matrix, chosen, schema, k)
+            if not len(ids):
+                return best(look(np.zeros((0, 1), dtype=bool)))
+            if nprobe is not None:
+                return best(look(self._probe(matrix, nprobe)))
+            first = self._start(matrix, k)
+            near = written(best(look(first)).drop("rank"), "near")
+            # One number for each of the bounded number of queries.
+            farthest = near.groupBy(query_key).agg(F.max(DISTANCE), F.count(DISTANCE)).collect()
+            known = {i: d for i, d, n in farthest if n == k}
+            kth = np.array([known.get(i, np.inf) for i in ids.to_pylist()])
+            rest = self._can_reach(matrix, kth) & ~first
+            return best(near.unionByName(look(rest)) if rest.any() else near)
+
+        def in_cells(queries: DataFrame, of, *columns: str) -> DataFrame:
             @F.arrow_udf("array<int>")
-            def cells(vectors: pa.Array) -> pa.Array:
-                found = [np.flatnonzero(row) for row in probe(as_matrix(vectors), width)]
-                return pa.array(found, pa.list_(pa.int32()))
+            def cells(vectors: pa.Array, *more: pa.Array) -> pa.Array:
+                chosen = of(as_matrix(vectors), *(m.to_numpy(zero_copy_only=False) for m in more)) if len(vectors) else []
+                return pa.array([np.flatnonzero(row) for row in chosen], pa.list_(pa.int32()))
 
-            per_cell = asked.withColumn("cell", F.explode(cells(F.col(query_vector_column))))
-            near = near_grid(stored, per_cell, schema, self.metric, k, block, within="cell")
-        order = [F.col(DISTANCE).asc_nulls_last(), F.col(self.key).asc()]
-        return ranked(near, query_key, order, k).select(query_key, "rank", self.key, DISTANCE)
+            per_cell = queries.withColumn("cell", F.explode(cells(query_vector_column, *columns)))
+            per_cell = per_cell.select(query_key, query_vector_column, "cell")
+            return near_grid(stored, per_cell, schema, self.metric, k, block, within="cell")
 
-    def _search_broadcast(self, stored, table, schema, k: int, nprobe: int) -> DataFrame:
-        ids = table.column(0).combine_chunks()
-        matrix = as_matrix(table.column(1))
-        chosen = self._probe(matrix, nprobe) if len(ids) else np.zeros((0, 1), dtype=bool)
+        if nprobe is not None:
+            probe, width = self._probe, nprobe
+            return best(in_cells(asked, lambda vectors: probe(vectors, width)))
+        start, can_reach = self._start, self._can_reach
+        near = written(best(in_cells(asked, lambda vectors: start(vectors, k))).drop("rank"), "near")
+        farthest = near.groupBy(query_key).agg(F.max(DISTANCE).alias("_most"), F.count(DISTANCE).alias("_found"))
+        kth = F.coalesce(F.when(F.col("_found") == k, F.col("_most")), F.lit(float("inf")))
+        bounds = asked.join(farthest, query_key, "left").select(query_key, query_vector_column, kth.alias("_kth"))
+        rest = in_cells(bounds, lambda vectors, kth: can_reach(vectors, kth) & ~start(vectors, k), "_kth")
+        return best(near.unionByName(rest))
+
+    def _search_broadcast(self, stored, ids, matrix, chosen, schema, k: int) -> DataFrame:
         looked_in = [int(c) for c in np.flatnonzero(chosen.any(axis=0))]
         metric, names = self.metric, schema.fieldNames()
         shared = stored.sparkSession.sparkContext.broadcast((ids, matrix, chosen))

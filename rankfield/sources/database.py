@@ -19,6 +19,7 @@ from rankfield.operators.merge import (
     check_keys,
     check_mode,
     conform,
+    get_by_ids,
 )
 from rankfield.operators.profile import column_stats, table_overview
 from rankfield.session import written
@@ -172,16 +173,55 @@ class ManagedTable:
         reader = self._spark.read.schema(schema).option("basePath", f"{self.folder}/data")
         return reader.parquet(*paths).select(*[f"`{name}`" for name in schema.names])
 
-    def appended_since(self, version: int) -> DataFrame | None:
-        """Return the rows added since a version, or ``None`` if others were changed as well."""
+    def changed_since(self, version: int) -> tuple[DataFrame, DataFrame | None] | None:
+        """Return the rows added since a version and those that are gone, or ``None``.
+
+        A row whose columns changed is in both. After appends nothing is gone. Only the hash
+        buckets that loads have rewritten are compared. ``None`` means that the rows of the two
+        versions cannot be told apart: without a key, with other columns, or with maps.
+        """
         record = self.record
         name = f"{version:08d}.json"
         if name not in records.names(self._spark, f"{self.folder}/versions"):
             return None
         old = self._version(name)
-        if not old.version or not set(old.paths) <= set(record.paths):
+        if not old.version or old.columns != record.columns:
+            return None
+        left = [p for p in old.paths if p not in set(record.paths)]
+        new = [p for p in record.paths if p not in set(old.paths)]
+        if not left:
+            return self._rows(record, new), None
+        if not record.key:
             return None
-        return self._rows(record, [p for p in record.paths if p not in set(old.paths)])
+        before, after = self._rows(record, left), self._rows(record, new)
+        if any("map<" in kind for _, kind in after.dtypes):
+            return None
+        key = list(record.key)
+        whole = lambda df, name: df.select(*key, F.struct(*[f"`{c}`" for c in df.columns]).alias(name))
+        pairs = whole(before, "_old").join(whole(after, "_new"), key, "full_outer")
+        differs = ~F.col("_old").eqNullSafe(F.col("_new"))
+        pairs = written(pairs.filter(differs).select("_old", "_new"), "changes")
+        added = pairs.filter(F.col("_new").isNotNull()).select("_new.*")
+        return added, pairs.filter(F.col("_old").isNotNull()).select("_old.*")
+
+    def lookup(self, ids: DataFrame | Sequence) -> DataFrame:
+        """Return the rows with the given values of the table's one key column.
+
+        Only the hash buckets that the ids fall in are opened. Absent ids are skipped.
+        """
+        record = self.record
+        if len(record.key) != 1:
+            raise ValueError(f"a lookup needs a table with one key column, this one has {list(record.key)}")
+        (key,) = record.key
+        rows = self._open(record)
+        if isinstance(ids, DataFrame):
+            wanted = ids.select(F.col(f"`{ids.columns[0]}`").cast(rows.schema[key].dataType).alias(key))
+        else:
+            wanted = self._spark.createDataFrame([(i,) for i in ids], StructType([rows.schema[key]]))
+        # At most one number for each bucket reaches the driver.
+        hit = {r[0] for r in wanted.select(_bucket(record)).distinct().collect()}
+        rows = self._rows(record, [p for p in record.paths if bucket_of_path(p) in hit])
+        return get_by_ids(rows, wanted if isinstance(ids, DataFrame) else ids, key=key)
 
     def load(
         self,

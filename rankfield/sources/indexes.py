@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from rankfield.operators.embed import Embedder
+from rankfield.operators.merge import check_keys
 from rankfield.sources import records
 from rankfield.sources.cells import CellIndex
 from rankfield.sources.database import ManagedTable
@@ -18,6 +19,10 @@ from rankfield.sources.postings import PostingsIndex
 from rankfield.sources.rankings import Rankings, TextIndex, VectorIndex
 
 
+#: Parts of an index beyond which it is built again.
+MOST_PARTS = 32
+
+
 @dataclass(frozen=True)
 class StoredIndex:
     """An index of one version of a table, with what is needed to build it again."""
@@ -123,36 +128,39 @@ def create_vector_index(
 def refresh_indexes(table: ManagedTable, embedder: Embedder | None = None) -> None:
     """Bring the indexes of an older version up to the table's current one.
 
-    After appends only the new rows are indexed: their postings and vectors are added to the
-    folders of the index. Any other load changes rows that are indexed, and the index is built
-    again.
+    Only the rows that loads have added, changed or deleted since are indexed or voided, as a
+    further part of each index. If most of the indexed rows are gone, or beyond ``MOST_PARTS``
+    parts, an index is built again. Keys that an append has repeated are an error: a ranking could not tell which
+    of their rows it has found.
     """
     record = table.record
     for index in stored_indexes(table):
         if index.version == record.version:
             continue
         what = index.what
-        new_rows = table.appended_since(index.version)
+        kind = PostingsIndex if isinstance(what, TextIndex) else CellIndex
+        old = kind.open(table._spark, what.path)
+        changes = table.changed_since(index.version) if len(old.parts) < MOST_PARTS else None
+        if changes is not None and changes[1] is not None and 2 * changes[1].count() > old.rows:
+            changes = None
         made = isinstance(what, VectorIndex) and what.text is not None
         if made and embedder is None:
             raise ValueError(f"the vectors of {what.text!r} were made by an embedder, which is needed again")
-        rows = table.read() if new_rows is None else new_rows
+        rows, gone = (table.read(), None) if changes is None else changes
+        if changes is not None:
+            key = single_key(table)
+            check_keys(table.lookup(rows.select(key).distinct()).select(key), [key])
         if made:
             rows = rows.withColumn(what.column, embedder.column(what.text))
-        path = f"{table.folder}/index-data/{'words' if isinstance(what, TextIndex) else 'vectors'}-{uuid.uuid4().hex}"
-        if isinstance(what, TextIndex):
-            if new_rows is not None:
-                path = PostingsIndex.open(table._spark, what.path).extend(rows)
-            else:
-                PostingsIndex.build(rows, key=single_key(table), text=what.column, path=path, buckets=index.buckets)
-            fresh = TextIndex(what.column, path)
+        path = f"{table.folder}/index-data/{'words' if kind is PostingsIndex else 'vectors'}-{uuid.uuid4().hex}"
+        if changes is not None:
+            path = old.change(rows, gone)
+        elif kind is PostingsIndex:
+            kind.build(rows, key=single_key(table), text=what.column, path=path, buckets=index.buckets)
         else:
-            if new_rows is not None:
-                path = CellIndex.open(table._spark, what.path).extend(rows)
-            else:
-                options = {"metric": what.metric, "cells": index.cells, "carry": index.carry}
-                CellIndex.build(rows, key=single_key(table), vector=what.column, path=path, **options)
-            fresh = VectorIndex(what.column, what.metric, what.text, path)
+            options = {"metric": what.metric, "cells": index.cells, "carry": index.carry}
+            kind.build(rows, key=single_key(table), vector=what.column, path=path, **options)
+        fresh = replace(what, path=path)
         _store(table, StoredIndex(record.version, fresh, index.buckets, index.cells, index.carry))
 
 

@@ -55,8 +55,10 @@ class PostingsIndex:
     rows: int
     words: int
     key_type: str
-    #: Folders that hold ``postings`` and ``terms``: that of the build, then the extensions'.
+    #: Folders that hold ``postings`` and ``terms``: that of the build, then those of changes.
     parts: tuple[str, ...] = ()
+    #: Numbers of the parts that have ``gone``, keys whose postings in earlier parts are void.
+    voiding: tuple[int, ...] = ()
 
     @classmethod
     def build(
@@ -69,8 +71,12 @@ class PostingsIndex:
         empty = cls(path, key, text, buckets, 0, 0, key_type)
         return empty._with(corpus, path)
 
-    def _with(self, rows: DataFrame, path: str) -> PostingsIndex:
-        """Write the postings of ``rows`` to ``path`` with a record of all parts up to it."""
+    def _with(self, rows: DataFrame, path: str, gone: DataFrame | None = None) -> PostingsIndex:
+        """Write the postings of ``rows`` to ``path`` with a record of all parts up to it.
+
+        ``gone`` has rows that earlier parts index and that are so no more. Their words are
+        taken off the numbers of rows with each word, which are sums over the parts.
+        """
         spark = rows.sparkSession
         counts = term_counts(spread(rows.select(self.key, self.text), self.key), self.key, self.text)
         # A range over the terms within a bucket: a file holds few terms, so a search skips
@@ -82,11 +88,19 @@ class PostingsIndex:
             .write.partitionBy("bucket")
             .parquet(f"{path}/postings")
         )
-        new = replace(self, path=path, parts=(path,))
+        new = replace(self, path=path, parts=(path,), voiding=())
         postings = new.postings(spark)
+        signed = postings.select("bucket", "term", "tf", F.lit(1).alias("sign"))
+        count, voiding = rows.count(), self.voiding
+        if gone is not None:
+            gone = written(gone.select(self.key, self.text), "gone")
+            gone.select(self.key).write.parquet(f"{path}/gone")
+            off = term_counts(gone, self.key, self.text).withColumn("bucket", bucket_of("term", self.buckets))
+            signed = signed.unionByName(off.select("bucket", "term", "tf", F.lit(-1).alias("sign")))
+            count, voiding = count - gone.count(), (*voiding, len(self.parts))
         (
-            postings.groupBy("bucket", "term")
-            .agg(F.count(F.lit(1)).alias("df"))
+            signed.groupBy("bucket", "term")
+            .agg(F.sum("sign").alias("df"))
             .hint("rebalance", "bucket")
             .sortWithinPartitions("bucket", "term")
             .write.partitionBy("bucket")
@@ -94,41 +108,55 @@ class PostingsIndex:
         )
         index = replace(
             new,
-            rows=self.rows + rows.count(),
-            words=self.words + (postings.agg(F.sum("tf")).first()[0] or 0),
+            rows=self.rows + count,
+            words=self.words + (signed.agg(F.sum(F.col("tf") * F.col("sign"))).first()[0] or 0),
             parts=(*self.parts, path),
+            voiding=voiding,
         )
         records.create(spark, f"{path}/totals.json", asdict(index))
         return index
 
-    def extend(self, rows: DataFrame) -> str:
-        """Add the postings of new rows; return the path of the longer index.
+    def change(self, added: DataFrame, gone: DataFrame | None = None) -> str:
+        """Take rows off and add others; return the path of the changed index.
 
-        Keys of new rows must not be in the index. The index it grew from stays as it is.
+        ``gone`` has indexed rows as they were, text included. Keys of ``added`` must not be in
+        the index otherwise. Only the postings of ``added`` are written; the index that this
+        one grew from stays as it is.
         """
-        check_keys(rows.select(self.key), [self.key])
+        check_keys(added.select(self.key), [self.key])
         path = f"{self.path.rsplit('/', 1)[0]}/words-{uuid.uuid4().hex}"
-        return self._with(rows, path).path
+        return self._with(added, path, gone).path
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> PostingsIndex:
         found = records.read(spark, f"{path}/totals.json")
-        return cls(**{**found, "parts": tuple(found["parts"])})
+        return cls(**{**found, "parts": tuple(found["parts"]), "voiding": tuple(found["voiding"])})
 
     def postings(self, spark: SparkSession) -> DataFrame:
+        """Return all valid postings: those of each part but for rows that a later one voids."""
         columns = f"`{self.key}` {self.key_type}, term string, tf int, doc_len int, bucket int"
-        return self._all(spark, columns, "postings")
+        if not self.voiding:
+            return reduce(DataFrame.unionByName, self._each(spark, columns, "postings"))
+        frames = self._each(spark, columns, "postings")
+        numbered = [f.withColumn("_part", F.lit(i)) for i, f in enumerate(frames)]
+        every = reduce(DataFrame.unionByName, numbered)
+        gone = [
+            spark.read.schema(f"`{self.key}` {self.key_type}").parquet(f"{self.parts[i]}/gone").withColumn("_until", F.lit(i))
+            for i in self.voiding
+        ]
+        last = reduce(DataFrame.unionByName, gone).groupBy(self.key).agg(F.max("_until").alias("_until"))
+        void = (every[self.key] == last[self.key]) & (F.col("_part") < F.col("_until"))
+        return every.join(last, void, "left_anti").drop("_part")
 
     def terms(self, spark: SparkSession) -> DataFrame:
         """How many rows have each term."""
-        parts = self._all(spark, "term string, df bigint, bucket int", "terms")
+        parts = reduce(DataFrame.unionByName, self._each(spark, "term string, df bigint, bucket int", "terms"))
         if len(self.parts) == 1:
             return parts
-        return parts.groupBy("bucket", "term").agg(F.sum("df").alias("df"))
+        return parts.groupBy("bucket", "term").agg(F.sum("df").alias("df")).filter("df > 0")
 
-    def _all(self, spark: SparkSession, columns: str, what: str) -> DataFrame:
-        frames = [spark.read.schema(columns).parquet(f"{part}/{what}") for part in self.parts]
-        return reduce(DataFrame.unionByName, frames)
+    def _each(self, spark: SparkSession, columns: str, what: str) -> list[DataFrame]:
+        return [spark.read.schema(columns).parquet(f"{part}/{what}") for part in self.parts]
 
     def scores(
         self,

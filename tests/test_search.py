@@ -247,7 +247,7 @@ def test_indexes_are_kept_current(spark, folder):
     assert table_rankings(table) == Rankings()
     assert {i.version for i in stored_indexes(table)} == {1}
     refresh_indexes(table)
-    # An append adds a part to each index; any other load builds it anew.
+    # A load adds a part to each index.
     assert len(open_text_index(table, "text").parts) == len(open_vector_index(table, "embedding").parts) == 2
     for ask in ({}, {"embedder": model}):
         stored = search_table(table, "quiet garden", column="text", **ask)
@@ -255,8 +255,70 @@ def test_indexes_are_kept_current(spark, folder):
         assert sorted(stored.collect()) == sorted(scanned.collect())
     database.load("t", rows.filter("id = 'a'"), "delete", ["id"])
     refresh_indexes(table)
-    assert len(open_text_index(table, "text").parts) == 1
+    assert len(open_text_index(table, "text").parts) == len(open_vector_index(table, "embedding").parts) == 3
     assert [r["id"] for r in search_table(table, "quiet", column="text").collect()] == ["d"]
+    database.load("t", rows.filter("id < 'c'"), "replace")
+    refresh_indexes(table)
+    assert len(open_text_index(table, "text").parts) == 1
+
+
+def test_an_upsert_writes_only_its_own_postings(spark, folder):
+    model = HashingEmbedder(16)
+    database = Database.create(spark, folder, database_id="d", tables=["t"], keys={"t": ["id"]}, buckets=2)
+    table = database.table("t")
+    words = ["garden", "flat", "quiet", "loud", "room"]
+    listed = [(f"k{i}", " ".join(words[: 1 + i % 5])) for i in range(40)] + [("empty", None)]
+    rows = spark.createDataFrame(listed, "id string, text string").withColumn("embedding", model.column("text"))
+    database.load("t", rows)
+    create_text_index(table, "text", buckets=2)
+    create_vector_index(table, "embedding", cells=3)
+    changes = [
+        ("upsert", [("k3", "garden cellar cellar"), ("new", "quiet cellar")]),
+        ("update", [("k3", "loud loud garden"), ("empty", "no longer quiet")]),
+        ("delete", [("k7", None), ("new", None)]),
+        ("append", [("new", "a new quiet cellar")]),
+        ("upsert", [("k7", None), ("k8", "garden")]),
+    ]
+    for mode, changed in changes:
+        source = spark.createDataFrame(changed, "id string, text string").withColumn("embedding", model.column("text"))
+        database.load("t", source, mode, None if mode == "append" else ["id"])
+        refresh_indexes(table)
+        index = open_text_index(table, "text")
+        written = spark.read.schema("id string").parquet(f"{index.path}/postings").distinct().collect()
+        assert {r["id"] for r in written} <= {i for i, _ in changed}
+        assert index.rows == table.read().count()
+        for ask in ({"strategy": "text"}, {"embedder": model}):
+            stored = search_table(table, "quiet garden cellar", column="text", k=50, **ask)
+            scanned = search(table.read(), "quiet garden cellar", column="text", k=50, rankings=table_rankings(table), **ask)
+            assert sorted(stored.collect()) == sorted(scanned.collect())
+    many = spark.createDataFrame([(i, t) for i, t in enumerate(words)], "query_id bigint, query_text string")
+    got = open_text_index(table, "text").search(table.read(), many, k=5, broadcast_rows=2).collect()
+    from rankfield.operators.bm25 import bm25_scan
+
+    assert sorted(got) == sorted(bm25_scan(table.read(), many, key="id", text="text", k=5).collect())
+
+
+def test_a_repeated_key_is_not_indexed(spark, folder):
+    database = Database.create(spark, folder, database_id="d", tables=["t"], keys={"t": ["id"]})
+    table = database.table("t")
+    database.load("t", spark.createDataFrame([(1, "red fox")], "id bigint, text string"))
+    create_text_index(table, "text")
+    database.load("t", spark.createDataFrame([(1, "red red red hen"), (3, "red cow")], "id bigint, text string"), "append")
+    with pytest.raises(ValueError, match="repeated key"):
+        refresh_indexes(table)
+
+
+def test_a_lookup_opens_only_its_buckets(spark, folder):
+    database = Database.create(spark, folder, database_id="d", tables=["t"], keys={"t": ["id"]}, buckets=8)
+    rows = spark.range(400).select(F.col("id").cast("string").alias("id"), F.col("id").alias("n"))
+    database.load("t", rows)
+    table = database.table("t")
+    found = table.lookup(["7", "absent", "7"])
+    assert [tuple(r) for r in found.collect()] == [("7", 7)]
+    assert 1 <= len(found.inputFiles()) < len(table.read().inputFiles())
+    ids = spark.createDataFrame([("5",), ("6",), ("6",), ("none",)], "key string")
+    assert sorted(tuple(r) for r in table.lookup(ids).collect()) == [("5", 5), ("6", 6)]
+    assert table.lookup([]).count() == 0
 
 
 def test_an_index_that_makes_its_vectors(spark, folder):

@@ -90,6 +90,44 @@ def test_all_cells_give_the_exact_answer(spark, folder, metric, broadcast_rows):
     assert found(got) == found(knn(corpus, asked, key="id", metric=metric, k=8, where={"kind": 2}))
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2", "dot"])
+@pytest.mark.parametrize("broadcast_rows", [8192, 4])
+def test_cells_that_cannot_hold_the_nearest_are_skipped(spark, folder, metric, broadcast_rows):
+    """The exact answer, zero vectors and filters included."""
+    corpus = clustered(spark).union(spark.createDataFrame([(5000, [0.0] * 6, 2)], "id bigint, embedding array<float>, kind int"))
+    CellIndex.build(corpus, key="id", path=f"{folder}/ix", metric=metric, cells=12, carry=["kind"])
+    index = CellIndex.open(spark, f"{folder}/ix")
+    asked = as_queries(corpus).union(spark.createDataFrame([(9999, [0.0] * 6)], "q bigint, v array<float>"))
+    for where in (None, {"kind": 2}):
+        got = index.search(asked, k=8, nprobe=None, where=where, broadcast_rows=broadcast_rows)
+        assert found(got) == found(knn(corpus, asked, key="id", metric=metric, k=8, where=where))
+    assert index.search(asked, k=2000, nprobe=None, broadcast_rows=broadcast_rows).count() == 901 * asked.count()
+
+
+def test_an_exact_search_of_clustered_data_opens_few_cells(spark, folder):
+    corpus = clustered(spark, hot=False)
+    index = CellIndex.build(corpus, key="id", path=f"{folder}/ix", metric="l2", cells=30)
+    assert sum(index.sizes) == 900
+    queries = np.array([r["query_vector"] for r in as_queries(corpus).collect()])
+    kth = {}
+    for r in knn(corpus, as_queries(corpus), key="id", metric="l2", k=5).collect():
+        kth[r["query_id"]] = max(kth.get(r["query_id"], 0.0), r["_distance"])
+    order = [r["query_id"] for r in as_queries(corpus).collect()]
+    opened = index._can_reach(queries, np.array([kth[q] for q in order])) | index._start(queries, 5)
+    assert opened.sum(axis=1).mean() < 20
+
+
+def test_queries_that_share_an_id_are_refused(spark, folder):
+    corpus = clustered(spark)
+    twice = as_queries(corpus).withColumn("query_id", F.lit(0))
+    index = CellIndex.build(corpus, key="id", path=f"{folder}/ix", cells=3)
+    for rows in (8192, 4):
+        with pytest.raises(ValueError, match="same 'query_id'"):
+            knn(corpus, twice, key="id", k=2, broadcast_rows=rows)
+        with pytest.raises(ValueError, match="same 'query_id'"):
+            index.search(twice, k=2, broadcast_rows=rows)
+
+
 def test_recall_grows_with_the_cells_looked_in(spark, folder):
     corpus = clustered(spark, hot=False)
     index = CellIndex.build(corpus, key="id", path=f"{folder}/ix", cells=8)
