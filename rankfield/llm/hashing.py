@@ -31,6 +31,7 @@ def powers(base: int, count: int) -> np.ndarray:
     return have[:count]
 
 
+@lru_cache(maxsize=8)
 def inverse(base: int) -> int:
     return pow(base, -1, 1 << 64)
 
@@ -42,6 +43,26 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def word_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Return a hash of each raw[begin:end], eight bytes of all of them at a time.
+
+    What is read is mixed before the next eight bytes come in, so that words made to have equal
+    sums do not meet.
+    """
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded.data, strides=(1,))
+    left = end - begin
+    out = mixed(left.astype(np.uint64) + np.uint64(_SEED))
+    at, some = begin, np.arange(len(begin))
+    while len(some):
+        unread = (8 * (8 - np.minimum(left, 8))).astype(np.uint64)
+        read = eight[at] << unread >> unread
+        out[some] = mixed((out[some] ^ read) * np.uint64(BASES[0]) + np.uint64(BASES[1]))
+        more = left > 8
+        at, left, some = at[more] + 8, left[more] - 8, some[more]
+    return out
+
+
 def prefix_sums(data: np.ndarray, base: int) -> np.ndarray:
     """Return sums s with s[e] - s[b] = base^b times the polynomial of data[b:e]."""
     out = np.zeros(len(data) + 1, np.uint64)

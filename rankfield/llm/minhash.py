@@ -4,11 +4,13 @@ Two small collections of ``bands`` hashes each, of ``rows`` minima, make bands²
 key combines one hash of either collection. That takes 2 · bands · rows minima where separate
 tables would take bands² · rows.
 
-Documents with equal shingle sets are one class from the start. Each class is compared with
-the most central one that it shares a bucket with, and links are confirmed on the full sets.
-Where buckets hold more than one component after that, all members outside the main one are
-compared with the others in bounded blocks. So no link between classes that share a bucket is
-left out, and no bucket is expanded into its pairs.
+Documents with equal shingle sets, by 128 bits, are one class from the start. Each class is
+compared with the most central one that it shares a bucket with: first over ``bands`` of the
+table keys, where most of what belongs together meets, then over all keys of the classes whose
+half keys still meet another component. Where buckets hold more than one component after that,
+all members outside the main one are compared with the others in bounded blocks. So no link
+between classes that share a bucket is left out, and no bucket is expanded into its pairs. Every
+link is confirmed on the full sets of the words themselves.
 
 Joins of texts and buckets are sort-merge joins at every size, so that small tables show what
 large ones will shuffle.
@@ -53,7 +55,7 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
     begin, end = runs(~_WHITE[data])
     if not len(begin):
         return np.zeros(0, np.uint64)
-    words = hashing.range_hashes(hashing.prefix_sums(data, hashing.BASES[0]), begin, end, hashing.BASES[0])
+    words = hashing.word_hashes(data, begin, end)
     width = min(size, len(words))
     steps = hashing.powers(hashing.BASES[1], width)
     count = len(words) - width + 1
@@ -63,6 +65,12 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
     return np.unique(hashing.mixed(sums))
 
 
+def word_shingles(text: bytes, size: int) -> set[tuple[bytes, ...]]:
+    """Return the set that ``shingle_set`` hashes, as tuples of words."""
+    words = text.lower().split()
+    return set(zip(*(words[i:] for i in range(min(size, len(words))))))
+
+
 def _family(count: int) -> tuple[np.ndarray, np.ndarray]:
     numbers = np.random.default_rng(81).integers(0, 2**64, (2, count), dtype=np.uint64)
     return numbers[0] | np.uint64(1), numbers[1]
@@ -124,9 +132,9 @@ def _confirm(size: int, percent: int):
             u, v = [], []
             for hub, other, hub_text, text in zip(hubs, others, batch.column(2), batch.column(3)):
                 if hub != held:
-                    held, hub_set = hub, shingle_set((hub_text.as_py() or "").encode(), size)
-                found = shingle_set((text.as_py() or "").encode(), size)
-                both = len(np.intersect1d(hub_set, found, assume_unique=True))
+                    held, hub_set = hub, word_shingles((hub_text.as_py() or "").encode(), size)
+                found = word_shingles((text.as_py() or "").encode(), size)
+                both = len(hub_set & found)
                 if 100 * both >= percent * (len(hub_set) + len(found) - both):
                     u.append(hub)
                     v.append(other)
@@ -136,70 +144,79 @@ def _confirm(size: int, percent: int):
     return confirm
 
 
-def _buckets(classes: DataFrame, bands: int) -> DataFrame:
-    """Return (bucket, rep, n, met) for every different group that shares a table key.
+def _first_buckets(classes: DataFrame, bands: int) -> DataFrame:
+    """Return (bucket, rep, comp, best) of the different groups that share one of ``bands`` keys.
 
-    ``met`` counts the members of all buckets of ``rep``. A text that others were copied from
-    meets the most, so it is the one to compare them with first.
+    Each class is its own component yet. ``best`` has how many classes it meets in all its
+    buckets: a text that others were copied from meets the most, so it is the one to compare
+    them with.
     """
-    halves = classes.select("rep", F.posexplode("a"))
-    shared = halves.groupBy("pos", "col").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
-    some = halves.join(shared.hint("merge"), ["pos", "col"], "left_semi").select("rep").distinct()
-    keys = F.expr(
-        f"""flatten(transform(sequence(0, {bands - 1}), i -> transform(sequence(0, {bands - 1}),
-        j -> xxhash64(i, j, a[i], b[j]))))"""
-    )
-    rows = written(
-        classes.join(some.hint("merge"), "rep", "left_semi").select("rep", "n", F.explode(keys).alias("bucket")), "tables"
-    )
-    groups = (
-        rows.groupBy("bucket")
-        .agg(
-            F.count("*").alias("c"),
-            F.bit_xor(F.xxhash64("rep")).alias("f1"),
-            F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("f2"),
-        )
-        .filter("c > 1")
-    )
-    different = groups.groupBy("c", "f1", "f2").agg(F.min("bucket").alias("bucket"))
-    kept = written(rows.join(different.hint("merge"), "bucket").select("bucket", "rep", "n", "c"), "buckets")
+    keys = F.expr(f"transform(sequence(0, {bands - 1}), i -> xxhash64(i, i, a[i], b[i]))")
+    rows = written(classes.select(F.explode(keys).alias("bucket"), "rep"), "tables")
+    kept = written(_different(rows, F.xxhash64("rep"), F.xxhash64("rep", F.lit(1)), "rep"), "buckets")
     met = kept.groupBy("rep").agg(F.sum("c").alias("met"))
-    return written(kept.drop("c").join(met, "rep"), "buckets")
+    best = F.struct("met", (-F.col("rep")).alias("least")).alias("best")
+    return written(kept.drop("c").join(met, "rep").select("bucket", "rep", F.col("rep").alias("comp"), best), "buckets")
+
+
+def _different(rows: DataFrame, one, other, label: str) -> DataFrame:
+    """Return the rows of buckets with several labels, one bucket of each different group."""
+    groups = rows.groupBy("bucket").agg(
+        F.count("*").alias("c"),
+        F.bit_xor(one).alias("f1"),
+        F.bit_xor(other).alias("f2"),
+        F.min(label).alias("low"),
+        F.max(label).alias("high"),
+    )
+    groups = groups.filter("low < high").groupBy("c", "f1", "f2").agg(F.min("bucket").alias("bucket"))
+    return rows.join(groups.select("bucket", "c").hint("merge"), "bucket")
+
+
+def _open_buckets(classes: DataFrame) -> DataFrame:
+    """Return (bucket, rep, comp, best) of the table keys whose half keys meet other components.
+
+    ``classes`` has ``comp`` and ``met``. A bucket of several components lies within two half
+    keys of several, so other keys are not made. Of each component in a bucket one class stays,
+    that which met the most.
+    """
+    sides = [F.expr(f"transform({c}, (x, i) -> struct({s} AS side, i AS pos, x AS col))") for s, c in enumerate("ab")]
+    halves = classes.select("rep", "comp", F.explode(F.concat(*sides)).alias("h")).select("rep", "comp", "h.*")
+    halves = written(halves, "halves")
+    half = ["side", "pos", "col"]
+    mixed = halves.groupBy(*half).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+    met = halves.join(mixed.select(*half).hint("merge"), half)
+    # At most one place for each band and side.
+    places = met.groupBy("rep").agg(*(F.collect_set(F.when(F.col("side") == s, F.col("pos"))).alias(f"of_{c}") for s, c in enumerate("ab")))
+    keys = F.expr("flatten(transform(of_a, i -> transform(of_b, j -> xxhash64(i, j, a[i], b[j]))))")
+    placed = classes.join(places.hint("merge"), "rep")
+    rows = placed.select(F.explode(keys).alias("bucket"), "comp", F.struct("met", (-F.col("rep")).alias("least")).alias("best"))
+    central = written(rows.groupBy("bucket", "comp").agg(F.max("best").alias("best")), "tables")
+    kept = _different(central, F.xxhash64("comp", "best"), F.xxhash64("best", "comp"), "comp")
+    return written(kept.select("bucket", (-F.col("best.least")).alias("rep"), "comp", "best"), "buckets")
 
 
 def _first_pairs(buckets: DataFrame) -> DataFrame:
-    """Pair every class with the one that meets the most of those it shares a bucket with."""
-    hub = buckets.groupBy("bucket").agg(F.max(F.struct("met", (-F.col("rep")).alias("least"))).alias("hub"))
-    best = buckets.join(hub, "bucket").groupBy("rep").agg(F.max("hub").alias("hub"))
-    hub_rep = -F.col("hub.least")
-    pair = best.select(F.least("rep", hub_rep).alias("u"), F.greatest("rep", hub_rep).alias("v"))
-    return pair.filter("u < v").distinct()
+    """Pair every class with the one that meets the most of those of other components it meets."""
+    hub = buckets.groupBy("bucket").agg(F.max(F.struct("best", "comp")).alias("hub"))
+    met = buckets.join(hub, "bucket").filter(F.col("hub.comp") != F.col("comp"))
+    best = met.groupBy("rep").agg(F.max("hub").alias("hub"))
+    hub_rep = -F.col("hub.best.least")
+    return best.select(F.least("rep", hub_rep).alias("u"), F.greatest("rep", hub_rep).alias("v")).distinct()
 
 
-def _open_clusters(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Return (cluster, rep, comp, waiting) of the classes in buckets of several components.
+def _open_clusters(buckets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Return (cluster, rep, comp, waiting) of the components in buckets of several.
 
     A cluster is what such buckets connect. All but the members of its largest component are
     ``waiting`` to be compared with the cluster's other members.
     """
-    named = buckets.join(labels, buckets["rep"] == labels["node"], "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("comp")
-    )
-    mixed = (
-        named.groupBy("bucket")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("rep").alias("u"))
-        .filter("low < high")
-        .select("bucket", "u")
-    )
-    rows = written(named.join(mixed, "bucket").select("u", "rep", "comp"), "open")
-    clusters = components(rows.select("u", F.col("rep").alias("v")))
-    members = rows.select("rep", "comp").distinct()
-    placed = written(
-        members.join(clusters, members["rep"] == clusters["node"]).select(
-            F.col("component").alias("cluster"), "rep", "comp"
-        ),
-        "clusters",
-    )
+    named = written(_named(buckets.select("bucket", "rep"), labels), "open")
+    mixed = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+    ties = named.join(mixed.select("bucket", "low"), "bucket").select(F.col("low").alias("u"), F.col("comp").alias("v"))
+    clusters = components(ties)
+    members = _named(classes.select("rep"), labels)
+    met = members.join(clusters.hint("merge"), members["comp"] == clusters["node"])
+    placed = written(met.select(F.col("component").alias("cluster"), "rep", "comp"), "clusters")
     main = (
         placed.groupBy("cluster", "comp")
         .agg(F.count("*").alias("size"))
@@ -210,6 +227,12 @@ def _open_clusters(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(main, "cluster").withColumn("waiting", F.col("comp") != F.col("main")).drop("main")
 
 
+def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Add ``comp``, the component of ``rep``, to rows that have none."""
+    met = rows.join(labels.hint("merge"), rows["rep"] == labels["node"], "left")
+    return met.select(*rows.columns, F.coalesce("component", "rep").alias("comp"))
+
+
 def _sets(size: int):
     def shingles(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
@@ -278,30 +301,46 @@ def _link_within(clusters: DataFrame, texts: DataFrame, size: int, percent: int)
     )
 
 
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Return the pairs (u, v) whose sets of word tuples are similar."""
+    left = texts.select(F.col("rep").alias("v"), F.col("text").alias("other"))
+    right = texts.select(F.col("rep").alias("u"), F.col("text").alias("hub"))
+    met = pairs.join(left.hint("merge"), "v").join(right.hint("merge"), "u").select("u", "v", "hub", "other")
+    return written(met.mapInArrow(_confirm(size, percent), "u bigint, v bigint"), "confirmed")
+
+
 def link_classes(
     classes: DataFrame, texts: DataFrame, *, size: int, percent: int, bands: int
 ) -> DataFrame:
     """Return (node, component) of the classes that some confirmed link joins to another.
 
-    ``classes`` has ``rep``, ``n``, ``a`` and ``b``; ``texts`` has ``rep`` and ``text``. Each
-    class is compared with the central one among those it shares a bucket with. That joins
-    nearly all that belongs together; where buckets still hold several components, all members
-    outside the main one are compared with all others.
+    ``classes`` has ``rep``, ``a`` and ``b``; ``texts`` has ``rep`` and ``text``. Each class is
+    compared with the central one among those it shares a bucket with. That joins nearly all
+    that belongs together; where buckets still hold several components, all members outside the
+    main one are compared with all others.
     """
-    buckets = _buckets(classes, bands)
-    needed = buckets.select("rep").distinct()
-    texts = written(texts.join(needed.hint("merge"), "rep", "left_semi"), "texts")
-    left = texts.select(F.col("rep").alias("v"), F.col("text").alias("other"))
-    right = texts.select(F.col("rep").alias("u"), F.col("text").alias("hub"))
-    pairs = _first_pairs(buckets)
-    met = pairs.join(left.hint("merge"), "v").join(right.hint("merge"), "u").select("u", "v", "hub", "other")
-    labels = components(met.mapInArrow(_confirm(size, percent), "u bigint, v bigint"))
-    clusters = written(_open_clusters(buckets, labels), "clusters")
+
+    def of(rows: DataFrame) -> DataFrame:
+        return written(texts.join(rows.select("rep").distinct().hint("merge"), "rep", "left_semi"), "texts")
+
+    first = _first_buckets(classes, bands)
+    links = _confirmed(_first_pairs(first), of(first), size, percent)
+    labels = components(links)
+    met = first.groupBy(F.col("rep").alias("met_rep")).agg(F.max("best.met").alias("met"))
+    known = _named(classes.select("rep", "a", "b"), labels)
+    known = known.join(met.hint("merge"), F.col("rep") == F.col("met_rep"), "left").drop("met_rep")
+    known = written(known.withColumn("met", F.coalesce("met", F.lit(0).cast("bigint"))), "named")
+    buckets = _open_buckets(known)
+    if buckets.isEmpty():
+        return labels
+    links = links.unionByName(_confirmed(_first_pairs(buckets), of(buckets), size, percent))
+    labels = components(links)
+    clusters = written(_open_clusters(buckets, classes, labels), "clusters")
     if clusters.isEmpty():
         return labels
-    known = labels.select(F.col("component").alias("u"), F.col("node").alias("v"))
-    inside = texts.join(clusters.select("rep").hint("merge"), "rep", "left_semi")
-    return components(known.unionByName(_link_within(clusters, inside, size, percent)))
+    inside = of(clusters)
+    found = written(_link_within(clusters, inside, size, percent), "within")
+    return components(links.unionByName(_confirmed(found, inside, size, percent)))
 
 
 def near_duplicates(
