@@ -17,11 +17,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove repeated chunks of lines; a document of which nothing is left goes.
+    """Remove repeated passages and chunks of lines; a document of which nothing is left goes.
 
     Documents that were empty before stay. ``n_chars`` is that of the text left.
     """
-    cleaned = lines.remove_repeated_chunks(docs)
+    cleaned = lines.remove_repeated_passages(docs)
     emptied = (F.length("text") == 0) & (F.col("n_removed_lines") > 0)
     left = cleaned.filter(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:
