@@ -39,6 +39,9 @@ TRIE_PHRASES = 1 << 18
 VOCABULARY = 1 << 18
 VOCABULARY_BYTES = 1 << 25
 
+#: Counts that a task hands on in one row.
+VECTOR = 1 << 12
+
 #: Bytes of text and numbers of words that are turned into arrays at a time.
 BLOCK_BYTES = 1 << 22
 BLOCK_WORDS = 1 << 20
@@ -173,6 +176,58 @@ def encoded(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return current
 
 
+class _Slots:
+    """The growing arrays of a trie. Children of the largest families are placed first, at the
+    least of some places drawn from all; only children fill the gaps that are left."""
+
+    def __init__(self, words: int):
+        self.first = words + 1
+        self.end = self.first
+        self.check = np.full(2 * words + PLACES, -1, np.int64)
+        self.base = np.zeros(len(self.check), np.int64)
+        self.draw = np.random.default_rng(7)
+
+    def _grow(self, size: int) -> None:
+        if size > len(self.check):
+            more = max(size, 2 * len(self.check)) - len(self.check)
+            self.check = np.concatenate([self.check, np.full(more, -1, np.int64)])
+            self.base = np.concatenate([self.base, np.zeros(more, np.int64)])
+
+    def place(self, states: np.ndarray, parent: np.ndarray, word: np.ndarray, root: bool) -> np.ndarray:
+        """Return the states of children, ordered by parent, a place in ``states``, and word."""
+        out = np.zeros(len(word), np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], parent[1:] != parent[:-1]])) if len(parent) else np.zeros(0, np.int64)
+        size = np.diff(np.append(starts, len(parent)))
+        families = np.argsort(-size, kind="stable")
+        single = np.searchsorted(-size[families], -1, side="left")
+        for f in families[: len(families) if root else single].tolist():
+            kids = word[starts[f] : starts[f] + size[f]]
+            up = states[parent[starts[f]]]
+            at = 1 if root else self._room(kids)
+            self._grow(at + int(kids[-1]) + 1)
+            self.base[up] = at
+            self.check[at + kids] = up
+            self.end = max(self.end, at + int(kids[-1]) + 1)
+            out[starts[f] : starts[f] + size[f]] = at + kids
+        if not root and single < len(families):
+            only = starts[families[single:]]
+            self._grow(self.end + len(only))
+            free = np.flatnonzero(self.check[self.first : self.end + len(only)] < 0)[: len(only)] + self.first
+            up = states[parent[only]]
+            self.base[up] = free - word[only]
+            self.check[free] = up
+            self.end = max(self.end, int(free[-1]) + 1)
+            out[only] = free
+        return out
+
+    def _room(self, kids: np.ndarray) -> int:
+        """Return a place for a family: the first of those drawn where all its slots are free."""
+        places = np.sort(self.draw.integers(self.first, self.end + 1, PLACES)) - kids[0]
+        self._grow(self.end + int(kids[-1]) + 2)
+        fits = (self.check[places[:, None] + kids] < 0).all(axis=1)
+        return int(places[np.argmax(fits)] if fits.any() else self.end - kids[0])
+
+
 class Trie(NamedTuple):
     """A double array over the words ``used``: the child of state s by word w is
     ``base[s] + w`` if ``check`` of that is s. ``accept`` has the phrase that ends at a state."""
@@ -185,52 +240,36 @@ class Trie(NamedTuple):
     @classmethod
     def build(cls, phrases: Sequence[Sequence[int]], numbers: Sequence[int]) -> Trie:
         """Build the trie of different phrases; ``numbers`` are what ``accept`` says of them."""
+        length = np.array([len(p) for p in phrases])
         flat = np.fromiter(itertools.chain.from_iterable(phrases), np.int64)
         used, flat = np.unique(flat, return_inverse=True)
-        words = iter(flat.tolist())
-        local = [tuple(itertools.islice(words, len(phrase))) for phrase in phrases]
-        children: dict[tuple, set[int]] = {}
-        for phrase in local:
-            for n, word in enumerate(phrase):
-                children.setdefault(phrase[:n], set()).add(word)
-        check = np.full(len(used) + 2, -1, np.int64)
-        base = np.zeros(len(check), np.int64)
-        state = {(): 0}
-        free_from = 1
-        # Children of short prefixes first, as states have to be known; the largest first.
-        for prefix in sorted(children, key=lambda p: (len(p), -len(children[p]))):
-            kids = np.array(sorted(children[prefix]))
-            if len(check) < free_from + 2 * len(used) + PLACES:
-                check = np.concatenate([check, np.full(len(check) + 2 * len(used) + PLACES, -1, np.int64)])
-                base = np.concatenate([base, np.zeros(len(check) - len(base), np.int64)])
-            window = check[free_from : free_from + len(used) + PLACES]
-            places = (np.flatnonzero(window < 0) + free_from - kids[0])[:PLACES]
-            places = places[places >= 1]
-            fits = (check[places[:, None] + kids] < 0).all(axis=1)
-            # Beyond the window all is free or the array grows, so some place fits there.
-            at = places[np.argmax(fits)] if fits.any() else max(1, cls._end(check) + 1 - kids[0])
-            top = at + len(used) + 1
-            if top > len(check):
-                check = np.concatenate([check, np.full(top, -1, np.int64)])
-                base = np.concatenate([base, np.zeros(len(check) - len(base), np.int64)])
-            parent = state[prefix]
-            base[parent] = at
-            check[at + kids] = parent
-            for kid in kids.tolist():
-                state[(*prefix, kid)] = at + kid
-            while check[free_from] >= 0:
-                free_from += 1
-        size = max(int(base.max()) + len(used) + 1, cls._end(check) + 1)
-        check, base = check[:size], base[:size]
+        depth = int(length.max(initial=1))
+        words = np.full((len(length), depth), -1)
+        words[np.arange(depth) < length[:, None]] = flat
+        order = np.lexsort(words.T[::-1])
+        words, length, numbers = words[order], length[order], np.asarray(numbers, np.int64)[order]
+        # The root is state 0 and its children the states from 1; all others lie behind them.
+        slots = _Slots(len(used))
+        node = np.zeros(len(length), np.int64)  # of each phrase's first words
+        ends = np.zeros(len(length), np.int64)  # the state in which each phrase ends
+        states = np.zeros(1, np.int64)
+        for n in range(depth):
+            rows = np.flatnonzero(length > n)
+            parent, word = node[rows], words[rows, n]
+            new = np.concatenate([[True], (parent[1:] != parent[:-1]) | (word[1:] != word[:-1])])
+            first = np.flatnonzero(new)
+            placed = slots.place(states, parent[first], word[first], root=n == 0)
+            node[rows] = np.cumsum(new) - 1
+            states = placed
+            done = rows[length[rows] == n + 1]
+            ends[done] = states[node[done]]
+        size = max(int(slots.base.max()) + len(used), slots.end) + 1
+        check = np.concatenate([slots.check[:size], np.full(max(0, size - len(slots.check)), -1)])
+        base = np.concatenate([slots.base[:size], np.zeros(max(0, size - len(slots.base)), np.int64)])
         accept = np.full(size, -1, np.int64)
-        accept[[state[phrase] for phrase in local]] = numbers
+        accept[ends] = numbers
         return cls(used, base.astype(np.int32), check.astype(np.int32), accept)
 
-    @staticmethod
-    def _end(check: np.ndarray) -> int:
-        taken = np.flatnonzero(check >= 0)
-        return int(taken[-1]) if len(taken) else 0
-
     def local(self, ids: np.ndarray) -> np.ndarray:
         """Return the trie's own numbers of words, -1 for those it has not."""
         used = self.used
@@ -304,6 +343,8 @@ def _adjacent_phrases(one, other, words: int):
 
 
 def _accepted(shared, depth: int):
+    """Counts of accepting states, as vectors of ``VECTOR`` phrases that follow each other."""
+
     def scan(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(*shared.value)
         total = np.zeros(len(trie.accept), np.int64)
@@ -311,12 +352,30 @@ def _accepted(shared, depth: int):
             for ids, own in _flat(batch, depth):
                 for at, state in trie.levels(ids, depth):
                     total += np.bincount(state[at < own], minlength=len(total))
-        some = np.flatnonzero((trie.accept >= 0) & (total > 0))
-        yield pa.RecordBatch.from_arrays([pa.array(trie.accept[some]), pa.array(total[some])], names=["number", "n"])
+        counts = total[np.flatnonzero(trie.accept >= 0)]
+        starts = range(0, len(counts), VECTOR)
+        vectors = pa.array([counts[i : i + VECTOR] for i in starts], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(starts)), pa.int32()), vectors], names=["slice", "counts"])
 
     return scan
 
 
+def _summed(shared):
+    def add(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        accept = shared.value[-1]
+        numbers = accept[accept >= 0]
+        sums: dict[int, np.ndarray] = {}
+        for batch in source:
+            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                values = counts.values.to_numpy()
+                sums[part] = sums[part] + values if part in sums else values
+        for part, values in sums.items():
+            own = numbers[part * VECTOR : part * VECTOR + len(values)]
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(values)], names=["number", "n"])
+
+    return add
+
+
 def _tries(phrases: DataFrame) -> Iterator:
     """Yield broadcast tries of (number, ids), each of a bounded number of phrases."""
     parts = max(1, -(-phrases.count() // TRIE_PHRASES))
@@ -365,8 +424,9 @@ def phrase_counts(texts: DataFrame, phrases: DataFrame, most_words: int) -> Data
     """Return (ids, n): how often each of the different phrases occurs, by the tries' states."""
     counted = []
     for shared in _tries(phrases):
-        scan = texts.mapInArrow(_accepted(shared, most_words), "number bigint, n bigint")
-        counted.append(written(scan.groupBy("number").agg(F.sum("n").alias("n")), "phrase-counts"))
+        scan = texts.mapInArrow(_accepted(shared, most_words), "slice int, counts array<bigint>")
+        sums = scan.repartition("slice").mapInArrow(_summed(shared), "number bigint, n bigint")
+        counted.append(written(sums, "phrase-counts"))
         shared.destroy()
     total = counted[0]
     for part in counted[1:]:
