@@ -43,8 +43,8 @@ VOCABULARY_BYTES = 1 << 25
 VECTOR = 1 << 12
 
 #: Bytes of text and numbers of words that are turned into arrays at a time.
-BLOCK_BYTES = 1 << 22
-BLOCK_WORDS = 1 << 20
+BLOCK_BYTES = 1 << 21
+BLOCK_WORDS = 1 << 17
 
 #: Places that are tried for the children of a node before the array grows.
 PLACES = 256
@@ -297,13 +297,21 @@ class Trie(NamedTuple):
 
 
 def _flat(batch: pa.RecordBatch, overlap: int) -> Iterator[tuple[np.ndarray, int]]:
-    """Yield word numbers of the rows, a break behind each, and how many positions start there."""
+    """Yield word numbers of some rows, a break behind each, and how many positions start there.
+
+    Rows are taken together up to ``BLOCK_WORDS`` words; a longer row is cut, with an overlap.
+    """
     lists = batch.column(0)
-    ids = lists.flatten().to_numpy().astype(np.int64)
     ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-    ids = np.insert(ids, ends, -1)
-    for at in range(0, len(ids), BLOCK_WORDS):
-        yield ids[at : at + BLOCK_WORDS + overlap], min(BLOCK_WORDS, len(ids) - at)
+    first = 0
+    while first < len(lists):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + BLOCK_WORDS, side="right")))
+        some = lists.slice(first, last - first)
+        ids = np.insert(some.flatten().to_numpy().astype(np.int64), ends[first:last] - before, -1)
+        for at in range(0, len(ids), BLOCK_WORDS):
+            yield ids[at : at + BLOCK_WORDS + overlap], min(BLOCK_WORDS, len(ids) - at)
+        first = last
 
 
 def _pair_batches(first: np.ndarray, second: np.ndarray) -> Iterator[pa.RecordBatch]:
