@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rankfield.functions import patterns
 from rankfield.operators.envelope import capped_result
 from rankfield.operators.merge import get_by_ids
+from rankfield.operators.paging import deep_page
 from rankfield.operators.topk import page
 from rankfield.plans.catalogue.registry import query, read
 from rankfield.sources.parquet import scan_parquet
@@ -164,6 +165,24 @@ def page_offset(spark, sf_dir):
     return page(orders, [F.desc("o_totalprice"), F.asc("o_orderkey")], offset=20, limit=10)
 
 
+@query(
+    "page_deep",
+    """
+    SELECT o_orderkey, o_totalprice FROM (
+        SELECT o_orderkey, o_totalprice,
+               row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place,
+               count(*) OVER () AS n
+        FROM orders
+    ) WHERE place > n // 2 AND place <= n // 2 + 50
+    """,
+)
+def page_deep(spark, sf_dir):
+    """Fifty orders from the middle of the table, the dearest first."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    order = {"o_totalprice": False, "o_orderkey": True}
+    return deep_page(orders, order, offset=orders.count() // 2, limit=50, sort_rows=1_000)
+
+
 @query(
     "capped_result",
     """
