@@ -11,6 +11,7 @@ from rankfield.operators.merge import key_report
 from rankfield.plans.catalogue.registry import new_database, query, read
 from rankfield.plans.store import DocumentStore, promote_metadata
 from rankfield.sources.attach import attach
+from rankfield.sources.copies import create_sorted_copy, read_sorted_copy
 
 #: The batch of every load below: labels worked out for the English documents. Some of
 #: those have a label already, some do not, and labels of other languages are not in it.
@@ -131,6 +132,27 @@ def sorted_layout_filter(spark, sf_dir):
     )
 
 
+@query(
+    "sorted_copy_filter",
+    """
+    SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
+    WHERE o_custkey BETWEEN 10 AND 60 GROUP BY o_custkey
+    """,
+)
+def sorted_copy_filter(spark, sf_dir):
+    """A range of customers from a copy sorted by customer; the table is sorted by date."""
+    database = new_database(spark, tables=["orders"], sorted_by={"orders": ["o_orderdate"]})
+    database.load("orders", f"{sf_dir}/orders.parquet")
+    orders = database.table("orders")
+    create_sorted_copy(orders, ["o_custkey"], columns=["o_custkey", "o_totalprice"])
+    return (
+        read_sorted_copy(orders, "o_custkey")
+        .filter("o_custkey BETWEEN 10 AND 60")
+        .groupBy("o_custkey")
+        .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    )
+
+
 @query(
     "attach_join",
     """

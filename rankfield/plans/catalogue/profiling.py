@@ -5,6 +5,7 @@ from __future__ import annotations
 from rankfield.operators.profile import column_stats, table_profile
 from rankfield.plans.catalogue.registry import TABLES, new_database, query, read
 from rankfield.sources import records
+from rankfield.sources.footers import stored_profile
 
 
 def _found(spark, sf_dir) -> dict:
@@ -39,6 +40,13 @@ def _profile_sql() -> str:
 
 @query("table_profile", _profile_sql())
 def profile(spark, sf_dir):
+    """Counts from the files' footers; only nested columns are read."""
+    return stored_profile(spark, _found(spark, sf_dir))
+
+
+@query("table_profile_scan", _profile_sql())
+def profile_by_scan(spark, sf_dir):
+    """The same for frames of any kind, here read row by row."""
     return table_profile(_found(spark, sf_dir))
 
 

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 
+from pyspark.errors import AnalysisException, PythonException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,9 +22,10 @@ from rankfield.operators.merge import (
     conform,
     get_by_ids,
 )
-from rankfield.operators.profile import column_stats, table_overview
+from rankfield.operators.profile import table_overview
 from rankfield.session import written
 from rankfield.sources import records
+from rankfield.sources.footers import stored_counts
 from rankfield.sources.parquet import lowered, scan_parquet
 
 #: Fixed value: the catalog name a database's own tables answer to.
@@ -39,6 +41,9 @@ BUCKET = "rankfield_bucket"
 #: those its keys fall in, so a large table is declared with more.
 KEY_BUCKETS = 16
 
+#: What missing files raise in planning, and damaged footers in tasks.
+_UNREADABLE = (AnalysisException, PythonException)
+
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
@@ -477,8 +482,8 @@ class Database:
             counts, state = {}, "loaded"
             if stats:
                 try:
-                    counts = column_stats(table.read()).first().asDict()
-                except Exception:  # one table that can't be read leaves the others described
+                    counts = stored_counts(self.spark, {name: table.read()})[name]
+                except _UNREADABLE:  # one table that can't be read leaves the others described
                     state = "unreadable"
             fields = StructType.fromJson(json.loads(record.columns)).fields
             for position, field in enumerate(fields, start=1):
@@ -486,7 +491,7 @@ class Database:
                     found.append(
                         (
                             name, state, position, field.name, field.dataType.simpleString(),
-                            counts.get("row_count"), counts.get(f"{field.name}_non_null"),
+                            counts.get(None), counts.get(field.name),
                             rankings.uses(field.name),
                         )
                     )
