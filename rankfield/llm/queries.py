@@ -92,18 +92,24 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(warc.page_records(table(spark, sf_dir, "pages")), path)
-    read = warc.read_warc(spark, path)
     page = lambda c: F.regexp_extract(c, "^<urn:page:(.*)>$", 1).cast("bigint")
-    stored = F.col("record_type") == "response"
-    return read.select(
+    # Both tests are made on the headers; the payloads of responses alone are inflated.
+    responses = warc.read_warc(spark, path).filter("record_type = 'response'")
+    revisits = warc.read_warc(spark, path, payload="false").filter("record_type = 'revisit'")
+    return responses.select(
         page("record_id").alias("page_id"),
-        F.when(stored, F.octet_length("payload"))
-        .otherwise(F.element_at("headers", "x-payload-length"))
-        .cast("bigint")
-        .alias("payload_bytes"),
-        F.when(stored, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"),
         "record_type",
-        F.when(~stored, page("refers_to")).alias("refers_to"),
+        F.lit(None).cast("bigint").alias("refers_to"),
+    ).unionAll(
+        revisits.select(
+            page("record_id"),
+            F.element_at("headers", "x-payload-length").cast("bigint"),
+            "payload_digest",
+            "record_type",
+            page("refers_to"),
+        )
     )
 
 

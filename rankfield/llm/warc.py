@@ -237,7 +237,10 @@ def parse_headers(block: bytes) -> dict[str, str]:
 
 
 def records(source, keep) -> Iterator[tuple[dict, object]]:
-    """Yield the headers of each kept record and a function that reads its payload."""
+    """Yield the headers of each kept record and a function that reads its payload.
+
+    It is called at most once, before the next record is asked for.
+    """
     file = io.BufferedReader(source, 1 << 16) if isinstance(source, io.RawIOBase) else source
     at, end = 0, file.size() if hasattr(file, "size") and callable(file.size) else None
     while end is None or at < end:
@@ -267,8 +270,12 @@ def _packed(file, at: int, head: bytes, keep):
     headers = parse_headers(bytes(text[: head_end - 4]))
     length = int(headers.get("content-length", 0))
 
+    called = False
+
     def rest() -> bytes:
-        nonlocal read
+        nonlocal read, called
+        called = True
+        file.seek(at + read)
         parts = [text[head_end:]]
         if not inflate.eof:  # after the end the tail is what follows the member
             parts.append(inflate.decompress(inflate.unconsumed_tail))
@@ -280,12 +287,19 @@ def _packed(file, at: int, head: bytes, keep):
             parts.append(inflate.decompress(more))
         return b"".join(parts)[:length]
 
-    if keep(headers):
+    if total is None:
+        # Only the end of the member tells where the next one starts.
         payload = rest()
-        yield headers, lambda: payload
-    elif total is None:
-        rest()
-    return at + (total if total is not None else read - len(inflate.unused_data))
+        if keep(headers):
+            yield headers, lambda: payload
+        return at + read - len(inflate.unused_data)
+    if keep(headers):
+        yield headers, rest
+        if not called:  # a payload nobody asked for is passed over, but has to be there
+            file.seek(at + total - 1)
+            if not file.read(1):
+                raise ValueError(f"the archive ends within the record at byte {at}")
+    return at + total
 
 
 def _plain(file, at: int, head: bytes, keep):

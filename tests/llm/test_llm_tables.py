@@ -76,6 +76,43 @@ def test_unwanted_payloads_are_not_read():
     assert source.taken < 20_000
 
 
+
+class Counted(io.BytesIO):
+    """A file that counts what is read of it."""
+
+    taken = 0
+
+    def read(self, size=-1):
+        found = super().read(size)
+        self.taken += len(found)
+        return found
+
+
+def test_a_payload_nobody_asks_for_is_not_read():
+    row = {"record_type": "response", "record_id": "r", "target_uri": "http://a/", "refers_to": None}
+    bodies = [np.random.default_rng(i).bytes(300_000) for i in range(3)]
+    members = [
+        warc.member(
+            warc.record_bytes({**row, "payload": body, "payload_bytes": len(body), "payload_digest": None}, "d")
+        )
+        for body in bodies
+    ]
+    file = Counted(b"".join(members))
+    assert len(list(warc.records(file, lambda headers: True))) == 3
+    assert file.taken < 20_000
+    assert [payload() for _, payload in warc.records(io.BytesIO(file.getvalue()), lambda headers: True)] == bodies
+    lost = io.BytesIO(file.getvalue()[:-1])
+    with pytest.raises(ValueError, match="ends within"):
+        list(warc.records(lost, lambda headers: True))
+
+
+def test_archives_are_read_by_header_predicates(spark, sf_dir):
+    plan = QUERIES["op4_warc"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    # Spark tests neither kind again: the reader has taken both tests.
+    assert plan.count("BatchScan") == 2
+    assert not any("= re" in line for line in plan.splitlines() if "Filter" in line and "Scan" not in line)
+
+
 def test_foreign_archives_are_read(tmp_path, spark):
     row = {"record_type": "response", "target_uri": "http://a/", "refers_to": None, "payload_digest": None}
     raw = [
