@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
@@ -28,18 +29,29 @@ def names(spark: SparkSession, folder: str) -> list[str]:
 
 
 def create(spark: SparkSession, path: str, value: dict[str, Any]) -> None:
-    """Write a new record. Never overwrites: of two writers only one succeeds."""
+    """Write a new record. Never overwrites: of two writers only one succeeds.
+
+    The record gets its name once its content is written, so a reader sees all of it or nothing.
+    """
     fs, target = _path(spark, path)
+    _, draft = _path(spark, f"{target.getParent()}/.draft-{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(json.dumps(value), "utf-8"))
+    finally:
+        stream.close()
+    kind = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    never_over = spark.sparkContext._gateway.new_array(kind, 0)
+    files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(target).toUri(), spark._jsc.hadoopConfiguration()
+    )
     try:
-        stream = fs.create(target, False)
+        files.rename(fs.makeQualified(draft), fs.makeQualified(target), never_over)
     except Py4JJavaError as error:
+        fs.delete(draft, False)
         if fs.exists(target):
             raise RecordConflict(f"{path} was written by another load") from error
         raise
-    try:
-        stream.write(bytearray(json.dumps(value), "utf-8"))
-    finally:
-        stream.close()
 
 
 def read(spark: SparkSession, path: str) -> dict[str, Any]:

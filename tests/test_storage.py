@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankfield.operators.profile import table_profile
+from rankfield.sources import records
 from rankfield.sources.copies import create_sorted_copy, read_sorted_copy
 from rankfield.sources.database import Database
 from rankfield.sources.footers import footer_counts, stored_profile
@@ -98,3 +99,13 @@ def test_sorted_copy(spark, folder):
         read_sorted_copy(table, "code")
     create_sorted_copy(table, ["code"])
     assert read_sorted_copy(table, "code").count() == 4_001
+
+
+def test_records_are_named_when_whole_and_never_overwritten(spark, folder):
+    path = f"{folder}/records/1.json"
+    records.create(spark, path, {"a": "é"})
+    with pytest.raises(records.RecordConflict):
+        records.create(spark, path, {"a": "b"})
+    assert records.read(spark, path) == {"a": "é"}
+    assert records.names(spark, f"{folder}/records") == ["1.json"]
+    assert not [name for name in os.listdir(f"{folder}/records") if "draft" in name]
