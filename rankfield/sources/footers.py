@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,15 @@ TASK_FILES = 64
 _COUNTS = "table_name string, column_name string, row_count bigint, non_null bigint"
 
 
+def _opens(file: str) -> bool:
+    """Whether Arrow knows the file's store; some only Spark's own readers can open."""
+    try:
+        fs.FileSystem.from_uri(file)
+    except (pa.ArrowException, OSError):
+        return False
+    return True
+
+
 def _nulls(footer, name: str) -> int | None:
     """Return a column's nulls in one file, or ``None`` where the footer does not say."""
     total = 0
@@ -70,13 +80,13 @@ def footer_counts(
         name: [f.name for f in df.schema.fields if not isinstance(f.dataType, nested)]
         for name, df in tables.items()
     }
-    files = [(name, file) for name, df in tables.items() for file in df.inputFiles()]
-    found: dict[str, dict[str, int | None]] = {
-        name: {None: 0, **dict.fromkeys(df.columns)} for name, df in tables.items()
-    }
+    found: dict[str, dict[str, int | None]] = {}
+    files = []
     for name, df in tables.items():
-        if not any(of == name for of, _ in files):
-            found[name] = dict.fromkeys([None, *df.columns], 0)
+        inputs = df.inputFiles()
+        found[name] = dict.fromkeys([None, *df.columns], None if inputs else 0)
+        if inputs and _opens(inputs[0]):
+            files += [(name, file) for file in inputs]
     if not files:
         return found
     listed = spark.createDataFrame(files, "table_name string, file string")
@@ -105,9 +115,10 @@ def stored_counts(
     found = footer_counts(spark, tables)
     for name, df in tables.items():
         unknown = [c for c in df.columns if found[name][c] is None]
-        if unknown:
+        if unknown or found[name][None] is None:
             held = column_stats(df.select(*[f"`{c}`" for c in unknown])).first()
             found[name].update({c: held[f"{c}_non_null"] for c in unknown})
+            found[name][None] = held["row_count"]
     return found
 
 

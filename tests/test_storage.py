@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankfield.operators.profile import table_profile
-from rankfield.sources import records
+from rankfield.sources import footers, records
 from rankfield.sources.copies import create_sorted_copy, read_sorted_copy
 from rankfield.sources.database import Database
 from rankfield.sources.footers import footer_counts, stored_profile
@@ -40,7 +40,7 @@ def test_counts_come_without_reading_a_page(spark, folder):
     ]
 
 
-def test_a_scan_only_where_footers_say_nothing(spark, folder):
+def test_a_scan_only_where_footers_say_nothing(spark, folder, monkeypatch):
     rows = spark.range(10).select(
         "id",
         F.when(F.col("id") > 3, F.array("id")).alias("list"),
@@ -55,10 +55,16 @@ def test_a_scan_only_where_footers_say_nothing(spark, folder):
     tables = {name: spark.read.parquet(f"{folder}/{path}") for name, path in names.items()}
     known = footer_counts(spark, tables)
     assert known["nested"] == {None: 10, "id": 10, "list": None, "row": None, "part": None}
+    assert not footers._opens("nowhere://host/a.parquet")
     assert known["silent"] == {None: 10, "id": None, "v": None}
     order = ["table_name", "position"]
     found = stored_profile(spark, tables).orderBy(*order).collect()
-    assert found == table_profile(tables).orderBy(*order).collect()
+    expected = table_profile(tables).orderBy(*order).collect()
+    assert found == expected
+    # A store that Arrow does not know.
+    monkeypatch.setattr(footers, "_opens", lambda file: False)
+    assert footer_counts(spark, tables)["silent"] == {None: None, "id": None, "v": None}
+    assert stored_profile(spark, tables).orderBy(*order).collect() == expected
 
 
 def test_sorted_copy(spark, folder):
