@@ -22,6 +22,7 @@ from rankfield.operators.fusion import RRF_K, fuse, hybrid  # noqa: E402
 from rankfield.operators.knn import knn  # noqa: E402
 from rankfield.operators.merge import apply_load, get_by_ids  # noqa: E402
 from rankfield.operators.mmr import mmr, mmr_select  # noqa: E402
+from rankfield.operators.paging import deep_page  # noqa: E402
 from rankfield.operators.profile import column_stats, table_overview, table_profile  # noqa: E402
 from rankfield.plans.search import (  # noqa: E402
     SearchPlan,
@@ -35,7 +36,9 @@ from rankfield.plans.store import DocumentStore, promote_metadata  # noqa: E402
 from rankfield.session import clear_scratch  # noqa: E402
 from rankfield.sources.attach import attach, catalogs_in_scope, detach  # noqa: E402
 from rankfield.sources.cells import CellIndex  # noqa: E402
+from rankfield.sources.copies import create_sorted_copy, read_sorted_copy  # noqa: E402
 from rankfield.sources.database import Database, ManagedTable  # noqa: E402
+from rankfield.sources.footers import stored_profile  # noqa: E402
 from rankfield.sources.indexes import (  # noqa: E402
     create_text_index,
     create_vector_index,
@@ -71,8 +74,10 @@ __all__ = [
     "clear_scratch",
     "column_stats",
     "cosine_distance",
+    "create_sorted_copy",
     "create_text_index",
     "create_vector_index",
+    "deep_page",
     "detach",
     "embed",
     "fuse",
@@ -87,6 +92,7 @@ __all__ = [
     "open_vector_index",
     "plan_search",
     "promote_metadata",
+    "read_sorted_copy",
     "refresh_indexes",
     "relevance_score",
     "scan_parquet",
@@ -94,6 +100,7 @@ __all__ = [
     "search_capped",
     "search_table",
     "semantic_search",
+    "stored_profile",
     "table_overview",
     "table_profile",
     "table_rankings",
