@@ -29,7 +29,7 @@ from rankfield.operators.topk import (
     hit_columns,
     ranked,
 )
-from rankfield.session import BROADCAST_ROWS, bounded, spread, written
+from rankfield.session import BROADCAST_ROWS, bounded, scratch_path, spread, written
 
 #: Fixed values of the ranking formula.
 K1 = 1.2
@@ -46,9 +46,6 @@ BROADCAST_TERMS = 20_000
 #: Scores one task holds at a time.
 SCORE_CELLS = 4_000_000
 
-#: Postings of one group when the query table is too large to broadcast.
-SLICE_POSTINGS = 2_000_000
-
 #: Rows with one term that a task joins; a word in more rows is split into so many parts.
 TERM_ROWS = 1_000_000
 
@@ -125,7 +122,7 @@ class Asked(NamedTuple):
     average: float
 
 
-def _by_term(query: np.ndarray, term: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray]:
+def by_term(query: np.ndarray, term: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray]:
     """Return ``starts`` and ``members`` of pairs of query number and term number."""
     order = np.argsort(term, kind="stable")
     return np.searchsorted(term[order], np.arange(terms + 1)), query[order]
@@ -139,7 +136,7 @@ def asked_terms(table: pa.Table) -> tuple[pa.Array, pa.Array, np.ndarray, np.nda
         return None
     length = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
     query = np.repeat(np.arange(len(lists)), length)
-    starts, members = _by_term(query, words.indices.to_numpy(), len(words.dictionary))
+    starts, members = by_term(query, words.indices.to_numpy(), len(words.dictionary))
     return table.column(0).combine_chunks(), words.dictionary, starts, members
 
 
@@ -178,7 +175,7 @@ def _pieces(asked: Asked, row: np.ndarray, word: np.ndarray, tf: np.ndarray, len
         first += width
 
 
-def _score(asked: Asked, best: RunningTopK | None, names, keys, row, word, tf, length):
+def score_rows(asked: Asked, best: RunningTopK | None, names, keys, row, word, tf, length):
     """Offer the scores of some rows to ``best``, or yield every match if there is none."""
     numbers = np.arange(len(asked.ids))
     for first, total in _pieces(asked, row, word, tf, length):
@@ -225,7 +222,7 @@ def _score_rows(matched: DataFrame, asked: Asked, schema, k: int | None) -> Data
             pair, tf = np.unique(pair, return_counts=True)
             row, word = pair // len(asked.terms), pair % len(asked.terms)
             length = batch.column(1).to_numpy(zero_copy_only=False)
-            yield from _score(asked, best, names, batch.column(0), row, word, tf, length)
+            yield from score_rows(asked, best, names, batch.column(0), row, word, tf, length)
         if best is not None:
             yield from best.batches(asked.ids, names)
 
@@ -251,7 +248,7 @@ def _score_sorted(asked: Asked, best: RunningTopK | None, names, postings: pa.Ta
     keys = postings.column(0).combine_chunks().take(pa.array(starts))
     tf = postings.column(2).to_numpy()
     length = postings.column(3).to_numpy()[starts]
-    yield from _score(asked, best, names, keys, row, word, tf, length)
+    yield from score_rows(asked, best, names, keys, row, word, tf, length)
 
 
 def score_postings(
@@ -294,68 +291,6 @@ def score_postings(
     )
 
 
-def score_grid(
-    postings: DataFrame,
-    weights: DataFrame,
-    schema: T.StructType,
-    *,
-    average: float,
-    k: int,
-    block_rows: int,
-) -> DataFrame:
-    """Score a query table of any size, ``weights`` being ``(query_key, term, idf)``.
-
-    Blocks of queries meet slices of the rows. Each group holds one bounded block and one
-    bounded slice and passes on ``k`` rows per query; no pair of query and row leaves it.
-    """
-    query_key, key, _ = names = schema.fieldNames()
-    blocks = max(1, math.ceil(weights.select(query_key).distinct().count() / block_rows))
-    slices = max(1, math.ceil(postings.count() / SLICE_POSTINGS))
-
-    def numbered(column: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    wanted = postings.join(weights.select("term").distinct(), "term", "left_semi")
-    left = (
-        wanted.select(key, "term", "tf", "doc_len")
-        .withColumn("_slice", numbered(key, slices))
-        .withColumn("_block", every(blocks))
-    )
-    right = weights.withColumn("_block", numbered(query_key, blocks)).withColumn(
-        "_slice", every(slices)
-    )
-
-    def search(rows: pa.Table, block: pa.Table) -> pa.Table:
-        found = []
-        if rows.num_rows and block.num_rows:
-            ids = block.column(query_key).combine_chunks().dictionary_encode()
-            words = block.column("term").combine_chunks().dictionary_encode()
-            term = words.indices.to_numpy()
-            starts, members = _by_term(ids.indices.to_numpy(), term, len(words.dictionary))
-            weight = np.zeros(len(words.dictionary))
-            weight[term] = block.column("idf").to_numpy()
-            asked = Asked(ids.dictionary, words.dictionary, starts, members, weight, average)
-            best = RunningTopK(len(asked.ids), k, SCORE_DECIMALS)
-            rows = rows.select([key, "term", "tf", "doc_len"]).sort_by(key)
-            list(_score_sorted(asked, best, names, rows))
-            found = list(best.batches(asked.ids, names))
-        if found:
-            return pa.Table.from_batches(found)
-        empty = [block.column(query_key).type, rows.column(key).type, pa.float64()]
-        return pa.table([pa.array([], kind) for kind in empty], names=names)
-
-    groups = ["_slice", "_block"]
-    return (
-        left.groupBy(*groups)
-        .cogroup(right.groupBy(*groups))
-        .applyInArrow(search, schema)
-        .withColumn(SCORE, -F.col(SCORE))
-    )
-
-
 def score_pool(
     postings: DataFrame, weights: DataFrame, *, key: str, query_key: str, average: float
 ) -> DataFrame:
@@ -418,26 +353,22 @@ def _scan_bounded(slim, table, schema, key, text, k) -> DataFrame | None:
 
 
 def _scan_any(
-    slim, queries, schema, key, text, query_key, query_text, k, block_rows, filtered
+    slim, queries, key, text, query_key, query_text, k, broadcast_rows, filtered
 ) -> DataFrame:
-    """Score a query table of any size."""
-    postings = written(term_counts(slim, key, text), "bm25-postings")
-    asked = query_terms(queries, query_key, query_text).select(
-        query_key, F.explode("terms").alias("term")
+    """Score a query table of any size, from an index of the text made for it."""
+    # The index module builds on this one.
+    from rankfield.sources.postings import PostingsIndex
+
+    path = scratch_path(slim.sparkSession, "bm25-postings")
+    index = PostingsIndex.build(slim, key=key, text=text, path=path, checked=True)
+    return index.scores(
+        queries,
+        query_key=query_key,
+        query_text=query_text,
+        k=k,
+        only=slim.filter(RANKED).select(key) if filtered else None,
+        broadcast_rows=broadcast_rows,
     )
-    n = slim.count()
-    words = postings.agg(F.sum("tf")).first()[0]
-    average = words / n if n and words else 1.0
-    df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weights = asked.join(df, "term").select(
-        query_key, "term", idf(F.col("df"), F.lit(float(n))).alias("idf")
-    )
-    weights = written(weights, "bm25-weights")
-    if filtered:
-        postings = postings.join(slim.filter(RANKED).select(key), key, "left_semi")
-    if k is None:
-        return score_pool(postings, weights, key=key, query_key=query_key, average=average)
-    return score_grid(postings, weights, schema, average=average, k=k, block_rows=block_rows)
 
 
 def text_queries(
@@ -514,7 +445,7 @@ def bm25_scan(
         scored = _scan_bounded(slim, table, schema, key, text, k)
     if scored is None:
         scored = _scan_any(
-            slim, asked, schema, key, text, query_key, query_text, k, block, where is not None
+            slim, asked, key, text, query_key, query_text, k, broadcast_rows, where is not None
         )
     bound = None if table is None or k is None else table.num_rows * k
     return finish_text(

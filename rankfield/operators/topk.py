@@ -72,6 +72,10 @@ class RunningTopK:
         )
         self._merge(found)
 
+    def reached(self, values: np.ndarray) -> np.ndarray:
+        """Say of ``values[query, j]`` whether they could still be chosen."""
+        return values <= self._kth[:, None] + 2.0 * 10.0**-self._decimals
+
     def _merge(self, found: pa.Table) -> None:
         both = found if self._best is None else pa.concat_tables([self._best, found])
         order = pc.sort_indices(

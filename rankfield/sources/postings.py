@@ -21,7 +21,6 @@ from rankfield.operators.bm25 import (
     idf,
     idf_values,
     query_terms,
-    score_grid,
     score_pool,
     score_postings,
     score_schema,
@@ -32,10 +31,19 @@ from rankfield.operators.bm25 import (
 from rankfield.operators.knn import apply_where, query_block
 from rankfield.operators.merge import check_keys
 from rankfield.operators.topk import check_k, hit_columns
-from rankfield.session import BROADCAST_ROWS, bounded, row_bound, spread, written
+from rankfield.session import BROADCAST_ROWS, bounded, row_bound, scratch_path, spread, written
 from rankfield.sources import records
+from rankfield.sources.blocks import (
+    Part,
+    read_blocks,
+    score_shards,
+    write_blocks,
+    write_keys,
+    write_weights,
+)
+from rankfield.sources.footers import _opens
 
-#: Terms listed in the scan filter; beyond it the buckets and the join do the pruning.
+#: Words listed in the scan filter; beyond it the buckets and the join do the pruning.
 LISTED_TERMS = 1_000
 
 
@@ -43,9 +51,8 @@ LISTED_TERMS = 1_000
 class PostingsIndex:
     """A BM25 index in a folder: ``postings``, ``terms`` and the totals kept here.
 
-    ``postings`` holds ``(bucket, term, <key>, tf, doc_len)`` in one folder per bucket,
-    sorted by term within each file, so a search opens the buckets of its words and skips
-    the row groups without them.
+    ``postings`` are blocks in one file per shard of the rows, sorted by term, which a search
+    scores shard by shard. ``terms`` holds ``(bucket, term, df)`` in one folder per bucket.
     """
 
     path: str
@@ -57,16 +64,22 @@ class PostingsIndex:
     key_type: str
     #: Folders that hold ``postings`` and ``terms``: that of the build, then those of changes.
     parts: tuple[str, ...] = ()
+    #: How many shards each part has.
+    shards: tuple[int, ...] = ()
     #: Numbers of the parts that have ``gone``, keys whose postings in earlier parts are void.
     voiding: tuple[int, ...] = ()
 
     @classmethod
     def build(
-        cls, corpus: DataFrame, *, key: str, text: str, path: str, buckets: int = 64
+        cls, corpus: DataFrame, *, key: str, text: str, path: str, buckets: int = 64, checked: bool = False
     ) -> PostingsIndex:
-        """Write the index of ``corpus[text]``. Keys have to be present and unique."""
+        """Write the index of ``corpus[text]``. Keys have to be present and unique.
+
+        ``checked`` says that they are known to be.
+        """
         check_k(buckets, "buckets")
-        check_keys(corpus.select(key), [key])
+        if not checked:
+            check_keys(corpus.select(key), [key])
         key_type = corpus.schema[key].dataType.simpleString()
         empty = cls(path, key, text, buckets, 0, 0, key_type)
         return empty._with(corpus, path)
@@ -79,24 +92,16 @@ class PostingsIndex:
         """
         spark = rows.sparkSession
         counts = term_counts(spread(rows.select(self.key, self.text), self.key), self.key, self.text)
-        # A range over the terms within a bucket: a file holds few terms, so a search skips
-        # the others, and a hash of the key splits a word that is in most rows.
-        (
-            counts.withColumn("bucket", bucket_of("term", self.buckets))
-            .repartitionByRange("bucket", "term", F.xxhash64(self.key))
-            .sortWithinPartitions("bucket", "term")
-            .write.partitionBy("bucket")
-            .parquet(f"{path}/postings")
-        )
-        new = replace(self, path=path, parts=(path,), voiding=())
-        postings = new.postings(spark)
-        signed = postings.select("bucket", "term", "tf", F.lit(1).alias("sign"))
         count, voiding = rows.count(), self.voiding
+        shards = write_blocks(counts, f"{path}/postings", self.key, count)
+        new = replace(self, path=path, parts=(path,), shards=(shards,), voiding=())
+        bucket = bucket_of("term", self.buckets).alias("bucket")
+        signed = new.postings(spark).select(bucket, "term", "tf", F.lit(1).alias("sign"))
         if gone is not None:
             gone = written(gone.select(self.key, self.text), "gone")
-            gone.select(self.key).write.parquet(f"{path}/gone")
-            off = term_counts(gone, self.key, self.text).withColumn("bucket", bucket_of("term", self.buckets))
-            signed = signed.unionByName(off.select("bucket", "term", "tf", F.lit(-1).alias("sign")))
+            write_keys(gone, self.key, self.shards, f"{path}/gone")
+            off = term_counts(gone, self.key, self.text)
+            signed = signed.unionByName(off.select(bucket, "term", "tf", F.lit(-1).alias("sign")))
             count, voiding = count - gone.count(), (*voiding, len(self.parts))
         (
             signed.groupBy("bucket", "term")
@@ -111,6 +116,7 @@ class PostingsIndex:
             rows=self.rows + count,
             words=self.words + (signed.agg(F.sum(F.col("tf") * F.col("sign"))).first()[0] or 0),
             parts=(*self.parts, path),
+            shards=(*self.shards, shards),
             voiding=voiding,
         )
         records.create(spark, f"{path}/totals.json", asdict(index))
@@ -130,33 +136,52 @@ class PostingsIndex:
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> PostingsIndex:
         found = records.read(spark, f"{path}/totals.json")
-        return cls(**{**found, "parts": tuple(found["parts"]), "voiding": tuple(found["voiding"])})
+        return cls(**{name: tuple(v) if isinstance(v, list) else v for name, v in found.items()})
 
     def postings(self, spark: SparkSession) -> DataFrame:
         """Return all valid postings: those of each part but for rows that a later one voids."""
-        columns = f"`{self.key}` {self.key_type}, term string, tf int, doc_len int, bucket int"
+        frames = [read_blocks(spark, f"{p}/postings", self.key, self.key_type) for p in self.parts]
         if not self.voiding:
-            return reduce(DataFrame.unionByName, self._each(spark, columns, "postings"))
-        frames = self._each(spark, columns, "postings")
+            return reduce(DataFrame.unionByName, frames)
         numbered = [f.withColumn("_part", F.lit(i)) for i, f in enumerate(frames)]
         every = reduce(DataFrame.unionByName, numbered)
+        columns = f"key {self.key_type}, part int, shard int"
         gone = [
-            spark.read.schema(f"`{self.key}` {self.key_type}").parquet(f"{self.parts[i]}/gone").withColumn("_until", F.lit(i))
+            spark.read.schema(columns).parquet(f"{self.parts[i]}/gone").select(F.col("key").alias("_gone"), F.lit(i).alias("_until"))
             for i in self.voiding
         ]
-        last = reduce(DataFrame.unionByName, gone).groupBy(self.key).agg(F.max("_until").alias("_until"))
-        void = (every[self.key] == last[self.key]) & (F.col("_part") < F.col("_until"))
+        last = reduce(DataFrame.unionByName, gone).groupBy("_gone").agg(F.max("_until").alias("_until"))
+        void = (F.col(self.key) == F.col("_gone")) & (F.col("_part") < F.col("_until"))
         return every.join(last, void, "left_anti").drop("_part")
 
     def terms(self, spark: SparkSession) -> DataFrame:
         """How many rows have each term."""
-        parts = reduce(DataFrame.unionByName, self._each(spark, "term string, df bigint, bucket int", "terms"))
+        columns = "term string, df bigint, bucket int"
+        frames = [spark.read.schema(columns).parquet(f"{part}/terms") for part in self.parts]
+        parts = reduce(DataFrame.unionByName, frames)
         if len(self.parts) == 1:
             return parts
         return parts.groupBy("bucket", "term").agg(F.sum("df").alias("df")).filter("df > 0")
 
-    def _each(self, spark: SparkSession, columns: str, what: str) -> list[DataFrame]:
-        return [spark.read.schema(columns).parquet(f"{part}/{what}") for part in self.parts]
+    def _places(self, spark: SparkSession, only: DataFrame | None) -> list[Part] | None:
+        """Return where tasks find the postings, or ``None`` in a store that Arrow cannot open.
+
+        ``only`` is written by shard, so that each task reads the keys of its own.
+        """
+        if not _opens(records.uri(spark, self.path)):
+            return None
+        allowed = None
+        if only is not None:
+            path = scratch_path(spark, "bm25-only")
+            write_keys(only, self.key, self.shards, path)
+            allowed = records.uri(spark, path)
+        places = []
+        for i, (part, shards) in enumerate(zip(self.parts, self.shards)):
+            later = [self.parts[j] for j in self.voiding if j > i]
+            gone = tuple(records.uri(spark, f"{p}/gone/part={i}") for p in later)
+            own = None if allowed is None else f"{allowed}/part={i}"
+            places.append(Part(records.uri(spark, f"{part}/postings"), shards, gone, own))
+        return places
 
     def scores(
         self,
@@ -187,15 +212,19 @@ class PostingsIndex:
             weights = pairs.join(terms, "term").select(
                 query_key, "term", idf(F.col("df"), F.lit(float(self.rows))).alias("idf")
             )
+            places = None if k is None else self._places(spark, only)
+            if places is not None:
+                path = scratch_path(spark, "bm25-weights")
+                blocks = write_weights(weights, query_key, block, path)
+                path = records.uri(spark, path)
+                return score_shards(
+                    spark, places, schema, k, weights=path, blocks=blocks, average=average
+                )
             weights = written(weights, "bm25-weights")
             if only is not None:
                 postings = postings.join(only, self.key, "left_semi")
-            if k is None:
-                return score_pool(
-                    postings, weights, key=self.key, query_key=query_key, average=average
-                )
-            return score_grid(
-                postings, weights, schema, average=average, k=k, block_rows=block
+            return score_pool(
+                postings, weights, key=self.key, query_key=query_key, average=average
             )
         ids, words, starts, members = few
         if not len(words):
@@ -203,21 +232,21 @@ class PostingsIndex:
         listed = spark.createDataFrame(pa.table({"term": words}))
         listed = listed.withColumn("bucket", bucket_of("term", self.buckets))
         chosen = sorted({r["bucket"] for r in listed.select("bucket").collect()})
-        postings = postings.filter(F.col("bucket").isin(chosen))
         terms = terms.filter(F.col("bucket").isin(chosen))
         if len(words) <= LISTED_TERMS:
-            wanted = F.col("term").isin(words.to_pylist())
-            postings, terms = postings.filter(wanted), terms.filter(wanted)
+            terms = terms.filter(F.col("term").isin(words.to_pylist()))
         else:
-            wanted = F.broadcast(listed.select("term"))
-            postings = postings.join(wanted, "term", "left_semi")
-            terms = terms.join(wanted, "term", "left_semi")
+            terms = terms.join(F.broadcast(listed.select("term")), "term", "left_semi")
         rows = {r["term"]: r["df"] for r in terms.select("term", "df").collect()}
         df = np.array([rows.get(word, 0) for word in words.to_pylist()], dtype=np.float64)
         weight = idf_values(self.rows, df)
+        known = Asked(ids, words, starts, members, weight, average)
+        places = self._places(spark, only)
+        if places is not None:
+            return score_shards(spark, places, schema, k, asked=known)
+        postings = postings.join(F.broadcast(listed.select("term")), "term", "left_semi")
         if only is not None:
             postings = postings.join(only, self.key, "left_semi")
-        known = Asked(ids, words, starts, members, weight, average)
         return score_postings(postings, known, schema, k)
 
     def search(

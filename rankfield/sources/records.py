@@ -19,6 +19,14 @@ def _path(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
+def uri(spark: SparkSession, path: str) -> str:
+    """Return the full URI of a path, as other readers than Spark's want it."""
+    fs, hadoop = _path(spark, path)
+    found = fs.makeQualified(hadoop).toUri().toString()
+    local = found.startswith("file:/") and not found.startswith("file://")
+    return f"file://{found[5:]}" if local else found
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     """Return the sorted names in a folder, or nothing if it does not exist."""
     fs, path = _path(spark, folder)

@@ -14,6 +14,7 @@ from rankfield.plans.search import (
     semantic_search,
 )
 from rankfield.plans.store import DocumentStore, promote_metadata
+from rankfield.sources.blocks import read_blocks
 from rankfield.sources.database import Database
 from rankfield.sources.indexes import (
     create_text_index,
@@ -284,7 +285,7 @@ def test_an_upsert_writes_only_its_own_postings(spark, folder):
         database.load("t", source, mode, None if mode == "append" else ["id"])
         refresh_indexes(table)
         index = open_text_index(table, "text")
-        written = spark.read.schema("id string").parquet(f"{index.path}/postings").distinct().collect()
+        written = read_blocks(spark, f"{index.path}/postings", "id", "string").select("id").distinct().collect()
         assert {r["id"] for r in written} <= {i for i, _ in changed}
         assert index.rows == table.read().count()
         for ask in ({"strategy": "text"}, {"embedder": model}):

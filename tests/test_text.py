@@ -1,13 +1,18 @@
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rankfield.operators import bm25 as bm25_module
-from rankfield.operators.bm25 import bm25_scan
+from rankfield.operators.bm25 import bm25_scan, idf_values
 from rankfield.operators.fusion import fetch_depth, fuse, hybrid
+from rankfield.operators.topk import SCORE_DECIMALS, RunningTopK
+from rankfield.sources import blocks, postings
 from rankfield.sources.postings import PostingsIndex
 
 TEXTS = [
@@ -92,8 +97,13 @@ def test_small_pieces_give_the_same_scores(spark, monkeypatch, cells):
     assert sorted(pieces.collect()) == want
 
 
+def small_shards(monkeypatch):
+    monkeypatch.setattr(blocks, "SHARD_ROWS", 5)
+    monkeypatch.setattr(blocks, "SEGMENT_ROWS", 2)
+
+
 def test_many_queries_in_small_groups(spark, monkeypatch):
-    monkeypatch.setattr(bm25_module, "SLICE_POSTINGS", 7)
+    small_shards(monkeypatch)
     asked = queries(spark, [f"{a} {b}" for a in ("quiet", "the", "sea", "no") for b in ("garden", "street")])
     got = bm25_scan(corpus(spark), asked, key="id", text="text", k=4, broadcast_rows=2)
     monkeypatch.undo()
@@ -147,11 +157,110 @@ def _index_gives_the_scan_answer(spark, folder, broadcast_rows):
 
 
 def test_index_reads_only_the_buckets_of_its_words(spark, folder):
+    index = PostingsIndex.build(corpus(spark), key="id", text="text", path=f"{folder}/ix", buckets=16)
+    assert len(list(Path(folder, "ix", "terms").glob("bucket=*"))) > 1
+    asked = queries(spark, ["sea"])
+    read = index.scores(asked, query_key="query_id", query_text="query_text", k=2)
+    assert "Exchange" not in plan_of(read) and "postings" not in plan_of(read)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_index_search_shuffles_no_postings(spark, folder, monkeypatch):
+    """What a search shuffles is ``k`` rows per query and task; many queries, too."""
+    small_shards(monkeypatch)
+    index = PostingsIndex.build(corpus(spark), key="id", text="text", path=f"{folder}/ix")
+    for rows in (8192, 1):
+        names = {"query_key": "query_id", "query_text": "query_text", "broadcast_rows": rows}
+        scored = index.scores(queries(spark, ASKED), k=2, **names)
+        assert "Exchange" not in plan_of(scored)
+        tasks = scored.rdd.getNumPartitions()
+        most = scored.groupBy("query_id").count().agg(F.max("count")).first()[0]
+        assert most <= 2 * tasks
+
+
+def one_shard(spark, folder, monkeypatch):
+    """Rows with the words of a query together are in few segments of one shard."""
+    monkeypatch.setattr(blocks, "LEAST_SHARDS", 1)
+    monkeypatch.setattr(blocks, "SEGMENT_ROWS", 50)
+    texts = [f"garden {'sea ' * 5 if i % 500 == 3 else 'street wall door house gate'}" for i in range(2000)]
+    docs = corpus(spark, texts)
+    return docs, PostingsIndex.build(docs, key="id", text="text", path=f"{folder}/ix")
+
+
+def test_segments_that_score_too_low_are_not_read(spark, folder, monkeypatch):
+    docs, index = one_shard(spark, folder, monkeypatch)
+    places = index._places(spark, None)
+    assert [p.shards for p in places] == [1]
+    words = pa.array(["garden", "sea"])
+    weight = idf_values(2000, np.array([2000, 4]))
+    ids, starts, members = pa.array([0]), np.array([0, 1, 2]), np.array([0, 0])
+    asked = bm25_module.Asked(ids, words, starts, members, weight, index.words / 2000)
+    read = []
+    whole = blocks._Shard.postings
+    monkeypatch.setattr(blocks._Shard, "postings", lambda self, some: read.extend(some) or whole(self, some))
+    best = RunningTopK(1, 3, SCORE_DECIMALS)
+    list(blocks.score_shard(places[0], 0, asked, ["garden", "sea"], best, ["q", "id", "s"], pa.int64()))
+    assert len(read) == len(set(read)) <= 7
+    found = pa.Table.from_batches(best.batches(ids, ["q", "id", "s"]))
+    assert found["id"].to_pylist() == [3, 503, 1003]
+    assert sorted(index.search(docs, query="garden sea", k=9).collect()) == sorted(
+        bm25_scan(docs, query="garden sea", key="id", text="text", k=9).collect()
+    )
+
+
+def test_row_groups_without_the_words_are_not_read(spark, folder, monkeypatch):
+    monkeypatch.setattr(blocks, "LEAST_SHARDS", 1)
+    monkeypatch.setattr(blocks, "GROUP_BYTES", 1)
+    docs = corpus(spark, [f"word{i} other{i} common" for i in range(1500)])
+    index = PostingsIndex.build(docs, key="id", text="text", path=f"{folder}/ix")
+    (file,) = blocks._files(f"{index._places(spark, None)[0].postings}/shard=0")
+    groups = [file.metadata.row_group(i) for i in range(file.num_row_groups)]
+    assert len(groups) > 5
+    assert 1 <= sum(blocks._may_hold(g, ["word77"]) for g in groups) <= 2
+    assert [r["id"] for r in index.search(docs, query="word77", k=5).collect()] == [77]
+
+
+@pytest.mark.parametrize("rows", [8192, 1])
+def test_a_changed_index_is_searched_by_shard(spark, folder, monkeypatch, rows):
+    """Void rows and a filter are looked up by shard, in parts of different size."""
+    small_shards(monkeypatch)
+    old = corpus(spark)
+    index = PostingsIndex.build(old, key="id", text="text", path=f"{folder}/words-0")
+    gone = old.filter("id IN (0, 3, 7)")
+    added = spark.createDataFrame([(3, "sea sea garden"), (40, "quiet sea")], "id bigint, text string")
+    index = PostingsIndex.open(spark, index.change(added, gone))
+    lost = added.filter("id = 3")
+    more = spark.createDataFrame([(i, f"garden {i}") for i in range(50, 70)], "id bigint, text string")
+    index = PostingsIndex.open(spark, index.change(more, lost))
+    now = old.join(gone, "id", "left_anti").unionByName(added.filter("id = 40")).unionByName(more)
+    for k in (3, None):
+        for where in (None, F.col("id") % 2 == 0):
+            got = index.search(now, queries(spark, ASKED), k=k, where=where, broadcast_rows=rows)
+            want = bm25_scan(now, queries(spark, ASKED), key="id", text="text", k=k, where=where)
+            assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_a_store_that_arrow_cannot_open_is_searched_by_spark(spark, folder, monkeypatch):
+    docs = corpus(spark)
+    index = PostingsIndex.build(docs, key="id", text="text", path=f"{folder}/ix")
+    monkeypatch.setattr(postings, "_opens", lambda uri: False)
+    for rows in (8192, 1):
+        got = index.search(docs, queries(spark, ASKED), k=3, where=F.col("id") > 1, broadcast_rows=rows)
+        want = bm25_scan(docs, queries(spark, ASKED), key="id", text="text", k=3, where=F.col("id") > 1)
+        assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_keys_of_other_types(spark, folder):
+    """Text and timestamp keys come back as they were."""
     docs = corpus(spark)
-    index = PostingsIndex.build(docs, key="id", text="text", path=f"{folder}/ix", buckets=16)
-    plan = index.search(docs, query="sea", k=2)._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan
-    assert "EqualTo(term,sea)" in plan or "In(term, [sea])" in plan
+    for kind in ("CAST(id AS STRING)", "timestamp_seconds(id)", "CAST(id AS DECIMAL(20, 2))"):
+        own = docs.select(F.expr(kind).alias("id"), "text")
+        index = PostingsIndex.build(own, key="id", text="text", path=f"{folder}/{len(kind)}-ix")
+        got = index.search(own, query="quiet garden", k=4).collect()
+        assert got == bm25_scan(own, query="quiet garden", key="id", text="text", k=4).collect()
 
 
 def test_index_refuses_repeated_keys(spark, folder):
