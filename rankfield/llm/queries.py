@@ -136,7 +136,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(~quality.held_out("doc_id"))
-    return quality.score_quality(documents, labels).select(
+    return quality.score_quality(documents, labels, columns=["doc_id"]).select(
         "doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted"
     )
 

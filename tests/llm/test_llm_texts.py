@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -409,6 +410,36 @@ def test_pairs_learn_an_order():
     assert ((model.score(x) >= 0.5) == y).mean() > 0.95
 
 
+def test_quality_fits_on_every_labelled_row(spark):
+    """The threshold splits all labelled texts as the labels do, however many they are."""
+    draw = np.random.default_rng(3)
+    words = np.array(["a", "bc", "Def", "ghij", "12", "k,", "lm.", "Nopqrst"])
+    texts = [" ".join(words[draw.integers(0, 8, n)]) for n in draw.integers(40, 80, 24_000)]
+    y = (draw.random(len(texts)) < 0.4).astype(int).tolist()
+    numbers = list(range(len(texts)))
+    docs = spark.createDataFrame(pa.table({"doc_id": numbers, "text": texts}))
+    labels = spark.createDataFrame(pa.table({"doc_id": numbers, "quality": y}))
+    rows = sorted(quality.score_quality(docs, labels).select("doc_id", "score", "predicted").collect())
+    assert sum(r["predicted"] for r in rows) == sum(y)
+    again = quality.score_quality(docs.repartition(5), labels.repartition(3), columns=["doc_id"])
+    assert [r["score"] for r in sorted(again.collect())] == [r["score"] for r in rows]
+
+
+def test_quality_groups_pair_every_row():
+    """A class of few rows meets every group; groups give the sums and ranks of the whole."""
+    y = np.array([0] * 50 + [1] * 3)
+    better, worse = (np.concatenate(c) for c in zip(*quality.pairs(y)))
+    assert set(better.tolist()) == {50, 51, 52} and set(worse.tolist()) == set(range(50))
+    x = np.random.default_rng(5).normal(size=(200, len(quality.FEATURES)))
+    model = quality.Model(np.zeros(x.shape[1]), np.ones(x.shape[1]), np.ones(x.shape[1]), 0.0)
+    cut = [slice(0, 20), slice(20, 190), slice(190, 200)]
+    groups = lambda f: np.stack([f(x[c], np.zeros(len(x[c])), np.ones(len(x[c]), bool)) for c in cut])
+    ranked = np.sort(model.raw(x))
+    for below in (1, 77, 199):
+        assert quality.quantile(groups, model, below) == (ranked[below - 1] + ranked[below]) / 2
+    assert quality.quantile(groups, model, 200) == ranked[-1]
+
+
 def test_features_are_finite():
     for text in (b"", b" \n", b"x", b"a b", "é".encode(), b"***", b"x\n" * 5, b"word " * 50_000):
         assert np.isfinite(quality.features(text)).all()
