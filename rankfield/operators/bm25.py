@@ -60,8 +60,8 @@ def term_weight(tf: Column, length: Column, average: Column) -> Column:
     return tf * F.lit(K1 + 1.0) / (tf + norm)
 
 
-def term_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """Return ``(key, term, tf, doc_len)``: each row's distinct terms with their counts.
+def term_lists(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """Return ``(key, terms, tfs, doc_len)``: the distinct terms of each row that has some.
 
     A row's tokens are all in that row, so counting them needs no shuffle.
     """
@@ -69,8 +69,8 @@ def term_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField(key, rows.schema[key].dataType),
-            T.StructField("term", T.StringType()),
-            T.StructField("tf", T.IntegerType()),
+            T.StructField("terms", T.ArrayType(T.StringType())),
+            T.StructField("tfs", T.ArrayType(T.IntegerType())),
             T.StructField("doc_len", T.IntegerType()),
         ]
     )
@@ -89,20 +89,26 @@ def term_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
                 row * size + words.indices.to_numpy().astype(np.int64), return_counts=True
             )
             row, word = pair // size, pair % size
-            table = pa.table(
-                [
-                    batch.column(0).take(pa.array(row)),
-                    words.dictionary.take(pa.array(word)),
-                    pa.array(tf, pa.int32()),
-                    pa.array(length[row], pa.int32()),
-                ],
-                names=names,
-            )
-            yield from table.to_batches(max_chunksize=50_000)
+            kept, starts = np.unique(row, return_index=True)
+            ends = pa.array(np.append(starts, len(row)), pa.int32())
+            columns = [
+                batch.column(0).take(pa.array(kept)),
+                pa.ListArray.from_arrays(ends, words.dictionary.take(pa.array(word))),
+                pa.ListArray.from_arrays(ends, pa.array(tf, pa.int32())),
+                pa.array(length[kept], pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return split.mapInArrow(count, schema)
 
 
+def term_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """Return ``(key, term, tf, doc_len)``: each row's distinct terms with their counts."""
+    lists = term_lists(rows, key, text)
+    each = lists.select(F.col(key), "doc_len", F.explode(F.arrays_zip("terms", "tfs")).alias("_term"))
+    return each.select(F.col(key), F.col("_term.terms").alias("term"), F.col("_term.tfs").alias("tf"), "doc_len")
+
+
 def query_terms(queries: DataFrame, query_key: str, query_text: str) -> DataFrame:
     """Return each query's distinct terms; a word repeated in a query counts once."""
     return queries.select(query_key, F.array_distinct(tokens(query_text)).alias("terms"))

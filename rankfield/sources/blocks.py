@@ -39,6 +39,10 @@ TASK_SHARDS = 8
 #: Bytes of a row group, the least that is read at a time.
 GROUP_BYTES = 1 << 21
 
+#: Postings of a segment that a task holds while it makes blocks, and blocks it hands on at once.
+MOST_POSTINGS = 1 << 22
+BATCH_BLOCKS = 1 << 12
+
 #: Segments scored between two looks at what can be skipped: at first, and at most.
 FIRST_SEGMENTS = 1
 MOST_SEGMENTS = 16
@@ -67,27 +71,24 @@ def _shard_of(key: str, shards: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(shards)).cast("int")
 
 
-def write_blocks(counts: DataFrame, path: str, key: str, rows: int) -> int:
-    """Write ``(key, term, tf, doc_len)`` of so many rows and return the number of shards."""
+def write_blocks(lists: DataFrame, path: str, key: str, rows: int) -> int:
+    """Write ``(key, terms, tfs, doc_len)`` of so many rows and return the number of shards.
+
+    A task that has all rows of a segment makes its blocks, and only those are sorted by term.
+    """
     shards = shards_for(rows)
     segments = max(1, -(-rows // (shards * SEGMENT_ROWS)))
     segment = F.pmod(F.shiftright(F.xxhash64(key), 32), F.lit(segments)).cast("int")
+    key_type = lists.schema[key].dataType.simpleString()
     (
-        counts.select(
-            _shard_of(key, shards).alias("shard"), segment.alias("segment"), "term",
-            F.struct(F.col(key).alias("key"), "tf", "doc_len").alias("row"),
+        lists.select(
+            _shard_of(key, shards).alias("shard"), segment.alias("segment"),
+            F.col(key).alias("key"), "terms", "tfs", "doc_len",
         )
+        .repartition("shard", "segment")
+        .sortWithinPartitions("shard", "segment", "key")
+        .mapInArrow(_gather(segments), f"shard int, {_columns(key_type)}")
         .repartition("shard")
-        .groupBy("shard", "term", "segment")
-        .agg(
-            F.max("row.tf").alias("most_tf"),
-            F.min("row.doc_len").alias("least_len"),
-            F.array_sort(F.collect_list("row")).alias("rows"),
-        )
-        .select(
-            "shard", *_HEAD, F.col("rows.key").alias("keys"),
-            F.col("rows.tf").alias("tfs"), F.col("rows.doc_len").alias("lens"),
-        )
         .sortWithinPartitions("shard", "term", "segment")
         .write.option("parquet.block.size", GROUP_BYTES)
         .partitionBy("shard")
@@ -96,13 +97,76 @@ def write_blocks(counts: DataFrame, path: str, key: str, rows: int) -> int:
     return shards
 
 
-def read_blocks(spark: SparkSession, path: str, key: str, key_type: str) -> DataFrame:
-    """Return ``(key, term, tf, doc_len)`` of the blocks in a folder."""
-    columns = (
+def _columns(key_type: str) -> str:
+    return (
         "term string, segment int, most_tf int, least_len int, "
-        f"keys array<{key_type}>, tfs array<int>, lens array<int>, shard int"
+        f"keys array<{key_type}>, tfs array<int>, lens array<int>"
     )
-    rows = spark.read.schema(columns).parquet(path)
+
+
+def _gather(segments: int):
+    """Turn rows sorted by shard, segment and key into the blocks of each segment.
+
+    A segment of more than ``MOST_POSTINGS`` goes on as another, ``segments`` further on.
+    """
+
+    def blocks(shard: int, segment: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        keys, terms, tfs, lens = (table[c].chunk(0) for c in ("key", "terms", "tfs", "doc_len"))
+        row = np.repeat(np.arange(len(keys)), pc.list_value_length(terms).to_numpy())
+        words = terms.flatten().dictionary_encode()
+        word = words.indices.to_numpy()
+        order = np.argsort(word, kind="stable")
+        found, starts = np.unique(word[order], return_index=True)
+        row, tf = row[order], tfs.flatten().to_numpy()[order]
+        length = lens.to_numpy()[row]
+        ends = pa.array(np.append(starts, len(row)), pa.int32())
+        whole = pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(found), shard), pa.int32()),
+                words.dictionary.take(pa.array(found)),
+                pa.array(np.full(len(found), segment), pa.int32()),
+                pa.array(np.maximum.reduceat(tf, starts), pa.int32()),
+                pa.array(np.minimum.reduceat(length, starts), pa.int32()),
+                pa.ListArray.from_arrays(ends, keys.take(pa.array(row))),
+                pa.ListArray.from_arrays(ends, pa.array(tf, pa.int32())),
+                pa.ListArray.from_arrays(ends, pa.array(length, pa.int32())),
+            ],
+            names=["shard", *_HEAD, *_BODY],
+        )
+        yield from (whole.slice(at, BATCH_BLOCKS) for at in range(0, len(found), BATCH_BLOCKS))
+
+    def gather(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, postings, current, number = [], 0, None, 0
+        for batch in source:
+            if not batch.num_rows:
+                continue
+            shard, segment = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            ends = np.cumsum(pc.list_value_length(batch.column(3)).to_numpy())
+            new = np.flatnonzero((np.diff(shard) != 0) | (np.diff(segment) != 0)) + 1
+            cuts = [0, *new.tolist(), batch.num_rows]
+            for start, stop in zip(cuts, cuts[1:]):
+                at = int(shard[start]), int(segment[start])
+                while start < stop:
+                    if at != current or postings >= MOST_POSTINGS:
+                        if held:
+                            yield from blocks(current[0], current[1] + number * segments, held)
+                        number = number + 1 if at == current else 0
+                        held, postings, current = [], 0, at
+                    before = int(ends[start - 1]) if start else 0
+                    room = int(np.searchsorted(ends, before + MOST_POSTINGS - postings, "left")) + 1
+                    end = min(stop, room)
+                    held.append(batch.slice(start, end - start))
+                    postings, start = postings + int(ends[end - 1]) - before, end
+        if held:
+            yield from blocks(current[0], current[1] + number * segments, held)
+
+    return gather
+
+
+def read_blocks(spark: SparkSession, path: str, key: str, key_type: str) -> DataFrame:
+    """Return ``(key, term, tf, doc_len)`` of the blocks in a folder."""
+    rows = spark.read.schema(f"{_columns(key_type)}, shard int").parquet(path)
     rows = rows.select("term", F.explode(F.arrays_zip("keys", "tfs", "lens")).alias("_row"))
     return rows.select(
         F.col("_row.keys").alias(key), "term",
@@ -110,6 +174,13 @@ def read_blocks(spark: SparkSession, path: str, key: str, key_type: str) -> Data
     )
 
 
+def count_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """Return ``(term, rows, words)`` of each block in a folder: its rows and occurrences."""
+    blocks = spark.read.schema("term string, tfs array<int>, shard int").parquet(path)
+    words = F.aggregate("tfs", F.lit(0).cast("bigint"), lambda total, tf: total + tf)
+    return blocks.select("term", F.size("tfs").cast("bigint").alias("rows"), words.alias("words"))
+
+
 def write_keys(keys: DataFrame, key: str, shards: Sequence[int], path: str) -> None:
     """Write keys as ``key``, in a folder for each part and the shard there that would have it."""
     places = [

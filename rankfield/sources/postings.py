@@ -25,6 +25,7 @@ from rankfield.operators.bm25 import (
     score_postings,
     score_schema,
     term_counts,
+    term_lists,
     text_queries,
     unique_queries,
 )
@@ -35,6 +36,7 @@ from rankfield.session import BROADCAST_ROWS, bounded, row_bound, scratch_path,
 from rankfield.sources import records
 from rankfield.sources.blocks import (
     Part,
+    count_blocks,
     read_blocks,
     score_shards,
     write_blocks,
@@ -91,30 +93,30 @@ class PostingsIndex:
         taken off the numbers of rows with each word, which are sums over the parts.
         """
         spark = rows.sparkSession
-        counts = term_counts(spread(rows.select(self.key, self.text), self.key), self.key, self.text)
+        lists = term_lists(spread(rows.select(self.key, self.text), self.key), self.key, self.text)
         count, voiding = rows.count(), self.voiding
-        shards = write_blocks(counts, f"{path}/postings", self.key, count)
-        new = replace(self, path=path, parts=(path,), shards=(shards,), voiding=())
+        shards = write_blocks(lists, f"{path}/postings", self.key, count)
         bucket = bucket_of("term", self.buckets).alias("bucket")
-        signed = new.postings(spark).select(bucket, "term", "tf", F.lit(1).alias("sign"))
+        signed = count_blocks(spark, f"{path}/postings").select(bucket, "term", "rows", "words")
         if gone is not None:
             gone = written(gone.select(self.key, self.text), "gone")
             write_keys(gone, self.key, self.shards, f"{path}/gone")
             off = term_counts(gone, self.key, self.text)
-            signed = signed.unionByName(off.select(bucket, "term", "tf", F.lit(-1).alias("sign")))
+            signed = signed.unionByName(off.select(bucket, "term", F.lit(-1).alias("rows"), (-F.col("tf")).alias("words")))
             count, voiding = count - gone.count(), (*voiding, len(self.parts))
         (
             signed.groupBy("bucket", "term")
-            .agg(F.sum("sign").alias("df"))
+            .agg(F.sum("rows").alias("df"))
             .hint("rebalance", "bucket")
             .sortWithinPartitions("bucket", "term")
             .write.partitionBy("bucket")
             .parquet(f"{path}/terms")
         )
         index = replace(
-            new,
+            self,
+            path=path,
             rows=self.rows + count,
-            words=self.words + (signed.agg(F.sum(F.col("tf") * F.col("sign"))).first()[0] or 0),
+            words=self.words + (signed.agg(F.sum("words")).first()[0] or 0),
             parts=(*self.parts, path),
             shards=(*self.shards, shards),
             voiding=voiding,

@@ -317,3 +317,34 @@ def test_hybrid_uses_ranks_and_never_returns_the_vector(spark):
     assert sorted(hits.collect()) == sorted(again.collect())
     with pytest.raises(ValueError, match="both"):
         hybrid(docs, query="red", key="id", text="text")
+
+
+def test_a_task_makes_the_blocks_of_its_segments(monkeypatch):
+    """Blocks leave a task whole; a segment of too many postings goes on under a free number."""
+    rows = pa.RecordBatch.from_pylist(
+        [
+            {"shard": 0, "segment": s, "key": k, "terms": ["a", f"w{k % 2}"], "tfs": [k, 1], "doc_len": k + 1}
+            for s in (0, 1)
+            for k in range(10 * s, 10 * s + 6)
+        ],
+        schema=pa.schema(
+            [("shard", pa.int32()), ("segment", pa.int32()), ("key", pa.int64())]
+            + [("terms", pa.list_(pa.string())), ("tfs", pa.list_(pa.int32())), ("doc_len", pa.int32())]
+        ),
+    )
+    for most, numbers in ((100, {0, 1}), (8, {0, 1, 2, 3})):
+        monkeypatch.setattr(blocks, "MOST_POSTINGS", most)
+        for step in (1, 5, 100):
+            cut = [rows.slice(at, step) for at in range(0, rows.num_rows, step)]
+            found = [r for b in blocks._gather(2)(iter(cut)) for r in b.to_pylist()]
+            assert {r["segment"] for r in found} == numbers
+            assert len({(r["term"], r["segment"]) for r in found}) == len(found)
+            a = [r for r in found if r["term"] == "a"]
+            assert sorted(k for r in a for k in r["keys"]) == [*range(6), *range(10, 16)]
+            assert all(r["keys"] == r["tfs"] and r["most_tf"] == max(r["tfs"]) for r in a)
+            assert all(r["lens"] == [k + 1 for k in r["keys"]] and r["least_len"] == min(r["lens"]) for r in found)
+
+
+def test_shards_stay_small_enough_to_sort_in_memory():
+    """The rows that one task sorts do not grow with the table beyond a few ten thousand."""
+    assert all(-(-rows // blocks.shards_for(rows)) <= 40_000 for rows in (10**5, 10**6, 10**7))
