@@ -26,7 +26,7 @@ from rankfield.operators.bm25 import SCORE, B, K1, Asked, by_term, score_rows
 from rankfield.operators.topk import SCORE_DECIMALS, RunningTopK
 
 #: Rows of the table in one shard, and in one segment of it.
-SHARD_ROWS = 1 << 17
+SHARD_ROWS = 1 << 15
 SEGMENT_ROWS = 1 << 10
 
 #: Shards of a table that would fill fewer, unless they had fewer rows than this.
