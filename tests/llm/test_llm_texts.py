@@ -425,6 +425,19 @@ def test_quality_fits_on_every_labelled_row(spark):
     assert [r["score"] for r in sorted(again.collect())] == [r["score"] for r in rows]
 
 
+def test_pipeline_keeps_by_every_labelled_row(spark, tmp_path):
+    """Of the documents that are trained on, the stage keeps as many as have label 1."""
+    draw = np.random.default_rng(4)
+    texts = ["".join(chr(97 + c) for c in draw.integers(0, 26, n)) + " x." for n in draw.integers(20, 90, 36_000)]
+    numbers, y = list(range(len(texts))), (draw.random(len(texts)) < 0.3).astype(int).tolist()
+    spark.createDataFrame(pa.table({"doc_id": numbers, "quality": y})).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame(pa.table({"doc_id": numbers, "text": texts}))
+    kept = corpus_pipeline.keep_quality(spark, docs, str(tmp_path))
+    labels = spark.read.parquet(f"{tmp_path}/labels.parquet").filter(~quality.held_out("doc_id"))
+    assert labels.filter("quality = 0").count() > 10_000
+    assert kept.filter(~quality.held_out("doc_id")).count() == labels.filter("quality = 1").count()
+
+
 def test_quality_groups_pair_every_row():
     """A class of few rows meets every group; groups give the sums and ranks of the whole."""
     y = np.array([0] * 50 + [1] * 3)
