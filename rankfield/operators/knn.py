@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -26,6 +27,7 @@ from rankfield.session import (
     TASK_CANDIDATES,
     bounded,
     broadcast_if,
+    scratch_path,
     spread,
     written,
 )
@@ -36,9 +38,18 @@ DEFAULT_K = 5
 #: Distances one task holds at a time: bounds its memory whatever the batch sizes are.
 BLOCK_CELLS = 4_000_000
 
+#: Queries and rows whose directions are compared at a time: their products stay in the cache.
+TILE_QUERIES = 256
+TILE_ROWS = 2048
+
 #: Vector components of one group's rows, whatever the vectors' width.
 SLICE_VALUES = 8_000_000
 
+#: Blocks of queries that a large query table is dealt into are larger than one that is alone,
+#: as each costs a scan of the corpus; their vectors have at most so many components.
+BLOCK_FACTOR = 4
+BLOCK_VALUES = 1 << 22
+
 
 def single_query(corpus: DataFrame, **values: Any) -> DataFrame:
     """Return a query table of one row: ``query_id`` 0 and the given text or vector."""
@@ -92,24 +103,42 @@ def apply_where(df: DataFrame, where: Column | Mapping[str, Any] | None) -> Data
     return df if where is None else df.filter(where_condition(df, where))
 
 
+def directions(vectors: np.ndarray) -> np.ndarray | None:
+    """Return the vectors at length one in single precision, or ``None`` if lengths are extreme.
+
+    A vector without a direction stays zero, which is at the cosine distance 1 from all.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        length = np.sqrt((vectors**2).sum(1))
+    if not ((length == 0) | ((length > 1e-100) & (length < 1e100))).all():
+        return None
+    return (vectors / np.where(length > 0, length, 1.0)[:, None]).astype(np.float32)
+
+
 def offer_block(
     best: RunningTopK,
-    queries: np.ndarray,
+    matrix: np.ndarray,
     numbers: np.ndarray,
     rows: np.ndarray,
     keys: pa.Array,
     metric: str,
+    units: np.ndarray | None = None,
 ) -> None:
-    """Score ``rows`` against ``queries`` piece by piece and offer them to ``best``.
+    """Score ``rows`` against the queries ``matrix[numbers]`` and offer them to ``best``.
 
-    A component that is missing or not finite is an error: such a row has no place in any
-    order, and leaving it out would shorten the answer without a word.
+    ``units`` are the directions of all of ``matrix``, if they are to be used. A component that
+    is missing or not finite is an error: such a row has no place in any order, and leaving it
+    out would shorten the answer without a word.
     """
     if not np.isfinite(rows).all():
         raise ValueError("a stored vector has a component that is missing or not finite")
+    row_units = directions(rows) if units is not None else None
+    if row_units is not None and len(rows) and len(numbers):
+        _offer_directions(best, matrix, units, numbers, rows, row_units, keys)
+        return
     step = max(1, BLOCK_CELLS // max(1, len(rows)))
-    for start in range(0, len(queries), step):
-        part = queries[start : start + step]
+    for start in range(0, len(numbers), step):
+        part = matrix[numbers[start : start + step]]
         block = distance_block(part, rows, metric)
         exact, slack = None, 0.0
         if metric == "l2" and block.size:
@@ -123,6 +152,41 @@ def offer_block(
         best.offer(block, keys, numbers[start : start + step], exact, slack)
 
 
+def _offer_directions(best, matrix, units, numbers, rows, row_units, keys) -> None:
+    """Offer rows by angle: single precision rules pairs out, double precision scores the rest.
+
+    A sum of products of two unit vectors is off by less than half of ``slack``.
+    """
+    width = rows.shape[1]
+    slack, step = (width + 8) * 2.0**-23, max(1, BLOCK_CELLS // max(1, width))
+    for row in range(0, len(rows), TILE_ROWS):
+        right = np.ascontiguousarray(row_units[row : row + TILE_ROWS].T)
+        count = right.shape[1]
+        for start in range(0, len(numbers), TILE_QUERIES):
+            own = numbers[start : start + TILE_QUERIES]
+            block = units[own] @ right
+            least = 1.0 - best.limits(own) - slack
+            fresh = np.flatnonzero(np.isinf(least))
+            if len(fresh) and count >= best.k:
+                at = count - best.k
+                least[fresh] = np.partition(block[fresh], at, axis=1)[:, at] - slack
+            i, j = _places(block >= least.astype(np.float32)[:, None])
+            for some in range(0, len(i), step):
+                query, found = own[i[some : some + step]], row + j[some : some + step]
+                values = distance_pairs(matrix[query], rows[found], "cosine")
+                best.offer_pairs(query, values, keys.take(pa.array(found)))
+
+
+def _places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Return where a mask with few marks is true, looking at eight places at a time."""
+    flat = mask.ravel()
+    whole = len(flat) // 8 * 8
+    words = np.flatnonzero(flat[:whole].view(np.uint64))
+    word, bit = np.nonzero(flat[:whole].reshape(-1, 8)[words])
+    at = np.concatenate([words[word] * 8 + bit, whole + np.flatnonzero(flat[whole:])])
+    return at // mask.shape[1], at % mask.shape[1]
+
+
 def query_block(k: int, rows: int = BROADCAST_ROWS) -> int:
     """Return how many queries a task may answer at once, given that it keeps ``k`` each."""
     return max(1, min(rows, TASK_CANDIDATES // k))
@@ -153,15 +217,39 @@ def _near_broadcast(
         ids, matrix = shared.value
         best = RunningTopK(len(ids), k)
         numbers = np.arange(len(ids))
+        units = directions(matrix) if metric == "cosine" else None
         for batch in batches:
             if batch.num_rows:
                 rows = as_matrix(batch.column(1))
-                offer_block(best, matrix, numbers, rows, batch.column(0), metric)
+                offer_block(best, matrix, numbers, rows, batch.column(0), metric, units)
         yield from best.batches(ids, names)
 
     return slim.mapInArrow(search, schema)
 
 
+def blocks_for(queries: DataFrame, k: int, block_rows: int) -> int:
+    """Return how many blocks a query table is dealt into, for tasks that keep ``k`` each."""
+    rows, width = queries.agg(F.count(F.lit(1)), F.max(F.size(queries.columns[1]))).first()
+    held = min(BLOCK_FACTOR * block_rows, TASK_CANDIDATES // k, BLOCK_VALUES // max(1, width or 1))
+    return max(1, math.ceil(rows / max(1, held)))
+
+
+def query_blocks(queries: DataFrame, blocks: int) -> Iterator[pa.Table]:
+    """Yield a written query table block by block; each is read by itself."""
+    spark, path = queries.sparkSession, scratch_path(queries.sparkSession, "query-blocks")
+    block = F.pmod(F.xxhash64(queries.columns[0]), F.lit(blocks)).cast("int")
+    numbered = queries.withColumn("_block", block)
+    numbered.repartition(blocks, "_block").write.partitionBy("_block").parquet(path)
+    stored = spark.read.schema(numbered.schema).parquet(path)
+    for number in range(blocks):
+        yield stored.filter(F.col("_block") == number).drop("_block").toArrow()
+
+
+def one_task_a_core(df: DataFrame) -> DataFrame:
+    """Read a table in as many tasks as there are cores: each passes on ``k`` rows per query."""
+    return df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def near_blocks(
     slim: DataFrame,
     queries: DataFrame,
@@ -175,16 +263,10 @@ def near_blocks(
     Each block is held by every executor while the corpus is read past it, so the corpus is
     scanned once per block and never shuffled or copied.
     """
-    query_key = queries.columns[0]
-    queries = written(queries, "queries")
-    blocks = max(1, math.ceil(queries.count() / max(1, block_rows // 2)))
-    numbered = queries.withColumn("_block", F.pmod(F.xxhash64(query_key), F.lit(blocks)))
-    found = None
-    for number in range(blocks):
-        table = numbered.filter(F.col("_block") == number).drop("_block").toArrow()
-        near = _near_broadcast(slim, table, schema, metric, k)
-        found = near if found is None else found.unionByName(near)
-    return found
+    blocks = blocks_for(queries, k, block_rows)
+    slim = one_task_a_core(slim)
+    near = [_near_broadcast(slim, t, schema, metric, k) for t in query_blocks(queries, blocks)]
+    return reduce(DataFrame.unionByName, near)
 
 
 def near_grid(
@@ -232,9 +314,10 @@ def near_grid(
         if corpus.num_rows and asked.num_rows:
             matrix = as_matrix(asked.column(q_vector))
             numbers = np.arange(len(ids))
+            units = directions(matrix) if metric == "cosine" else None
             for batch in corpus.select([key, vector]).to_batches(max_chunksize=10_000):
                 rows = as_matrix(batch.column(1))
-                offer_block(best, matrix, numbers, rows, batch.column(0), metric)
+                offer_block(best, matrix, numbers, rows, batch.column(0), metric, units)
         found = list(best.batches(ids, names))
         if found:
             return pa.Table.from_batches(found)

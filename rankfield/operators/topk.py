@@ -36,10 +36,11 @@ class RunningTopK:
     """
 
     def __init__(self, n_queries: int, k: int, decimals: int = TIE_DECIMALS) -> None:
-        self._k = k
+        self.k = k
         self._decimals = decimals
         self._kth = np.full(n_queries, np.inf)
         self._best: pa.Table | None = None
+        self._waiting: list[pa.Table] = []
 
     def offer(
         self,
@@ -55,29 +56,37 @@ class RunningTopK:
         to ``slack``. Infinite values are never chosen.
         """
         limit = self._kth[queries]
-        if values.shape[1] >= self._k and np.isinf(limit).any():
-            local = np.partition(values, self._k - 1, axis=1)[:, self._k - 1]
+        if values.shape[1] >= self.k and np.isinf(limit).any():
+            local = np.partition(values, self.k - 1, axis=1)[:, self.k - 1]
             limit = np.minimum(limit, local)
         slack += 2.0 * 10.0**-self._decimals
         row, col = np.nonzero((values <= limit[:, None] + slack) & np.isfinite(values))
         if not len(row):
             return
         chosen = exact(row, col) if exact is not None else values[row, col]
-        found = pa.table(
-            {
-                "query": pa.array(queries[row], pa.int64()),
-                "value": np.round(chosen, self._decimals) + 0.0,
-                "key": keys.take(pa.array(col)),
-            }
-        )
-        self._merge(found)
+        self.offer_pairs(queries[row], chosen, keys.take(pa.array(col)))
+        self._merge()
+
+    def limits(self, queries: np.ndarray) -> np.ndarray:
+        """Return what values of these queries are certain not to be chosen if they are above."""
+        return self._kth[queries] + 2.0 * 10.0**-self._decimals
+
+    def offer_pairs(self, queries: np.ndarray, values: np.ndarray, keys: pa.Array) -> None:
+        """Add single values; they are merged when as many wait as have been chosen."""
+        found = {"query": pa.array(queries, pa.int64()), "value": np.round(values, self._decimals) + 0.0, "key": keys}
+        self._waiting.append(pa.table(found))
+        if sum(t.num_rows for t in self._waiting) >= (0 if self._best is None else self._best.num_rows):
+            self._merge()
 
     def reached(self, values: np.ndarray) -> np.ndarray:
         """Say of ``values[query, j]`` whether they could still be chosen."""
         return values <= self._kth[:, None] + 2.0 * 10.0**-self._decimals
 
-    def _merge(self, found: pa.Table) -> None:
-        both = found if self._best is None else pa.concat_tables([self._best, found])
+    def _merge(self) -> None:
+        if not self._waiting:
+            return
+        both = pa.concat_tables([*self._waiting, *([] if self._best is None else [self._best])])
+        self._waiting = []
         order = pc.sort_indices(
             both,
             sort_keys=[("query", "ascending"), ("value", "ascending"), ("key", "ascending")],
@@ -87,12 +96,13 @@ class RunningTopK:
         position = np.arange(len(query))
         first = np.r_[True, query[1:] != query[:-1]]
         within = position - np.maximum.accumulate(np.where(first, position, 0))
-        last = within == self._k - 1
+        last = within == self.k - 1
         self._kth[query[last]] = both["value"].to_numpy()[last]
-        self._best = both.filter(pa.array(within < self._k)).combine_chunks()
+        self._best = both.filter(pa.array(within < self.k)).combine_chunks()
 
     def batches(self, query_ids: pa.Array, names: Sequence[str]):
         """Yield the selection as record batches ``(query id, key, value)``."""
+        self._merge()
         if self._best is None:
             return
         best = self._best

@@ -25,6 +25,7 @@ from rankfield.operators.knn import (
     DISTANCE,
     apply_where,
     candidate_schema,
+    directions,
     held_queries,
     near_grid,
     offer_block,
@@ -342,13 +343,14 @@ class CellIndex:
         def search(batches):
             ids, matrix, chosen = shared.value
             best = RunningTopK(len(ids), k)
+            units = directions(matrix) if metric == "cosine" else None
             for batch in batches:
                 cell = batch.column(2).to_numpy()
                 for number in np.unique(cell):
                     part = batch.filter(pa.array(cell == number))
                     numbers = np.flatnonzero(chosen[:, number])
                     rows = as_matrix(part.column(1))
-                    offer_block(best, matrix[numbers], numbers, rows, part.column(0), metric)
+                    offer_block(best, matrix, numbers, rows, part.column(0), metric, units)
             yield from best.batches(ids, names)
 
         return stored.filter(F.col("cell").isin(looked_in)).mapInArrow(search, schema)

@@ -1,9 +1,11 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rankfield.operators import knn as knn_module
 from rankfield.operators.knn import knn
+from rankfield.operators.topk import RunningTopK
 
 
 def frame(spark, matrix, name="id", first=0):
@@ -120,3 +122,56 @@ def test_exactly_one_query_form(spark):
         knn(corpus, key="id")
     with pytest.raises(ValueError, match="empty"):
         knn(corpus, query_vector=[], key="id")
+
+
+def _with_copies(rng, rows):
+    """Vectors of which some are equal, without direction or nearly so, or very short or long."""
+    corpus = rng.normal(size=(rows, 24))
+    corpus[::7] = corpus[0]
+    corpus[1::7] = corpus[1] + 1e-6 * rng.normal(size=corpus[1::7].shape)
+    corpus[5], corpus[12] = 0.0, 1e-30
+    return corpus * 10.0 ** rng.integers(-6, 6, size=(rows, 1))
+
+
+def test_screening_leaves_out_no_neighbour(monkeypatch):
+    """Angles compared in single precision give what double precision does, ties included."""
+    rng = np.random.default_rng(8)
+    corpus, queries = np.float32(_with_copies(rng, 1_500)).astype(float), rng.normal(size=(300, 24))
+    queries[:100], queries[100] = corpus[:100], 0.0
+    for k in (1, 9, 1_400, 2_000):
+        best = RunningTopK(len(queries), k)
+        numbers = np.arange(len(queries))
+        units = knn_module.directions(queries)
+        calls = []
+        whole = knn_module.distance_block
+        monkeypatch.setattr(knn_module, "distance_block", lambda *a: calls.append(1) or whole(*a))
+        for start in range(0, len(corpus), 400):
+            part = corpus[start : start + 400]
+            knn_module.offer_block(best, queries, numbers, part, pa.array(np.arange(start, start + len(part))), "cosine", units)
+        assert not calls
+        monkeypatch.undo()
+        got = pa.Table.from_batches(list(best.batches(pa.array(numbers), ["query", "id", "d"])))
+        d = np.round(knn_module.distance_block(queries, corpus, "cosine"), 12) + 0.0
+        far = np.sort(d, axis=1)[:, min(k, 1_500) - 1]
+        assert got.num_rows == len(queries) * min(k, 1_500)
+        query, found, value = (got[c].to_numpy() for c in ("query", "id", "d"))
+        assert np.abs(value - d[query, found]).max() < 3e-12
+        assert (d[query, found] <= far[query] + 3e-12).all()
+        if k == 9:  # of equal copies those with the least keys
+            assert found[query == 0].tolist() == list(range(0, 63, 7))
+
+
+def test_large_query_tables_are_read_a_block_at_a_time(spark, monkeypatch):
+    """Blocks of queries come from their own files and are as large as their vectors allow."""
+    rng = np.random.default_rng(9)
+    vectors = _with_copies(rng, 500)
+    queries = asked(spark, vectors)
+    assert knn_module.blocks_for(queries, 5, 50) == 3
+    assert knn_module.blocks_for(queries, 20_000, 50) == 5
+    monkeypatch.setattr(knn_module, "BLOCK_VALUES", 24 * 100)
+    assert knn_module.blocks_for(queries, 5, 50) == 5
+    tables = list(knn_module.query_blocks(queries, 5))
+    assert sorted(i for t in tables for i in t.column(0).to_pylist()) == list(range(500))
+    assert len(tables) == 5 and max(t.num_rows for t in tables) < 200
+    one = found(knn(frame(spark, vectors), queries, key="id", k=5))
+    assert one == found(knn(frame(spark, vectors), queries, key="id", k=5, broadcast_rows=50))
