@@ -24,12 +24,15 @@ from rankfield.operators.knn import (
     DEFAULT_K,
     DISTANCE,
     apply_where,
+    blocks_for,
     candidate_schema,
     directions,
     held_queries,
     near_grid,
     offer_block,
+    one_task_a_core,
     query_block,
+    query_blocks,
     single_query,
 )
 from rankfield.operators.topk import RunningTopK, check_k, ranked
@@ -300,7 +303,7 @@ class CellIndex:
 
         if table is not None:
             ids, matrix = table.column(0).combine_chunks(), as_matrix(table.column(1))
-            look = lambda chosen: self._search_broadcast(stored, ids, matrix, chosen, schema, k)
+            look = lambda chosen: self._search_broadcast(stored, ids, matrix, np.packbits(chosen, axis=1), schema, k)
             if not len(ids):
                 return best(look(np.zeros((0, 1), dtype=bool)))
             if nprobe is not None:
@@ -315,14 +318,30 @@ class CellIndex:
             return best(near.unionByName(look(rest)) if rest.any() else near)
 
         def in_cells(queries: DataFrame, of, *columns: str) -> DataFrame:
-            @F.arrow_udf("array<int>")
-            def cells(vectors: pa.Array, *more: pa.Array) -> pa.Array:
-                chosen = of(as_matrix(vectors), *(m.to_numpy(zero_copy_only=False) for m in more)) if len(vectors) else []
-                return pa.array([np.flatnonzero(row) for row in chosen], pa.list_(pa.int32()))
-
-            per_cell = queries.withColumn("cell", F.explode(cells(query_vector_column, *columns)))
-            per_cell = per_cell.select(query_key, query_vector_column, "cell")
-            return near_grid(stored, per_cell, schema, self.metric, k, block, within="cell")
+            def cells(pack, kind: str):
+                @F.arrow_udf(kind)
+                def chosen(vectors: pa.Array, *more: pa.Array) -> pa.Array:
+                    of_row = of(as_matrix(vectors), *(m.to_numpy(zero_copy_only=False) for m in more)) if len(vectors) else []
+                    return pa.array([pack(row) for row in of_row], pa.list_(pa.int32()) if kind != "binary" else pa.binary())
+
+                return chosen(query_vector_column, *columns)
+
+            listed = cells(np.flatnonzero, "array<int>")
+            # A copy of a query for each cell is shuffled, or all vectors are read for each block.
+            copies = queries.agg(F.sum(F.size(listed))).first()[0] or 0
+            blocks = blocks_for(queries, k, block)
+            if copies <= blocks * self.rows:
+                per_cell = queries.withColumn("cell", F.explode(listed))
+                per_cell = per_cell.select(query_key, query_vector_column, "cell")
+                return near_grid(stored, per_cell, schema, self.metric, k, block, within="cell")
+            marked = queries.withColumn("_cells", cells(lambda row: np.packbits(row).tobytes(), "binary"))
+            near, whole = [], one_task_a_core(stored)
+            for table in query_blocks(marked.select(query_key, query_vector_column, "_cells"), blocks):
+                if table.num_rows:
+                    ids, matrix = table.column(0).combine_chunks(), as_matrix(table.column(1))
+                    bits = np.frombuffer(b"".join(table.column(2).to_pylist()), np.uint8).reshape(len(ids), -1)
+                    near.append(self._search_broadcast(whole, ids, matrix, bits, schema, k))
+            return reduce(DataFrame.unionByName, near)
 
         if nprobe is not None:
             probe, width = self._probe, nprobe
@@ -335,22 +354,26 @@ class CellIndex:
         rest = in_cells(bounds, lambda vectors, kth: can_reach(vectors, kth) & ~start(vectors, k), "_kth")
         return best(near.unionByName(rest))
 
-    def _search_broadcast(self, stored, ids, matrix, chosen, schema, k: int) -> DataFrame:
-        looked_in = [int(c) for c in np.flatnonzero(chosen.any(axis=0))]
-        metric, names = self.metric, schema.fieldNames()
-        shared = stored.sparkSession.sparkContext.broadcast((ids, matrix, chosen))
+    def _search_broadcast(self, stored, ids, matrix, bits, schema, k: int) -> DataFrame:
+        """Score queries against the rows of the cells that each has a bit for."""
+        cells, metric, names = len(self.centres), self.metric, schema.fieldNames()
+        seen = np.bitwise_or.reduce(bits, axis=0) if len(bits) else np.zeros(0, np.uint8)
+        looked_in = np.flatnonzero(np.unpackbits(seen, count=cells)).tolist()
+        shared = stored.sparkSession.sparkContext.broadcast((ids, matrix, bits))
 
         def search(batches):
-            ids, matrix, chosen = shared.value
+            ids, matrix, bits = shared.value
             best = RunningTopK(len(ids), k)
             units = directions(matrix) if metric == "cosine" else None
             for batch in batches:
                 cell = batch.column(2).to_numpy()
                 for number in np.unique(cell):
                     part = batch.filter(pa.array(cell == number))
-                    numbers = np.flatnonzero(chosen[:, number])
+                    numbers = np.flatnonzero(bits[:, number // 8] >> (7 - number % 8) & 1)
                     rows = as_matrix(part.column(1))
                     offer_block(best, matrix, numbers, rows, part.column(0), metric, units)
             yield from best.batches(ids, names)
 
-        return stored.filter(F.col("cell").isin(looked_in)).mapInArrow(search, schema)
+        if len(looked_in) < cells:
+            stored = stored.filter(F.col("cell").isin(looked_in))
+        return stored.mapInArrow(search, schema)

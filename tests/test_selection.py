@@ -9,6 +9,7 @@ from rankfield.operators.envelope import capped_result, clamp_k, truncation_warn
 from rankfield.operators.knn import knn
 from rankfield.operators.mmr import mmr, select_diverse
 from rankfield.operators.profile import column_profile, column_stats, table_overview, table_profile
+from rankfield.sources import cells
 from rankfield.sources.cells import CellIndex
 
 #: Two near copies and one that is unlike them.
@@ -230,3 +231,23 @@ def test_profile_of_several_tables(spark):
     ]
     overview = table_overview(table_profile(tables, stats=False)).collect()
     assert [tuple(r) for r in overview] == [("none", 1), ("t", 2)]
+
+
+@pytest.mark.parametrize("nprobe", [9, None])
+def test_queries_that_look_everywhere_are_not_copied_to_every_cell(spark, folder, nprobe, monkeypatch):
+    """Where that is less, all vectors are read for a block of queries; the answer is the same."""
+    grids = []
+    grid = cells.near_grid
+    monkeypatch.setattr(cells, "near_grid", lambda *a, **b: grids.append(1) or grid(*a, **b))
+    points = np.random.default_rng(5).normal(size=(700, 24))
+    rows = [(i, [float(x) for x in p], i % 4) for i, p in enumerate(points)]
+    corpus = spark.createDataFrame(rows, "id bigint, embedding array<float>, kind int")
+    asked = corpus.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    index = CellIndex.build(corpus, key="id", path=f"{folder}/ix", cells=9, carry=["kind"])
+    for where in (None, {"kind": 2}):
+        got = index.search(asked, k=3, nprobe=nprobe, where=where, broadcast_rows=50)
+        assert found(got) == found(knn(corpus, asked, key="id", k=3, where=where))
+    # The nearest cells alone are few; those that may hold something near are nearly all.
+    assert len(grids) == (0 if nprobe else 2)
+    few = index.search(asked, k=3, nprobe=1, broadcast_rows=50)
+    assert few.count() == 2100 and len(grids) == (1 if nprobe else 3)
