@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from rankfield.operators.embed import HashingEmbedder, ModelEmbedder, vector_distance
 from rankfield.operators.fusion import hybrid
+from rankfield.plans.catalogue import retrieval
 from rankfield.plans.search import (
     default_columns,
     plan_search,
@@ -508,3 +509,19 @@ def test_promotion_refuses_other_kinds(spark, document, kind):
     df = spark.createDataFrame([(document,)], "metadata_json string")
     with pytest.raises(Exception, match=f"declared {kind} but holds"):
         promote_metadata(df, {"k": kind}).collect()
+
+
+def test_a_served_table_embeds_each_document_once(spark, sf_dir, monkeypatch):
+    """What is appended later is filtered before it is embedded, and so is the rest."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(texts):
+            seen.add(len(texts))
+            return [[1.0, float(len(t))] for t in texts]
+
+        return model
+
+    monkeypatch.setattr(retrieval, "EMBEDDER", ModelEmbedder(load, 2))
+    rows = retrieval.served_table(spark, sf_dir).read()
+    assert seen.value == rows.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
