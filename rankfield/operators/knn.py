@@ -245,9 +245,13 @@ def query_blocks(queries: DataFrame, blocks: int) -> Iterator[pa.Table]:
         yield stored.filter(F.col("_block") == number).drop("_block").toArrow()
 
 
+def cores(df: DataFrame) -> int:
+    return max(1, df.sparkSession.sparkContext.defaultParallelism)
+
+
 def one_task_a_core(df: DataFrame) -> DataFrame:
     """Read a table in as many tasks as there are cores: each passes on ``k`` rows per query."""
-    return df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism))
+    return df.coalesce(cores(df))
 
 
 def near_blocks(
@@ -389,11 +393,11 @@ def knn(
     block = query_block(k, broadcast_rows)
     asked, table = held_queries(asked, query_key, block)
     if table is not None:
-        near = _near_broadcast(spread(slim, key), table, schema, metric, k)
+        near, tasks = _near_broadcast(spread(slim, key), table, schema, metric, k), None
     else:
-        near = near_blocks(slim, asked, schema, metric, k, block)
+        near, tasks = near_blocks(slim, asked, schema, metric, k, block), cores(slim)
     order = [F.col(DISTANCE).asc_nulls_last(), F.col(key).asc()]
-    hits = ranked(near, query_key, order, k)
+    hits = ranked(near, query_key, order, k, tasks)
     bound = None if table is None else table.num_rows * k
     hits = attach_columns(hits, corpus, key, carried, bound)
     return hits.select(query_key, "rank", key, *carried, DISTANCE)

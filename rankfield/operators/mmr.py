@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankfield.functions.distances import as_matrix, distance_block
+from rankfield.functions.distances import as_matrix
 from rankfield.operators.knn import attach_columns, knn, single_query
 from rankfield.operators.topk import TIE_DECIMALS, check_k, hit_columns
 from rankfield.session import row_bound
@@ -21,6 +22,9 @@ MMR_K = 4
 MMR_FETCH_K = 20
 MMR_LAMBDA = 0.5
 
+#: Vector components of the pools that are selected from at a time.
+POOL_VALUES = 1 << 21
+
 
 def select_diverse(
     query: np.ndarray, rows: np.ndarray, k: int, lambda_mult: float = MMR_LAMBDA
@@ -31,21 +35,31 @@ def select_diverse(
     """
     if not len(rows):
         return []
-    relevance = 1.0 - distance_block(query[None, :], rows, "cosine")[0]
-    alike = 1.0 - distance_block(rows, rows, "cosine")
-    open_ = np.ones(len(rows), dtype=bool)
-    redundancy = np.zeros(len(rows))
-    picks: list[int] = []
-    while len(picks) < min(k, len(rows)):
-        # The first pick is by relevance alone, whatever the balance is.
-        score = (
-            lambda_mult * relevance - (1.0 - lambda_mult) * redundancy if picks else relevance
-        )
+    return select_each(query[None], rows[None], k, lambda_mult)[0].tolist()
+
+
+def select_each(
+    queries: np.ndarray, rows: np.ndarray, k: int, lambda_mult: float = MMR_LAMBDA
+) -> np.ndarray:
+    """Do that for many queries with pools of one size: ``rows[i]`` are those of ``queries[i]``."""
+    length = np.sqrt((rows**2).sum(axis=2))
+
+    def alike(to: np.ndarray) -> np.ndarray:
+        norms = length * np.sqrt((to**2).sum(axis=1))[:, None]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(norms == 0.0, 0.0, np.matmul(rows, to[:, :, None])[:, :, 0] / norms)
+
+    each, picks = np.arange(len(rows)), np.empty((len(rows), min(k, rows.shape[1])), dtype=np.int64)
+    relevance, open_ = alike(queries), np.ones(length.shape, dtype=bool)
+    # The first pick is by relevance alone, whatever the balance is.
+    score, redundancy = relevance, np.full(length.shape, -np.inf)
+    for step in range(picks.shape[1]):
+        if step:
+            redundancy = np.maximum(redundancy, alike(rows[each, picks[:, step - 1]]))
+            score = lambda_mult * relevance - (1.0 - lambda_mult) * redundancy
         score = np.where(open_, np.round(score, TIE_DECIMALS), -np.inf)
-        pick = int(np.argmax(score))
-        redundancy = np.maximum(redundancy, alike[pick]) if picks else alike[pick].copy()
-        open_[pick] = False
-        picks.append(pick)
+        picks[:, step] = score.argmax(axis=1)
+        open_[each, picks[:, step]] = False
     return picks
 
 
@@ -56,13 +70,15 @@ def mmr_select(
     query_key: str,
     vector: str,
     query_vector_column: str,
+    queries: DataFrame | None = None,
     k: int = MMR_K,
     lambda_mult: float = MMR_LAMBDA,
 ) -> DataFrame:
-    """Choose ``k`` rows per query from a ranked pool that carries both vectors.
+    """Choose ``k`` rows per query from a ranked pool.
 
-    ``pool`` has ``query_key, rank, key`` and the two vectors; a query's group is its
-    pool, so its size is the pool depth and not the table's.
+    ``pool`` has ``query_key, rank, key`` and ``vector``. The query's vector is in the pool as
+    well or, so that it travels once instead of with each row, in a table of ``queries``. A
+    task holds a few batches of rows, sorted by query, or one query's pool, if that is larger.
     """
     check_k(k)
     schema = T.StructType(
@@ -73,19 +89,49 @@ def mmr_select(
         ]
     )
 
-    def choose(group: pa.Table) -> pa.Table:
-        group = group.sort_by("rank")
-        rows = as_matrix(group.column(vector))
-        query = as_matrix(group.column(query_vector_column).slice(0, 1))[0]
-        picks = select_diverse(query, rows, k, lambda_mult)
-        chosen = group.select([query_key, key]).take(pa.array(picks, pa.int64()))
-        order = pa.array(np.arange(1, len(picks) + 1), pa.int64())
-        return pa.table(
-            [chosen.column(query_key), order, chosen.column(key)], names=[query_key, "rank", key]
-        )
-
-    needed = pool.select(query_key, "rank", key, vector, query_vector_column)
-    return needed.groupBy(query_key).applyInArrow(choose, schema)
+    def chosen(table: pa.Table, begin: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Select from whole groups, which begin at these rows; pools of one size at a time."""
+        asks = table.column(3).is_null().to_numpy()
+        size, first = np.diff(np.append(begin, table.num_rows)) - asks[begin], begin + asks[begin]
+        places, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for one in np.unique(size[size > 0]):
+            own = np.flatnonzero((size == one) & table.column(4).is_valid().to_numpy()[begin])
+            width = len(table.column(3)[int(first[own[0]])]) if len(own) else 0
+            step = max(1, POOL_VALUES // max(1, int(one) * width))
+            for start in range(0, len(own), step):
+                part = own[start : start + step]
+                at = first[part][:, None] + np.arange(one)
+                rows = as_matrix(table.column(3).take(pa.array(at.ravel()))).reshape(len(part), one, -1)
+                picks = select_each(as_matrix(table.column(4).take(pa.array(begin[part]))), rows, k, lambda_mult)
+                places.append(np.take_along_axis(at, picks, axis=1).ravel())
+                numbers.append(np.tile(np.arange(1, picks.shape[1] + 1), len(part)))
+        found = table.select([0, 2]).take(pa.array(np.concatenate(places))).combine_chunks()
+        ranks = pa.array(np.concatenate(numbers), pa.int64())
+        found = pa.table([found.column(0), ranks, found.column(1)], names=[query_key, "rank", key])
+        yield from found.to_batches()
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            table = pa.Table.from_batches([*held, batch])
+            code = pc.dictionary_encode(table.column(0).combine_chunks(), null_encoding="encode").indices.to_numpy()
+            begin = np.flatnonzero(np.r_[True, code[1:] != code[:-1]][: len(code)])
+            if len(begin) > 1:
+                yield from chosen(table.slice(0, begin[-1]), begin[:-1])
+            held = table.slice(begin[-1]).to_batches() if len(begin) else []
+        if held:
+            yield from chosen(pa.Table.from_batches(held), np.zeros(1, np.int64))
+
+    fields = [F.col(query_key), F.col("rank").cast("long").alias("rank"), F.col(key), F.col(vector)]
+    if queries is None:
+        needed = pool.select(*fields, F.col(query_vector_column).alias("_asked"))
+    else:
+        asked = queries.select(query_key, query_vector_column).toDF(query_key, "_asked")
+        asked = asked.filter("_asked IS NOT NULL").withColumn("rank", F.lit(None).cast("long"))
+        needed = pool.select(*fields).unionByName(asked, allowMissingColumns=True)
+    # A query is before its rows.
+    order = [F.col(query_key), F.col("rank").asc_nulls_first()]
+    return needed.repartition(query_key).sortWithinPartitions(*order).mapInArrow(choose, schema)
 
 
 def mmr(
@@ -130,13 +176,13 @@ def mmr(
     rows = row_bound(queries)
     depth = None if rows is None else rows * max(fetch_k, k)
     pool = attach_columns(near, corpus, key, [vector], depth)
-    asked = queries.select(query_key, F.col(query_vector_column).alias("_query_vector"))
     picked = mmr_select(
-        pool.join(asked, query_key),
+        pool,
         key=key,
         query_key=query_key,
         vector=vector,
-        query_vector_column="_query_vector",
+        query_vector_column=query_vector_column,
+        queries=queries,
         k=k,
         lambda_mult=lambda_mult,
     )

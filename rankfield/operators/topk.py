@@ -114,16 +114,23 @@ class RunningTopK:
 
 
 def ranked(
-    df: DataFrame, group: str | Sequence[str], order: Sequence[Column], k: int | None
+    df: DataFrame,
+    group: str | Sequence[str],
+    order: Sequence[Column],
+    k: int | None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Number the rows of each group in ``order`` as ``rank`` and keep the first ``k``.
 
     With ``k`` a group is cut in two steps, so that what all tasks found for one group does
     not meet in one: first among ``MERGE_WAYS`` parts of the tasks, then among their results.
+    If it is known that no more ``tasks`` than that found ``k`` rows each, the first step would
+    cut nothing and is left out.
     """
     group = [group] if isinstance(group, str) else list(group)
     if k is not None:
         check_k(k)
+    if k is not None and (tasks is None or tasks > MERGE_WAYS):
         ways = F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS))
         part = Window.partitionBy(*group, "_part").orderBy(*order)
         df = df.withColumn("_part", ways).withColumn("rank", F.row_number().over(part))

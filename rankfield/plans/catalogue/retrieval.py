@@ -416,12 +416,11 @@ def mmr_all(spark, sf_dir):
     queries = _all_vectors(embeddings)
     near = knn(embeddings, queries, key="vec_id", k=21)
     others = near.filter("vec_id != query_id").drop("rank")
-    others = ranked(others, "query_id", [F.asc("_distance"), F.asc("vec_id")], 20)
-    pool = others.join(embeddings.select("vec_id", "embedding"), "vec_id").join(
-        queries, "query_id"
-    )
+    # They are in one task for each query already.
+    others = ranked(others, "query_id", [F.asc("_distance"), F.asc("vec_id")], 20, tasks=1)
     return mmr_select(
-        pool,
+        others.join(embeddings.select("vec_id", "embedding"), "vec_id"),
+        queries=queries,
         key="vec_id",
         query_key="query_id",
         vector="embedding",

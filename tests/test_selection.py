@@ -4,11 +4,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rankfield.operators import mmr as mmr_module
 from rankfield.operators.embed import HashingEmbedder, ModelEmbedder, embed
 from rankfield.operators.envelope import capped_result, clamp_k, truncation_warning
 from rankfield.operators.knn import knn
-from rankfield.operators.mmr import mmr, select_diverse
+from rankfield.operators.mmr import mmr, mmr_select, select_diverse
 from rankfield.operators.profile import column_profile, column_stats, table_overview, table_profile
+from rankfield.operators.topk import ranked
 from rankfield.sources import cells
 from rankfield.sources.cells import CellIndex
 
@@ -55,6 +57,61 @@ def test_selection_by_hand():
     assert select_diverse(np.array([1.0, 0.1]), np.zeros((0, 2)), 3) == []
 
 
+def _greedy(query, rows, k, balance):
+    """The selection one pair at a time."""
+    cos = lambda a, b: float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
+    picks = []
+    while len(picks) < min(k, len(rows)):
+        scores = []
+        for i, row in enumerate(rows):
+            near, seen = cos(query, row), max((cos(rows[p], row) for p in picks), default=None)
+            score = near if seen is None else balance * near - (1 - balance) * seen
+            scores.append(-np.inf if i in picks else round(score, 12))
+        picks.append(int(np.argmax(scores)))
+    return picks
+
+
+@pytest.mark.parametrize("values", [1 << 21, 40])
+def test_pools_of_any_size_are_selected_from_many_at_a_time(spark, values, monkeypatch):
+    """Pools span batches; queries may have none, and their vectors may be in either table."""
+    monkeypatch.setattr(mmr_module, "POOL_VALUES", values)
+    rng = np.random.default_rng(3)
+    queries = np.float32(rng.normal(size=(60, 6))).astype(float)
+    pools = {q: np.float32(rng.normal(size=(q % 9 if q else 70, 6))).astype(float) for q in range(60)}
+    rows = [
+        (f"q{q}", r + 1, 1000 * q + r, [float(x) for x in v], [float(x) for x in queries[q]])
+        for q, pool in pools.items() for r, v in enumerate(pool)
+    ]
+    pool = spark.createDataFrame(rows, "q string, rank int, id bigint, v array<float>, w array<float>")
+    asked = [(f"q{q}", [float(x) for x in v]) for q, v in enumerate(queries)] + [("none", None)]
+    asked = spark.createDataFrame(asked, "q string, w array<double>")
+    want = [
+        (f"q{q}", n, 1000 * q + p)
+        for q, pool in pools.items() for n, p in enumerate(_greedy(queries[q], pool, 5, 0.6), start=1)
+    ]
+    names = dict(key="id", query_key="q", vector="v", query_vector_column="w", k=5, lambda_mult=0.6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        for picked in (mmr_select(pool, **names), mmr_select(pool.drop("w"), queries=asked, **names)):
+            assert sorted(tuple(r) for r in picked.collect()) == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroups" not in plan and "Join" not in plan
+
+
+def test_few_tasks_are_merged_in_one_step(spark):
+    rows = spark.range(300).selectExpr("id % 7 AS q", "id", "(id * 37) % 101 AS d").repartition(4)
+    order, exchanges = [F.asc("d"), F.asc("id")], []
+    answers = []
+    for tasks in (None, 4):
+        df = ranked(rows, "q", order, 3, tasks)
+        answers.append(sorted(tuple(r) for r in df.collect()))
+        exchanges.append(df._jdf.queryExecution().sparkPlan().toString().count("row_number"))
+    assert answers[0] == answers[1] and len(answers[0]) == 21
+    assert exchanges[1] < exchanges[0]
+
+
 # ------------------------------------------------------------------------- cells
 
 
