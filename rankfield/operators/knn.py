@@ -281,16 +281,19 @@ def near_grid(
     k: int,
     block_rows: int,
     within: str,
+    most: str | None = None,
 ) -> DataFrame:
     """Score queries against the rows that share their value of ``within``.
 
     The queries of a value are dealt in bounded blocks and its rows in bounded slices, each
     by the value's own counts; a group holds one of either and keeps ``k`` rows per query.
+    ``most`` names a column of the queries: a distance beyond which no row is wanted.
     """
     key, vector = slim.columns[:2]
     query_key, q_vector = queries.columns[:2]
     names = schema.fieldNames()
     groups = [within, "_block", "_slice"]
+    asks = [query_key, q_vector, *([] if most is None else [most])]
 
     def counted(df: DataFrame, size: Column, most: int, name: str) -> DataFrame:
         parts = F.greatest(F.ceil(F.sum(size) / F.lit(most)), F.lit(1)).cast("int")
@@ -310,11 +313,11 @@ def near_grid(
     left = slim.join(parts, within).withColumn("_slice", numbered(key, "_slices"))
     left = left.withColumn("_block", every("_blocks")).select(key, vector, *groups)
     right = queries.join(parts, within).withColumn("_block", numbered(query_key, "_blocks"))
-    right = right.withColumn("_slice", every("_slices")).select(query_key, q_vector, *groups)
+    right = right.withColumn("_slice", every("_slices")).select(*asks, *groups)
 
     def search(corpus: pa.Table, asked: pa.Table) -> pa.Table:
         ids = asked.column(query_key).combine_chunks()
-        best = RunningTopK(len(ids), k)
+        best = RunningTopK(len(ids), k, most=None if most is None else asked.column(most).to_numpy())
         if corpus.num_rows and asked.num_rows:
             matrix = as_matrix(asked.column(q_vector))
             numbers = np.arange(len(ids))

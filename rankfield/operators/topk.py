@@ -35,10 +35,13 @@ class RunningTopK:
     first batch a task keeps few candidates however many rows it reads.
     """
 
-    def __init__(self, n_queries: int, k: int, decimals: int = TIE_DECIMALS) -> None:
+    def __init__(
+        self, n_queries: int, k: int, decimals: int = TIE_DECIMALS, most: np.ndarray | None = None
+    ) -> None:
+        """``most`` is a value for each query of which it is known that no larger one is wanted."""
         self.k = k
         self._decimals = decimals
-        self._kth = np.full(n_queries, np.inf)
+        self._kth = np.full(n_queries, np.inf) if most is None else np.array(most, dtype=np.float64)
         self._best: pa.Table | None = None
         self._waiting: list[pa.Table] = []
 
@@ -97,7 +100,7 @@ class RunningTopK:
         first = np.r_[True, query[1:] != query[:-1]]
         within = position - np.maximum.accumulate(np.where(first, position, 0))
         last = within == self.k - 1
-        self._kth[query[last]] = both["value"].to_numpy()[last]
+        self._kth[query[last]] = np.minimum(self._kth[query[last]], both["value"].to_numpy()[last])
         self._best = both.filter(pa.array(within < self.k)).combine_chunks()
 
     def batches(self, query_ids: pa.Array, names: Sequence[str]):

@@ -26,6 +26,7 @@ from rankfield.operators.knn import (
     apply_where,
     blocks_for,
     candidate_schema,
+    cores,
     directions,
     held_queries,
     near_grid,
@@ -39,6 +40,9 @@ from rankfield.operators.topk import RunningTopK, check_k, ranked
 from rankfield.session import BROADCAST_ROWS, spread, written
 from rankfield.sources import records
 
+#: Copies of a query, one for each cell that it looks in, that may be shuffled, on average.
+MOST_COPIES = 16
+
 #: Most cells that are chosen without being asked for; centres are held by the driver.
 MOST_CELLS = 4096
 
@@ -298,12 +302,14 @@ class CellIndex:
         asked, table = held_queries(asked, query_key, block)
         order = [F.col(DISTANCE).asc_nulls_last(), F.col(self.key).asc()]
 
-        def best(near: DataFrame) -> DataFrame:
-            return ranked(near, query_key, order, k).select(query_key, "rank", self.key, DISTANCE)
+        def best(near: DataFrame, tasks: int | None = None) -> DataFrame:
+            return ranked(near, query_key, order, k, tasks).select(query_key, "rank", self.key, DISTANCE)
 
         if table is not None:
             ids, matrix = table.column(0).combine_chunks(), as_matrix(table.column(1))
-            look = lambda chosen: self._search_broadcast(stored, ids, matrix, np.packbits(chosen, axis=1), schema, k)
+            look = lambda chosen, most=None: self._search_broadcast(
+                stored, ids, matrix, np.packbits(chosen, axis=1), schema, k, most
+            )
             if not len(ids):
                 return best(look(np.zeros((0, 1), dtype=bool)))
             if nprobe is not None:
@@ -315,55 +321,66 @@ class CellIndex:
             known = {i: d for i, d, n in farthest if n == k}
             kth = np.array([known.get(i, np.inf) for i in ids.to_pylist()])
             rest = self._can_reach(matrix, kth) & ~first
-            return best(near.unionByName(look(rest)) if rest.any() else near)
+            return best(near.unionByName(look(rest, kth)) if rest.any() else near)
+
+        def in_cells(queries: DataFrame, of, most: str | None = None) -> tuple[DataFrame, int | None]:
+            """Search the cells that ``of`` marks; return how many tasks found rows of one query, if bounded.
+
+            ``most`` names a column of the queries: a distance beyond which no row is wanted.
+            """
+            more = [] if most is None else [most]
 
-        def in_cells(queries: DataFrame, of, *columns: str) -> DataFrame:
             def cells(pack, kind: str):
                 @F.arrow_udf(kind)
                 def chosen(vectors: pa.Array, *more: pa.Array) -> pa.Array:
                     of_row = of(as_matrix(vectors), *(m.to_numpy(zero_copy_only=False) for m in more)) if len(vectors) else []
-                    return pa.array([pack(row) for row in of_row], pa.list_(pa.int32()) if kind != "binary" else pa.binary())
+                    return pa.array([pack(row) for row in of_row], pa.binary() if kind == "binary" else pa.list_(pa.int32()) if kind == "array<int>" else pa.int64())
 
-                return chosen(query_vector_column, *columns)
+                return chosen(query_vector_column, *more)
 
-            listed = cells(np.flatnonzero, "array<int>")
             # A copy of a query for each cell is shuffled, or all vectors are read for each block.
-            copies = queries.agg(F.sum(F.size(listed))).first()[0] or 0
+            copies = queries.agg(F.sum(cells(lambda row: int(row.sum()), "bigint"))).first()[0] or 0
             blocks = blocks_for(queries, k, block)
-            if copies <= blocks * self.rows:
-                per_cell = queries.withColumn("cell", F.explode(listed))
-                per_cell = per_cell.select(query_key, query_vector_column, "cell")
-                return near_grid(stored, per_cell, schema, self.metric, k, block, within="cell")
+            if copies <= min(blocks, MOST_COPIES) * self.rows:
+                per_cell = queries.withColumn("cell", F.explode(cells(np.flatnonzero, "array<int>")))
+                per_cell = per_cell.select(query_key, query_vector_column, "cell", *more)
+                return near_grid(stored, per_cell, schema, self.metric, k, block, within="cell", most=most), None
             marked = queries.withColumn("_cells", cells(lambda row: np.packbits(row).tobytes(), "binary"))
             near, whole = [], one_task_a_core(stored)
-            for table in query_blocks(marked.select(query_key, query_vector_column, "_cells"), blocks):
+            for table in query_blocks(marked.select(query_key, query_vector_column, "_cells", *more), blocks):
                 if table.num_rows:
                     ids, matrix = table.column(0).combine_chunks(), as_matrix(table.column(1))
                     bits = np.frombuffer(b"".join(table.column(2).to_pylist()), np.uint8).reshape(len(ids), -1)
-                    near.append(self._search_broadcast(whole, ids, matrix, bits, schema, k))
-            return reduce(DataFrame.unionByName, near)
+                    known = None if most is None else table.column(most).to_numpy()
+                    near.append(self._search_broadcast(whole, ids, matrix, bits, schema, k, known))
+            return reduce(DataFrame.unionByName, near), cores(stored)
 
         if nprobe is not None:
             probe, width = self._probe, nprobe
-            return best(in_cells(asked, lambda vectors: probe(vectors, width)))
+            return best(*in_cells(asked, lambda vectors: probe(vectors, width)))
         start, can_reach = self._start, self._can_reach
-        near = written(best(in_cells(asked, lambda vectors: start(vectors, k))).drop("rank"), "near")
+        near = best(*in_cells(asked, lambda vectors: start(vectors, k)))
+        near = written(near.drop("rank"), "near")
         farthest = near.groupBy(query_key).agg(F.max(DISTANCE).alias("_most"), F.count(DISTANCE).alias("_found"))
         kth = F.coalesce(F.when(F.col("_found") == k, F.col("_most")), F.lit(float("inf")))
         bounds = asked.join(farthest, query_key, "left").select(query_key, query_vector_column, kth.alias("_kth"))
-        rest = in_cells(bounds, lambda vectors, kth: can_reach(vectors, kth) & ~start(vectors, k), "_kth")
-        return best(near.unionByName(rest))
+        # What was found is all in one task for a query, but for where its file is cut.
+        rest, tasks = in_cells(written(bounds, "bounds"), lambda vectors, kth: can_reach(vectors, kth) & ~start(vectors, k), "_kth")
+        return best(near.unionByName(rest), tasks)
 
-    def _search_broadcast(self, stored, ids, matrix, bits, schema, k: int) -> DataFrame:
-        """Score queries against the rows of the cells that each has a bit for."""
+    def _search_broadcast(self, stored, ids, matrix, bits, schema, k: int, most=None) -> DataFrame:
+        """Score queries against the rows of the cells that each has a bit for.
+
+        ``most`` is a distance for each query beyond which no row is wanted.
+        """
         cells, metric, names = len(self.centres), self.metric, schema.fieldNames()
         seen = np.bitwise_or.reduce(bits, axis=0) if len(bits) else np.zeros(0, np.uint8)
         looked_in = np.flatnonzero(np.unpackbits(seen, count=cells)).tolist()
-        shared = stored.sparkSession.sparkContext.broadcast((ids, matrix, bits))
+        shared = stored.sparkSession.sparkContext.broadcast((ids, matrix, bits, most))
 
         def search(batches):
-            ids, matrix, bits = shared.value
-            best = RunningTopK(len(ids), k)
+            ids, matrix, bits, most = shared.value
+            best = RunningTopK(len(ids), k, most=most)
             units = directions(matrix) if metric == "cosine" else None
             for batch in batches:
                 cell = batch.column(2).to_numpy()

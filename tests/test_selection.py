@@ -308,3 +308,42 @@ def test_queries_that_look_everywhere_are_not_copied_to_every_cell(spark, folder
     assert len(grids) == (0 if nprobe else 2)
     few = index.search(asked, k=3, nprobe=1, broadcast_rows=50)
     assert few.count() == 2100 and len(grids) == (1 if nprobe else 3)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2", "dot"])
+@pytest.mark.parametrize("broadcast_rows", [8192, 60])
+def test_cells_are_searched_for_what_is_nearer_than_the_kth_found(spark, folder, metric, broadcast_rows, monkeypatch):
+    """Beyond the nearest cells no task passes on a row that cannot be chosen any more."""
+    seen, plain = [], CellIndex._search_broadcast
+
+    def search(self, stored, ids, matrix, bits, schema, k, most=None):
+        near = plain(self, stored, ids, matrix, bits, schema, k, most)
+        if most is not None:
+            seen.append((near, dict(zip(ids.to_pylist(), np.asarray(most).tolist()))))
+        return near
+
+    monkeypatch.setattr(CellIndex, "_search_broadcast", search)
+    points = np.random.default_rng(6).normal(size=(360, 20))
+    points[::9] = points[0]
+    corpus = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id bigint, embedding array<float>")
+    asked = corpus.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    index = CellIndex.build(corpus, key="id", path=f"{folder}/ix", metric=metric, cells=6)
+    got = index.search(asked, k=3, nprobe=None, broadcast_rows=broadcast_rows)
+    assert found(got) == found(knn(corpus, asked, key="id", k=3, metric=metric))
+    assert seen
+    for near, most in seen:
+        rows = near.collect()
+        assert rows and all(r["_distance"] <= most[r["query_id"]] + 1e-11 for r in rows)
+        assert any(np.isfinite(d) for d in most.values())
+
+
+def test_copies_of_queries_stay_in_proportion(spark, folder, monkeypatch):
+    """However many blocks there are, a query is not copied to more than some cells."""
+    monkeypatch.setattr(cells, "near_grid", lambda *a, **b: pytest.fail("queries were copied"))
+    monkeypatch.setattr(cells, "MOST_COPIES", 1)
+    points = np.random.default_rng(7).normal(size=(200, 12))
+    corpus = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id bigint, embedding array<float>")
+    asked = corpus.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    index = CellIndex.build(corpus, key="id", path=f"{folder}/ix", cells=2)
+    got = index.search(asked, k=3, nprobe=2, broadcast_rows=20)
+    assert found(got) == found(knn(corpus, asked, key="id", k=3))
