@@ -43,6 +43,9 @@ from rankfield.sources import records
 #: Copies of a query, one for each cell that it looks in, that may be shuffled, on average.
 MOST_COPIES = 16
 
+#: What cells are marked by: bits, numbers or how many they are.
+_MARKS = {"binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "bigint": pa.int64()}
+
 #: Most cells that are chosen without being asked for; centres are held by the driver.
 MOST_CELLS = 4096
 
@@ -334,7 +337,7 @@ class CellIndex:
                 @F.arrow_udf(kind)
                 def chosen(vectors: pa.Array, *more: pa.Array) -> pa.Array:
                     of_row = of(as_matrix(vectors), *(m.to_numpy(zero_copy_only=False) for m in more)) if len(vectors) else []
-                    return pa.array([pack(row) for row in of_row], pa.binary() if kind == "binary" else pa.list_(pa.int32()) if kind == "array<int>" else pa.int64())
+                    return pa.array([pack(row) for row in of_row], _MARKS[kind])
 
                 return chosen(query_vector_column, *more)
 
@@ -365,7 +368,8 @@ class CellIndex:
         kth = F.coalesce(F.when(F.col("_found") == k, F.col("_most")), F.lit(float("inf")))
         bounds = asked.join(farthest, query_key, "left").select(query_key, query_vector_column, kth.alias("_kth"))
         # What was found is all in one task for a query, but for where its file is cut.
-        rest, tasks = in_cells(written(bounds, "bounds"), lambda vectors, kth: can_reach(vectors, kth) & ~start(vectors, k), "_kth")
+        left = lambda vectors, kth: can_reach(vectors, kth) & ~start(vectors, k)
+        rest, tasks = in_cells(written(bounds, "bounds"), left, "_kth")
         return best(near.unionByName(rest), tasks)
 
     def _search_broadcast(self, stored, ids, matrix, bits, schema, k: int, most=None) -> DataFrame:
