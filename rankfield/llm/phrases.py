@@ -2,20 +2,21 @@
 
 Texts become lists of numbers of the words that are frequent themselves; other words and ends of
 pieces are breaks. Level by level, the phrases of n words that can be frequent are those of which
-the first and the last n - 1 words are; what a scan sees of them is summed, and what stays below
-the threshold goes. All that is left is put in double-array tries. A scan advances the states of
-all text positions at once, one word after the other, and counts accepting states by bincount;
-the sums over all tasks are the phrases' frequencies.
-
-A trie holds a bounded number of phrases and is what a scan broadcasts; more phrases take more
-tries and more scans.
+the first and the last n - 1 words are: neighbours in a text of the numbers of phrases, which one
+scan sums; what stays below the threshold goes. Double-array tries of what is left make the next
+level's text, which holds only positions where such a phrase begins. All phrases are then put in
+tries. A scan advances the states of all text positions at once, one word after the other, and
+counts accepting states by bincount; the sums over all tasks are the phrases' frequencies.
+
+A trie holds some bounded number of phrases, those whose first words fall into its part, so that
+a position is walked in one trie only. A scan broadcasts a few of them; more phrases take more
+scans, in proportion. Tries are built in tasks.
 """
 
 from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator, Sequence
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankfield.llm.common import quoted, runs, text_or_empty
+from rankfield.llm.common import quoted, text_or_empty
 from rankfield.session import written
 
 LEAST = 100
@@ -34,17 +35,22 @@ COVER = 100
 #: Language of a document without one.
 NO_LANG = "und"
 
-#: Phrases in one trie, and words and their bytes that are sent out at a time.
-TRIE_PHRASES = 1 << 18
-VOCABULARY = 1 << 18
+#: Phrases in one trie, tries in a broadcast, and words and their bytes that are sent out at a time.
+TRIE_PHRASES = 1 << 19
+FOREST = 4
+VOCABULARY = 1 << 19
 VOCABULARY_BYTES = 1 << 25
 
-#: Counts that a task hands on in one row.
-VECTOR = 1 << 12
+#: Counts that a task adds up before it hands them on.
+HELD = 1 << 21
+
+#: Words of text for one slice of the counts, and the most slices, as powers of two.
+SLICE_WORDS = 20
+SLICES = 16
 
 #: Bytes of text and numbers of words that are turned into arrays at a time.
 BLOCK_BYTES = 1 << 21
-BLOCK_WORDS = 1 << 17
+BLOCK_WORDS = 1 << 18
 
 #: Places that are tried for the children of a node before the array grows.
 PLACES = 256
@@ -55,21 +61,23 @@ PLAIN = 1 << 22
 #: Parts of a language that are ranked by themselves before the whole is.
 PARTS = 64
 
-_ENDS = np.zeros(256, bool)
-_ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
-_GAPS = _ENDS.copy()
-_GAPS[[0x20, 0x09]] = True
+_ENDS = bytes([*b".,;:!?", *range(0x0A, 0x0E)])
+_GAPS = _ENDS + b" \t"
+
+#: 0 for bytes of words, 1 for gaps, 2 for ends of pieces.
+_KINDS = bytes(2 if c in _ENDS else 1 if c in _GAPS else 0 for c in range(256))
 
 
 def split_words(data: bytes) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
-    """Return the words of lower-case text, where they begin and the pieces that they are in."""
-    raw = np.frombuffer(data, np.uint8)
-    inside = ~_GAPS[raw]
-    begin, end = runs(inside)
+    """Return the words of lower-case text, where they begin and where pieces end."""
+    kinds = np.frombuffer(b"\n".join([b"", data, b""]).translate(_KINDS), np.uint8)
+    gap = kinds > 0
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    begin, end = edges[0::2], edges[1::2]
     offsets = np.concatenate([[0], np.cumsum(end - begin)])
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])]
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data.translate(None, _GAPS))]
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), buffers)
-    return words.dictionary_encode(), begin, np.searchsorted(np.flatnonzero(_ENDS[raw]), begin)
+    return words.dictionary_encode(), begin, np.flatnonzero(kinds[1:-1] == 2)
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[str, list[int], list[bytes]]]:
@@ -79,7 +87,7 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[str, list[int], list[bytes]
     for row, (lang, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
         rows, texts = held.setdefault(lang, ([], []))
         rows.append(row)
-        texts.append(text.as_py().encode().lower())
+        texts.append(text.as_buffer().to_pybytes().lower())
         sizes[lang] = sizes.get(lang, 0) + len(texts[-1])
         if sizes[lang] >= BLOCK_BYTES:
             yield lang, *held.pop(lang)
@@ -88,34 +96,57 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[str, list[int], list[bytes]
         yield lang, rows, texts
 
 
+def _added_words(held: list[pa.Table]) -> pa.Table:
+    """Return the sums of (lang, word, n)."""
+    together = pa.concat_tables(held)
+    added = together.group_by(["lang", "word"], use_threads=False).aggregate([("n", "sum")])
+    return added.select(["lang", "word", "n_sum"]).rename_columns(["lang", "word", "n"])
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """Return (lang, word, n) of all words of (lang, text)."""
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        size = 0
         for batch in source:
             for lang, _, block in _blocks(batch):
                 words, *_ = split_words(b"\n".join(block))
                 kinds = words.dictionary.cast(pa.binary()).cast(pa.string())
                 n = np.bincount(words.indices.to_numpy(), minlength=len(kinds))
                 columns = [pa.array([lang] * len(kinds), pa.string()), kinds, pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
+                held.append(pa.table(columns, names=["lang", "word", "n"]))
+                size += len(kinds)
+                if size >= HELD:
+                    held = [_added_words(held)]
+                    size = held[0].num_rows
+                    if size > HELD // 2:
+                        yield from held.pop().to_batches(BLOCK_WORDS)
+                        size = 0
+        if held:
+            yield from _added_words(held).to_batches(BLOCK_WORDS)
 
     counted = texts.mapInArrow(count, "lang string, word string, n bigint")
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def numbered(words: DataFrame) -> DataFrame:
-    """Return the words with ``id``, from 0 without gaps, the commonest first."""
-    ordered = words.orderBy(F.col("n").desc(), "lang", "word")
-    ordered = written(ordered.withColumn("at", F.monotonically_increasing_id()), "vocabulary")
+def _dense(rows: DataFrame, label: str, name: str) -> DataFrame:
+    """Return ``rows`` with their numbers, from 0 without gaps, in the order of their partitions."""
+    ordered = written(rows.withColumn("at", F.monotonically_increasing_id()), label)
     part = F.shiftright("at", 33).alias("part")
     # One row for each task that wrote the table.
     sizes = sorted(ordered.groupBy(part).agg(F.count("*")).collect())
     starts = itertools.accumulate((n for _, n in sizes), initial=0)
-    offsets = words.sparkSession.createDataFrame([(p, s) for (p, _), s in zip(sizes, starts)], "part bigint, start bigint")
+    offsets = rows.sparkSession.createDataFrame([(p, s) for (p, _), s in zip(sizes, starts)], "part bigint, start bigint")
     numbers = ordered.withColumn("part", part).join(F.broadcast(offsets), "part")
     row = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    return written(numbers.select("lang", "word", "n", (F.col("start") + row).alias("id")), "vocabulary")
+    return written(numbers.select(*rows.columns, (F.col("start") + row).alias(name)), label)
+
+
+def numbered(words: DataFrame) -> DataFrame:
+    """Return the words with ``id``, from 0 without gaps, the commonest first."""
+    ordered = words.orderBy(F.col("n").desc(), "lang", "word")
+    return _dense(ordered.select("lang", "word", "n"), "vocabulary", "id")
 
 
 def _encode(shared):
@@ -125,25 +156,22 @@ def _encode(shared):
             out: list[np.ndarray | None] = [None] * batch.num_rows
             before = batch.column(2)
             for lang, rows, block in _blocks(batch):
-                words, begin, piece = split_words(b"\n".join(block))
-                number = np.full(len(words.dictionary), -1, np.int64)
+                # The newlines that part the texts are ends of pieces, so no piece is of two.
+                words, begin, ends = split_words(b"\n".join(block))
+                number = np.full(len(words.dictionary), -1, np.int32)
                 if lang in known:
                     listed, ids = known[lang]
                     at = pc.index_in(words.dictionary.cast(pa.binary()), value_set=listed)
                     found = at.is_valid().to_numpy(zero_copy_only=False)
                     number[found] = ids[at.drop_null().to_numpy()]
-                number = number[words.indices.to_numpy()]
-                # A break before each piece that is not the first of its block.
-                piece = np.concatenate([[-1], piece]) if len(piece) else np.zeros(1, np.int64)
-                new = np.flatnonzero(piece[1:] != piece[:-1])
-                number = np.insert(number, new, -1)
-                # The newlines that part the texts are ends of pieces, so no piece is of two.
-                ends = np.cumsum([len(t) + 1 for t in block])
-                text = np.searchsorted(ends, begin, side="right")
-                text = np.insert(text, new, text[new])
-                cuts = np.searchsorted(text, np.arange(len(block) + 1))
+                # A break before the first word behind each end.
+                new = np.searchsorted(begin, ends)
+                new = new[np.diff(new, append=len(begin)) > 0]
+                number = np.insert(number[words.indices.to_numpy()], new, -1)
+                cuts = np.searchsorted(begin, np.cumsum([0, *(len(t) + 1 for t in block)]))
+                cuts += np.searchsorted(new, cuts)
                 for row, a, b in zip(rows, cuts, cuts[1:]):
-                    out[row] = number[a:b].astype(np.int32)
+                    out[row] = number[a:b]
             if before.null_count < len(before):
                 old = before.to_pylist()
                 out = [np.maximum(n, np.array(o, np.int32)) for n, o in zip(out, old)]
@@ -228,26 +256,32 @@ class _Slots:
         return int(places[np.argmax(fits)] if fits.any() else self.end - kids[0])
 
 
-class Trie(NamedTuple):
+class Trie:
     """A double array over the words ``used``: the child of state s by word w is
     ``base[s] + w`` if ``check`` of that is s. ``accept`` has the phrase that ends at a state."""
 
-    used: np.ndarray
-    base: np.ndarray
-    check: np.ndarray
-    accept: np.ndarray
+    def __init__(self, used: np.ndarray, base: np.ndarray, check: np.ndarray, accept: np.ndarray):
+        self.used, self.base, self.check, self.accept = used, base, check, accept
+        self.plain = np.zeros(0, np.int32)
+        if len(used) and used[-1] < PLAIN:
+            self.plain = np.full(int(used[-1]) + 2, -1, np.int32)
+            self.plain[used] = np.arange(len(used))
 
     @classmethod
     def build(cls, phrases: Sequence[Sequence[int]], numbers: Sequence[int]) -> Trie:
         """Build the trie of different phrases; ``numbers`` are what ``accept`` says of them."""
-        length = np.array([len(p) for p in phrases])
         flat = np.fromiter(itertools.chain.from_iterable(phrases), np.int64)
+        return cls.of_lists(np.array([len(p) for p in phrases]), flat, np.asarray(numbers, np.int64))
+
+    @classmethod
+    def of_lists(cls, length: np.ndarray, flat: np.ndarray, numbers: np.ndarray) -> Trie:
+        """Build the trie of phrases of such lengths, whose words follow each other in ``flat``."""
         used, flat = np.unique(flat, return_inverse=True)
         depth = int(length.max(initial=1))
         words = np.full((len(length), depth), -1)
         words[np.arange(depth) < length[:, None]] = flat
         order = np.lexsort(words.T[::-1])
-        words, length, numbers = words[order], length[order], np.asarray(numbers, np.int64)[order]
+        words, length, numbers = words[order], length[order], numbers[order]
         # The root is state 0 and its children the states from 1; all others lie behind them.
         slots = _Slots(len(used))
         node = np.zeros(len(length), np.int64)  # of each phrase's first words
@@ -266,26 +300,27 @@ class Trie(NamedTuple):
         size = max(int(slots.base.max()) + len(used), slots.end) + 1
         check = np.concatenate([slots.check[:size], np.full(max(0, size - len(slots.check)), -1)])
         base = np.concatenate([slots.base[:size], np.zeros(max(0, size - len(slots.base)), np.int64)])
-        accept = np.full(size, -1, np.int64)
+        accept = np.full(size, -1, np.int32)
         accept[ends] = numbers
-        return cls(used, base.astype(np.int32), check.astype(np.int32), accept)
+        return cls(used.astype(np.int32), base.astype(np.int32), check.astype(np.int32), accept)
 
     def local(self, ids: np.ndarray) -> np.ndarray:
         """Return the trie's own numbers of words, -1 for those it has not."""
-        used = self.used
+        used, plain = self.used, self.plain
         if not len(used):
-            return np.full(len(ids), -1, np.int64)
-        if used[-1] < PLAIN:
-            table = np.full(int(used[-1]) + 2, -1, np.int64)
-            table[used] = np.arange(len(used))
-            return table[np.where((ids < 0) | (ids > used[-1]), len(table) - 1, ids)]
+            return np.full(len(ids), -1, np.int32)
+        if len(plain):
+            return plain[np.where((ids < 0) | (ids > used[-1]), len(plain) - 1, ids)]
         at = np.minimum(np.searchsorted(used, ids), len(used) - 1)
         return np.where(used[at] == ids, at, -1)
 
-    def levels(self, ids: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Yield, for 1 to ``depth`` words, the positions whose states live and the states."""
-        words = np.concatenate([self.local(ids), np.full(depth, -1, np.int64)])
-        at, state = np.arange(len(ids)), np.zeros(len(ids), np.int64)
+    def levels(self, ids: np.ndarray, depth: int, starts: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Yield, for 1 to ``depth`` words, the positions whose states live and the states.
+
+        Walks begin at ``starts``, or at all positions."""
+        words = np.concatenate([self.local(ids), np.full(depth, -1, np.int32)])
+        at = np.arange(len(ids)) if starts is None else starts
+        state = np.zeros(len(at), np.int32)
         for n in range(depth):
             word = words[at + n]
             known = word >= 0
@@ -296,150 +331,232 @@ class Trie(NamedTuple):
             yield at, state
 
 
-def _flat(batch: pa.RecordBatch, overlap: int) -> Iterator[tuple[np.ndarray, int]]:
-    """Yield word numbers of some rows, a break behind each, and how many positions start there.
+def _streams(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
+    """Yield the numbers in each column's lists, whole rows, a break behind each.
 
-    Rows are taken together up to ``BLOCK_WORDS`` words; a longer row is cut, with an overlap.
+    Rows are taken together up to ``BLOCK_WORDS`` numbers, one at least.
     """
-    lists = batch.column(0)
-    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    ends = np.cumsum(pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False))
     first = 0
-    while first < len(lists):
+    while first < batch.num_rows:
         before = ends[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(ends, before + BLOCK_WORDS, side="right")))
-        some = lists.slice(first, last - first)
-        ids = np.insert(some.flatten().to_numpy().astype(np.int64), ends[first:last] - before, -1)
-        for at in range(0, len(ids), BLOCK_WORDS):
-            yield ids[at : at + BLOCK_WORDS + overlap], min(BLOCK_WORDS, len(ids) - at)
+        some = [c.slice(first, last - first).flatten().to_numpy() for c in batch.columns]
+        yield [np.insert(c, ends[first:last] - before, -1) for c in some]
         first = last
 
 
-def _pair_batches(first: np.ndarray, second: np.ndarray) -> Iterator[pa.RecordBatch]:
-    pairs, n = np.unique(np.stack([first, second], axis=1), axis=0, return_counts=True)
-    columns = [pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1])), pa.array(n)]
-    yield pa.RecordBatch.from_arrays(columns, names=["p", "q", "n"])
+def _cuts(ids: np.ndarray, overlap: int) -> Iterator[tuple[int, np.ndarray, int]]:
+    """Yield where blocks of a stream begin, they and an overlap, and their own positions."""
+    for at in range(0, len(ids), BLOCK_WORDS):
+        yield at, ids[at : at + BLOCK_WORDS + overlap], min(BLOCK_WORDS, len(ids) - at)
+
+
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Return the different codes in order and the sums of their counts."""
+    codes, counts = (np.concatenate(c) for c in zip(*held))
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.diff(codes, prepend=codes[:1] - 1))
+    return codes[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def _slices(codes: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
+    """One row for each slice of the codes, by a hash."""
+    mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    part = (mixed >> np.uint64(64 - SLICES)).astype(np.uint16) >> (SLICES - bits)
+    order = np.argsort(part, kind="stable")
+    part, codes, counts = part[order], codes[order], counts[order]
+    first = np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))
+    ends = np.append(first[1:], len(part))
+    columns = [
+        pa.array(part[first].astype(np.int32)),
+        pa.array([codes[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+        pa.array([counts[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["slice", "codes", "counts"])
+
+
+def _handed_on(found: Iterator[tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[pa.RecordBatch]:
+    """Add up counts of codes, a bounded number at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for codes, counts in found:
+        held.append((codes, counts))
+        size += len(codes)
+        if size >= HELD:
+            held = [_added(held)]
+            size = len(held[0][0])
+            if size > HELD // 2:
+                yield _slices(*held.pop(), bits)
+                size = 0
+    if size:
+        yield _slices(*_added(held), bits)
+
+
+def _summed(least: int):
+    def add(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size, bound = 0, 2 * HELD
+        for batch in source:
+            for part, codes, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                slices.setdefault(part, []).append((np.frombuffer(codes, np.int64), np.frombuffer(counts, np.int64)))
+                size += len(codes) // 8
+                if size > bound:
+                    slices = {k: [_added(v)] for k, v in slices.items()}
+                    size = sum(len(v[0][0]) for v in slices.values())
+                    bound = size + 2 * HELD
+        for part in list(slices):
+            codes, n = _added(slices.pop(part))
+            often = n >= least
+            yield pa.RecordBatch.from_arrays([pa.array(codes[often]), pa.array(n[often])], names=["code", "n"])
+
+    return add
+
 
+def _sums(texts: DataFrame, scan, bits: int, least: int, label: str) -> DataFrame:
+    """Return (code, n) of the codes that a scan counts at least so often, added slice by slice."""
+    found = texts.mapInArrow(lambda source: _handed_on(scan(source), bits), "slice int, codes binary, counts binary")
+    dealt = found.repartition(max(1, (1 << bits) // 4), "slice")
+    return written(dealt.mapInArrow(_summed(least), "code bigint, n bigint"), label)
 
-def _adjacent_words(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _adjacent(source: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Counts of neighbours p and q, as p << 32 | q."""
     for batch in source:
-        for ids, own in _flat(batch, 1):
-            both = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-            both = both[both < own]
-            code, n = np.unique(ids[both] << 32 | ids[both + 1], return_counts=True)
-            columns = [pa.array(code >> 32), pa.array(code & 0xFFFFFFFF), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(columns, names=["p", "q", "n"])
+        for (stream,) in _streams(batch):
+            for _, ids, _ in _cuts(stream, 1):
+                both = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+                yield np.unique(ids[both].astype(np.int64) << 32 | ids[both + 1], return_counts=True)
+
 
+def _raised(shared, parts: int, last: bool):
+    """The numbers of the phrases of two numbers that begin at each position.
 
-def _adjacent_phrases(one, other, words: int):
-    """Sums of neighbours: a phrase of so many words and one that begins a word later."""
+    Positions where none does are breaks. The last scan leaves one break of those that follow
+    each other and gives up what the numbers were made of.
+    """
 
     def scan(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = [Trie(*t.value) for t in (one, other)]
+        tries = {k: Trie(*arrays) for k, arrays in shared.value.items()}
         for batch in source:
-            for ids, own in _flat(batch, words + 1):
-                found = []
-                for trie in tries:
-                    *_, (at, state) = trie.levels(ids, words)
-                    number = np.full(len(ids), -1, np.int64)
-                    number[at] = trie.accept[state]
-                    found.append(number)
-                here = np.flatnonzero((found[0][:-1] >= 0) & (found[1][1:] >= 0))
-                here = here[here < own]
-                yield from _pair_batches(found[0][here], found[1][here + 1])
+            for stream, *before in _streams(batch):
+                out = before[0] if before else np.full(len(stream), -1, np.int32)
+                for at, ids, _ in _cuts(stream, 1):
+                    starts = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+                    for k, trie in tries.items():
+                        *_, (where, state) = trie.levels(ids, 2, starts[ids[starts] % parts == k])
+                        out[at + where] = trie.accept[state]
+                if last:
+                    live = out >= 0
+                    live[1:] |= live[:-1]
+                    streams = [out[live]]
+                else:
+                    streams = [stream, out]
+                breaks = np.flatnonzero(streams[0] < 0)
+                cuts = breaks[np.searchsorted(breaks, range(BLOCK_WORDS, int(breaks[-1]) if len(breaks) else 0, BLOCK_WORDS))] + 1
+                ends = pa.array(np.unique([0, *cuts, len(streams[0])]), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(s, pa.int32())) for s in streams]
+                yield pa.RecordBatch.from_arrays(lists, names=["ids", "numbers"][: len(lists)])
 
     return scan
 
 
-def _accepted(shared, depth: int):
-    """Counts of accepting states, as vectors of ``VECTOR`` phrases that follow each other."""
+def _accepted(shared, parts: int, depth: int):
+    """Counts of accepting states."""
 
-    def scan(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(*shared.value)
-        total = np.zeros(len(trie.accept), np.int64)
+    def scan(source: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        tries = {k: Trie(*arrays) for k, arrays in shared.value.items()}
+        totals = {k: np.zeros(len(trie.accept), np.int64) for k, trie in tries.items()}
         for batch in source:
-            for ids, own in _flat(batch, depth):
-                for at, state in trie.levels(ids, depth):
-                    total += np.bincount(state[at < own], minlength=len(total))
-        counts = total[np.flatnonzero(trie.accept >= 0)]
-        starts = range(0, len(counts), VECTOR)
-        vectors = pa.array([counts[i : i + VECTOR] for i in starts], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(starts)), pa.int32()), vectors], names=["slice", "counts"])
+            for (stream,) in _streams(batch):
+                for _, ids, own in _cuts(stream, depth):
+                    starts = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+                    starts = starts[starts < own]
+                    of = (ids[starts].astype(np.int64) * 31 + ids[starts + 1]) % parts
+                    for k, trie in tries.items():
+                        states = [state for _, state in trie.levels(ids, depth, starts[of == k])]
+                        totals[k] += np.bincount(np.concatenate(states), minlength=len(totals[k]))
+        for k, trie in tries.items():
+            seen = np.flatnonzero((trie.accept >= 0) & (totals[k] > 0))
+            yield trie.accept[seen].astype(np.int64), totals[k][seen]
 
     return scan
 
 
-def _summed(shared):
-    def add(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        accept = shared.value[-1]
-        numbers = accept[accept >= 0]
-        sums: dict[int, np.ndarray] = {}
-        for batch in source:
-            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                values = counts.values.to_numpy()
-                sums[part] = sums[part] + values if part in sums else values
-        for part, values in sums.items():
-            own = numbers[part * VECTOR : part * VECTOR + len(values)]
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(values)], names=["number", "n"])
+def _built(table: pa.Table) -> pa.Table:
+    lists = table["ids"].combine_chunks()
+    length = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    trie = Trie.of_lists(length, lists.flatten().to_numpy().astype(np.int64), table["number"].to_numpy())
+    arrays = (trie.used, trie.base, trie.check, trie.accept)
+    return pa.table([table["part"][:1], *(pa.array([a.tobytes()], pa.binary()) for a in arrays)], names=["part", "used", "base", "check", "accept"])
 
-    return add
 
+def _tries(phrases: DataFrame, parts: int) -> Iterator:
+    """Yield some broadcast tries at a time, by part, of phrases (number, ids, part)."""
+    dealt = phrases.select("number", "ids", "part").repartition(parts, "part")
+    tries = dealt.groupBy("part").applyInArrow(_built, "part bigint, used binary, base binary, check binary, accept binary")
+    tries = written(tries, "tries")
+    for first in range(0, parts, FOREST):
+        some = tries.filter((F.col("part") >= first) & (F.col("part") < first + FOREST)).toArrow().to_pylist()
+        arrays = ("used", "base", "check", "accept")
+        yield phrases.sparkSession.sparkContext.broadcast({r["part"]: [np.frombuffer(r[a], np.int32) for a in arrays] for r in some})
 
-def _tries(phrases: DataFrame) -> Iterator:
-    """Yield broadcast tries of (number, ids), each of a bounded number of phrases."""
-    parts = max(1, -(-phrases.count() // TRIE_PHRASES))
-    for part in range(parts):
-        some = phrases.filter(F.pmod(F.xxhash64("number"), F.lit(parts)) == part).select("number", "ids").toArrow()
-        trie = Trie.build(some["ids"].to_pylist(), some["number"].to_pylist())
-        yield phrases.sparkSession.sparkContext.broadcast(tuple(trie))
 
+def _trie_count(phrases: int) -> int:
+    return max(1, -(-phrases // TRIE_PHRASES))
 
-def _grown(level: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
-    """Return the phrases that pairs (p, q) of a level's phrases make, with their numbers."""
-    often = written(pairs.groupBy("p", "q").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrase-pairs")
+
+def _grown(level: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Return the phrases that pairs of a level's phrases make, with what they are made of."""
+    pairs = pairs.select(F.shiftright("code", 32).alias("p"), F.col("code").bitwiseAND(F.lit((1 << 32) - 1)).alias("q"))
     first = level.select(F.col("number").alias("p"), F.col("ids").alias("head"))
     last = level.select(F.col("number").alias("q"), F.element_at("ids", -1).alias("tail"))
-    joined = often.join(first, "p").join(last, "q")
-    grown = joined.select(F.concat("head", F.array("tail")).alias("ids"))
-    return written(grown.withColumn("number", F.monotonically_increasing_id()), "phrases")
+    joined = pairs.join(first, "p").join(last, "q")
+    return _dense(joined.select("p", "q", F.concat("head", F.array("tail")).alias("ids")), "phrases", "number")
+
+
+def _next_texts(texts: DataFrame, level: DataFrame, size: int) -> DataFrame:
+    """Return the texts (ids) of the numbers of a level's phrases, from those of the level before."""
+    parts = _trie_count(size)
+    made_of = F.array(F.col("p").cast("int"), F.col("q").cast("int")).alias("ids")
+    current = texts
+    for done, shared in enumerate(_tries(level.select("number", made_of, F.expr(f"p % {parts}").alias("part")), parts), 1):
+        last = done * FOREST >= parts
+        scan = _raised(shared, parts, last)
+        current = written(current.mapInArrow(scan, "ids array<int>" if last else "ids array<int>, numbers array<int>"), "phrase-numbers")
+        shared.destroy()
+    return current
 
 
-def candidate_phrases(texts: DataFrame, vocabulary: DataFrame, least: int, most_words: int) -> list[DataFrame]:
-    """Return (ids, number) of the phrases of 2, 3, … words that can occur ``least`` times."""
+def candidate_phrases(texts: DataFrame, vocabulary: DataFrame, least: int, most_words: int, bits: int) -> list[tuple[DataFrame, int]]:
+    """Return (ids, number) of the phrases of 2, 3, … words that can occur ``least`` times, and how many."""
     level = vocabulary.select(F.array(F.col("id").cast("int")).alias("ids"), F.col("id").alias("number"))
-    pairs = texts.mapInArrow(_adjacent_words, "p bigint, q bigint, n bigint")
     levels = []
     for words in range(2, most_words + 1):
-        level = _grown(level, pairs, least)
-        if level.isEmpty():
-            break
-        levels.append(level)
-        if words == most_words:
+        pairs = _sums(texts, _adjacent, bits, least, "phrase-pairs")
+        level = _grown(level, pairs)
+        size = level.count()
+        if not size:
             break
-        scans = []
-        for one in _tries(level):
-            for other in _tries(level):
-                scan = texts.mapInArrow(_adjacent_phrases(one, other, words), "p bigint, q bigint, n bigint")
-                scans.append(written(scan.groupBy("p", "q").agg(F.sum("n").alias("n")), "phrase-pairs"))
-                other.destroy()
-            one.destroy()
-        pairs = scans[0]
-        for scan in scans[1:]:
-            pairs = pairs.unionByName(scan)
+        levels.append((level.select("ids", "number"), size))
+        if words < most_words:
+            texts = _next_texts(texts, level, size)
     return levels
 
 
-def phrase_counts(texts: DataFrame, phrases: DataFrame, most_words: int) -> DataFrame:
+def phrase_counts(texts: DataFrame, phrases: DataFrame, size: int, most_words: int, bits: int) -> DataFrame:
     """Return (ids, n): how often each of the different phrases occurs, by the tries' states."""
     counted = []
-    for shared in _tries(phrases):
-        scan = texts.mapInArrow(_accepted(shared, most_words), "slice int, counts array<bigint>")
-        sums = scan.repartition("slice").mapInArrow(_summed(shared), "number bigint, n bigint")
-        counted.append(written(sums, "phrase-counts"))
+    parts = _trie_count(size)
+    part = F.expr(f"(cast(ids[0] as bigint) * 31 + ids[1]) % {parts}").alias("part")
+    for shared in _tries(phrases.select("number", "ids", part), parts):
+        counted.append(_sums(texts, _accepted(shared, parts, most_words), bits, 1, "phrase-counts"))
         shared.destroy()
     total = counted[0]
-    for part in counted[1:]:
-        total = total.unionByName(part)
-    return phrases.join(total, "number").select("ids", "n")
+    for some in counted[1:]:
+        total = total.unionByName(some)
+    return phrases.join(total.withColumnRenamed("code", "number"), "number").select("ids", "n")
 
 
 def _scores(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -512,14 +629,16 @@ def collocations(
     if vocabulary.isEmpty():
         return documents.sparkSession.createDataFrame([], schema)
     numbers = encoded(texts, vocabulary)
-    levels = candidate_phrases(numbers, vocabulary, least, most_words)
+    bits = min(SLICES, (totals.agg(F.sum("total")).first()[0] >> SLICE_WORDS).bit_length())
+    levels = candidate_phrases(numbers, vocabulary, least, most_words, bits)
     if not levels:
         return documents.sparkSession.createDataFrame([], schema)
-    found = levels[0]
-    for level in levels[1:]:
-        found = found.unionByName(level)
-    found = written(found.select("ids").withColumn("number", F.monotonically_increasing_id()), "phrases")
-    phrases = phrase_counts(numbers, found, most_words).withColumnRenamed("n", "f")
+    found, size = None, 0
+    for level, more in levels:
+        level = level.withColumn("number", F.col("number") + size)
+        found = level if found is None else found.unionByName(level)
+        size += more
+    phrases = phrase_counts(numbers, found, size, most_words, bits).withColumnRenamed("n", "f")
     phrases = written(phrases.filter(F.col("f") >= least), "phrases")
     words = vocabulary.select(F.array(F.col("id").cast("int")).alias("ids"), F.col("n").alias("f"))
     left = phrases.join(_covered(phrases, cover).hint("merge"), "ids", "left_anti")

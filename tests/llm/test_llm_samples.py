@@ -216,6 +216,23 @@ def test_collocations(spark, monkeypatch, small):
     assert got == sorted(brute.collocations(docs, 12, 5, 25, 90)) and len(got) > 40
 
 
+def test_collocations_scan_in_proportion_to_their_tries(spark, monkeypatch):
+    """One scan counts a level, however many tries its phrases fill."""
+    for name, value in (("TRIE_PHRASES", 100), ("FOREST", 3), ("HELD", 500), ("SLICE_WORDS", 11), ("BLOCK_WORDS", 170)):
+        monkeypatch.setattr(phrases, name, value, raising=False)
+    tables, write = [], phrases.written
+    monkeypatch.setattr(phrases, "written", lambda df, label: tables.append(label) or write(df, label))
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(9)]
+    docs = [(draw.choice(["en", "de"]), " ".join(draw.choice(words) for _ in range(draw.randint(0, 60)))) for _ in range(300)]
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(4)
+    got = sorted(tuple(r) for r in phrases.collocations(df, least=6, first=300, cover=90).collect())
+    assert got == sorted(brute.collocations(docs, 6, 5, 300, 90)) and len(got) > 500
+    # The phrases of two words fill two tries, those of three words up to fifteen.
+    assert tables.count("phrase-pairs") <= 4
+    assert tables.count("phrase-numbers") <= 1 + 5 + 1
+
+
 def test_collocation_scores_are_exact():
     import pyarrow as pa
 
